@@ -17,11 +17,15 @@ from pyspark.sql import functions as F
 #               (DESC binds to runId only: the oldest day's last run wins, T1).
 #  "latest":    newest day, newest run first (what the views' comment intends).
 RECENCY = {
-    "reference": (F.asc("dayId"), F.desc("runId")),
-    "latest": (F.desc("dayId"), F.desc("runId")),
+    "reference": (("dayId", "asc"), ("runId", "desc")),
+    "latest": (("dayId", "desc"), ("runId", "desc")),
 }
 
 
+def recency_order(recency: str) -> list[Column]:
+    return [F.asc(c) if d == "asc" else F.desc(c) for c, d in RECENCY[recency]]
+
+
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
                keep_null_keys: bool = False) -> DataFrame:
     """Rows ranked first per key by ``order``.
@@ -46,5 +50,5 @@ def dedupe_runs(df: DataFrame, keys: Sequence[str] | str, recency: str = "refere
     """One row per key by run recency; ``ties`` (ascending) make it total."""
     if isinstance(keys, str):
         keys = [keys]
-    order = [*RECENCY[recency], *[F.asc(t) for t in ties]]
+    order = [*recency_order(recency), *[F.asc(t) for t in ties]]
     return keep_first(df, keys, order, keep_null_keys)

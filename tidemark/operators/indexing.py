@@ -2,17 +2,19 @@
 
 ``row_number()`` over an un-partitioned window (or one partitioned by a hot
 group) funnels every row through one task. These operators get the same
-positions from a range-partitioned sort instead:
-
-1. ``orderBy`` range-partitions and sorts; partition ``p`` holds a contiguous
-   slice of the global order.
-2. Within a partition, ``monotonically_increasing_id() - (p << 33)`` is the
-   row's local position (the id packs the partition index above bit 33).
-3. Per-partition row counts (one row per partition, so bounded by the
-   partition count, not the data) give each partition's start offset.
-
-Order columns must make the order total, or tied rows may swap positions
-between recomputations (positions stay a valid 0..n-1 numbering either way).
+positions from value ranges instead:
+
+1. A seeded, bounded sample of the order keys (sorted by Spark, at most a few
+   hundred rows per range reach the driver) gives ``n - 1`` range boundaries.
+2. A row's range is the number of boundaries at or below its key — a pure
+   function of the row's values, so every branch of a plan agrees on it no
+   matter how columns are pruned or partitions coalesced.
+3. Rows per range (a grouped count, combined map-side) give each range's
+   start offset; ``row_number()`` inside a range gives the rest. Ranges are
+   sample quantiles, so each holds about ``1/n`` of the rows.
+
+Order columns must make the order total (unique keys), otherwise tied rows
+may swap positions between runs (positions stay a valid 0..n-1 numbering).
 """
 
 from __future__ import annotations
@@ -22,29 +24,63 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_PID, _LOCAL = "__pid", "__local"
+_KEY, _RANGE = "__key", "__range"
+_SAMPLES_PER_RANGE = 64
+_SEED = 20220703
 
 
 def _cols(order: Sequence[Column | str]) -> list[Column]:
     return [c if isinstance(c, Column) else F.col(c) for c in order]
 
 
-def with_global_index(df: DataFrame, order: Sequence[Column | str], name: str = "idx") -> DataFrame:
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _range_of(df: DataFrame, key: Column, n: int) -> Column:
+    """Range number 0..n-1 of ``key`` from sampled quantile boundaries."""
+    keyed = df.select(key.alias(_KEY))
+    if n <= 1:
+        return F.lit(0)
+    total = keyed.count()
+    if total <= n:
+        return F.lit(0)
+    fraction = min(1.0, n * _SAMPLES_PER_RANGE / total)
+    sample = [r[0] for r in keyed.sample(False, fraction, seed=_SEED).orderBy(_KEY).collect()]
+    if not sample:
+        return F.lit(0)
+    step = len(sample) / n
+    bounds = []
+    for i in range(1, n):
+        b = sample[min(len(sample) - 1, int(i * step))]
+        if not bounds or b != bounds[-1]:
+            bounds.append(b)
+    key_type = keyed.schema[_KEY].dataType
+    below = [(key >= F.lit(b).cast(key_type) if not isinstance(b, tuple) else
+              key >= F.struct(*[F.lit(v).cast(f.dataType).alias(f.name)
+                                for v, f in zip(b, key_type.fields)])).cast("int") for b in bounds]
+    out = below[0]
+    for c in below[1:]:
+        out = out + c
+    return out
+
+
+def with_global_index(df: DataFrame, order: Sequence[Column | str], name: str = "idx",
+                      num_ranges: int | None = None) -> DataFrame:
     """Add ``name``: the 0-based position of each row in ``order``."""
-    located = (df.orderBy(*_cols(order))
-               .withColumn(_PID, F.spark_partition_id())
-               .withColumn(_LOCAL, F.monotonically_increasing_id()
-                           - F.shiftleft(F.col(_PID).cast("long"), 33)))
-    counts = located.groupBy(_PID).agg(F.count(F.lit(1)).alias("__n"))
+    order_cols = _cols(order)
+    key = F.struct(*order_cols)
+    ranged = df.withColumn(_RANGE, _range_of(df, key, num_ranges or _partitions(df)))
+    counts = ranged.groupBy(_RANGE).agg(F.count(F.lit(1)).alias("__n"))
+    # One row per range: a small table, so the running sum and the broadcast are cheap.
     starts = counts.select(
-        _PID,
-        (F.sum("__n").over(Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1))
-         ).alias("__start"))
-    starts = starts.select(_PID, F.coalesce("__start", F.lit(0)).cast("long").alias("__start"))
-    # One row per Spark partition: small by construction, safe to broadcast.
-    return (located.join(F.broadcast(starts), _PID)
-            .withColumn(name, F.col("__start") + F.col(_LOCAL))
-            .drop(_PID, _LOCAL, "__start"))
+        _RANGE,
+        F.coalesce(F.sum("__n").over(Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)).cast("long").alias("__start"))
+    local = F.row_number().over(Window.partitionBy(_RANGE).orderBy(*order_cols)) - 1
+    return (ranged.join(F.broadcast(starts), _RANGE)
+            .withColumn(name, F.col("__start") + local)
+            .drop(_RANGE, "__start"))
 
 
 def rank_within(df: DataFrame, groups: Sequence[str], order: Sequence[Column | str],
