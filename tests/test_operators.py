@@ -186,3 +186,15 @@ def test_merge_key_parsing():
     from tidemark.plans.loader import merge_key_columns
     assert merge_key_columns("destination.PK = updates.pk") == ["PK"]
     assert merge_key_columns("destination.`Date` = updates.`Date` AND destination.X = updates.x") == ["Date", "X"]
+
+
+def test_staging_merge_duplicate_match_fails_without_writing(spark):
+    st = S.create_staging(spark, "FactSplits", shared_dir(spark, "t", "dup"),
+                          spark.createDataFrame([("A_20220101", "A", 1.0, 20220101)],
+                                                "PK string, Symbol string, SplitFactor float, Date int"))
+    upd = spark.createDataFrame([("A_20220101", "A", 2.0, 20220101), ("A_20220101", "A", 3.0, 20220101)],
+                                "pk string, symbol string, split_factor double, date int")
+    mapping = {"PK": "pk", "Symbol": "symbol", "SplitFactor": "split_factor", "Date": "date"}
+    with pytest.raises(Exception, match="matched by several update rows"):
+        S.merge_into(spark, st, upd, ["PK"], mapping, key_implies_partition=True)
+    assert [tuple(r) for r in S.read_staging(spark, st).collect()] == [("A_20220101", "A", 1.0, 20220101)]

@@ -76,6 +76,22 @@ def duplicate_matches(dest: DataFrame, mapped: DataFrame, keys: Sequence[str]) -
     return dup.join(dest.select(*keys), keys, "left_semi")
 
 
+def fail_on_duplicate_matches(dest: DataFrame, mapped: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """A branch with the destination's columns that has no rows unless a
+    destination row is matched twice, in which case evaluating it fails.
+
+    Unioned into the merged result, the check runs inside the write job: a
+    failing task aborts the job before commit, so nothing is written, and the
+    update side is not computed a second time by a separate action.
+    """
+    bad = duplicate_matches(dest, mapped, keys)
+    msg = F.concat(F.lit(f"destination row matched by several update rows on {list(keys)}: "),
+                   F.to_json(F.struct(*keys)))
+    first, *rest = dest.schema.fields
+    return bad.select(F.raise_error(msg).cast(first.dataType).alias(first.name),
+                      *[F.lit(None).cast(f.dataType).alias(f.name) for f in rest])
+
+
 def check_unique_matches(dest: DataFrame, mapped: DataFrame, keys: Sequence[str]) -> None:
     bad = duplicate_matches(dest, mapped, keys).limit(5).collect()
     if bad:
@@ -85,24 +101,31 @@ def check_unique_matches(dest: DataFrame, mapped: DataFrame, keys: Sequence[str]
 
 
 def merge_frames(dest: DataFrame, updates: DataFrame, keys: Sequence[str],
-                 mapping: Mapping[str, str | Column], check: bool = True) -> DataFrame:
-    """The destination after the upsert, as a DataFrame (nothing written)."""
+                 mapping: Mapping[str, str | Column], check: bool | str = True) -> DataFrame:
+    """The destination after the upsert, as a DataFrame (nothing written).
+
+    ``check``: True checks duplicate matches up front (an action); "inline"
+    folds the check into the returned plan; False skips it.
+    """
     keys = [_clean(k) for k in keys]
     dest_cols = dest.columns
     mapped = project_updates(updates, mapping, dest.schema)
     missing_keys = [k for k in keys if k not in mapped.columns]
     if missing_keys:
         raise ValueError(f"merge keys {missing_keys} are not mapped from the updates")
-    if check:
+    if check is True:
         check_unique_matches(dest, mapped, keys)
     untouched = dest.join(mapped.select(*keys), keys, "left_anti")
     unmapped = [c for c in dest_cols if c not in mapped.columns]
+    guard = fail_on_duplicate_matches(dest, mapped, keys) if check == "inline" else None
     if not unmapped:
-        return mapped.select(*dest_cols).unionByName(untouched.select(*dest_cols))
+        out = mapped.select(*dest_cols).unionByName(untouched.select(*dest_cols))
+        return out if guard is None else out.unionByName(guard)
     # Partial mapping: matched rows keep their unmapped values, inserts get NULL.
     d = dest.select(*keys, *unmapped).alias("d")
     u = mapped.alias("u")
     joined = u.join(d, _key_cond(d, u, keys), "left")
     upserted = joined.select(*[(F.col(f"d.{c}") if c in unmapped else F.col(f"u.{c}")).alias(c)
                                for c in dest_cols])
-    return upserted.unionByName(untouched.select(*dest_cols))
+    out = upserted.unionByName(untouched.select(*dest_cols))
+    return out if guard is None else out.unionByName(guard)

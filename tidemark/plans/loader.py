@@ -141,6 +141,9 @@ def load_fact(spark: SparkSession, lake: Lake, cfg: Mapping, source: PageSource,
     groups = exchange_groups(spark, {table: cfg["exchanges"]})
     requests = fact_requests(groups, lake.read_staging("DimCompany"), lake.read_staging(table),
                              endpoint, cfg["history_start_date"], now)
+    # The request plan is small (one row per 99 symbols) and is read by the
+    # fetcher and the landing write: materialize it once in the shared folder.
+    requests = requests.checkpoint(eager=True)
     pages = source.fetch(table, endpoint, requests)
     run_id = land_pages(spark, lt, pages, endpoint, run_day(now))
     S.merge_into(spark, lake.staging(table), merge_source(spark, lt, bool(cfg.get("is_full_reload"))),

@@ -58,8 +58,9 @@ def append_runs(df: DataFrame, lt: LandingTable) -> None:
     cols = [f.name for f in landing_schema(lt.table).fields]
     out = df.select(*[F.col(c).cast(t.dataType) for c, t in
                       zip(cols, landing_schema(lt.table).fields)])
-    # Rows are sorted by run inside each task so a task keeps one writer open.
-    (out.sortWithinPartitions(*RUN_PARTITION_COLUMNS)
+    # rebalance by run: AQE sizes the write tasks by bytes, so a run becomes a
+    # few large files rather than one small file per (task, run)
+    (out.hint("rebalance", *RUN_PARTITION_COLUMNS)
         .write.mode("append").partitionBy(*RUN_PARTITION_COLUMNS).parquet(lt.path))
 
 

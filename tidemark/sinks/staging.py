@@ -26,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.upsert import merge_frames, project_updates, check_unique_matches
+from tidemark.operators.upsert import fail_on_duplicate_matches, merge_frames, project_updates
 from tidemark.schemas import STAGING_PARTITION, staging_schema
 from tidemark.session import exists, list_dirs
 
@@ -83,12 +83,14 @@ def write_staging(spark: SparkSession, st: StagingTable, df: DataFrame, replace_
     df = _conform(df, st.table)
     if st.partition:
         mode = "static" if replace_all else "dynamic"
-        (df.write.mode("overwrite").option("partitionOverwriteMode", mode)
+        # rebalance: AQE merges small date partitions and splits skewed ones,
+        # so files are sized by bytes, not by (tasks x dates)
+        (df.hint("rebalance", st.partition).write.mode("overwrite").option("partitionOverwriteMode", mode)
            .partitionBy(st.partition).parquet(st.path))
         return
     versions = _versions(spark, st)
     nxt = (versions[-1] + 1) if versions else 1
-    df.write.mode("overwrite").parquet(_version_path(st, nxt))
+    df.hint("rebalance").write.mode("overwrite").parquet(_version_path(st, nxt))
 
 
 def create_staging(spark: SparkSession, table: str, path: str, initial: DataFrame | None = None) -> StagingTable:
@@ -102,11 +104,10 @@ def merge_into(spark: SparkSession, st: StagingTable, updates: DataFrame, keys:
     """Upsert ``updates`` into the staging table and persist the result."""
     dest = read_staging(spark, st)
     if not st.partition:
-        write_staging(spark, st, merge_frames(dest, updates, keys, mapping))
+        write_staging(spark, st, merge_frames(dest, updates, keys, mapping, check="inline"))
         return
     part = st.partition
     mapped = project_updates(updates, mapping, dest.schema)
-    check_unique_matches(dest, mapped, keys)
     touched = mapped.select(part).where(F.col(part).isNotNull()).distinct()
     if not key_implies_partition:
         moved = (dest.join(mapped.select(*keys), list(keys), "left_semi")
@@ -115,4 +116,4 @@ def merge_into(spark: SparkSession, st: StagingTable, updates: DataFrame, keys:
     scope = (dest.join(touched, part, "left_semi")
              .unionByName(dest.where(F.col(part).isNull())))
     merged = merge_frames(scope, mapped, keys, {c: c for c in mapped.columns}, check=False)
-    write_staging(spark, st, merged)
+    write_staging(spark, st, merged.unionByName(fail_on_duplicate_matches(dest, mapped, keys)))

@@ -49,27 +49,42 @@ def page_totals(pages: DataFrame, *keep: str) -> DataFrame:
 
 
 def build_pages(records: DataFrame, record: Column, total: int | Column | None = None,
-                page_size: int = PAGE_SIZE, order: Sequence[Column | str] | None = None) -> DataFrame:
+                page_size: int = PAGE_SIZE, order: Sequence[Column | str] | None = None,
+                group: Sequence[str] = ()) -> DataFrame:
     """Serialize records into API pages: one JSON text per page (``page``).
 
-    ``record`` builds the nested record from a row. ``total`` defaults to the
-    record count. Each page gathers at most ``page_size`` records, so the
-    grouping never builds an unbounded group. Adds ``page_no``.
+    ``record`` builds the nested record from a row. ``group`` columns name the
+    request a record answers: pages never mix requests, and each page's
+    ``pagination.total`` is its request's record count (a grouped count joined
+    back, so no separate action runs). Each page gathers at most ``page_size``
+    records, so no group is unbounded. Adds ``page_no`` (and the group columns).
     """
-    if total is None:
-        total = records.count()
-    total_col = total if isinstance(total, Column) else F.lit(int(total)).cast("long")
+    group = list(group)
     order_cols = [F.col(c) if isinstance(c, str) else c for c in (order or [])]
     keys = [f"__o{i}" for i in range(len(order_cols))]
-    sel = records.select(record.alias("__rec"), *[c.alias(k) for c, k in zip(order_cols, keys)])
+    sel = records.select(*group, record.alias("__rec"), *[c.alias(k) for c, k in zip(order_cols, keys)])
+    if total is None:
+        by = group or [F.lit(0).alias("__all")]
+        counts = sel.groupBy(*by).agg(F.count(F.lit(1)).alias("__total"))
+        if group:
+            sel = sel.join(counts, group)
+        else:  # one response: join the single-row count on a constant key
+            sel = sel.withColumn("__all", F.lit(0)).join(F.broadcast(counts), "__all").drop("__all")
+        total_col = F.col("__total")
+    else:
+        total_col = total if isinstance(total, Column) else F.lit(int(total)).cast("long")
+        sel = sel.withColumn("__total", total_col)
     paged = assign_pages(sel, page_size, order=keys or None, name="page_no")
-    # sorting the (order keys, record) structs keeps records in order inside a page
-    grouped = paged.groupBy("page_no").agg(
-        F.sort_array(F.collect_list(F.struct(*keys, "__rec"))).alias("__recs"))
+    if keys:
+        # sorting the (order keys, record) structs keeps records in order inside a page
+        recs = F.transform(F.sort_array(F.collect_list(F.struct(*keys, "__rec"))), lambda r: r["__rec"])
+    else:
+        recs = F.collect_list("__rec")
+    grouped = paged.groupBy(*group, "page_no").agg(recs.alias("__recs"), F.first("__total").alias("__total"))
     return grouped.select(
-        "page_no",
-        F.to_json(F.struct(F.struct(total_col.alias("total")).alias("pagination"),
-                           F.transform("__recs", lambda r: r["__rec"]).alias("data"))).alias("page"))
+        *group, "page_no",
+        F.to_json(F.struct(F.struct(F.col("__total").cast("long").alias("total")).alias("pagination"),
+                           F.col("__recs").alias("data"))).alias("page"))
 
 
 def write_pages(pages: DataFrame, path: str) -> None:
