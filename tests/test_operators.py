@@ -198,3 +198,25 @@ def test_staging_merge_duplicate_match_fails_without_writing(spark):
     with pytest.raises(Exception, match="matched by several update rows"):
         S.merge_into(spark, st, upd, ["PK"], mapping, key_implies_partition=True)
     assert [tuple(r) for r in S.read_staging(spark, st).collect()] == [("A_20220101", "A", 1.0, 20220101)]
+
+
+def test_stream_lands_each_batch_as_a_run(spark):
+    from tidemark.streaming import stream_pages_to_landing
+    rec = spark.range(3000).select(F.format_string("C%d", "id").alias("code"), F.lit("$").alias("symbol"),
+                                   F.lit("n").alias("name"))
+    inbox = shared_dir(spark, "t", "inbox")
+    for part in range(3):  # three responses arrive as three files
+        chunk = rec.where(F.col("code").substr(2, 10).cast("int") % 3 == part)
+        P.write_pages(P.build_pages(chunk, F.struct("code", "symbol", "name")).coalesce(1), inbox)
+    lt = L.create_landing(spark, "t_stream", "DimCurrency", shared_dir(spark, "t", "stream"))
+    ckpt = shared_dir(spark, "t", "ckpt")
+    q = stream_pages_to_landing(spark, inbox, "currencies", lt, 20220701, ckpt, max_files_per_trigger=1)
+    q.awaitTermination()
+    runs = L.partitions(spark, lt).count()
+    assert runs == 3
+    assert L.read_landing(spark, lt).count() == 3000
+    # restarting on the same checkpoint finds nothing new and lands nothing twice
+    q2 = stream_pages_to_landing(spark, inbox, "currencies", lt, 20220701, ckpt, first_run=1,
+                                 max_files_per_trigger=1)
+    q2.awaitTermination()
+    assert L.read_landing(spark, lt).count() == 3000

@@ -315,6 +315,7 @@ UNION ALL SELECT 20220703 AS dayId,
        (SELECT max(runId) FROM fx_eod WHERE dayId = 20220703) + 1 AS runId, count(*) AS n_rows FROM fx_eod
 UNION ALL SELECT 20220703 AS dayId,
        (SELECT max(runId) FROM fx_eod WHERE dayId = 20220703) + 2 AS runId, count(*) AS n_rows FROM fx_eod"""),
+    "stream_land_eod": _with(_fx("fx_eod"), "SELECT " + _dbl(EOD_COLS, EOD_FLOATS) + " FROM fx_eod"),
     "partition_listing": _with(_fx("fx_eod"), "SELECT DISTINCT dayId, runId FROM fx_eod"),
     "max_day_run": _with(_fx("fx_eod"), "SELECT * FROM " + _latest("fx_eod")),
     "latest_run_rows": _with(_fx("fx_eod"), "SELECT " + _dbl(EOD_COLS, EOD_FLOATS) +

@@ -50,18 +50,6 @@ def widen(df: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------------- inputs
 
-# endpoint -> (fixture, landing table, order of the page builder)
-_LANDING_OF = {"eod": "FactEod", "dividends": "FactDividends", "splits": "FactSplits",
-               "tickers": "DimCompany", "exchanges": "DimExchange", "currencies": "DimCurrency",
-               "intraday": "FactIntraday"}
-
-
-def records(spark: SparkSession, sf_dir: str, endpoint: str, bad_dates: bool = False) -> DataFrame:
-    """Fixture rows as the nested records the endpoint sends."""
-    rows = fx.fx_eod(spark, sf_dir, bad_dates=True) if bad_dates else fx.FIXTURE_OF_ENDPOINT[endpoint](spark, sf_dir)
-    return rows.select(fx.record_struct(rows, endpoint).alias("r")).select("r.*")
-
-
 def through_pages(spark: SparkSession, sf_dir: str, endpoint: str, bad_dates: bool = False) -> DataFrame:
     """Records -> API pages (JSON text) -> parsed and exploded records."""
     rows = fx.fx_eod(spark, sf_dir, bad_dates=True) if bad_dates else fx.FIXTURE_OF_ENDPOINT[endpoint](spark, sf_dir)
@@ -238,6 +226,22 @@ def q_land_endpoint(spark, sf_dir):
     return run_row_counts(L.read_landing(spark, lt))
 
 
+def q_stream_land_eod(spark, sf_dir):
+    """Eod pages dropped into an inbox, landed by a file stream, read back."""
+    from tidemark.streaming import stream_pages_to_landing
+    rows = landing_rows(spark, sf_dir, "FactEod")
+    inbox = shared_dir(spark, "inbox", "eod")
+    P.write_pages(P.build_pages(rows, fx.record_struct(rows, "eod")), inbox)
+    path = shared_dir(spark, "landing", "FactEod")
+    lt = L.create_landing(spark, f"tm_{path.rsplit('/', 1)[1][:10]}", "FactEod", path)
+    query = stream_pages_to_landing(spark, inbox, "eod", lt, LD.run_day(fx.NOW),
+                                    shared_dir(spark, "stream-checkpoint"), max_files_per_trigger=4)
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+    return widen(L.read_landing(spark, lt).drop("dayId", "runId"))
+
+
 def q_partition_listing(spark, sf_dir):
     return L.partitions(spark, landed(spark, sf_dir, "FactEod"))
 
@@ -428,6 +432,7 @@ QUERIES: dict[str, Query] = {
     "landing_append_two_runs": q_landing_append_two_runs,
     "landing_run_counts": q_landing_run_counts,
     "land_endpoint": q_land_endpoint,
+    "stream_land_eod": q_stream_land_eod,
     "partition_listing": q_partition_listing,
     "max_day_run": q_max_day_run,
     "latest_run_rows": q_latest_run_rows,
