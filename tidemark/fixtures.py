@@ -34,13 +34,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     width = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < width and name in _LARGE_TABLES:
-        df = df.repartition(width, *df.columns)  # hash spread: no pre-sort, deterministic
+    if name in _SPREAD_KEY and df.rdd.getNumPartitions() < width:
+        # hash on the table's key: deterministic, no pre-sort, and it names one
+        # column only, so column pruning still reaches the scan
+        df = df.repartition(width, *_SPREAD_KEY[name])
     return df
 
 
-# Tables that grow with the scale factor (the others have a fixed size).
-_LARGE_TABLES = {"lineitem", "orders", "customer", "part", "partsupp", "events"}
+# Key columns of the tables that grow with the scale factor.
+_SPREAD_KEY = {"lineitem": ["l_orderkey", "l_linenumber"], "orders": ["o_orderkey"],
+               "customer": ["c_custkey"], "part": ["p_partkey"], "events": ["event_id"]}
 
 
 def _s(c) -> Column:
