@@ -11,12 +11,15 @@ def _c(c) -> Column:
 
 
 def api_day(c) -> Column:
-    """API timestamp text -> ``yyyyMMdd`` text; NULL for text that is no date.
+    """API timestamp text -> ``yyyyMMdd`` text (the UTC day); NULL for junk.
 
     ``try_to_timestamp`` keeps junk from failing the whole job under ANSI mode,
-    which is what the non-ANSI ``to_timestamp`` did.
+    which is what the non-ANSI ``to_timestamp`` did. The instant is shifted so
+    that rendering in the session zone shows its UTC wall clock: the day does
+    not depend on where the session runs (``...T00:00:00+0000`` stays that day).
     """
-    return F.date_format(F.try_to_timestamp(_c(c)), "yyyyMMdd")
+    utc_wall = F.to_utc_timestamp(F.try_to_timestamp(_c(c)), F.current_timezone())
+    return F.date_format(utc_wall, "yyyyMMdd")
 
 
 def date_key(c) -> Column:
