@@ -163,6 +163,24 @@ def test_fact_merge_rewrites_only_touched_partitions_and_is_idempotent(spark):
                                ("B_20220301", "B", 4.0, 20220301)]
 
 
+def test_fact_merge_moving_rows_leave_no_stale_partition(spark):
+    # keyed by Symbol, so the key does not imply the Date partition
+    st = S.create_staging(spark, "FactSplits", shared_dir(spark, "t", "moved"),
+                          spark.createDataFrame([("A_1", "A", 1.0, 20220101), ("B_1", "B", 2.0, 20220101),
+                                                 ("C_2", "C", 3.0, 20220201), ("D_0", "D", 4.0, None)],
+                                                "PK string, Symbol string, SplitFactor float, Date int"))
+    # C leaves 20220201 empty, A leaves B behind in 20220101, D leaves the NULL partition empty
+    upd = spark.createDataFrame([("C_3", "C", 5.0, 20220301), ("A_3", "A", 6.0, 20220301),
+                                 ("D_4", "D", 7.0, 20220401)],
+                                "pk string, symbol string, split_factor double, date int")
+    mapping = {"PK": "pk", "Symbol": "symbol", "SplitFactor": "split_factor", "Date": "date"}
+    want = [("A_3", "A", 6.0, 20220301), ("B_1", "B", 2.0, 20220101), ("C_3", "C", 5.0, 20220301),
+            ("D_4", "D", 7.0, 20220401)]
+    for _ in range(2):   # idempotent
+        S.merge_into(spark, st, upd, ["Symbol"], mapping, key_implies_partition=False)
+        assert sorted(tuple(r) for r in S.read_staging(spark, st).collect()) == want
+
+
 def test_dim_merge_versions(spark):
     st = S.create_staging(spark, "DimCurrency", shared_dir(spark, "t", "cur"),
                           spark.createDataFrame([("C1", "$", "one")], "CurrencyId string, Symbol string, Name string"))

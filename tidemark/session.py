@@ -91,6 +91,14 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(hpath) if s.isDirectory()]
 
 
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Recursively delete a path on the cluster file system (Hadoop FS, not os)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(hpath, True))
+
+
 __all__ = [
     "local_session",
     "ensure_checkpoint_dir",
@@ -100,4 +108,5 @@ __all__ = [
     "exists",
     "mkdirs",
     "list_dirs",
+    "delete_path",
 ]

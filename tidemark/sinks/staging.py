@@ -9,6 +9,9 @@ so a merge is computed as a DataFrame and written in one of two ways:
   dates, found by a semi-join that dynamic partition pruning turns into a
   file filter; otherwise the partitions of matched destination rows are added.
   Rows with a NULL date live in the default partition, which is always rewritten.
+  Dynamic overwrite only replaces partitions that receive rows, so when a
+  matched row moves to another date and leaves its old partition empty, that
+  partition's folder is deleted after the write has committed.
 * **unpartitioned dims**: the merged table is written to a new version folder;
   readers take the newest version whose ``_SUCCESS`` marker exists, so a
   failed or half-written merge is never seen.
@@ -28,9 +31,11 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.upsert import fail_on_duplicate_matches, merge_frames, project_updates
 from tidemark.schemas import STAGING_PARTITION, staging_schema
-from tidemark.session import exists, list_dirs
+from tidemark.session import delete_path, exists, list_dirs
 
 _VERSION = "v"
+# Fixed value: the folder name Spark gives the partition of NULL values.
+_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 @dataclass(frozen=True)
@@ -116,4 +121,25 @@ def merge_into(spark: SparkSession, st: StagingTable, updates: DataFrame, keys:
     scope = (dest.join(touched, part, "left_semi")
              .unionByName(dest.where(F.col(part).isNull())))
     merged = merge_frames(scope, mapped, keys, {c: c for c in mapped.columns}, check=False)
+    emptied = [] if key_implies_partition else emptied_partitions(scope, mapped, keys, part)
     write_staging(spark, st, merged.unionByName(fail_on_duplicate_matches(dest, mapped, keys)))
+    # Only after the commit: a failure before this point leaves the old rows in
+    # place, and re-running the merge finds and removes them again.
+    for value in emptied:
+        delete_path(spark, f"{st.path}/{part}={_NULL_PARTITION if value is None else value}")
+
+
+def emptied_partitions(scope: DataFrame, mapped: DataFrame, keys: Sequence[str], part: str) -> list:
+    """Partition values whose matched rows all move elsewhere, leaving no row.
+
+    ``scope`` is the destination restricted to the rewritten partitions. The
+    result is a list of partition values (at most one per touched partition),
+    the only thing brought to the driver.
+    """
+    keys = list(keys)
+    upd_keys = mapped.select(*keys)
+    had_match = scope.join(upd_keys, keys, "left_semi").select(part).distinct()
+    after = (scope.join(upd_keys, keys, "left_anti").select(F.col(part).alias("_p"))
+             .unionByName(mapped.select(F.col(part).alias("_p"))).distinct())
+    gone = had_match.join(after, had_match[part].eqNullSafe(after["_p"]), "left_anti")
+    return [r[0] for r in gone.collect()]
