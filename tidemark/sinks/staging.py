@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.upsert import fail_on_duplicate_matches, merge_frames, project_updates
 from tidemark.schemas import STAGING_PARTITION, staging_schema
-from tidemark.session import delete_path, exists, list_dirs
+from tidemark.session import delete_path, exists, list_dirs, shared_dir
 
 _VERSION = "v"
 # Fixed value: the folder name Spark gives the partition of NULL values.
@@ -111,8 +111,30 @@ def merge_into(spark: SparkSession, st: StagingTable, updates: DataFrame, keys:
     if not st.partition:
         write_staging(spark, st, merge_frames(dest, updates, keys, mapping, check="inline"))
         return
+    staged_at = shared_dir(spark, "merge_updates", st.table)
+    try:
+        _merge_partitioned(spark, st, dest, stage_updates(spark, project_updates(updates, mapping, dest.schema),
+                                                          staged_at), keys, key_implies_partition)
+    finally:
+        delete_path(spark, staged_at)
+
+
+def stage_updates(spark: SparkSession, mapped: DataFrame, path: str) -> DataFrame:
+    """Write the mapped update rows once and read them back.
+
+    The merge reads the update side in several branches (touched dates, keys
+    for the anti-join, inserts, duplicate check), each pruned to other columns,
+    so Spark would recompute the source (for a full reload: a dedupe of the
+    whole landing table) once per branch. Written as Parquet under the shared
+    folder, it is computed once and every branch reads only its columns.
+    """
+    mapped.write.mode("overwrite").parquet(path)
+    return spark.read.schema(mapped.schema).parquet(path)
+
+
+def _merge_partitioned(spark: SparkSession, st: StagingTable, dest: DataFrame, mapped: DataFrame,
+                       keys: Sequence[str], key_implies_partition: bool) -> None:
     part = st.partition
-    mapped = project_updates(updates, mapping, dest.schema)
     touched = mapped.select(part).where(F.col(part).isNotNull()).distinct()
     if not key_implies_partition:
         moved = (dest.join(mapped.select(*keys), list(keys), "left_semi")
