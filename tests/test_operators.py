@@ -27,6 +27,12 @@ def test_run_ids_are_numeric(spark):
     assert L.next_run_id(spark, lt, 20220702) == 1
 
 
+def test_table_location(spark):
+    path = shared_dir(spark, "t", "loc")
+    lt = L.create_landing(spark, "tm_loc", "FactSplits", path)
+    assert L.table_location(spark, lt.name).rstrip("/").endswith(path.rsplit("/", 1)[1])
+
+
 def test_empty_response_writes_no_run(spark):
     from tidemark.plans.loader import land_pages
     path = shared_dir(spark, "t", "empty")

@@ -48,6 +48,15 @@ def create_landing(spark: SparkSession, database: str, table: str, path: str,
     return lt
 
 
+def table_location(spark: SparkSession, name: str) -> str:
+    """Storage location of a catalog table, read from its extended description."""
+    row = (spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
+           .where(F.col("col_name") == "Location").select("data_type").first())
+    if row is None:
+        raise ValueError(f"{name} has no storage location")
+    return row[0]
+
+
 def repair(spark: SparkSession, lt: LandingTable) -> None:
     """Register run folders written since the last repair."""
     spark.sql(f"MSCK REPAIR TABLE {lt.name}")
