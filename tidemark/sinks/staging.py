@@ -6,8 +6,9 @@ so a merge is computed as a DataFrame and written in one of two ways:
 * **partitioned facts** (``Date``): only partitions the updates touch are read
   and rewritten, with dynamic partition overwrite. When the key implies the
   partition (fact keys end in the date), touched partitions are the update
-  dates, found by a semi-join that dynamic partition pruning turns into a
-  file filter; otherwise the partitions of matched destination rows are added.
+  dates; otherwise the partitions of matched destination rows are added. The
+  touched dates (one value per partition) become a literal ``IN`` filter, so
+  the destination scan is pruned statically to those partitions.
   Rows with a NULL date live in the default partition, which is always rewritten.
   Dynamic overwrite only replaces partitions that receive rows, so when a
   matched row moves to another date and leaves its old partition empty, that
@@ -135,16 +136,20 @@ def stage_updates(spark: SparkSession, mapped: DataFrame, path: str) -> DataFram
 def _merge_partitioned(spark: SparkSession, st: StagingTable, dest: DataFrame, mapped: DataFrame,
                        keys: Sequence[str], key_implies_partition: bool) -> None:
     part = st.partition
-    touched = mapped.select(part).where(F.col(part).isNotNull()).distinct()
+    touched = mapped.select(part)
     if not key_implies_partition:
-        moved = (dest.join(mapped.select(*keys), list(keys), "left_semi")
-                 .select(part).where(F.col(part).isNotNull()))
-        touched = touched.unionByName(moved).distinct()
-    scope = (dest.join(touched, part, "left_semi")
-             .unionByName(dest.where(F.col(part).isNull())))
+        touched = touched.unionByName(dest.join(mapped.select(*keys), list(keys), "left_semi").select(part))
+    # Partition values only, at most one per date, reach the driver. As a literal
+    # list they prune the destination scan statically (``PartitionFilters``),
+    # whatever the optimizer would decide about dynamic pruning.
+    values = [r[0] for r in touched.where(F.col(part).isNotNull()).distinct().collect()]
+    scope = dest.where(F.col(part).isin(values) | F.col(part).isNull())
     merged = merge_frames(scope, mapped, keys, {c: c for c in mapped.columns}, check=False)
     emptied = [] if key_implies_partition else emptied_partitions(scope, mapped, keys, part)
-    write_staging(spark, st, merged.unionByName(fail_on_duplicate_matches(dest, mapped, keys)))
+    # Every destination row an update can match lies in ``scope`` (its date is
+    # touched, or it was added as a moved row's partition), so the duplicate
+    # check reads only the rewritten partitions, like the rest of the merge.
+    write_staging(spark, st, merged.unionByName(fail_on_duplicate_matches(scope, mapped, keys)))
     # Only after the commit: a failure before this point leaves the old rows in
     # place, and re-running the merge finds and removes them again.
     for value in emptied:
