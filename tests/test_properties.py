@@ -80,3 +80,31 @@ def test_pipeline_runs_then_empty_run(spark, sf_dir):
     runs = sorted(tuple(r) for r in L.partitions(spark, lake.landing("FactEod")).collect())
     assert runs == [(LD.run_day(fx.NOW), 1), (LD.run_day(fx.NOW), 2)]
     assert sorted(tuple(r) for r in lake.read_staging("FactEod").collect()) == after_first
+
+
+def test_file_page_source_dimension_load(spark):
+    """Pages a fetcher landed as JSON-lines files feed a dimension load; a second
+    response upserts by key (changed name, new currency, unchanged one kept)."""
+    from tidemark.plans import loader as LD
+    from tidemark.session import shared_dir
+    from tidemark.sources import pages as P
+
+    lake = LD.Lake(spark, shared_dir(spark, "lake"), landing_db="t_file_pages")
+    inbox = shared_dir(spark, "inbox")
+    cfg = {"table_type": "Dim", "tables": [{"is_enabled": True, "table_name": "DimCurrency", "exchange": ""}]}
+
+    def respond(rows):
+        rec = spark.createDataFrame(rows, "code string, symbol string, name string")
+        P.write_pages(P.build_pages(rec, F.struct("code", "symbol", "name"), page_size=2),
+                      f"{inbox}/DimCurrency")
+
+    respond([("USD", "$", "Dollar"), ("EUR", "E", "Euro"), ("JPY", "Y", "Yen")])
+    LD.update_tables(spark, cfg, LD.FilePageSource(spark, inbox), lake, "2022-07-03")
+    inbox = shared_dir(spark, "inbox")   # the fetcher's next response lands in a new folder
+    respond([("EUR", "E", "Euro (new)"), ("GBP", "P", "Pound")])
+    LD.update_tables(spark, cfg, LD.FilePageSource(spark, inbox), lake, "2022-07-03")
+    got = sorted(tuple(r) for r in lake.read_staging("DimCurrency").collect())
+    assert got == [("EUR", "E", "Euro (new)"), ("GBP", "P", "Pound"), ("JPY", "Y", "Yen"),
+                   ("USD", "$", "Dollar")]
+    runs = sorted(tuple(r) for r in L.partitions(spark, lake.landing("DimCurrency")).collect())
+    assert runs == [(20220703, 1), (20220703, 2)]
