@@ -103,7 +103,7 @@ def land_pages(spark: SparkSession, lt: L.LandingTable, pages: DataFrame, endpoi
         run_id = L.next_run_id(spark, lt, day_id)
     records = flatten(explode_pages(parse_pages(pages, endpoint)), endpoint)
     L.append_run(records, lt, day_id, run_id)
-    L.repair(spark, lt)
+    L.register_run(spark, lt, day_id, run_id)
     return run_id
 
 

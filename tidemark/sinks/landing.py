@@ -1,8 +1,10 @@
 """Landing tables: append-only Parquet partitioned by ``dayId``/``runId``.
 
 A landing table is an external catalog table over a folder, so partitions are
-listed from the catalog (``SHOW PARTITIONS``) and new run folders become
-visible after ``MSCK REPAIR TABLE`` — the bookkeeping never scans data.
+listed from the catalog (``SHOW PARTITIONS``) and the bookkeeping never scans
+data. A run the loader writes is registered as one partition
+(``register_run``); ``repair`` (``MSCK REPAIR TABLE``, a listing of every run
+folder) is only for folders written by others.
 Writes go through Spark's commit protocol: a lost executor's task is simply
 retried, and a failed job leaves no partial partition behind.
 """
@@ -15,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.runs import max_day_run, next_run_ids, parse_partitions
-from tidemark.session import mkdirs
+from tidemark.session import exists, mkdirs
 from tidemark.schemas import LANDING_DDL, RUN_PARTITION_COLUMNS, landing_schema
 
 
@@ -62,6 +64,20 @@ def repair(spark: SparkSession, lt: LandingTable) -> None:
     spark.sql(f"MSCK REPAIR TABLE {lt.name}")
 
 
+def register_run(spark: SparkSession, lt: LandingTable, day_id: int, run_id: int) -> bool:
+    """Make one just-written run visible: a single catalog entry, not a repair.
+
+    A repair lists every run folder of the table, which grows with its history;
+    the loader knows the one run it wrote. A run whose write produced no rows
+    has no folder and is not registered (an empty response is no run).
+    """
+    day_id, run_id = int(day_id), int(run_id)
+    if not exists(spark, f"{lt.path}/dayId={day_id}/runId={run_id}"):
+        return False
+    spark.sql(f"ALTER TABLE {lt.name} ADD IF NOT EXISTS PARTITION (dayId={day_id}, runId={run_id})")
+    return True
+
+
 def append_runs(df: DataFrame, lt: LandingTable) -> None:
     """Append rows that already carry ``dayId``/``runId`` (K1)."""
     cols = [f.name for f in landing_schema(lt.table).fields]

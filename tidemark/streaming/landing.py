@@ -42,7 +42,7 @@ def stream_pages_to_landing(spark: SparkSession, inbox: str, endpoint: str, lt:
         run = first_run + int(batch_id)
         out = batch.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
         out.write.mode("overwrite").parquet(f"{lt.path}/dayId={int(day_id)}/runId={run}")
-        L.repair(batch.sparkSession, lt)
+        L.register_run(batch.sparkSession, lt, day_id, run)
 
     writer = records.writeStream.foreachBatch(land_batch).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
