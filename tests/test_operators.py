@@ -195,6 +195,18 @@ def test_dim_merge_versions(spark):
     assert sorted(tuple(r) for r in S.read_staging(spark, st).collect()) == [("C1", "$", "uno"), ("C2", "E", "two")]
 
 
+def test_dim_versions_are_kept_bounded(spark):
+    from tidemark.session import list_dirs, mkdirs
+    st = S.create_staging(spark, "DimCurrency", shared_dir(spark, "t", "keep"),
+                          spark.createDataFrame([("C0", "$", "n0")], "CurrencyId string, Symbol string, Name string"))
+    mkdirs(spark, f"{st.path}/v00000002")     # a failed attempt: no _SUCCESS
+    for i in range(1, 6):
+        upd = spark.createDataFrame([(f"C{i}", "$", f"n{i}")], "code string, symbol string, name string")
+        S.merge_into(spark, st, upd, ["CurrencyId"], {"CurrencyId": "code", "Symbol": "symbol", "Name": "name"})
+    assert sorted(list_dirs(spark, st.path)) == [f"v{v:08d}" for v in (5, 6, 7)]
+    assert sorted(r.CurrencyId for r in S.read_staging(spark, st).collect()) == [f"C{i}" for i in range(6)]
+
+
 def test_high_water_mark_branches(spark):
     from tidemark.operators.incremental import exchange_groups, high_water_marks
     dim = spark.createDataFrame([("P1", "A", "n", "X1"), ("P2", "B", "n", "X1"), ("P3", "A", "n", "X2"),

@@ -15,7 +15,8 @@ so a merge is computed as a DataFrame and written in one of two ways:
   partition's folder is deleted after the write has committed.
 * **unpartitioned dims**: the merged table is written to a new version folder;
   readers take the newest version whose ``_SUCCESS`` marker exists, so a
-  failed or half-written merge is never seen.
+  failed or half-written merge is never seen. After a write, the newest
+  ``KEEP_VERSIONS`` complete versions are kept and the rest are deleted.
 
 Neither is atomic across partitions the way a transaction log is; a failed
 fact merge can leave some partitions rewritten and others not. Re-running the
@@ -35,6 +36,7 @@ from tidemark.schemas import STAGING_PARTITION, staging_schema
 from tidemark.session import delete_path, exists, list_dirs, shared_dir
 
 _VERSION = "v"
+KEEP_VERSIONS = 3
 # Fixed value: the folder name Spark gives the partition of NULL values.
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
@@ -54,12 +56,20 @@ def _empty(spark: SparkSession, table: str) -> DataFrame:
 
 
 def _versions(spark: SparkSession, st: StagingTable) -> list[int]:
-    out = []
-    for name in list_dirs(spark, st.path):
-        if name.startswith(_VERSION) and name[1:].isdigit() and \
-                exists(spark, f"{st.path}/{name}/_SUCCESS"):
-            out.append(int(name[1:]))
-    return sorted(out)
+    """Every version folder, complete or not, oldest first (one listing)."""
+    return sorted(int(n[1:]) for n in list_dirs(spark, st.path) if n.startswith(_VERSION) and n[1:].isdigit())
+
+
+def _complete(spark: SparkSession, st: StagingTable, versions: list[int]) -> list[int]:
+    """Versions whose write committed (``_SUCCESS``), newest first, probing from the newest."""
+    return [v for v in reversed(versions) if exists(spark, f"{_version_path(st, v)}/_SUCCESS")]
+
+
+def _latest(spark: SparkSession, st: StagingTable) -> int | None:
+    for v in reversed(_versions(spark, st)):
+        if exists(spark, f"{_version_path(st, v)}/_SUCCESS"):
+            return v
+    return None
 
 
 def _version_path(st: StagingTable, v: int) -> str:
@@ -73,10 +83,10 @@ def read_staging(spark: SparkSession, st: StagingTable) -> DataFrame:
             return _empty(spark, st.table)
         df = spark.read.schema(schema).parquet(st.path)
         return df.select(*[f.name for f in schema.fields])
-    versions = _versions(spark, st)
-    if not versions:
+    latest = _latest(spark, st)
+    if latest is None:
         return _empty(spark, st.table)
-    return spark.read.schema(schema).parquet(_version_path(st, versions[-1]))
+    return spark.read.schema(schema).parquet(_version_path(st, latest))
 
 
 def _conform(df: DataFrame, table: str) -> DataFrame:
@@ -95,8 +105,14 @@ def write_staging(spark: SparkSession, st: StagingTable, df: DataFrame, replace_
            .partitionBy(st.partition).parquet(st.path))
         return
     versions = _versions(spark, st)
-    nxt = (versions[-1] + 1) if versions else 1
+    nxt = (versions[-1] + 1) if versions else 1   # past failed attempts too
     df.hint("rebalance").write.mode("overwrite").parquet(_version_path(st, nxt))
+    # Retention: the newest complete versions stay readable for readers that
+    # resolved them just before this write; everything older is removed.
+    keep = _complete(spark, st, [*versions, nxt])[:KEEP_VERSIONS]
+    for v in versions:
+        if v < keep[-1]:
+            delete_path(spark, _version_path(st, v))
 
 
 def create_staging(spark: SparkSession, table: str, path: str, initial: DataFrame | None = None) -> StagingTable:
