@@ -78,20 +78,24 @@ def register_run(spark: SparkSession, lt: LandingTable, day_id: int, run_id: int
     return True
 
 
-def append_runs(df: DataFrame, lt: LandingTable) -> None:
+def append_runs(df: DataFrame, lt: LandingTable, one_run: bool = False) -> None:
     """Append rows that already carry ``dayId``/``runId`` (K1)."""
     cols = [f.name for f in landing_schema(lt.table).fields]
     out = df.select(*[F.col(c).cast(t.dataType) for c, t in
                       zip(cols, landing_schema(lt.table).fields)])
-    # rebalance by run: AQE sizes the write tasks by bytes, so a run becomes a
-    # few large files rather than one small file per (task, run)
-    (out.hint("rebalance", *RUN_PARTITION_COLUMNS)
-        .write.mode("append").partitionBy(*RUN_PARTITION_COLUMNS).parquet(lt.path))
+    # Several runs: rebalance by run, so AQE sizes the write tasks by bytes and
+    # a run becomes a few large files rather than one small file per (task, run).
+    # One run: the run columns are constant, and hashing them would send every
+    # row to one partition; an unkeyed rebalance spreads them (AQE still merges
+    # small outputs).
+    out = out.hint("rebalance") if one_run else out.hint("rebalance", *RUN_PARTITION_COLUMNS)
+    out.write.mode("append").partitionBy(*RUN_PARTITION_COLUMNS).parquet(lt.path)
 
 
 def append_run(df: DataFrame, lt: LandingTable, day_id: int, run_id: int) -> None:
     """Append one run: every row gets the same ``dayId``/``runId``."""
-    append_runs(df.withColumn("dayId", F.lit(int(day_id))).withColumn("runId", F.lit(int(run_id))), lt)
+    append_runs(df.withColumn("dayId", F.lit(int(day_id))).withColumn("runId", F.lit(int(run_id))), lt,
+                one_run=True)
 
 
 def read_landing(spark: SparkSession, lt: LandingTable) -> DataFrame:
