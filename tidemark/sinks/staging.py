@@ -25,8 +25,9 @@ same merge is idempotent, which is the recovery path.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,16 +61,13 @@ def _versions(spark: SparkSession, st: StagingTable) -> list[int]:
     return sorted(int(n[1:]) for n in list_dirs(spark, st.path) if n.startswith(_VERSION) and n[1:].isdigit())
 
 
-def _complete(spark: SparkSession, st: StagingTable, versions: list[int]) -> list[int]:
-    """Versions whose write committed (``_SUCCESS``), newest first, probing from the newest."""
-    return [v for v in reversed(versions) if exists(spark, f"{_version_path(st, v)}/_SUCCESS")]
+def _complete(spark: SparkSession, st: StagingTable, versions: list[int]) -> Iterator[int]:
+    """Versions whose write committed (``_SUCCESS``), newest first, probed lazily."""
+    return (v for v in reversed(versions) if exists(spark, f"{_version_path(st, v)}/_SUCCESS"))
 
 
 def _latest(spark: SparkSession, st: StagingTable) -> int | None:
-    for v in reversed(_versions(spark, st)):
-        if exists(spark, f"{_version_path(st, v)}/_SUCCESS"):
-            return v
-    return None
+    return next(_complete(spark, st, _versions(spark, st)), None)
 
 
 def _version_path(st: StagingTable, v: int) -> str:
@@ -109,7 +107,7 @@ def write_staging(spark: SparkSession, st: StagingTable, df: DataFrame, replace_
     df.hint("rebalance").write.mode("overwrite").parquet(_version_path(st, nxt))
     # Retention: the newest complete versions stay readable for readers that
     # resolved them just before this write; everything older is removed.
-    keep = _complete(spark, st, [*versions, nxt])[:KEEP_VERSIONS]
+    keep = list(islice(_complete(spark, st, [*versions, nxt]), KEEP_VERSIONS))
     for v in versions:
         if v < keep[-1]:
             delete_path(spark, _version_path(st, v))
