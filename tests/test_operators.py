@@ -187,6 +187,22 @@ def test_fact_merge_moving_rows_leave_no_stale_partition(spark):
         assert sorted(tuple(r) for r in S.read_staging(spark, st).collect()) == want
 
 
+def test_fact_merge_with_no_dated_updates(spark):
+    """No touched dates (empty updates, or NULL dates only): only the NULL partition is rewritten."""
+    st = S.create_staging(spark, "FactSplits", shared_dir(spark, "t", "nodates"),
+                          spark.createDataFrame([("A_1", "A", 1.0, 20220101), (None, "N", 2.0, None)],
+                                                "PK string, Symbol string, SplitFactor float, Date int"))
+    mapping = {"PK": "pk", "Symbol": "symbol", "SplitFactor": "split_factor", "Date": "date"}
+    schema = "pk string, symbol string, split_factor double, date int"
+    S.merge_into(spark, st, spark.createDataFrame([], schema), ["PK"], mapping, key_implies_partition=True)
+    assert sorted(map(tuple, S.read_staging(spark, st).collect()), key=repr) == \
+        [("A_1", "A", 1.0, 20220101), (None, "N", 2.0, None)]
+    S.merge_into(spark, st, spark.createDataFrame([(None, "M", 3.0, None)], schema), ["PK"], mapping,
+                 key_implies_partition=True)
+    assert sorted(map(tuple, S.read_staging(spark, st).collect()), key=repr) == \
+        [("A_1", "A", 1.0, 20220101), (None, "M", 3.0, None), (None, "N", 2.0, None)]
+
+
 def test_dim_merge_versions(spark):
     st = S.create_staging(spark, "DimCurrency", shared_dir(spark, "t", "cur"),
                           spark.createDataFrame([("C1", "$", "one")], "CurrencyId string, Symbol string, Name string"))
