@@ -187,6 +187,40 @@ def test_fact_merge_moving_rows_leave_no_stale_partition(spark):
         assert sorted(tuple(r) for r in S.read_staging(spark, st).collect()) == want
 
 
+def test_fact_merge_scans_only_touched_partitions(spark, monkeypatch):
+    """Every destination scan of the merge's write is pruned to the touched date."""
+    st = S.create_staging(spark, "FactSplits", shared_dir(spark, "t", "prune"),
+                          spark.createDataFrame([("A_20220101", "A", 1.0, 20220101),
+                                                 ("A_20220201", "A", 2.0, 20220201),
+                                                 ("A_20220301", "A", 3.0, 20220301)],
+                                                "PK string, Symbol string, SplitFactor float, Date int"))
+    upd = spark.createDataFrame([("A_20220201", "A", 5.0, 20220201)],
+                                "pk string, symbol string, split_factor double, date int")
+    mapping = {"PK": "pk", "Symbol": "symbol", "SplitFactor": "split_factor", "Date": "date"}
+    plans, write = [], S.write_staging
+
+    def spy(spark_, st_, df, replace_all=False):
+        plans.append(df._jdf.queryExecution().executedPlan())
+        return write(spark_, st_, df, replace_all)
+
+    monkeypatch.setattr(S, "write_staging", spy)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")   # a plain plan tree to walk
+    try:
+        S.merge_into(spark, st, upd, ["PK"], mapping, key_implies_partition=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    leaves = plans[-1].collectLeaves()
+    dest_filters = []
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName() == "FileSourceScanExec" and \
+                leaf.relation().location().rootPaths().head().toString().rstrip("/").endswith(st.path.rsplit("/", 1)[1]):
+            dest_filters.append(leaf.partitionFilters().toString())
+    assert len(dest_filters) >= 2 and all("20220201" in f for f in dest_filters), dest_filters
+    assert sorted(tuple(r) for r in S.read_staging(spark, st).collect()) == [
+        ("A_20220101", "A", 1.0, 20220101), ("A_20220201", "A", 5.0, 20220201), ("A_20220301", "A", 3.0, 20220301)]
+
+
 def test_fact_merge_with_no_dated_updates(spark):
     """No touched dates (empty updates, or NULL dates only): only the NULL partition is rewritten."""
     st = S.create_staging(spark, "FactSplits", shared_dir(spark, "t", "nodates"),
