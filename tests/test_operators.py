@@ -99,6 +99,19 @@ def test_dedupe_reference_vs_latest(spark):
     assert dedupe_runs(df, "pk", "latest").first().v == "new"
 
 
+def test_dedupe_limits_each_key_before_the_shuffle(spark):
+    """A hot key (a third of all rows) reaches the shuffle as one row per map task."""
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string"))
+                                  .alias("pk"), (F.col("id") % 7).cast("int").alias("dayId"),
+                                  (F.col("id") % 11).cast("int").alias("runId"), F.col("id").alias("tie"))
+    out = dedupe_runs(df, "pk", "latest", ["tie"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan, plan
+    assert out.count() == 2001
+    # newest day, then newest run, then the smallest tie
+    assert out.where(F.col("pk") == "hot").first().tie == min((-(i % 7), -(i % 11), i) for i in range(0, 3000, 3))[2]
+
+
 def test_keep_null_keys(spark):
     df = spark.createDataFrame([(None, 1), (None, 2), ("a", 3), ("a", 4)], "k string, t int")
     assert keep_first(df, ["k"], [F.asc("t")]).count() == 2
