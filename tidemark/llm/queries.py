@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, line_dedup, quality
+from tidemark.llm import bpe, exact_dedup, html_text, licenses, line_dedup, quality
 from tidemark.llm.common import table
 
 
@@ -16,6 +17,17 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                            quality.trusted_labels(table(spark, sf_dir, "labels")))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = bpe.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                          public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return done.select("row.doc_id", (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"),
+                       F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -28,10 +40,17 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(cleaned, 256).alias("cleaned_sha256"))
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_pages(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": op3_quality,
+    "op5_license_scan": op5_license_scan,
+    "op6_byte_bpe": op6_byte_bpe,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_line_dedup": op9_line_dedup,
+    "op10_html_text": op10_html_text,
 }
 
 ORACLES: dict[str, str] = {
