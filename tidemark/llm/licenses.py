@@ -85,7 +85,7 @@ def blocks(text: str, reach: int) -> Iterator[tuple[int, int]]:
     """Spans of ``text`` around its cues, ``reach`` characters to either side; overlapping ones are one."""
     start = end = -1
     for cue in re.finditer(CUES, text):
-        if cue.start() - reach > end:
+        if end < 0 or cue.start() - reach > end:
             if end >= 0:
                 yield start, end
             start = max(0, cue.start() - reach)
@@ -127,31 +127,31 @@ def notices(text: str, templates: list[Template], min_saved: float = MIN_SAVED,
             max_different: float = MAX_DIFFERENT) -> list[tuple]:
     """The notices in ``text``, in its order: start, end, licence, template number, bytes saved and their share
     of the template, differences, exact."""
-    found = []
-    reach = max((len(t.text) for t in templates), default=0) * 3 // 2
     plain = _compressor()
-    for start, end in blocks(text, reach):
-        raw = text[start:end].lower().encode()
-        alone = len(plain.compress(raw))
-        saved = [alone - len(t.compressor.compress(raw)) for t in templates]
-        ranked = sorted(range(len(templates)), key=lambda i: (-saved[i], i))
+    ranked = []
+    alone: dict[tuple[int, int], int] = {}
+    for i, template in enumerate(templates):  # a block is as wide as the template can stand around a cue
+        for start, end in blocks(text, len(template.text) + 8):
+            raw = text[start:end].lower().encode()
+            if (start, end) not in alone:
+                alone[start, end] = len(plain.compress(raw))
+            saved = alone[start, end] - len(template.compressor.compress(raw))
+            if saved >= min_saved * template.own_bytes:
+                ranked.append((-saved, i, start, end))
+    found: list[tuple] = []
+    for less, i, start, end in sorted(ranked):
+        template = templates[i]
         words = [(m.group().lower(), m.start(), m.end()) for m in _WORD.finditer(text, start, end)]
-        taken: list[tuple[int, int]] = []
-        for i in ranked:
-            t = templates[i]
-            if saved[i] < min_saved * t.own_bytes:
-                continue
-            used = [w for w, _, _ in words]
-            while True:  # every place of the block where the wording stands
-                first, last, differences = align(t.words, used)
-                if last == first or len(differences) > max_different * len(t.words):
-                    break
-                if not any(a < last and first < b for a, b in taken):
-                    taken.append((first, last))
-                    found.append((words[first][1], words[last - 1][2], t.license, i, saved[i],
-                                  round(saved[i] / t.own_bytes, 6), differences, not differences))
-                for k in range(first, last):
-                    used[k] = "\0"
+        left = [w for w, _, _ in words]
+        while True:  # every place of the block where the wording stands
+            first, last, differences = align(template.words, left)
+            if last == first or len(differences) > max_different * len(template.words):
+                break
+            left[first:last] = ["\0"] * (last - first)
+            place = words[first][1], words[last - 1][2]
+            if not any(a < place[1] and place[0] < b for a, b, *_ in found):
+                found.append((*place, template.license, i, -less, round(-less / template.own_bytes, 6),
+                              differences, not differences))
     return sorted(found, key=lambda x: (x[0], x[1], x[3]))
 
 
