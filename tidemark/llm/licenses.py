@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import text_or_empty
 
 #: Production parameters: saved share that makes a template a candidate; different words allowed, as a share.
-MIN_SAVED = 0.25
+MIN_SAVED = 0.2
 MAX_DIFFERENT = 0.1
 LEVEL = 3
 

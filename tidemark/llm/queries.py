@@ -8,15 +8,35 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, exact_dedup, html_text, licenses, line_dedup, quality
+from tidemark.llm import bpe, exact_dedup, html_text, language_id, licenses, line_dedup, mixing, quality, warc
 from tidemark.llm.common import table
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = language_id.document_records(table(spark, sf_dir, "documents"))
+    return language_id.identify(records).withColumnRenamed("id", "doc_id").withColumn("kept", ~F.col("rejected"))
+
+
+def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over web pages, with the language of the markup and the host's name as evidence."""
+    pages = table(spark, sf_dir, "pages")
+    records = language_id.page_records(pages, html_text.extract(F.coalesce("html", F.lit(""))))
+    return language_id.identify(records).withColumnRenamed("id", "page_id")
+
+
+def op2_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("row_key")
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"),
                            quality.trusted_labels(table(spark, sf_dir, "labels")))
 
 
+def op4_warc_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.resolve(warc.archive_and_read(table(spark, sf_dir, "pages")))
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"))
 
@@ -45,7 +65,11 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
+    "language_id_pages": language_id_pages,
+    "op2_temperature_mixing": op2_temperature_mixing,
     "op3_quality": op3_quality,
+    "op4_warc_captures": op4_warc_captures,
     "op5_license_scan": op5_license_scan,
     "op6_byte_bpe": op6_byte_bpe,
     "op8_exact_dedup": op8_exact_dedup,
@@ -54,6 +78,47 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_temperature_mixing": r"""
+        WITH RECURSIVE u AS (
+            SELECT doc_id, source, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS n_tokens FROM documents),
+        s AS (SELECT source, sum(n_tokens)::BIGINT AS tokens FROM u GROUP BY source HAVING sum(n_tokens) > 0),
+        t AS (SELECT sum(tokens)::BIGINT AS total, count(*) AS n FROM s),
+        p AS (SELECT source, tokens, ln(tokens / total::DOUBLE) AS lp, total, n FROM s, t),
+        b(i, lo_e, hi_e, lo_r, hi_r) AS (
+            SELECT 0, 0.0::DOUBLE, 1.0::DOUBLE, 0.0::DOUBLE, 1.0::DOUBLE
+            UNION ALL
+            SELECT i + 1, CASE WHEN e THEN me ELSE lo_e END, CASE WHEN e THEN hi_e ELSE me END,
+                   CASE WHEN r THEN mr ELSE lo_r END, CASE WHEN r THEN hi_r ELSE mr END
+            FROM (SELECT i, lo_e, hi_e, lo_r, hi_r, (lo_e + hi_e) / 2 AS me, (lo_r + hi_r) / 2 AS mr,
+                         ln(sum(exp(lp * (lo_e + hi_e) / 2))) - (lo_e + hi_e) / 2 * sum(exp(lp * (lo_e + hi_e) / 2) * lp)
+                             / sum(exp(lp * (lo_e + hi_e) / 2)) >= 0.995 * ln(any_value(n)) AS e,
+                         max(exp(lp * ((lo_r + hi_r) / 2 - 1))) / sum(exp(lp * (lo_r + hi_r) / 2)) > 4.0 AS r
+                  FROM b, p WHERE i < 40 GROUP BY i, lo_e, hi_e, lo_r, hi_r)),
+        a AS (SELECT round(greatest((lo_e + hi_e) / 2, (lo_r + hi_r) / 2), 6) AS exponent FROM b WHERE i = 40),
+        w AS (SELECT source, tokens, total, pow(tokens / total::DOUBLE, exponent) AS power FROM p, a),
+        q AS (SELECT source, tokens, total, floor(round(power / (SELECT sum(power) FROM w) * total::DOUBLE, 3))::BIGINT AS quota
+              FROM w),
+        c AS (SELECT doc_id, u.source, n_tokens, tokens, total, quota, epoch,
+                     md5('17|' || epoch || '|' || doc_id) AS key
+              FROM u JOIN q USING (source), range(0, 100) r(epoch)
+              WHERE quota > 0 AND epoch * tokens < quota),
+        d AS (SELECT *, coalesce(sum(n_tokens) OVER (PARTITION BY source, epoch ORDER BY key
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS spent FROM c),
+        e AS (SELECT *, ceil(total / 1048576.0)::BIGINT AS n_blocks FROM d WHERE epoch * tokens + spent < quota
+                  OR epoch < quota // tokens),
+        f AS (SELECT *, least(floor((epoch * tokens + spent)::DOUBLE / quota * n_blocks::DOUBLE)::BIGINT, n_blocks - 1)
+                  AS block FROM e)
+        SELECT doc_id, source, n_tokens, epoch, block,
+               row_number() OVER (PARTITION BY block ORDER BY key, doc_id, epoch) AS rank, quota FROM f
+    """,
+    "op4_warc_captures": r"""
+        WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+        g AS (SELECT h, min(page_id) AS first FROM p WHERE strlen(h) >= 100 GROUP BY h),
+        j AS (SELECT p.page_id, p.h, CASE WHEN g.first <> p.page_id THEN g.first END AS refers_to
+              FROM p LEFT JOIN g ON p.h = g.h)
+        SELECT page_id, strlen(h) AS payload_bytes, sha256(h) AS payload_digest,
+               CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to FROM j
+    """,
     "op8_exact_dedup": r"""
         WITH t AS (
             SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents),
