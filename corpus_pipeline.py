@@ -2,13 +2,23 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_dedup
+from tidemark.llm import bpe, language_id, line_dedup, mixing, order_minhash
 from tidemark.llm.common import store, table
 
 
+def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents whose text is in a language that language ID knows; the others go."""
+    records = language_id.document_records(docs)
+    found = language_id.identify(records.withColumn("id", F.struct("id", F.xxhash64("text").alias("hash"))))
+    rejected = found.filter("rejected").select("id.id", "id.hash").distinct()
+    same = docs["doc_id"].eqNullSafe(rejected["id"]) & (F.xxhash64(docs["text"]) == rejected["hash"])
+    return docs.join(rejected, same, "left_anti")
+
+
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, its text without cross-site boilerplate lines, n_chars to match."""
     done = line_dedup.line_dedup(docs)
@@ -17,8 +27,32 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return done.select(*[changed.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class, that with the smallest doc_id."""
+    gone = order_minhash.near_dedup(docs).filter(~F.col("kept")).select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents as often as the temperature mix draws them."""
+    return mixing.realise(docs)
+
+
+def encode_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The columns of the documents, then token_ids (little-endian unsigned 32-bit integers), n_tokens and
+    whether the ids decode to the text."""
+    done = bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    text = F.coalesce("row.text", F.lit("")).cast("binary")
+    return done.select("row.*", "token_ids", (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"),
+                       (F.col("decoded") == text).alias("round_trip"))
+
+
 STAGES = [
+    ("language ID", keep_known_languages),
     ("line dedup", drop_boilerplate),
+    ("MinHash near-dedup", drop_near_duplicates),
+    ("mixing sources to target weights", mix_sources),
+    ("byte-level BPE encoding and decoding", encode_bytes),
 ]
 
 #: Hashed features, sketches and byte merges have no SQL form; tests hold run() against brute force.

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, exact_dedup, html_text, language_id, licenses, line_dedup, mixing, quality, warc
+from tidemark.llm import bpe, exact_dedup, html_text, language_id, licenses, line_dedup, mixing, order_minhash, quality, warc
 from tidemark.llm.common import table
 
 
@@ -48,6 +48,10 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.near_dedup(table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -72,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_warc_captures": op4_warc_captures,
     "op5_license_scan": op5_license_scan,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_order_minhash": op7_order_minhash,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_line_dedup": op9_line_dedup,
     "op10_html_text": op10_html_text,
