@@ -203,7 +203,7 @@ class Encoder:
             matches = (m.group() for m in self.pattern.finditer(text)) if len(text) > _CHUNK_WORDS else \
                 iter(self.pattern.findall(text))
             head = list(islice(matches, _CHUNK_WORDS))
-            if len(words) + len(head) > _CHUNK_WORDS:
+            if ends and (len(head) == _CHUNK_WORDS or len(words) + len(head) > _CHUNK_WORDS):
                 yield from flush()
             if len(head) == _CHUNK_WORDS:  # a very long text: chunk by chunk
                 parts = []
@@ -216,7 +216,8 @@ class Encoder:
                 continue
             words.extend(head)
             ends.append(len(words))
-        yield from flush()
+        if ends:
+            yield from flush()
 
 
 @lru_cache(maxsize=2)
