@@ -1,102 +1,80 @@
 """Positional operators without a single-task window.
 
-``row_number()`` over an un-partitioned window (or one partitioned by a hot
-group) funnels every row through one task. These operators get the same
-positions from value ranges instead:
-
-1. A seeded, bounded sample of the order keys (sorted by Spark, at most a few
-   hundred rows per range reach the driver) gives ``n - 1`` range boundaries.
-2. A row's range is the number of boundaries at or below its key — a pure
-   function of the row's values, so every branch of a plan agrees on it no
-   matter how columns are pruned or partitions coalesced.
-3. Rows per range (a grouped count, combined map-side) give each range's
-   start offset; ``row_number()`` inside a range gives the rest. Ranges are
-   sample quantiles, so each holds about ``1/n`` of the rows.
-
-Order columns must make the order total (unique keys), otherwise tied rows
-may swap positions between runs (positions stay a valid 0..n-1 numbering).
+``row_number()`` over an un-partitioned window (or one partitioned by a hot group) funnels every
+row through one task. These operators get the same positions from value ranges instead:
+
+1. A sample of the keys, drawn by hash, gives quantiles as range boundaries. The sample is an array in a
+   scalar subquery: it runs with the query, in the cluster, and nothing is collected while the plan
+   is built. Its size is bounded by the number of ranges, not by the rows.
+2. A row's range is the number of boundaries at or below its key, found in two steps of about sqrt(ranges)
+   comparisons. It is a pure function of the row's values, so every branch of a plan agrees on it.
+3. Rows per (range, group), combined map-side, give the rows of the group in earlier ranges, and
+   ``row_number()`` inside a (range, group) gives the rest. Ranges are contiguous in the order, so all
+   of them together have at most (groups + ranges) such pairs, and no pair is larger than a range.
+
+Order columns must make the order total (unique keys), otherwise tied rows may swap positions between
+runs (positions stay a valid 0..n-1 numbering).
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_KEY, _RANGE = "__key", "__range"
-_SAMPLES_PER_RANGE = 64
-_SEED = 20220703
+_SAMPLES_PER_RANGE = 16
 
 
 def _cols(order: Sequence[Column | str]) -> list[Column]:
     return [c if isinstance(c, Column) else F.col(c) for c in order]
 
 
-def _partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-def _range_of(df: DataFrame, key: Column, n: int) -> Column:
-    """Range number 0..n-1 of ``key`` from sampled quantile boundaries."""
-    keyed = df.select(key.alias(_KEY))
-    if n <= 1:
-        return F.lit(0)
-    total = keyed.count()
-    if total <= n:
-        return F.lit(0)
-    fraction = min(1.0, n * _SAMPLES_PER_RANGE / total)
-    sample = [r[0] for r in keyed.sample(False, fraction, seed=_SEED).orderBy(_KEY).collect()]
-    if not sample:
-        return F.lit(0)
-    step = len(sample) / n
-    bounds = []
-    for i in range(1, n):
-        b = sample[min(len(sample) - 1, int(i * step))]
-        if not bounds or b != bounds[-1]:
-            bounds.append(b)
-    key_type = keyed.schema[_KEY].dataType
-    below = [(key >= F.lit(b).cast(key_type) if not isinstance(b, tuple) else
-              key >= F.struct(*[F.lit(v).cast(f.dataType).alias(f.name)
-                                for v, f in zip(b, key_type.fields)])).cast("int") for b in bounds]
-    out = below[0]
-    for c in below[1:]:
-        out = out + c
-    return out
+def _ranged(df: DataFrame, key: Column, n: int) -> DataFrame:
+    """``df`` with ``__range``, the range (0..n) that ``key`` falls into."""
+    keys = df.select(key.alias("__key"))
+    wanted = n * _SAMPLES_PER_RANGE
+    total = keys.agg(F.count(F.lit(1))).scalar()
+    every = F.greatest(F.floor(total / F.lit(wanted)), F.lit(1))
+    sample = (keys.withColumn("__every", every).filter(F.pmod(F.xxhash64("__key"), F.col("__every")) == 0)
+              .agg(F.array_sort(F.collect_list("__key")).alias("__keys")))
+    # Every so many of the sampled keys bounds a range; the number sampled varies about ``wanted``.
+    step = F.greatest(F.ceil(F.size("__keys") / F.lit(float(n))), F.lit(1))
+    stride = max(1, math.isqrt(n))
+    bounds = sample.select(F.filter("__keys", lambda _, i: F.pmod(i + 1, step) == 0).alias("all"))
+    coarse = bounds.select(F.struct("all", F.filter("all", lambda _, i: F.pmod(i, F.lit(stride)) == 0).alias("coarse")))
+    keyed = df.withColumn("__key", key).withColumn("__bounds", coarse.scalar())
+    placed = keyed.withColumn("__coarse", F.size(F.filter(F.col("__bounds")["coarse"], lambda b: b <= F.col("__key"))))
+    first = F.greatest(F.col("__coarse") - 1, F.lit(0)) * stride
+    fine = F.slice(F.col("__bounds")["all"], first + 1, F.lit(stride))
+    return (placed.withColumn("__range", first + F.size(F.filter(fine, lambda b: b <= F.col("__key"))))
+            .drop("__key", "__bounds", "__coarse"))
+
+
+def rank_within(df: DataFrame, groups: Sequence[str], order: Sequence[Column | str],
+                name: str = "pos", num_ranges: int | None = None) -> DataFrame:
+    """0-based position of each row inside its group, by ``order``; a hot group spreads over the ranges."""
+    groups, order_cols = list(groups), _cols(order)
+    n = num_ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = _ranged(df, F.struct(*groups, *order_cols), n)
+    earlier = Window.partitionBy(*groups).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (ranged.groupBy("__range", *groups).agg(F.count(F.lit(1)).alias("__n"))
+              .select(F.col("__range").alias("__r"), *[F.col(g).alias(f"__g{i}") for i, g in enumerate(groups)],
+                      F.coalesce(F.sum("__n").over(earlier), F.lit(0)).cast("long").alias("__start")))
+    local = F.row_number().over(Window.partitionBy("__range", *groups).orderBy(*order_cols)) - 1
+    same = F.col("__range") == F.col("__r")
+    for i, g in enumerate(groups):
+        same = same & F.col(g).eqNullSafe(F.col(f"__g{i}"))
+    return (ranged.withColumn("__local", local).join(starts, same)
+            .withColumn(name, F.col("__start") + F.col("__local"))
+            .drop("__range", "__local", "__start", "__r", *[f"__g{i}" for i in range(len(groups))]))
 
 
 def with_global_index(df: DataFrame, order: Sequence[Column | str], name: str = "idx",
                       num_ranges: int | None = None) -> DataFrame:
     """Add ``name``: the 0-based position of each row in ``order``."""
-    order_cols = _cols(order)
-    key = F.struct(*order_cols)
-    ranged = df.withColumn(_RANGE, _range_of(df, key, num_ranges or _partitions(df)))
-    counts = ranged.groupBy(_RANGE).agg(F.count(F.lit(1)).alias("__n"))
-    # One row per range: a small table, so the running sum and the broadcast are cheap.
-    starts = counts.select(
-        _RANGE,
-        F.coalesce(F.sum("__n").over(Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).cast("long").alias("__start"))
-    local = F.row_number().over(Window.partitionBy(_RANGE).orderBy(*order_cols)) - 1
-    return (ranged.join(F.broadcast(starts), _RANGE)
-            .withColumn(name, F.col("__start") + local)
-            .drop(_RANGE, "__start"))
-
-
-def rank_within(df: DataFrame, groups: Sequence[str], order: Sequence[Column | str],
-                name: str = "pos") -> DataFrame:
-    """0-based position of each row inside its group, by ``order``.
-
-    A global index over ``(groups, order)`` makes every group a contiguous run;
-    the group's first index (a grouped MIN, combined map-side) is subtracted.
-    No group is ever gathered into one task.
-    """
-    groups = list(groups)
-    indexed = with_global_index(df, [*groups, *_cols(order)], "__gidx")
-    firsts = indexed.groupBy(*groups).agg(F.min("__gidx").alias("__first"))
-    return (indexed.join(firsts, groups)
-            .withColumn(name, F.col("__gidx") - F.col("__first"))
-            .drop("__gidx", "__first"))
+    return rank_within(df, [], order, name, num_ranges)
 
 
 def chunk_within(df: DataFrame, groups: Sequence[str], order: Sequence[Column | str],
