@@ -64,11 +64,19 @@ def fact_symbols_for(fact: DataFrame, companies: DataFrame) -> DataFrame:
 
 
 def missing_companies(companies: DataFrame, fact: DataFrame) -> DataFrame:
-    """(group_id, CompanyId) of companies with no row in the fact table."""
-    present = fact_symbols(fact).select(F.col("Symbol").alias("CompanyId"))
+    """(group_id, CompanyId) of companies with no row in the fact table.
+
+    The fact is cut to the groups' companies before its symbols are made distinct.
+    """
+    present = _facts_of(fact, companies).select(F.col("Symbol").alias("CompanyId")).distinct()
     return companies.select("group_id", "CompanyId").distinct().join(present, "CompanyId", "left_anti")
 
 
+def _facts_of(fact: DataFrame, companies: DataFrame) -> DataFrame:
+    wanted = companies.select(F.col("CompanyId").alias("Symbol")).distinct()
+    return fact.join(wanted, "Symbol", "left_semi")
+
+
 def max_date_per_symbol(fact: DataFrame) -> DataFrame:
     return fact.groupBy("Symbol").agg(F.max("Date").alias("max_date"))
 
@@ -80,10 +88,10 @@ def high_water_marks(groups: DataFrame, dim_company: DataFrame, fact: DataFrame,
     If any company of the group has no fact row: ``history_start``. Otherwise
     the least, over the group's companies, of each company's latest fact date
     (facts are matched on symbol only). A group without companies also starts
-    at ``history_start``.
+    at ``history_start``. Facts of other companies are cut before the aggregate.
     """
-    per_symbol = max_date_per_symbol(fact)
     companies = companies_per_group(dim_company, groups)
+    per_symbol = max_date_per_symbol(_facts_of(fact, companies))
     marks = (companies.join(per_symbol, companies.CompanyId == per_symbol.Symbol, "left")
              .groupBy("group_id")
              .agg(F.max(F.col("max_date").isNull().cast("int")).alias("__missing"),
