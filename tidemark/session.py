@@ -15,7 +15,7 @@ from pyspark.sql import SparkSession
 _TABLE_ROOT = "tidemark"
 
 
-def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
+def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, driver_memory: str = "8g") -> SparkSession:
     """A local session configured the way the library expects (UTC, AQE on)."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -27,7 +27,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", driver_memory)
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.bindAddress", "127.0.0.1")
     )
@@ -38,13 +38,15 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a local one only if unset."""
+    """The shared checkpoint folder; unset, a temporary one in local mode, an error on a cluster."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -61,11 +63,6 @@ def pin_utc(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so a path can be handed to DuckDB/os calls."""
-    return path[5:] if path.startswith("file:") else path
-
-
 def exists(spark: SparkSession, path: str) -> bool:
     """Does a path exist on the cluster file system (Hadoop FS, not os)?"""
     jvm = spark.sparkContext._jvm
@@ -91,6 +88,12 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(hpath) if s.isDirectory()]
 
 
+def modified_ms(spark: SparkSession, path: str) -> int:
+    """When a path was last changed, in milliseconds since 1970."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(hpath).getModificationTime()
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     """Recursively delete a path on the cluster file system (Hadoop FS, not os)."""
     jvm = spark.sparkContext._jvm
@@ -104,9 +107,9 @@ __all__ = [
     "ensure_checkpoint_dir",
     "shared_dir",
     "pin_utc",
-    "local_path",
     "exists",
     "mkdirs",
     "list_dirs",
+    "modified_ms",
     "delete_path",
 ]
