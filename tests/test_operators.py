@@ -174,9 +174,9 @@ def test_fact_merge_rewrites_only_touched_partitions_and_is_idempotent(spark):
     upd = spark.createDataFrame([("A_20220201", "A", 3.0, 20220201), ("B_20220301", "B", 4.0, 20220301)],
                                 "pk string, symbol string, split_factor double, date int")
     mapping = {"PK": "pk", "Symbol": "symbol", "SplitFactor": "split_factor", "Date": "date"}
-    S.merge_into(spark, st, upd, ["PK"], mapping, key_implies_partition=True)
+    S.merge_into(spark, st, upd, ["PK"], mapping)
     first = sorted(tuple(r) for r in S.read_staging(spark, st).collect())
-    S.merge_into(spark, st, upd, ["PK"], mapping, key_implies_partition=True)
+    S.merge_into(spark, st, upd, ["PK"], mapping)
     second = sorted(tuple(r) for r in S.read_staging(spark, st).collect())
     assert first == second == [("A_20220101", "A", 1.0, 20220101), ("A_20220201", "A", 3.0, 20220201),
                                ("B_20220301", "B", 4.0, 20220301)]
@@ -196,7 +196,7 @@ def test_fact_merge_moving_rows_leave_no_stale_partition(spark):
     want = [("A_3", "A", 6.0, 20220301), ("B_1", "B", 2.0, 20220101), ("C_3", "C", 5.0, 20220301),
             ("D_4", "D", 7.0, 20220401)]
     for _ in range(2):   # idempotent
-        S.merge_into(spark, st, upd, ["Symbol"], mapping, key_implies_partition=False)
+        S.merge_into(spark, st, upd, ["Symbol"], mapping)
         assert sorted(tuple(r) for r in S.read_staging(spark, st).collect()) == want
 
 
@@ -210,24 +210,23 @@ def test_fact_merge_scans_only_touched_partitions(spark, monkeypatch):
     upd = spark.createDataFrame([("A_20220201", "A", 5.0, 20220201)],
                                 "pk string, symbol string, split_factor double, date int")
     mapping = {"PK": "pk", "Symbol": "symbol", "SplitFactor": "split_factor", "Date": "date"}
-    plans, write = [], S.write_staging
+    plans, write = [], S._write
 
-    def spy(spark_, st_, df, replace_all=False):
+    def spy(st_, df):
         plans.append(df._jdf.queryExecution().executedPlan())
-        return write(spark_, st_, df, replace_all)
+        return write(st_, df)
 
-    monkeypatch.setattr(S, "write_staging", spy)
+    monkeypatch.setattr(S, "_write", spy)
     spark.conf.set("spark.sql.adaptive.enabled", "false")   # a plain plan tree to walk
     try:
-        S.merge_into(spark, st, upd, ["PK"], mapping, key_implies_partition=True)
+        S.merge_into(spark, st, upd, ["PK"], mapping)
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     leaves = plans[-1].collectLeaves()
     dest_filters = []
     for i in range(leaves.size()):
         leaf = leaves.apply(i)
-        if leaf.getClass().getSimpleName() == "FileSourceScanExec" and \
-                leaf.relation().location().rootPaths().head().toString().rstrip("/").endswith(st.path.rsplit("/", 1)[1]):
+        if leaf.getClass().getSimpleName() == "FileSourceScanExec" and leaf.tableIdentifier().isDefined():
             dest_filters.append(leaf.partitionFilters().toString())
     assert len(dest_filters) >= 2 and all("20220201" in f for f in dest_filters), dest_filters
     assert sorted(tuple(r) for r in S.read_staging(spark, st).collect()) == [
@@ -241,11 +240,10 @@ def test_fact_merge_with_no_dated_updates(spark):
                                                 "PK string, Symbol string, SplitFactor float, Date int"))
     mapping = {"PK": "pk", "Symbol": "symbol", "SplitFactor": "split_factor", "Date": "date"}
     schema = "pk string, symbol string, split_factor double, date int"
-    S.merge_into(spark, st, spark.createDataFrame([], schema), ["PK"], mapping, key_implies_partition=True)
+    S.merge_into(spark, st, spark.createDataFrame([], schema), ["PK"], mapping)
     assert sorted(map(tuple, S.read_staging(spark, st).collect()), key=repr) == \
         [("A_1", "A", 1.0, 20220101), (None, "N", 2.0, None)]
-    S.merge_into(spark, st, spark.createDataFrame([(None, "M", 3.0, None)], schema), ["PK"], mapping,
-                 key_implies_partition=True)
+    S.merge_into(spark, st, spark.createDataFrame([(None, "M", 3.0, None)], schema), ["PK"], mapping)
     assert sorted(map(tuple, S.read_staging(spark, st).collect()), key=repr) == \
         [("A_1", "A", 1.0, 20220101), (None, "M", 3.0, None), (None, "N", 2.0, None)]
 
@@ -258,16 +256,197 @@ def test_dim_merge_versions(spark):
     assert sorted(tuple(r) for r in S.read_staging(spark, st).collect()) == [("C1", "$", "uno"), ("C2", "E", "two")]
 
 
-def test_dim_versions_are_kept_bounded(spark):
-    from tidemark.session import list_dirs, mkdirs
-    st = S.create_staging(spark, "DimCurrency", shared_dir(spark, "t", "keep"),
-                          spark.createDataFrame([("C0", "$", "n0")], "CurrencyId string, Symbol string, Name string"))
-    mkdirs(spark, f"{st.path}/v00000002")     # a failed attempt: no _SUCCESS
-    for i in range(1, 6):
-        upd = spark.createDataFrame([(f"C{i}", "$", f"n{i}")], "code string, symbol string, name string")
-        S.merge_into(spark, st, upd, ["CurrencyId"], {"CurrencyId": "code", "Symbol": "symbol", "Name": "name"})
-    assert sorted(list_dirs(spark, st.path)) == [f"v{v:08d}" for v in (5, 6, 7)]
-    assert sorted(r.CurrencyId for r in S.read_staging(spark, st).collect()) == [f"C{i}" for i in range(6)]
+CURRENCY = {"CurrencyId": "code", "Symbol": "symbol", "Name": "name"}
+SPLITS = {"PK": "pk", "Symbol": "symbol", "SplitFactor": "split_factor", "Date": "date"}
+SPLIT_ROWS = "PK string, Symbol string, SplitFactor float, Date int"
+SPLIT_UPDATES = "pk string, symbol string, split_factor double, date int"
+
+
+def _currencies(spark, *names):
+    return spark.createDataFrame([(f"C{i}", "$", n) for i, n in enumerate(names)], "code string, symbol string, name string")
+
+
+def test_frames_outlive_merges_until_retired(spark):
+    """No merge removes a file: a frame resolved before four merges still reads; retiring is a call of its own."""
+    from tidemark.session import list_dirs
+    dim = S.create_staging(spark, "DimCurrency", shared_dir(spark, "t", "keep"))
+    S.merge_into(spark, dim, _currencies(spark, "n0"), ["CurrencyId"], CURRENCY)
+    fact = S.create_staging(spark, "FactSplits", shared_dir(spark, "t", "keepf"),
+                            spark.createDataFrame([("A_1", "A", 1.0, 20220101)], SPLIT_ROWS))
+    held, held_fact = S.read_staging(spark, dim), S.read_staging(spark, fact).where("Date = 20220101")
+    held.count(), held_fact.count()
+    for i in range(4):
+        S.merge_into(spark, dim, _currencies(spark, f"m{i}", "x"), ["CurrencyId"], CURRENCY)
+        S.merge_into(spark, fact, spark.createDataFrame([("A_1", "A", 5.0 + i, 20220101)], SPLIT_UPDATES), ["PK"], SPLITS)
+    assert [r.Name for r in held.collect()] == ["n0"] and held_fact.count() == 1
+    assert sorted(r.Name for r in S.read_staging(spark, dim).collect()) == ["m3", "x"]
+    versions = [n for n in list_dirs(spark, dim.path) if n.startswith("v-")]
+    assert len(versions) == 6 and S.retire(spark, dim, 3600) == []
+    assert len(S.retire(spark, dim, 0)) == 5 and len(S.retire(spark, fact, 0)) == 4
+    assert sorted(r.Name for r in S.read_staging(spark, dim).collect()) == ["m3", "x"]
+    assert [r.SplitFactor for r in S.read_staging(spark, fact).collect()] == [8.0]
+
+
+def test_merge_lost_before_the_switch_leaves_the_old_table(spark, monkeypatch):
+    st = S.create_staging(spark, "FactSplits", shared_dir(spark, "t", "lost"), spark.createDataFrame(
+        [("A_1", "A", 1.0, 20220101), ("B_1", "B", 2.0, 20220101)], SPLIT_ROWS))
+    updates = spark.createDataFrame([("A_1", "A", 9.0, 20220101), ("C_2", "C", 3.0, 20220201)], SPLIT_UPDATES)
+    switch = S._switch
+    monkeypatch.setattr(S, "_switch", lambda *a: (_ for _ in ()).throw(RuntimeError("driver lost")))
+    with pytest.raises(RuntimeError, match="driver lost"):
+        S.merge_into(spark, st, updates, ["PK"], SPLITS)
+    assert sorted(r.SplitFactor for r in S.read_staging(spark, st).collect()) == [1.0, 2.0]
+    monkeypatch.setattr(S, "_switch", switch)
+    S.merge_into(spark, st, updates, ["PK"], SPLITS)
+    assert sorted(r.SplitFactor for r in S.read_staging(spark, st).collect()) == [2.0, 3.0, 9.0]
+
+
+def test_views_follow_merges(spark):
+    from tidemark.plans.views import create_analytics_views
+    root = shared_dir(spark, "t", "views")
+    db = "t_views_" + root[-8:]
+    st = S.create_staging(spark, "FactSplits", f"{root}/s", spark.createDataFrame([("A_1", "A", 1.0, 20220101)], SPLIT_ROWS), db)
+    assert create_analytics_views(spark, db, f"{db}_a", f"{root}/a") == [f"{db}_a.vw_FactSplits"]
+    view = spark.table(f"{db}_a.vw_FactSplits")
+    for i in range(2):
+        S.merge_into(spark, st, spark.createDataFrame([("A_1", "A", 4.0 + i, 20220101), (f"B_{i}", "B", 1.0, 20220301 + i)],
+                                                      SPLIT_UPDATES), ["PK"], SPLITS)
+    assert sorted(r.SplitFactor for r in spark.table(f"{db}_a.vw_FactSplits").collect()) == [1.0, 1.0, 5.0]
+    assert view.count() >= 1
+
+
+def test_merge_reports_values_that_do_not_cast(spark):
+    st = S.create_staging(spark, "FactDividends", shared_dir(spark, "t", "casts"))
+    rows = [("A_1", "A", 1.0, "20220101"), ("B_x", "B", 2.0, "soon"), ("C_n", "C", 3.0, None)]
+    updates = spark.createDataFrame(rows, "pk string, symbol string, dividend double, date string")
+    mapping = {"PK": "pk", "Symbol": "symbol", "Dividend": "dividend", "Date": "date"}
+    assert S.merge_into(spark, st, updates, ["PK"], mapping) == {"Date": 1}
+
+
+def test_key_implies_the_date_only_as_landed(spark):
+    assert S.key_implies_partition("FactSplits", ["PK"], {**SPLITS, "PK": "updates.pk"})
+    assert not S.key_implies_partition("FactSplits", ["PK"], {**SPLITS, "PK": "symbol"})
+    assert not S.key_implies_partition("FactSplits", ["PK"], {"PK": "pk"})
+    assert not S.key_implies_partition("DimCurrency", ["CurrencyId"], CURRENCY)
+    st = S.create_staging(spark, "FactSplits", shared_dir(spark, "t", "bykey"))
+    for day in (20220101, 20220201):  # a key without a date: the row moves, it isn't doubled
+        S.merge_into(spark, st, spark.createDataFrame([("x", "A", 1.0, day)], SPLIT_UPDATES), ["PK"], {**SPLITS, "PK": "symbol"})
+    assert [(r.PK, r.Date) for r in S.read_staging(spark, st).collect()] == [("A", 20220201)]
+
+
+def test_mapping_without_the_partition_keeps_dates(spark):
+    st = S.create_staging(spark, "FactSplits", shared_dir(spark, "t", "nodate"),
+                          spark.createDataFrame([("A_1", "A", 1.0, 20220101), ("B_1", "B", 2.0, 20220201)], SPLIT_ROWS))
+    updates = spark.createDataFrame([("A_1", "A", 9.0, 5), ("N", "N", 3.0, 6)], SPLIT_UPDATES)
+    S.merge_into(spark, st, updates, ["PK"], {"PK": "pk", "SplitFactor": "split_factor"})
+    assert sorted((r.PK, r.SplitFactor, r.Date or 0) for r in S.read_staging(spark, st).collect()) == [
+        ("A_1", 9.0, 20220101), ("B_1", 2.0, 20220201), ("N", 3.0, 0)]
+
+
+def test_reload_after_an_incremental_merge_changes_nothing(spark):
+    """Two rows of one key in one run: both modes keep the same one."""
+    from tidemark.plans import loader as LD
+    root = shared_dir(spark, "t", "ties")
+    lake = LD.Lake(spark, root, f"tl_{root[-8:]}", f"ts_{root[-8:]}", f"ta_{root[-8:]}")
+    rows = spark.createDataFrame([("20220101", 1.0, "A", "A_20220101"), ("20220101", 2.0, "A", "A_20220101")],
+                                 "date string, dividend float, symbol string, pk string")
+    lt = lake.landing("FactDividends")
+    L.append_run(rows, lt, 20220701, 1)
+    L.register_run(spark, lt, 20220701, 1)
+    seen = []
+    for full in (False, True, False):
+        LD.merge_landed(spark, lake, "FactDividends", {"is_full_reload": full})
+        seen.append([tuple(r) for r in lake.read_staging("FactDividends").collect()])
+    assert seen[0] == seen[1] == seen[2] and len(seen[0]) == 1
+
+
+def test_retry_of_a_lost_registration_replaces_the_run(spark, monkeypatch):
+    from tidemark.plans.loader import land_pages
+    lt = L.create_landing(spark, "t_retry", "DimCurrency", shared_dir(spark, "t", "retry"))
+    pages = P.build_pages(_currencies(spark, "a", "b"), F.struct("code", "symbol", "name"))
+    register = L.register_run
+    monkeypatch.setattr(L, "register_run", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError, match="lost"):
+        land_pages(spark, lt, pages, "currencies", 20220701)
+    monkeypatch.setattr(L, "register_run", register)
+    assert land_pages(spark, lt, pages, "currencies", 20220701) == 1
+    assert L.read_landing(spark, lt).count() == 2
+
+
+def test_error_pages_and_missing_totals_fail_with_their_text(spark):
+    def page(text):
+        return P.parse_pages(spark.createDataFrame([(text,)], "page string"), "currencies")
+
+    with pytest.raises(Exception, match="rate_limit"):
+        P.explode_pages(page('{"error": {"code": "rate_limit"}}')).collect()
+    with pytest.raises(Exception, match="without a total.*code"):
+        P.page_totals(page('{"data": [{"code": "X"}]}')).collect()
+
+
+def _fetched(spark, path, rows):
+    spark.createDataFrame(rows, P.FETCHED).write.mode("append").json(path)
+
+
+def _page(total, *codes):
+    import json
+    return json.dumps({"pagination": {"total": total}, "data": [{"code": c, "symbol": "$", "name": c} for c in codes]})
+
+
+def test_file_pages_answer_their_requests_completely(spark):
+    from tidemark.plans import loader as LD
+    inbox, root = shared_dir(spark, "t", "fetched"), shared_dir(spark, "t", "lake")
+    lake = LD.Lake(spark, root, f"fl_{root[-8:]}", f"fs_{root[-8:]}", f"fa_{root[-8:]}")
+    cfg = {"table_type": "Dim", "tables": [{"is_enabled": True, "table_name": "DimCurrency", "exchange": ""}]}
+    source = LD.FilePageSource(spark, inbox)
+    many = [f"A{i}" for i in range(1000)]
+    _fetched(spark, f"{inbox}/DimCurrency", [("currencies", 1, 0, _page(1001, *many)), ("other", 9, 0, _page(1, "ZZ"))])
+    with pytest.raises(Exception, match="1000 of 1001 records, page at offset 1000"):
+        LD.update_tables(spark, cfg, source, lake, "2022-07-03")
+    assert L.partitions(spark, lake.landing("DimCurrency")).count() == 0
+    _fetched(spark, f"{inbox}/DimCurrency", [("currencies", 1, 1000, _page(1001, "B"))])
+    assert list(LD.update_tables(spark, cfg, source, lake, "2022-07-03").values()) == [1]
+    assert lake.read_staging("DimCurrency").count() == 1001
+    _fetched(spark, f"{inbox}/DimCurrency", [("currencies", 2, 0, _page(1, "C"))] * 2)  # a later fetch, landed twice
+    LD.update_tables(spark, cfg, source, lake, "2022-07-03")
+    assert L.latest_run_rows(spark, lake.landing("DimCurrency")).count() == 1
+    assert lake.read_staging("DimCurrency").count() == 1002
+    _fetched(spark, f"{inbox}/none/DimCurrency", [("another request", 1, 0, _page(1, "X"))])
+    with pytest.raises(Exception, match="incomplete response to currencies: 0 of 0"):
+        LD.update_tables(spark, cfg, LD.FilePageSource(spark, f"{inbox}/none"), lake, "2022-07-03")
+
+
+def test_high_water_marks_cut_the_fact_first(spark):
+    """The fact is semi-joined to the groups' companies below its aggregate."""
+    from tidemark.operators.incremental import exchange_groups, high_water_marks
+    dim = spark.createDataFrame([("P1", "A", "n", "X1")], "PK string, CompanyId string, CompanyName string, ExchangeId string")
+    fact = spark.createDataFrame([("A", 20220105), ("B", 20220301)], "Symbol string, Date int")
+    marks = high_water_marks(exchange_groups(spark, {"g": "X1"}), dim, fact, "2010-01-01")
+    plan = marks._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("max(Date") < plan.index("LeftSemi")
+    assert [tuple(r) for r in marks.collect()] == [("g", "2022-01-05")]
+
+
+def test_no_local_folder_is_invented_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+
+    from tidemark.session import ensure_checkpoint_dir
+    conf = SimpleNamespace(get=lambda *a: None)
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        sc = SimpleNamespace(master=master, getCheckpointDir=lambda: None, getConf=lambda: conf)
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc))
+
+
+def test_index_with_many_ranges_runs_nothing_while_planned(spark):
+    df = spark.range(60_000).select(F.when(F.col("id") % 3 > 0, "ALL").otherwise((F.col("id") % 20).cast("string")).alias("g"),
+                                    ((F.col("id") * 7919) % 60_000).alias("k"))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "planning")
+    ranked = chunk_within(df, ["g"], ["k"], 99)
+    assert list(tracker.getJobIdsForGroup("planning")) == []
+    spark.sparkContext.setJobGroup("running", "running")
+    indexed = with_global_index(df, ["k"], "idx", num_ranges=2000)
+    assert indexed.where("k <> idx").count() == 0 and ranked.groupBy("g", "chunk_no").count().where("count > 99").count() == 0
 
 
 def test_high_water_mark_branches(spark):
@@ -295,7 +474,7 @@ def test_staging_merge_duplicate_match_fails_without_writing(spark):
                                 "pk string, symbol string, split_factor double, date int")
     mapping = {"PK": "pk", "Symbol": "symbol", "SplitFactor": "split_factor", "Date": "date"}
     with pytest.raises(Exception, match="matched by several update rows"):
-        S.merge_into(spark, st, upd, ["PK"], mapping, key_implies_partition=True)
+        S.merge_into(spark, st, upd, ["PK"], mapping)
     assert [tuple(r) for r in S.read_staging(spark, st).collect()] == [("A_20220101", "A", 1.0, 20220101)]
 
 
@@ -314,8 +493,12 @@ def test_stream_lands_each_batch_as_a_run(spark):
     runs = L.partitions(spark, lt).count()
     assert runs == 3
     assert L.read_landing(spark, lt).count() == 3000
-    # restarting on the same checkpoint finds nothing new and lands nothing twice
-    q2 = stream_pages_to_landing(spark, inbox, "currencies", lt, 20220701, ckpt, first_run=1,
-                                 max_files_per_trigger=1)
+    # restarting on the same checkpoint finds nothing new and lands nothing twice; nor does a batch whose commit
+    # record was lost, which is replayed into its own run, whatever day it is by then
+    import os
+    for name in ("2", ".2.crc"):
+        os.remove(f"{ckpt.removeprefix('file:')}/commits/{name}")
+    q2 = stream_pages_to_landing(spark, inbox, "currencies", lt, 20220702, ckpt, max_files_per_trigger=1)
     q2.awaitTermination()
     assert L.read_landing(spark, lt).count() == 3000
+    assert sorted(tuple(r) for r in L.partitions(spark, lt).collect()) == [(20220701, i) for i in (1, 2, 3)]

@@ -2,14 +2,15 @@
 
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from tidemark.plans.oracle_sql import ORACLES
+from tidemark.plans.queries import QUERIES
 from tools.compare import compare
 
-NAMES = sorted(queries())
+NAMES = sorted(QUERIES)
 
 
 def test_every_query_has_an_oracle():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLES) == set(QUERIES)
 
 
 @pytest.mark.parametrize("name", NAMES)

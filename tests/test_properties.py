@@ -59,24 +59,22 @@ def test_pipeline_runs_then_empty_run(spark, sf_dir):
     """Dims, a fact run, an overlapping run, then an empty response."""
     from tidemark import fixtures as fx
     from tidemark.plans import loader as LD
-    from tidemark.plans.queries import _lake, dim_config, fact_config
+    from tidemark.plans.queries import fact_config, load_dims, load_facts
 
-    lake = _lake(spark)
-    source = fx.FixturePageSource(spark, sf_dir)
-    LD.update_tables(spark, dim_config(), source, lake, fx.NOW)
-    first = LD.update_tables(spark, fact_config(), source, lake, fx.NOW)
+    lake, source, exchanges = load_dims(spark, sf_dir)
+    load_facts(spark, sf_dir, lake, source, exchanges, 1)
     after_first = sorted(tuple(r) for r in lake.read_staging("FactEod").collect())
-    second = LD.update_tables(spark, fact_config(), source, lake, fx.NOW)
+    load_facts(spark, sf_dir, lake, source, exchanges, 2)
     after_second = sorted(tuple(r) for r in lake.read_staging("FactEod").collect())
-    assert list(first.values()) == [1] and list(second.values()) == [2]
     assert after_first and after_second == after_first     # the overlap re-reads and upserts the same rows
 
     class EmptyApi:
         """Every request is answered with a page holding no records."""
         def fetch(self, table, endpoint, requests):
-            return requests.select(F.lit('{"pagination": {"total": 0}, "data": []}').alias("page"))
+            return requests.select(F.col("path").alias("request"), F.lit(0).cast("long").alias("offset"),
+                                   F.lit('{"pagination": {"total": 0}, "data": []}').alias("page"))
 
-    LD.update_tables(spark, fact_config(), EmptyApi(), lake, fx.NOW)
+    LD.update_tables(spark, fact_config(exchanges), EmptyApi(), lake, fx.NOW)
     runs = sorted(tuple(r) for r in L.partitions(spark, lake.landing("FactEod")).collect())
     assert runs == [(LD.run_day(fx.NOW), 1), (LD.run_day(fx.NOW), 2)]
     assert sorted(tuple(r) for r in lake.read_staging("FactEod").collect()) == after_first
@@ -89,19 +87,18 @@ def test_file_page_source_dimension_load(spark):
     from tidemark.session import shared_dir
     from tidemark.sources import pages as P
 
-    lake = LD.Lake(spark, shared_dir(spark, "lake"), landing_db="t_file_pages")
+    lake = LD.Lake(spark, shared_dir(spark, "lake"), "t_file_pages_l", "t_file_pages_s", "t_file_pages_a")
     inbox = shared_dir(spark, "inbox")
     cfg = {"table_type": "Dim", "tables": [{"is_enabled": True, "table_name": "DimCurrency", "exchange": ""}]}
 
-    def respond(rows):
-        rec = spark.createDataFrame(rows, "code string, symbol string, name string")
-        P.write_pages(P.build_pages(rec, F.struct("code", "symbol", "name"), page_size=2),
-                      f"{inbox}/DimCurrency")
+    def respond(rows, fetched_at):
+        rec = spark.createDataFrame(rows, "code string, symbol string, name string").withColumn("path", F.lit("currencies"))
+        pages = P.build_pages(rec, F.struct("code", "symbol", "name"), page_size=2, group=["path"], order=["code"])
+        P.write_fetched(pages, f"{inbox}/DimCurrency", fetched_at, page_size=2)
 
-    respond([("USD", "$", "Dollar"), ("EUR", "E", "Euro"), ("JPY", "Y", "Yen")])
+    respond([("USD", "$", "Dollar"), ("EUR", "E", "Euro"), ("JPY", "Y", "Yen")], 1)
     LD.update_tables(spark, cfg, LD.FilePageSource(spark, inbox), lake, "2022-07-03")
-    inbox = shared_dir(spark, "inbox")   # the fetcher's next response lands in a new folder
-    respond([("EUR", "E", "Euro (new)"), ("GBP", "P", "Pound")])
+    respond([("EUR", "E", "Euro (new)"), ("GBP", "P", "Pound")], 2)
     LD.update_tables(spark, cfg, LD.FilePageSource(spark, inbox), lake, "2022-07-03")
     got = sorted(tuple(r) for r in lake.read_staging("DimCurrency").collect())
     assert got == [("EUR", "E", "Euro (new)"), ("GBP", "P", "Pound"), ("JPY", "Y", "Yen"),

@@ -26,24 +26,8 @@ DIM_TIES = ["tie1"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table; a scan narrower than the cluster is spread first.
-
-    A file with a single row group is read by one task, and so would every
-    narrow step derived from it. On a real input the scan is already wide
-    and this is a no-op (the check only plans the scan, it reads nothing).
-    """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    width = spark.sparkContext.defaultParallelism
-    if name in _SPREAD_KEY and df.rdd.getNumPartitions() < width:
-        # hash on the table's key: deterministic, no pre-sort, and it names one
-        # column only, so column pruning still reaches the scan
-        df = df.repartition(width, *_SPREAD_KEY[name])
-    return df
-
-
-# Key columns of the tables that grow with the scale factor.
-_SPREAD_KEY = {"lineitem": ["l_orderkey", "l_linenumber"], "orders": ["o_orderkey"],
-               "customer": ["c_custkey"], "part": ["p_partkey"], "events": ["event_id"]}
+    """A driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _s(c) -> Column:
@@ -112,7 +96,7 @@ def fx_eod(spark: SparkSession, sf_dir: str, bad_dates: bool = False) -> DataFra
 
 
 def fx_dividends(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").where(F.col("l_tax") > 0)
+    li = table(spark, sf_dir, "lineitem")
     month = _month("l_shipdate")
     return li.select(
         _yyyymmdd(month).alias("date"),
@@ -126,7 +110,7 @@ def fx_dividends(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fx_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").where(F.col("l_linenumber") <= 2)
+    li = table(spark, sf_dir, "lineitem")
     month = _month("l_shipdate")
     return li.select(
         _yyyymmdd(month).cast("int").alias("date"),
@@ -165,15 +149,16 @@ def _dim_runs(df: DataFrame) -> DataFrame:
 
 
 def fx_exchange(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Exchanges for nations 0-19; nation 19's ``mic`` is null."""
-    nation = table(spark, sf_dir, "nation").where(F.col("n_nationkey") < 20)
+    """Exchanges, one per nation; nation 19's ``mic`` is null, and from 20 on it is one no company has."""
+    nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
     nk = F.col("n_nationkey")
     base = _dim_runs(nation.join(region, nation.n_regionkey == region.r_regionkey))
     return base.select(
         F.concat(F.col("n_name"), F.lit(" v"), _s("run")).alias("name"),
         F.concat(F.lit("A"), _s(nk)).alias("acronym"),
-        F.when(nk == 19, F.lit(None).cast("string")).otherwise(F.concat(F.lit("X"), _s(nk))).alias("mic"),
+        F.when(nk == 19, F.lit(None).cast("string"))
+        .otherwise(F.concat(F.when(nk >= 20, "Y").otherwise("X"), _s(nk))).alias("mic"),
         F.col("r_name").alias("country"),
         F.concat(F.lit("CC"), _s("n_regionkey")).alias("country_code"),
         F.concat(F.lit("City "), _s(nk)).alias("city"),
@@ -284,43 +269,49 @@ TIES_OF_ENDPOINT = {
 }
 
 
+# The landing table of each endpoint that requests are answered from.
+TABLE_OF_ENDPOINT = {"eod": "FactEod", "dividends": "FactDividends", "splits": "FactSplits", "tickers": "DimCompany",
+                     "exchanges": "DimExchange", "currencies": "DimCurrency"}
+
+
 def current_state(spark: SparkSession, sf_dir: str, endpoint: str) -> DataFrame:
     """What the API would answer today: every key's newest fixture row."""
     from tidemark.operators.dedupe import dedupe_runs  # local: fixtures stay import-light
+    from tidemark.plans.views import tie_columns
+    from tidemark.schemas import LANDING_KEY
 
-    fx = FIXTURE_OF_ENDPOINT[endpoint](spark, sf_dir)
-    if endpoint == "exchanges":
-        return dedupe_runs(fx.where(F.col("mic").isNotNull()), "mic", "latest", DIM_TIES)
-    if endpoint == "currencies":
-        return dedupe_runs(fx, "code", "latest", DIM_TIES)
-    return dedupe_runs(fx, "pk", "latest", TIES_OF_ENDPOINT[endpoint])
+    table_ = TABLE_OF_ENDPOINT[endpoint]
+    key = LANDING_KEY[table_]
+    rows = FIXTURE_OF_ENDPOINT[endpoint](spark, sf_dir).where(F.col(key).isNotNull())
+    return dedupe_runs(rows, key, "latest", tie_columns(table_, key))
 
 
-class FixturePageSource:
-    """A stand-in for the market-data API in tests, answered by Spark joins.
+def land_answers(spark: SparkSession, sf_dir: str, table: str, endpoint: str, requests: DataFrame, root: str,
+                 fetched_at: int = 1) -> None:
+    """What a fetcher would land under ``root`` for ``requests``: the pages of their records.
 
-    Fact requests get the current rows of their symbols whose day lies in
-    ``[date_from, date_to]``; dimension requests get the current dimension.
-    Each request's answer is paged like the API pages it.
+    Fact requests get the current rows of their symbols whose day lies in ``[date_from, date_to]``;
+    dimension requests get the current dimension, companies those of the request's exchange. A request
+    without records gets an empty page.
     """
-
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
-
-    def fetch(self, table: str, endpoint: str, requests: DataFrame) -> DataFrame:
-        from tidemark.sources.pages import build_pages
-
-        current = current_state(self.spark, self.sf_dir, endpoint)
-        if endpoint in ("eod", "dividends", "splits"):
-            wanted = requests.select(
-                "path", F.explode(F.split("symbols", ", ")).alias("symbol"),
-                F.regexp_replace("date_from", "-", "").cast("int").alias("__from"),
-                F.regexp_replace("date_to", "-", "").cast("int").alias("__to"))
-            day = F.regexp_replace(F.substring("date_raw", 1, 10), "-", "").cast("int")
-            rows = (current.join(wanted, "symbol")
-                    .where((day >= F.col("__from")) & (day <= F.col("__to"))))
-        elif endpoint == "tickers":
-            rows = current.join(requests.select("path", F.col("exchange").alias("exchangeMic")), "exchangeMic")
-        else:  # whole-dimension endpoints answer one request
-            rows = current.withColumn("path", F.lit(endpoint))
-        return build_pages(rows, record_struct(rows, endpoint), group=["path"]).select("page")
+    from tidemark.schemas import LANDING_KEY
+    from tidemark.sources.pages import build_pages, write_fetched
+
+    current = current_state(spark, sf_dir, endpoint)
+    if endpoint in ("eod", "dividends", "splits"):
+        wanted = requests.select(
+            "path", F.explode(F.split("symbols", ", ")).alias("symbol"),
+            F.regexp_replace("date_from", "-", "").cast("int").alias("__from"),
+            F.regexp_replace("date_to", "-", "").cast("int").alias("__to"))
+        day = F.regexp_replace(F.substring("date_raw", 1, 10), "-", "").cast("int")
+        rows = (current.join(wanted, "symbol")
+                .where((day >= F.col("__from")) & (day <= F.col("__to"))))
+    elif endpoint == "tickers":
+        rows = current.join(requests.select("path", F.col("exchange").alias("exchangeMic")), "exchangeMic")
+    else:  # whole-dimension endpoints answer one request
+        rows = current.withColumn("path", F.lit(endpoint))
+    pages = build_pages(rows, record_struct(rows, endpoint), group=["path"], order=[LANDING_KEY[table]])
+    nothing = requests.select("path").distinct().join(rows.select("path").distinct(), "path", "left_anti")
+    empty = nothing.select("path", F.lit(0).cast("long").alias("page_no"),
+                           F.lit('{"pagination": {"total": 0}, "data": []}').alias("page"))
+    write_fetched(pages.unionByName(empty), f"{root}/{table}", fetched_at)

@@ -47,8 +47,8 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
 
 def dedupe_runs(df: DataFrame, keys: Sequence[str] | str, recency: str = "reference",
                 ties: Sequence[str] = (), keep_null_keys: bool = False) -> DataFrame:
-    """One row per key by run recency; ``ties`` (ascending) make it total."""
+    """One row per key by run recency; ``ties`` (ascending, NULLs last) make it total."""
     if isinstance(keys, str):
         keys = [keys]
-    order = [*recency_order(recency), *[F.asc(t) for t in ties]]
+    order = [*recency_order(recency), *[F.asc_nulls_last(t) for t in ties]]
     return keep_first(df, keys, order, keep_null_keys)

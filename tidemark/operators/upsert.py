@@ -29,14 +29,15 @@ class DuplicateMatchError(ValueError):
     """A destination row is matched by several update rows."""
 
 
+def source_text(src: str | Column | None) -> str | None:
+    """A mapping's source as text without the ``updates.`` spelling; None for a Column."""
+    return src.strip().removeprefix("updates.") if isinstance(src, str) else None
+
+
 def _expr(src: str | Column) -> Column:
     if isinstance(src, Column):
         return src
-    text = src.strip()
-    # accept the ``updates.col`` spelling of merge configs
-    if text.startswith("updates."):
-        text = text[len("updates."):]
-    return F.expr(text)
+    return F.expr(source_text(src))
 
 
 def _clean(name: str) -> str:
@@ -60,6 +61,13 @@ def project_updates(updates: DataFrame, mapping: Mapping[str, str | Column],
     return updates.select(*cols)
 
 
+def bad_casts(mapping: Mapping[str, str | Column], dest_schema: StructType) -> list[Column]:
+    """For each mapped column, the number of values that become NULL by the cast (an aggregate)."""
+    types = {f.name: f.dataType for f in dest_schema.fields}
+    return [F.count(F.when(_expr(src).isNotNull() & _expr(src).try_cast(types[_clean(dst)]).isNull(), 1)).alias(_clean(dst))
+            for dst, src in mapping.items() if _clean(dst) in types]
+
+
 def _key_cond(dest: DataFrame, upd: DataFrame, keys: Sequence[str]) -> Column:
     cond = None
     for k in keys:

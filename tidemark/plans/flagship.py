@@ -6,22 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.plans import loader as LD
 from tidemark.plans.queries import landing_rows, widen
-from tidemark.plans.views import vw_fact_eod
-from tidemark.schemas import COLUMN_MAPPING
 from tidemark.session import pin_utc, shared_dir
 from tidemark.sinks import landing as L
-from tidemark.sinks import staging as S
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     pin_utc(spark)
-    lake = LD.Lake(spark, shared_dir(spark, "flagship"))
-    lake.landing_db = f"flagship_{lake.root.rsplit('/', 1)[1][:10]}"
+    root = shared_dir(spark, "flagship")
+    tag = root.rsplit("/", 1)[1][:10]
+    lake = LD.Lake(spark, root, f"flagship_landing_{tag}", f"flagship_staging_{tag}", f"flagship_{tag}")
     lt = lake.landing("FactEod")
     L.append_runs(landing_rows(spark, sf_dir, "FactEod"), lt)
     L.repair(spark, lt)
-    st = lake.staging("FactEod")
-    S.create_staging(spark, "FactEod", st.path)
-    S.merge_into(spark, st, LD.merge_source(spark, lt, full_reload=True), ["PK"],
-                 COLUMN_MAPPING["FactEod"], key_implies_partition=True)
-    return widen(vw_fact_eod(lake.read_staging("FactEod")))
+    LD.merge_landed(spark, lake, "FactEod", {"is_full_reload": True})
+    lake.create_views()
+    return widen(spark.table(f"{lake.analytics_db}.vw_FactEod"))

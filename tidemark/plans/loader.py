@@ -9,10 +9,10 @@ A config has the shape of the YAML batch files::
                  "exchanges": "'XNAS', 'XNYS'", "merge_keys": "destination.PK = updates.pk",
                  "column_mapping": {"PK": "updates.pk", ...}}, ...]}
 
-Pages come from a ``PageSource``: anything with ``fetch(table, endpoint,
-requests) -> DataFrame`` of page JSON text (column ``page``). The HTTP client
-that fills it is outside this library; ``FilePageSource`` reads pages that a
-fetcher landed as JSON-lines files.
+Pages come from a ``PageSource``: anything with ``fetch(table, endpoint, requests) -> DataFrame`` of the
+pages that answer the planned requests (request, offset, page JSON text). The HTTP client that fills
+it is outside this library; ``FilePageSource`` reads pages that a fetcher landed as JSON-lines files. A
+load fails if a request has no page, or fewer records than the total that its pages name.
 
 Per table the driver holds one run id and one (dayId, runId) pair; requests,
 high-water marks, pages, flattening and the merge are DataFrame plans.
@@ -21,22 +21,24 @@ high-water marks, pages, flattening and the merge are DataFrame plans.
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.dedupe import dedupe_runs, keep_first
+from tidemark.operators.dedupe import dedupe_runs
 from tidemark.operators.flatten import flatten
 from tidemark.operators.incremental import exchange_groups
+from tidemark.operators.upsert import source_text
 from tidemark.plans.requests import dim_requests, fact_requests
-from tidemark.schemas import (COLUMN_MAPPING, ENDPOINT_OF_TABLE, LANDING_KEY, STAGING_KEY,
-                              STAGING_PARTITION, landing_columns)
+from tidemark.plans.views import create_analytics_views, create_distinct_views, distinct_view, tie_columns
+from tidemark.schemas import (COLUMN_MAPPING, DISTINCT_VIEW_KEY, ENDPOINT_OF_TABLE, LANDING_KEY, STAGING_KEY,
+                              landing_columns)
 from tidemark.sinks import landing as L
 from tidemark.sinks import staging as S
-from tidemark.sources.pages import explode_pages, parse_pages, read_pages
+from tidemark.sources.pages import FETCHED, explode_pages, fail_on_missing_pages, parse_pages
 
 
 class PageSource(Protocol):
@@ -45,21 +47,30 @@ class PageSource(Protocol):
 
 @dataclass
 class FilePageSource:
-    """Pages a fetcher wrote to ``{root}/{table}/`` as JSON-lines text."""
+    """Pages that a fetcher wrote to ``{root}/{table}/`` as JSON lines (request, fetched_at, offset, page).
+
+    Of the pages of each planned request, those of its newest fetch answer it; a page fetched twice
+    (same request, time and offset) counts once. Other requests' pages aren't read into the load.
+    """
     spark: SparkSession
     root: str
 
     def fetch(self, table: str, endpoint: str, requests: DataFrame) -> DataFrame:
-        pages = read_pages(self.spark, f"{self.root}/{table}", endpoint)
-        return pages.select(F.to_json(F.struct("pagination", "data")).alias("page"))
+        fetched = self.spark.read.schema(FETCHED).json(f"{self.root}/{table}")
+        mine = fetched.join(requests.select(F.col("path").alias("request")).distinct(), "request", "left_semi")
+        newest = mine.groupBy("request").agg(F.max("fetched_at").alias("fetched_at"))
+        return (mine.join(newest, ["request", "fetched_at"]).dropDuplicates(["request", "offset"])
+                .select("request", "offset", "page"))
 
 
 @dataclass
 class Lake:
-    """Where landing and staging tables live (a folder under the shared dir)."""
+    """Where landing and staging tables and the analytics views live (a folder under the shared dir)."""
     spark: SparkSession
     root: str
     landing_db: str = "landing"
+    staging_db: str = "staging"
+    analytics_db: str = "analytics"
     _landing: dict = field(default_factory=dict)
 
     def landing(self, table: str) -> L.LandingTable:
@@ -69,12 +80,17 @@ class Lake:
         return self._landing[table]
 
     def staging(self, table: str) -> S.StagingTable:
-        st = S.StagingTable(table, f"{self.root}/staging/{table}")
-        return st
+        return S.staging_table(table, f"{self.root}/staging/{table}", self.staging_db)
 
     def read_staging(self, table: str) -> DataFrame:
         return S.read_staging(self.spark, self.staging(table))
 
+    def create_views(self) -> list[str]:
+        """The analytics views over the staging tables that exist, and the distinct views of the landing tables."""
+        distinct = [t for t in self._landing if t in DISTINCT_VIEW_KEY]
+        return [*create_analytics_views(self.spark, self.staging_db, self.analytics_db, f"{self.root}/analytics"),
+                *create_distinct_views(self.spark, self.landing_db, distinct)]
+
 
 _KEY_TERM = re.compile(r"destination\.`?(\w+)`?\s*=")
 
@@ -93,36 +109,44 @@ def run_day(now: str) -> int:
 
 
 def land_pages(spark: SparkSession, lt: L.LandingTable, pages: DataFrame, endpoint: str,
-               day_id: int, run_id: int | None = None) -> int:
+               day_id: int, run_id: int | None = None, requests: DataFrame | None = None) -> int:
     """Flatten a response's pages into one new run of a landing table (K4).
 
-    One distributed write for all pages; an empty response writes no run, so
-    the previous run stays the latest one.
+    One distributed write for all pages; an empty response writes no run, so the previous run stays the
+    latest one. With ``requests`` an incomplete response fails the write, and no run is landed. A retry
+    after a failure before the registration replaces the run's folder.
     """
     if run_id is None:
         run_id = L.next_run_id(spark, lt, day_id)
-    records = flatten(explode_pages(parse_pages(pages, endpoint)), endpoint)
-    L.append_run(records, lt, day_id, run_id)
-    L.register_run(spark, lt, day_id, run_id)
+    parsed = parse_pages(pages, endpoint)
+    records = flatten(explode_pages(parsed), endpoint)
+    if requests is not None:
+        missing = fail_on_missing_pages(parsed, requests)
+        first, *rest = records.schema.fields
+        records = records.unionByName(missing.select(
+            F.col("path").cast(first.dataType).alias(first.name), *[F.lit(None).cast(f.dataType).alias(f.name) for f in rest]))
+    if L.append_run(records, lt, day_id, run_id):
+        L.register_run(spark, lt, day_id, run_id)
     return run_id
 
 
 def merge_source(spark: SparkSession, lt: L.LandingTable, full_reload: bool,
                  recency: str = "latest") -> DataFrame:
-    """Landing rows to merge: every key's newest row (full) or the latest run.
+    """Landing rows to merge: every key's newest row (full) or the latest run's rows, one per key.
 
-    A run can hold the same key twice, so the latest run is also reduced to
-    one row per key (NULL keys all kept); the order among a run's duplicates
-    is made total by the row's own values.
+    Both use one total order, ties within a run going by the row's own values, so a reload right
+    after an incremental merge changes nothing. ``recency="reference"`` reads the distinct view as
+    written; companies, which that view keys by symbol, are deduped by ``pk`` in its order. Rows with a
+    NULL key are all kept, except by the view.
     """
     key = LANDING_KEY[lt.table]
-    cols = landing_columns(lt.table)
-    ties = [c for c in cols if c != key]
-    if full_reload:
-        src = L.read_landing(spark, lt)
-        return dedupe_runs(src, key, recency, ties).select(*cols)
-    src = L.latest_run_rows(spark, lt).select(*cols)
-    return keep_first(src, [key], [F.desc_nulls_last(c) for c in ties], keep_null_keys=True)
+    cols, ties = landing_columns(lt.table), tie_columns(lt.table, key)
+    if not full_reload:
+        return dedupe_runs(L.latest_run_rows(spark, lt), key, "latest", ties, keep_null_keys=True).select(*cols)
+    if recency == "reference" and lt.table != "DimCompany":
+        create_distinct_views(spark, lt.database, [lt.table])
+        return spark.table(distinct_view(lt.database, lt.table)).select(*cols)
+    return dedupe_runs(L.read_landing(spark, lt), key, recency, ties, keep_null_keys=recency == "latest").select(*cols)
 
 
 def _mapping(cfg: Mapping, table: str) -> dict:
@@ -133,51 +157,78 @@ def _keys(cfg: Mapping, table: str) -> list[str]:
     return merge_key_columns(cfg.get("merge_keys") or [STAGING_KEY[table]])
 
 
-def load_fact(spark: SparkSession, lake: Lake, cfg: Mapping, source: PageSource, now: str) -> int:
-    """Plan requests from the high-water mark, land the pages, upsert (C11)."""
+def is_unique_source(table: str, keys: list[str], mapping: Mapping) -> bool:
+    """Does the merge key come from the landing key, of which ``merge_source`` keeps one row each?"""
+    return keys == [STAGING_KEY[table]] and source_text(mapping.get(keys[0])) == LANDING_KEY[table]
+
+
+def merge_landed(spark: SparkSession, lake: Lake, table: str, cfg: Mapping, recency: str = "latest") -> dict[str, int]:
+    """Merge a landing table's rows into its staging table as the config says; returns failed casts by column."""
+    keys, mapping = _keys(cfg, table), _mapping(cfg, table)
+    source = merge_source(spark, lake.landing(table), bool(cfg.get("is_full_reload")), recency)
+    return S.merge_into(spark, lake.staging(table), source, keys, mapping, is_unique_source(table, keys, mapping))
+
+
+def plan_fact(spark: SparkSession, lake: Lake, cfg: Mapping, now: str) -> DataFrame:
+    """The requests of a fact table's next load (path and its parts), written once in the shared folder."""
     table = cfg["table_name"]
-    endpoint = cfg.get("endpoint_name") or ENDPOINT_OF_TABLE[table]
-    lt = lake.landing(table)
     groups = exchange_groups(spark, {table: cfg["exchanges"]})
     requests = fact_requests(groups, lake.read_staging("DimCompany"), lake.read_staging(table),
-                             endpoint, cfg["history_start_date"], now)
-    # The request plan is small (one row per 99 symbols) and is read by the
-    # fetcher and the landing write: materialize it once in the shared folder.
-    requests = requests.checkpoint(eager=True)
-    pages = source.fetch(table, endpoint, requests)
-    run_id = land_pages(spark, lt, pages, endpoint, run_day(now))
-    S.merge_into(spark, lake.staging(table), merge_source(spark, lt, bool(cfg.get("is_full_reload"))),
-                 _keys(cfg, table), _mapping(cfg, table),
-                 key_implies_partition=table in STAGING_PARTITION and _keys(cfg, table) == ["PK"])
+                             cfg.get("endpoint_name") or ENDPOINT_OF_TABLE[table], cfg["history_start_date"], now)
+    return requests.checkpoint(eager=True)  # one row per 99 symbols, read by the fetch and the check
+
+
+def load_fact(spark: SparkSession, lake: Lake, cfg: Mapping, source: PageSource, now: str) -> int:
+    """Plan requests from the high-water mark, land their pages, upsert (C11)."""
+    table = cfg["table_name"]
+    endpoint = cfg.get("endpoint_name") or ENDPOINT_OF_TABLE[table]
+    requests = plan_fact(spark, lake, cfg, now)
+    run_id = land_pages(spark, lake.landing(table), source.fetch(table, endpoint, requests), endpoint, run_day(now),
+                        requests=requests)
+    merge_landed(spark, lake, table, cfg)
     return run_id
 
 
-def load_dim(spark: SparkSession, lake: Lake, cfg: Mapping, source: PageSource, now: str) -> int:
-    """Request the whole dimension (companies: per exchange), land, upsert."""
+def load_dim(spark: SparkSession, lake: Lake, cfg: Mapping, source: PageSource, now: str,
+             exchanges: Sequence[str] | None = None) -> int:
+    """Request the whole dimension, land, upsert (C12). Companies are requested per exchange, those of
+    ``exchanges`` (default: the config's one) in one run and one merge."""
     table = cfg["table_name"]
     endpoint = ENDPOINT_OF_TABLE[table]
-    lt = lake.landing(table)
-    exchanges = None
+    wanted = None
     if table == "DimCompany":
-        exchanges = spark.createDataFrame([(cfg["exchange"],)], "ExchangeId STRING")
-    requests = dim_requests(spark, [table], exchanges)
-    pages = source.fetch(table, endpoint, requests)
-    run_id = land_pages(spark, lt, pages, endpoint, run_day(now))
-    S.merge_into(spark, lake.staging(table), merge_source(spark, lt, bool(cfg.get("is_full_reload"))),
-                 _keys(cfg, table), _mapping(cfg, table))
+        wanted = spark.createDataFrame([(x,) for x in exchanges or [cfg["exchange"]]], "ExchangeId STRING")
+    requests = dim_requests(spark, [table], wanted)
+    run_id = land_pages(spark, lake.landing(table), source.fetch(table, endpoint, requests), endpoint, run_day(now),
+                        requests=requests)
+    merge_landed(spark, lake, table, cfg)
     return run_id
 
 
 def update_tables(spark: SparkSession, config: Mapping, source: PageSource, lake: Lake,
                   now: str) -> dict[str, int]:
-    """Load every enabled table of a Dim or Fact config; returns run ids."""
+    """Load every enabled table of a Dim or Fact config, then create the views; returns run ids.
+
+    Entries of a dimension that differ in the exchange only are loaded together.
+    """
     kind = config.get("table_type")
     if kind not in ("Dim", "Fact"):
         raise ValueError(f"table_type must be 'Dim' or 'Fact', got {kind!r}")
-    load = load_dim if kind == "Dim" else load_fact
+    enabled = [cfg for cfg in config.get("tables", []) if cfg.get("is_enabled") is True]
     runs = {}
-    for cfg in config.get("tables", []):
-        if cfg.get("is_enabled") is True:
-            runs[f"{cfg['table_name']}:{cfg.get('exchange', cfg.get('exchanges', ''))}"] = \
-                load(spark, lake, cfg, source, now)
+    if kind == "Fact":
+        for cfg in enabled:
+            runs[f"{cfg['table_name']}:{cfg['exchanges']}"] = load_fact(spark, lake, cfg, source, now)
+    else:
+        alike: list[list[Mapping]] = []
+        for cfg in enabled:
+            same = {k: v for k, v in cfg.items() if k != "exchange"}
+            if alike and {k: v for k, v in alike[-1][0].items() if k != "exchange"} == same:
+                alike[-1].append(cfg)
+            else:
+                alike.append([cfg])
+        for cfgs in alike:
+            run = load_dim(spark, lake, cfgs[0], source, now, [c.get("exchange") for c in cfgs])
+            runs.update({f"{c['table_name']}:{c.get('exchange', '')}": run for c in cfgs})
+    lake.create_views()
     return runs

@@ -57,12 +57,12 @@ FX = {
 SELECT strftime({_MONTH}, '%Y%m%d') AS date, CAST(l_tax AS FLOAT) AS dividend,
        'C' || (l_partkey % 500) AS symbol,
        'C' || (l_partkey % 500) || '_' || strftime({_MONTH}, '%Y%m%d') AS pk, {_RUNS}
-FROM lineitem WHERE l_tax > 0""",
+FROM lineitem""",
     "fx_splits": f"""
 SELECT CAST(strftime({_MONTH}, '%Y%m%d') AS INT) AS date, CAST(l_quantity AS FLOAT) AS split_factor,
        'C' || (l_partkey % 500) AS symbol,
        'C' || (l_partkey % 500) || '_' || strftime({_MONTH}, '%Y%m%d') AS pk, {_RUNS}
-FROM lineitem WHERE l_linenumber <= 2""",
+FROM lineitem""",
     "fx_company": """
 SELECT CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE c_name END AS name,
        'C' || (c_custkey % 510) AS symbol, c_custkey % 2 = 0 AS has_intraday,
@@ -73,15 +73,15 @@ SELECT CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE c_name END AS name,
 FROM customer JOIN nation ON c_nationkey = n_nationkey""",
     "fx_exchange_all": """
 SELECT n_name || ' v' || run AS name, 'A' || n_nationkey AS acronym,
-       CASE WHEN n_nationkey = 19 THEN NULL ELSE 'X' || n_nationkey END AS mic,
+       CASE WHEN n_nationkey = 19 THEN NULL WHEN n_nationkey >= 20 THEN 'Y' || n_nationkey
+            ELSE 'X' || n_nationkey END AS mic,
        r_name AS country, 'CC' || n_regionkey AS country_code, 'City ' || n_nationkey AS city,
        'www.x' || n_nationkey || '.example' AS website, 'CUR' || n_regionkey AS currencyCode,
        'Zone/' || r_name AS timezoneName, 'Z' || n_regionkey AS timezoneAbbr,
        'ZD' || n_regionkey AS timezoneAbbrDst, CAST(20220701 + run % 2 AS INT) AS dayId,
        CAST(run AS INT) AS runId, n_nationkey AS tie1
 FROM nation JOIN region ON n_regionkey = r_regionkey
-     CROSS JOIN (SELECT unnest([1, 2, 10]) AS run)
-WHERE n_nationkey < 20""",
+     CROSS JOIN (SELECT unnest([1, 2, 10]) AS run)""",
     "fx_exchange": "SELECT * FROM fx_exchange_all WHERE mic IS NOT NULL",
     "fx_currency": """
 SELECT 'CUR' || r_regionkey AS code, '$' || r_regionkey AS symbol, r_name || ' v' || run AS name,
@@ -142,6 +142,14 @@ TABLES = {
     "DimCurrency": ("fx_currency", "code", "tie1", ["code", "symbol", "name"],
                     "code AS CurrencyId, symbol AS Symbol, name AS Name"),
 }
+
+
+def _by_value(cols: list[str], key: str) -> str:
+    """Rows of a key within a run go by their other columns, NULLs last."""
+    return ", ".join(f"{c} ASC NULLS LAST" for c in cols if c != key)
+
+
+TABLES = {t: (v, key, _by_value(cols, key), cols, mapping) for t, (v, key, _, cols, mapping) in TABLES.items()}
 STAGING_KEY = {"FactEod": "PK", "FactDividends": "PK", "FactSplits": "PK", "DimCompany": "PK",
                "DimExchange": "ExchangeId", "DimCurrency": "CurrencyId"}
 
@@ -218,7 +226,8 @@ def _merge(table: str, full: bool = False, unmapped: str | None = None, bad: boo
 
 
 def _distinct(table: str, key: str, recency: str = "reference", drop_pk: bool = False) -> str:
-    fxv, _, ties, cols, _ = TABLES[table]
+    fxv, _, _, cols, _ = TABLES[table]
+    ties = _by_value(cols, key)
     out = [c for c in cols if not (drop_pk and c == "pk")]
     floats = EOD_FLOATS | {"dividend", "split_factor"}
     return _with(_fx(fxv), f"SELECT {_dbl(out, floats)} FROM ({_dedupe(fxv, key, RECENCY[recency] + ', ' + ties)})")
@@ -263,18 +272,48 @@ def _eod_landing_runs() -> str:
     return "SELECT dayId, runId, count(*) AS n_rows FROM fx_eod GROUP BY dayId, runId"
 
 
-def _load_companies(exchanges: str) -> dict[str, str]:
-    ctes = _staged("DimCompany")
-    ctes["loaded_company"] = f"SELECT * FROM stg_DimCompany WHERE ExchangeId IN ({exchanges})"
-    return ctes
+def _load_eod() -> dict[str, str]:
+    return {**_staged("DimCompany"), **_staged("FactEod"),
+            "loaded_eod": "SELECT * FROM stg_FactEod WHERE Symbol IN (SELECT CompanyId FROM stg_DimCompany)"}
 
 
-def _load_eod(exchanges: str) -> dict[str, str]:
-    ctes = _load_companies(exchanges)
-    ctes.update(_staged("FactEod"))
-    ctes["loaded_eod"] = ("SELECT * FROM stg_FactEod WHERE Symbol IN "
-                          "(SELECT CompanyId FROM loaded_company)")
-    return ctes
+def _merge_without_date() -> str:
+    """Dividends merged without a date in the mapping: matched rows keep theirs, new ones have none."""
+    fxv, key, ties, _, mapping = TABLES["FactDividends"]
+    ctes = _fx(fxv)
+    ctes["lr"] = _latest(fxv)
+    run = "dayId = (SELECT dayId FROM lr) AND runId = (SELECT runId FROM lr)"
+    order = RECENCY["latest"] + ", " + ties
+    ctes["before"] = f"SELECT {mapping} FROM ({_dedupe(f'(SELECT * FROM {fxv} WHERE NOT ({run}))', key, order)})"
+    ctes["upd"] = f"SELECT {mapping} FROM ({_dedupe(f'(SELECT * FROM {fxv} WHERE {run})', key, order)})"
+    return _with(ctes, "SELECT u.PK, u.Symbol, u.Dividend, b.Date FROM upd u LEFT JOIN before b ON u.PK = b.PK "
+                       "UNION ALL SELECT PK, Symbol, Dividend, Date FROM before b WHERE NOT EXISTS "
+                       "(SELECT 1 FROM upd u WHERE u.PK = b.PK)")
+
+
+def _merge_by_symbol() -> str:
+    """Splits keyed by symbol: the latest run's newest row replaces the one before."""
+    fxv, _, _, cols, mapping = TABLES["FactSplits"]
+    mapping = mapping.replace("pk AS PK", "symbol AS PK")
+    ctes = _fx(fxv)
+    ctes["lr"] = _latest(fxv)
+    run = "dayId = (SELECT dayId FROM lr) AND runId = (SELECT runId FROM lr)"
+    order = RECENCY["latest"] + ", " + _by_value(cols, "symbol")
+    ctes["before"] = f"SELECT {mapping} FROM ({_dedupe(f'(SELECT * FROM {fxv} WHERE NOT ({run}))', 'symbol', order)})"
+    ctes["upd"] = f"SELECT {mapping} FROM ({_dedupe(f'(SELECT * FROM {fxv} WHERE {run})', 'symbol', order)})"
+    return _with(ctes, "SELECT * FROM upd UNION ALL SELECT * FROM before b WHERE NOT EXISTS "
+                       "(SELECT 1 FROM upd u WHERE u.PK = b.PK)")
+
+
+def _landed_counts() -> str:
+    tables = ["FactEod", "FactDividends", "FactSplits", "DimCompany", "DimExchange", "DimCurrency"]
+    return _with(_fx(*[TABLES[t][0] for t in tables]), " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, 'landing/{t}' AS location, count(*) AS n_rows FROM {TABLES[t][0]}" for t in tables))
+
+
+def _content(table: str, cols: list[str]) -> str:
+    text = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in cols)
+    return f"SELECT '{table}' AS table_name, {text} AS content FROM "
 
 
 ORACLES: dict[str, str] = {
@@ -310,11 +349,10 @@ FROM (SELECT req, total, unnest(range(0, greatest(total, 1), 1000)) AS o FROM t)
                                      "SELECT date, CAST(dividend AS DOUBLE) AS dividend, symbol, pk, dayId, runId "
                                      "FROM fx_dividends"),
     "landing_run_counts": _with(_fx("fx_eod"), _eod_landing_runs()),
-    "land_endpoint": _with(_fx("fx_eod"), _eod_landing_runs() + """
-UNION ALL SELECT 20220703 AS dayId,
-       (SELECT max(runId) FROM fx_eod WHERE dayId = 20220703) + 1 AS runId, count(*) AS n_rows FROM fx_eod
-UNION ALL SELECT 20220703 AS dayId,
-       (SELECT max(runId) FROM fx_eod WHERE dayId = 20220703) + 2 AS runId, count(*) AS n_rows FROM fx_eod"""),
+    "land_endpoint": _with(_fx("fx_eod"), "SELECT " + _dbl(EOD_COLS, EOD_FLOATS) + ", dayId, runId FROM fx_eod" + "".join(
+        " UNION ALL SELECT " + _dbl(EOD_COLS, EOD_FLOATS) + ", 20220703 AS dayId, "
+        f"CAST((SELECT max(runId) FROM fx_eod WHERE dayId = 20220703) + {i} AS INT) AS runId FROM fx_eod" for i in (1, 2))),
+    "table_location": _landed_counts(),
     "stream_land_eod": _with(_fx("fx_eod"), "SELECT " + _dbl(EOD_COLS, EOD_FLOATS) + " FROM fx_eod"),
     "partition_listing": _with(_fx("fx_eod"), "SELECT DISTINCT dayId, runId FROM fx_eod"),
     "max_day_run": _with(_fx("fx_eod"), "SELECT * FROM " + _latest("fx_eod")),
@@ -395,12 +433,16 @@ FROM chunks c JOIN hwm h ON c.group_id = h.group_id"""),
 SELECT 'DimExchange' AS table_name, CAST(NULL AS VARCHAR) AS exchange, 'exchanges' AS path
 UNION ALL SELECT 'DimCurrency', NULL, 'currencies'
 UNION ALL SELECT 'DimCompany', ExchangeId, 'tickers?exchange=' || ExchangeId FROM stg_DimExchange"""),
-    "load_dim": _with(_load_companies("'X1', 'X2'"), "SELECT * FROM loaded_company"),
-    "load_fact": _with(_load_eod("'X1', 'X2'"), "SELECT * FROM loaded_eod"),
-    "update_tables": _with({**_load_eod("'X1', 'X2'"), **_staged("DimExchange"), **_staged("DimCurrency")}, """
-SELECT 'DimExchange' AS table_name, count(*) AS n_rows FROM stg_DimExchange
-UNION ALL SELECT 'DimCurrency', count(*) FROM stg_DimCurrency
-UNION ALL SELECT 'DimCompany', count(*) FROM loaded_company
-UNION ALL SELECT 'FactEod', count(*) FROM loaded_eod
-UNION ALL SELECT 'FactEod runs', CAST(2 AS BIGINT)"""),
+    "load_dim": _with(_staged("DimCompany"), "SELECT * FROM stg_DimCompany"),
+    "load_fact": _with(_load_eod(), "SELECT * FROM loaded_eod"),
+    "update_tables": _with({**_load_eod(), **_staged("DimExchange"), **_staged("DimCurrency")}, " UNION ALL ".join([
+        _content("DimExchange", ["ExchangeId", "Name", "Country", "CurrencyId"]) + "stg_DimExchange",
+        _content("DimCurrency", ["CurrencyId", "Symbol", "Name"]) + "stg_DimCurrency",
+        _content("DimCompany", ["PK", "CompanyId", "CompanyName", "ExchangeId"]) + "stg_DimCompany",
+        _content("FactEod", ["PK", "Symbol", "ExchangeId", "Date"]) + "loaded_eod",
+        "SELECT 'FactEod runs' AS table_name, unnest(['20220703|1', '20220703|2']) AS content"])),
+    "merge_mapping_without_partition": _merge_without_date(),
+    "merge_key_without_date": _merge_by_symbol(),
+    "reload_matches_incremental": _with(_staged("FactDividends"),
+                                        "SELECT *, CAST(1 AS BIGINT) AS n_before, CAST(1 AS BIGINT) AS n_after FROM stg_FactDividends"),
 }

@@ -19,15 +19,14 @@ from pyspark.sql.types import FloatType
 
 from tidemark import fixtures as fx
 from tidemark.operators import incremental as inc
-from tidemark.operators.dedupe import dedupe_runs, keep_first
+from tidemark.operators.dedupe import dedupe_runs
 from tidemark.operators.flatten import flatten, flatten_eod
 from tidemark.operators.paging import page_requests as plan_pages
 from tidemark.operators.runs import max_day_run, next_run_ids, run_row_counts
-from tidemark.operators.upsert import project_updates
 from tidemark.plans import loader as LD
 from tidemark.plans import requests as RQ
 from tidemark.plans import views as V
-from tidemark.schemas import COLUMN_MAPPING, LANDING_KEY, STAGING_KEY, landing_columns, staging_schema
+from tidemark.schemas import COLUMN_MAPPING, LANDING_KEY, STAGING_KEY
 from tidemark.session import shared_dir
 from tidemark.sinks import landing as L
 from tidemark.sinks import staging as S
@@ -74,31 +73,66 @@ def landing_rows(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     raise ValueError(table)
 
 
-_TIES = {"FactEod": fx.EOD_TIES, "FactDividends": fx.EOD_TIES, "FactSplits": fx.EOD_TIES,
-         "DimCompany": fx.DIM_TIES, "DimExchange": fx.DIM_TIES, "DimCurrency": fx.DIM_TIES}
+TABLES = ["FactEod", "FactDividends", "FactSplits", "DimCompany", "DimExchange", "DimCurrency"]
 
-_LANDINGS: dict = {}
+_PREPARED: dict = {}
+
+
+def _prepared(spark: SparkSession, sf_dir: str, kind: str, table: str, make):
+    """What ``make`` returns, made once per session for (sf_dir, kind, table)."""
+    key = (spark.sparkContext.applicationId, sf_dir, kind, table)
+    if key not in _PREPARED:
+        _PREPARED[key] = make()
+    return _PREPARED[key]
+
+
+def _new_lake(spark: SparkSession) -> LD.Lake:
+    root = shared_dir(spark, "lake")
+    tag = root.rsplit("/", 1)[1][:10]
+    return LD.Lake(spark, root, f"landing_{tag}", f"staging_{tag}", f"analytics_{tag}")
+
+
+def lake_of(spark: SparkSession, sf_dir: str) -> LD.Lake:
+    """The lake of the session's prepared tables."""
+    return _prepared(spark, sf_dir, "lake", "", lambda: _new_lake(spark))
+
+
+def _land(spark: SparkSession, lt: L.LandingTable, rows: DataFrame) -> None:
+    L.append_runs(rows, lt)
+    L.repair(spark, lt)
 
 
 def landed(spark: SparkSession, sf_dir: str, table: str) -> L.LandingTable:
-    """The table's fixture runs written once per session as a landing table."""
-    key = (spark.sparkContext.applicationId, sf_dir, table)
-    lt = _LANDINGS.get(key)
-    if lt is None or not spark.catalog.tableExists(lt.name):
-        path = shared_dir(spark, "landing", table)
-        lt = L.create_landing(spark, f"tm_{path.rsplit('/', 1)[1][:10]}", table, path)
-        L.append_runs(landing_rows(spark, sf_dir, table), lt)
-        L.repair(spark, lt)
-        _LANDINGS[key] = lt
-    return lt
+    """The table's fixture runs as a landing table, in two appends: the latest run comes last."""
+    staged_table(spark, sf_dir, table)
+    return lake_of(spark, sf_dir).landing(table)
+
+
+def staged_table(spark: SparkSession, sf_dir: str, table: str) -> LD.Lake:
+    """A lake whose staging ``table`` has had two merges: a full reload, then the latest run."""
+    lake = lake_of(spark, sf_dir)
+
+    def make():
+        if table == "DimDate":
+            two_calendar_merges(spark, sf_dir, lake)
+        else:
+            two_merges(spark, sf_dir, table, lake)
+        lake.create_views()
+        return True
+
+    _prepared(spark, sf_dir, "staged", table, make)
+    return lake
 
 
 def staged(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """Current staging content: every key's newest landed row, mapped."""
-    if table == "DimDate":
-        return CAL.calendar_rows(fx.calendar_span(spark, sf_dir))
-    newest = dedupe_runs(landing_rows(spark, sf_dir, table), LANDING_KEY[table], "latest", _TIES[table])
-    return project_updates(newest, COLUMN_MAPPING[table], staging_schema(table))
+    """Current staging content of the prepared table."""
+    return staged_table(spark, sf_dir, table).read_staging(table)
+
+
+def prepare(spark: SparkSession, sf_dir: str) -> None:
+    """Make the landing and staging tables that the queries share."""
+    for table in [*TABLES, "DimDate"]:
+        staged_table(spark, sf_dir, table)
 
 
 def split_latest(spark: SparkSession, sf_dir: str, table: str) -> tuple[DataFrame, DataFrame]:
@@ -109,40 +143,37 @@ def split_latest(spark: SparkSession, sf_dir: str, table: str) -> tuple[DataFram
     return rows.where(~in_latest), rows.where(in_latest)
 
 
-def before_and_updates(spark: SparkSession, sf_dir: str, table: str, full: bool = False,
-                       bad_dates: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Staging before a merge, and the merge source (landing columns).
-
-    Before: rows outside the latest run, newest per key. Source: the latest
-    run deduped in tie order (incremental) or every key's row as the landing
-    view keeps it (full reload, as-written order; DimCompany keyed by pk).
-    """
-    key, ties = LANDING_KEY[table], _TIES[table]
+def two_merges(spark: SparkSession, sf_dir: str, table: str, lake: LD.Lake, second: dict | None = None,
+               first: dict | None = None, recency: str = "latest", latest_rows: DataFrame | None = None) -> LD.Lake:
+    """Land all runs but the latest and reload staging from them; land the latest run and merge as ``second`` says."""
     rest, latest = split_latest(spark, sf_dir, table)
-    before = project_updates(dedupe_runs(rest, key, "latest", ties), COLUMN_MAPPING[table],
-                             staging_schema(table))
-    if full:
-        source = dedupe_runs(landing_rows(spark, sf_dir, table), key, "reference", ties)
-    elif bad_dates:
-        day = latest.select("dayId", "runId").first()
-        raw = fx.fx_eod(spark, sf_dir, bad_dates=True).where(
-            (F.col("dayId") == day.dayId) & (F.col("runId") == day.runId))
-        recs = raw.select(fx.record_struct(raw, "eod").alias("r"), *ties).select("r.*", *ties)
-        source = keep_first(flatten_eod(recs, keep=ties), [key], [F.asc(t) for t in ties],
-                            keep_null_keys=True)
-    else:
-        source = dedupe_runs(latest, key, "latest", ties)
-    return before, source.select(*landing_columns(table))
-
-
-def merged(spark: SparkSession, sf_dir: str, table: str, full: bool = False,
-           mapping: dict | None = None, bad_dates: bool = False) -> DataFrame:
-    """Write the staging table, merge the source into it, read it back."""
-    before, source = before_and_updates(spark, sf_dir, table, full, bad_dates)
-    st = S.create_staging(spark, table, shared_dir(spark, "staging", table), before)
-    S.merge_into(spark, st, source, [STAGING_KEY[table]], mapping or COLUMN_MAPPING[table],
-                 key_implies_partition=st.partition is not None)
-    return S.read_staging(spark, st)
+    lt = lake.landing(table)
+    _land(spark, lt, rest)
+    LD.merge_landed(spark, lake, table, {"is_full_reload": True, **(first or {})})
+    _land(spark, lt, latest if latest_rows is None else latest_rows)
+    LD.merge_landed(spark, lake, table, second or {}, recency)
+    return lake
+
+
+def two_calendar_merges(spark: SparkSession, sf_dir: str, lake: LD.Lake) -> LD.Lake:
+    """The calendar, read from CSV, merged over one that lacks its last year and one that is whole."""
+    cal = CAL.calendar_rows(fx.calendar_span(spark, sf_dir))
+    path = shared_dir(spark, "calendar")
+    CAL.write_calendar_csv(cal, path)
+    last_year = cal.agg(F.max("YearId")).first()[0]
+    for rows in (cal.where(F.col("YearId") < last_year), CAL.read_calendar_csv(spark, path)):
+        S.merge_into(spark, lake.staging("DimDate"), rows, ["DateNum"], COLUMN_MAPPING["DimDate"])
+    return lake
+
+
+def bad_latest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest eod run with junk dates on some records, flattened: NULL dates and keys."""
+    rows = landing_rows(spark, sf_dir, "FactEod")
+    latest = max_day_run(rows.select("dayId", "runId")).first()
+    raw = fx.fx_eod(spark, sf_dir, bad_dates=True).where(
+        (F.col("dayId") == latest.dayId) & (F.col("runId") == latest.runId))
+    records = raw.select(fx.record_struct(raw, "eod").alias("r"), "dayId", "runId").select("r.*", "dayId", "runId")
+    return flatten_eod(records, keep=["dayId", "runId"])
 
 
 def groups_each_exchange(dim_company: DataFrame) -> DataFrame:
@@ -164,8 +195,7 @@ def q_page_explode(spark, sf_dir):
 def q_page_totals(spark, sf_dir):
     rows = fx.fx_eod(spark, sf_dir)
     pages = P.build_pages(rows, fx.record_struct(rows, "eod"), order=fx.EOD_TIES)
-    parsed = pages.select("page_no", F.from_json("page", P.page_schema("eod")).alias("p")) \
-        .select("page_no", "p.pagination", "p.data")
+    parsed = P.parse_pages(pages.select("page_no", "page"), "eod")
     return P.page_totals(parsed, "page_no")
 
 
@@ -196,34 +226,40 @@ def q_landing_roundtrip(spark, sf_dir):
 
 def q_landing_append_two_runs(spark, sf_dir):
     rows = landing_rows(spark, sf_dir, "FactDividends")
-    path = shared_dir(spark, "landing", "FactDividends")
-    lt = L.create_landing(spark, f"tm_{path.rsplit('/', 1)[1][:10]}", "FactDividends", path)
-    L.append_runs(rows.where(F.col("runId") <= 6), lt)
-    L.repair(spark, lt)
-    L.append_runs(rows.where(F.col("runId") > 6), lt)
-    L.repair(spark, lt)
+    lt = _new_lake(spark).landing("FactDividends")
+    _land(spark, lt, rows.where(F.col("runId") <= 6))
+    _land(spark, lt, rows.where(F.col("runId") > 6))
     return widen(L.read_landing(spark, lt))
 
 
+def q_table_location(spark, sf_dir):
+    """Each prepared table's location (C6), from its parts on, and the rows found there."""
+    lake, out = lake_of(spark, sf_dir), []
+    for t in TABLES:
+        staged_table(spark, sf_dir, t)
+        at = L.table_location(spark, lake.landing(t).name)
+        out.append(spark.read.parquet(at).select(F.lit(t).alias("table_name"),
+                                                 F.lit("/".join(at.rstrip("/").split("/")[-2:])).alias("location")))
+    union = out[0]
+    for df in out[1:]:
+        union = union.unionByName(df)
+    return union.groupBy("table_name", "location").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def q_landing_run_counts(spark, sf_dir):
     return run_row_counts(L.read_landing(spark, landed(spark, sf_dir, "FactEod")))
 
 
 def q_land_endpoint(spark, sf_dir):
-    """Two more runs of the whole eod response on the fixed run day."""
+    """Two more runs of the whole eod response on the fixed run day, as landed."""
     rows = landing_rows(spark, sf_dir, "FactEod")
-    path = shared_dir(spark, "landing", "FactEod")
-    lt = L.create_landing(spark, f"tm_{path.rsplit('/', 1)[1][:10]}", "FactEod", path)
-    L.append_runs(rows, lt)
-    L.repair(spark, lt)
+    lt = _new_lake(spark).landing("FactEod")
+    _land(spark, lt, rows)
     pages_path = shared_dir(spark, "pages", "eod")
     P.write_pages(P.build_pages(rows, fx.record_struct(rows, "eod")), pages_path)
-    day = LD.run_day(fx.NOW)
     for _ in range(2):
-        pages = P.read_pages(spark, pages_path, "eod").select(
-            F.to_json(F.struct("pagination", "data")).alias("page"))
-        LD.land_pages(spark, lt, pages, "eod", day)
-    return run_row_counts(L.read_landing(spark, lt))
+        LD.land_pages(spark, lt, P.read_pages(spark, pages_path, "eod").select("page"), "eod", LD.run_day(fx.NOW))
+    return widen(L.read_landing(spark, lt))
 
 
 def q_stream_land_eod(spark, sf_dir):
@@ -232,8 +268,7 @@ def q_stream_land_eod(spark, sf_dir):
     rows = landing_rows(spark, sf_dir, "FactEod")
     inbox = shared_dir(spark, "inbox", "eod")
     P.write_pages(P.build_pages(rows, fx.record_struct(rows, "eod")), inbox)
-    path = shared_dir(spark, "landing", "FactEod")
-    lt = L.create_landing(spark, f"tm_{path.rsplit('/', 1)[1][:10]}", "FactEod", path)
+    lt = _new_lake(spark).landing("FactEod")
     query = stream_pages_to_landing(spark, inbox, "eod", lt, LD.run_day(fx.NOW),
                                     shared_dir(spark, "stream-checkpoint"), max_files_per_trigger=4)
     query.awaitTermination()
@@ -260,40 +295,63 @@ def q_next_run_id(spark, sf_dir):
     return next_run_ids(parts, probes)
 
 
-def _distinct_q(table, recency="reference"):
+def _distinct_q(table):
     def q(spark, sf_dir):
-        from tidemark.schemas import DISTINCT_VIEW_KEY
-        cols = [c for c in landing_columns(table) if not (table == "DimCompany" and c == "pk")]
-        out = dedupe_runs(landing_rows(spark, sf_dir, table), DISTINCT_VIEW_KEY[table], recency, _TIES[table])
-        return widen(out.select(*cols))
+        return widen(spark.table(V.distinct_view(landed(spark, sf_dir, table).database, table)))
     return q
 
 
+def q_distinct_eod_latest(spark, sf_dir):
+    return widen(LD.merge_source(spark, landed(spark, sf_dir, "FactEod"), full_reload=True))
+
+
 def _merge_q(table, full=False, mapping=None, bad_dates=False):
+    """Two merges of a fresh lake: a reload of all runs but the latest, then the latest or (as written) all runs."""
     def q(spark, sf_dir):
-        return widen(merged(spark, sf_dir, table, full, mapping, bad_dates))
+        second = {"is_full_reload": full, "column_mapping": mapping}
+        bad = bad_latest_run(spark, sf_dir) if bad_dates else None
+        lake = two_merges(spark, sf_dir, table, _new_lake(spark), second, recency="reference" if full else "latest", latest_rows=bad)
+        return widen(lake.read_staging(table))
     return q
 
 
+def q_reload_matches_incremental(spark, sf_dir):
+    """After an incremental merge a full reload changes nothing: the reloaded table, with both sides' rows counted."""
+    lake = two_merges(spark, sf_dir, "FactDividends", _new_lake(spark))
+    before = lake.read_staging("FactDividends").withColumn("n_before", F.lit(1))
+    LD.merge_landed(spark, lake, "FactDividends", {"is_full_reload": True})
+    after = lake.read_staging("FactDividends").withColumn("n_after", F.lit(1))
+    both = before.unionByName(after, allowMissingColumns=True)
+    return widen(both.groupBy("PK", "Symbol", "Dividend", "Date").agg(
+        F.count("n_before").alias("n_before"), F.count("n_after").alias("n_after")))
+
+
+def q_merge_key_without_date(spark, sf_dir):
+    """Splits keyed by symbol: a matched row moves to its update's date and leaves its old one."""
+    mapping = {**COLUMN_MAPPING["FactSplits"], "PK": "symbol"}
+    rest, latest = split_latest(spark, sf_dir, "FactSplits")
+    ties = V.tie_columns("FactSplits", "symbol")
+    st = S.create_staging(spark, "FactSplits", shared_dir(spark, "staging", "FactSplits"))
+    for rows in (rest, latest):
+        S.merge_into(spark, st, dedupe_runs(rows, "symbol", "latest", ties), ["PK"], mapping)
+    return widen(S.read_staging(spark, st))
+
+
 def q_merge_calendar(spark, sf_dir):
-    cal = CAL.calendar_rows(fx.calendar_span(spark, sf_dir))
-    path = shared_dir(spark, "calendar")
-    CAL.write_calendar_csv(cal, path)
-    last_year = cal.agg(F.max("YearId")).first()[0]
-    st = S.create_staging(spark, "DimDate", shared_dir(spark, "staging", "DimDate"),
-                          cal.where(F.col("YearId") < last_year))
-    S.merge_into(spark, st, CAL.read_calendar_csv(spark, path), ["DateNum"], COLUMN_MAPPING["DimDate"])
-    return S.read_staging(spark, st)
+    return two_calendar_merges(spark, sf_dir, _new_lake(spark)).read_staging("DimDate")
 
 
 def q_staging_partition_overwrite(spark, sf_dir):
-    out = merged(spark, sf_dir, "FactEod")
+    out = two_merges(spark, sf_dir, "FactEod", _new_lake(spark)).read_staging("FactEod")
     return out.groupBy("Date").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def _view_q(fn, *tables):
+def _view_q(view):
     def q(spark, sf_dir):
-        return widen(fn(*[staged(spark, sf_dir, t) for t in tables]))
+        for t in V.ANALYTICS[view][0]:
+            lake = staged_table(spark, sf_dir, t)
+        lake.create_views()
+        return widen(spark.table(f"{lake.analytics_db}.{view}"))
     return q
 
 
@@ -356,7 +414,13 @@ def q_dim_request_paths(spark, sf_dir):
 
 # ------------------------------------------------------------------ config-driven loads
 
-def dim_config(exchanges=("X1", "X2")) -> dict:
+def all_exchanges(spark, sf_dir) -> list[str]:
+    """The exchanges that companies are listed on, as a config would name them (one per nation)."""
+    rows = fx.fx_company(spark, sf_dir).select("exchangeMic").distinct().orderBy("exchangeMic").collect()
+    return [r[0] for r in rows]
+
+
+def dim_config(exchanges) -> dict:
     tables = [{"is_enabled": True, "is_full_reload": False, "table_name": t, "exchange": "",
                "merge_keys": f"destination.{STAGING_KEY[t]} = updates.{LANDING_KEY[t]}",
                "column_mapping": {k: f"updates.{v}" for k, v in COLUMN_MAPPING[t].items()}}
@@ -370,48 +434,60 @@ def dim_config(exchanges=("X1", "X2")) -> dict:
             "table_type": "Dim", "tables": tables}
 
 
-def fact_config(exchanges="'X1', 'X2'", full_reload=False) -> dict:
+def fact_config(exchanges, full_reload=False) -> dict:
     return {"general": {"landing_database_name": "landing", "staging_database_name": "staging"},
             "table_type": "Fact",
             "tables": [{"is_enabled": True, "is_full_reload": full_reload, "endpoint_name": "eod",
                         "history_start_date": fx.HISTORY_START, "table_name": "FactEod",
-                        "exchanges": exchanges, "merge_keys": "destination.PK = updates.pk",
+                        "exchanges": ", ".join(f"'{x}'" for x in exchanges), "merge_keys": "destination.PK = updates.pk",
                         "column_mapping": {k: f"updates.{v}" for k, v in COLUMN_MAPPING["FactEod"].items()}}]}
 
 
-def _lake(spark) -> LD.Lake:
-    root = shared_dir(spark, "lake")
-    return LD.Lake(spark, root, landing_db=f"landing_{root.rsplit('/', 1)[1][:10]}")
+def load_dims(spark, sf_dir) -> tuple[LD.Lake, LD.FilePageSource, list[str]]:
+    """A fresh lake with its dimensions loaded from page files that were landed before."""
+    lake, exchanges = _new_lake(spark), all_exchanges(spark, sf_dir)
+    source = LD.FilePageSource(spark, shared_dir(spark, "inbox"))
+    listed = spark.createDataFrame([(x,) for x in exchanges], "ExchangeId STRING")
+    for t, endpoint in (("DimExchange", "exchanges"), ("DimCurrency", "currencies"), ("DimCompany", "tickers")):
+        requests = RQ.dim_requests(spark, [t], listed if t == "DimCompany" else None)
+        fx.land_answers(spark, sf_dir, t, endpoint, requests, source.root)
+    LD.update_tables(spark, dim_config(exchanges), source, lake, fx.NOW)
+    return lake, source, exchanges
+
+
+def load_facts(spark, sf_dir, lake, source, exchanges, fetched_at: int) -> None:
+    """Land the pages of the next planned requests, then load them."""
+    config = fact_config(exchanges)
+    requests = LD.plan_fact(spark, lake, config["tables"][0], fx.NOW)
+    fx.land_answers(spark, sf_dir, "FactEod", "eod", requests, source.root, fetched_at)
+    LD.update_tables(spark, config, source, lake, fx.NOW)
 
 
 def q_load_dim(spark, sf_dir):
-    lake = _lake(spark)
-    LD.update_tables(spark, dim_config(), fx.FixturePageSource(spark, sf_dir), lake, fx.NOW)
-    return lake.read_staging("DimCompany")
+    return load_dims(spark, sf_dir)[0].read_staging("DimCompany")
 
 
 def q_load_fact(spark, sf_dir):
-    lake = _lake(spark)
-    source = fx.FixturePageSource(spark, sf_dir)
-    LD.update_tables(spark, dim_config(), source, lake, fx.NOW)
-    LD.update_tables(spark, fact_config(), source, lake, fx.NOW)
+    lake, source, exchanges = load_dims(spark, sf_dir)
+    load_facts(spark, sf_dir, lake, source, exchanges, 1)
     return widen(lake.read_staging("FactEod"))
 
 
 def q_update_tables(spark, sf_dir):
-    """Dims, then two fact runs (the second starts at the high-water mark)."""
-    lake = _lake(spark)
-    source = fx.FixturePageSource(spark, sf_dir)
-    LD.update_tables(spark, dim_config(), source, lake, fx.NOW)
-    LD.update_tables(spark, fact_config(), source, lake, fx.NOW)
-    LD.update_tables(spark, fact_config(), source, lake, fx.NOW)
-    counts = [lake.read_staging(t).select(F.lit(t).alias("table_name"))
-              for t in ("DimExchange", "DimCurrency", "DimCompany", "FactEod")]
-    union = counts[0]
-    for c in counts[1:]:
-        union = union.unionByName(c)
-    runs = L.partitions(spark, lake.landing("FactEod")).select(F.lit("FactEod runs").alias("table_name"))
-    return union.unionByName(runs).groupBy("table_name").agg(F.count(F.lit(1)).alias("n_rows"))
+    """Dims, then two fact runs (the second starts at the high-water mark): every table's rows, as JSON."""
+    lake, source, exchanges = load_dims(spark, sf_dir)
+    for fetch in (1, 2):
+        load_facts(spark, sf_dir, lake, source, exchanges, fetch)
+    out = None
+    for t, shown in (("DimExchange", ["ExchangeId", "Name", "Country", "CurrencyId"]), ("DimCurrency", ["CurrencyId", "Symbol", "Name"]),
+                     ("DimCompany", ["PK", "CompanyId", "CompanyName", "ExchangeId"]),
+                     ("FactEod", ["PK", "Symbol", "ExchangeId", "Date"])):
+        cols = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in shown]
+        rows = lake.read_staging(t).select(F.lit(t).alias("table_name"), F.concat_ws("|", *cols).alias("content"))
+        out = rows if out is None else out.unionByName(rows)
+    runs = L.partitions(spark, lake.landing("FactEod")).select(
+        F.lit("FactEod runs").alias("table_name"), F.concat_ws("|", "dayId", "runId").alias("content"))
+    return out.unionByName(runs)
 
 
 QUERIES: dict[str, Query] = {
@@ -430,6 +506,7 @@ QUERIES: dict[str, Query] = {
     "calendar_csv": q_calendar_csv,
     "landing_roundtrip": q_landing_roundtrip,
     "landing_append_two_runs": q_landing_append_two_runs,
+    "table_location": q_table_location,
     "landing_run_counts": q_landing_run_counts,
     "land_endpoint": q_land_endpoint,
     "stream_land_eod": q_stream_land_eod,
@@ -443,7 +520,7 @@ QUERIES: dict[str, Query] = {
     "distinct_dividends": _distinct_q("FactDividends"),
     "distinct_eod": _distinct_q("FactEod"),
     "distinct_splits": _distinct_q("FactSplits"),
-    "distinct_eod_latest": _distinct_q("FactEod", "latest"),
+    "distinct_eod_latest": q_distinct_eod_latest,
     "merge_incremental_eod": _merge_q("FactEod"),
     "merge_incremental_dividends": _merge_q("FactDividends"),
     "merge_incremental_splits": _merge_q("FactSplits"),
@@ -459,16 +536,20 @@ QUERIES: dict[str, Query] = {
     "merge_calendar": q_merge_calendar,
     "merge_unmapped_columns": _merge_q(
         "FactEod", mapping={k: v for k, v in COLUMN_MAPPING["FactEod"].items() if k != "Dividend"}),
+    "merge_mapping_without_partition": _merge_q(
+        "FactDividends", mapping={k: v for k, v in COLUMN_MAPPING["FactDividends"].items() if k != "Date"}),
+    "merge_key_without_date": q_merge_key_without_date,
+    "reload_matches_incremental": q_reload_matches_incremental,
     "merge_null_keys": _merge_q("FactEod", bad_dates=True),
     "staging_partition_overwrite": q_staging_partition_overwrite,
-    "vw_dim_company": _view_q(V.vw_dim_company, "DimCompany", "DimExchange"),
-    "vw_dim_company_exchange": _view_q(V.vw_dim_company_exchange, "DimCompany"),
-    "vw_dim_currency": _view_q(V.vw_dim_currency, "DimCurrency"),
-    "vw_dim_date": _view_q(V.vw_dim_date, "DimDate"),
-    "vw_dim_exchange": _view_q(V.vw_dim_exchange, "DimExchange"),
-    "vw_fact_dividends": _view_q(V.vw_fact_dividends, "FactDividends"),
-    "vw_fact_eod": _view_q(V.vw_fact_eod, "FactEod"),
-    "vw_fact_splits": _view_q(V.vw_fact_splits, "FactSplits"),
+    "vw_dim_company": _view_q("vw_DimCompany"),
+    "vw_dim_company_exchange": _view_q("vw_DimCompanyExchange"),
+    "vw_dim_currency": _view_q("vw_DimCurrency"),
+    "vw_dim_date": _view_q("vw_DimDate"),
+    "vw_dim_exchange": _view_q("vw_DimExchange"),
+    "vw_fact_dividends": _view_q("vw_FactDividends"),
+    "vw_fact_eod": _view_q("vw_FactEod"),
+    "vw_fact_splits": _view_q("vw_FactSplits"),
     "companies_per_exchange": q_companies_per_exchange,
     "companies_per_exchange_multi": q_companies_per_exchange_multi,
     "fact_symbols_distinct": q_fact_symbols_distinct,

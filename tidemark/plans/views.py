@@ -1,97 +1,82 @@
-"""The analytics layer: star-schema views over staging tables (V1-V8).
+"""Catalog views: the analytics layer over staging (V1-V8) and the landing tables' distinct views.
 
-Each view is a DataFrame function of the staging frames; ``register_views``
-publishes them as temp views under their SQL names.
+All are ``CREATE OR REPLACE VIEW`` over catalog tables, so they show what the tables hold when they are
+queried, also after merges.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
-from pyspark.sql import DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
-
-
-def vw_dim_company(dim_company: DataFrame, dim_exchange: DataFrame) -> DataFrame:
-    """One listing per company (highest exchange id) with the exchange's country.
-
-    Companies on unknown exchanges drop out (inner join); the name filter is
-    applied after picking the listing, so a company whose picked listing has
-    no name is not shown even if another listing has one.
+from collections.abc import Iterable
+
+from pyspark.sql import SparkSession
+
+from tidemark.operators.dedupe import RECENCY
+from tidemark.schemas import DISTINCT_VIEW_KEY, landing_columns
+
+# name -> (staging tables it reads, query); {s} is the staging database.
+ANALYTICS = {
+    # One listing per company, of the highest exchange id, with that exchange's country. Companies on unknown
+    # exchanges drop out; a company whose picked listing has no name isn't shown.
+    "vw_DimCompany": (["DimCompany", "DimExchange"], """
+        SELECT CompanyId, CompanyName, ExchangeId, Country FROM (
+            SELECT c.CompanyId, c.CompanyName, c.ExchangeId, e.Country,
+                   row_number() OVER (PARTITION BY c.CompanyId ORDER BY c.ExchangeId DESC) AS listing
+            FROM {s}.DimCompany c JOIN {s}.DimExchange e ON c.ExchangeId = e.ExchangeId)
+        WHERE listing = 1 AND CompanyName IS NOT NULL"""),
+    "vw_DimCompanyExchange": (["DimCompany"], """
+        SELECT PK AS CompanyExchangeId, CompanyId, CompanyName, ExchangeId FROM {s}.DimCompany
+        WHERE CompanyName IS NOT NULL"""),
+    "vw_DimCurrency": (["DimCurrency"], "SELECT CurrencyId, Symbol, Name FROM {s}.DimCurrency"),
+    "vw_DimDate": (["DimDate"], """
+        SELECT *, concat(CAST(YearId AS STRING), ' Q', CAST(Quarter AS STRING)) AS YearAndQuarter FROM {s}.DimDate"""),
+    "vw_DimExchange": (["DimExchange"], """
+        SELECT ExchangeId, Name, Acronym, Country, CountryCode, City, Website, TimezoneName, TimezoneCode, CurrencyId
+        FROM {s}.DimExchange"""),
+    "vw_FactDividends": (["FactDividends"], "SELECT Symbol, Dividend, Date FROM {s}.FactDividends"),
+    # Day ratios are DOUBLE; a zero divisor gives NULL, not an error.
+    "vw_FactEod": (["FactEod"], """
+        SELECT concat(Symbol, '_', ExchangeId) AS CompanyExchangeId, Symbol AS CompanyId, Open, High, Low, Close,
+               Volume, SplitFactor, Dividend, ExchangeId, Date,
+               try_divide(CAST(Close AS DOUBLE), CAST(Open AS DOUBLE)) - 1 AS OpenToCloseChange,
+               try_divide(CAST(High AS DOUBLE), CAST(Low AS DOUBLE)) - 1 AS LowToHightChange
+        FROM {s}.FactEod"""),
+    "vw_FactSplits": (["FactSplits"], "SELECT Symbol, SplitFactor, Date FROM {s}.FactSplits"),
+}
+
+
+def create_analytics_views(spark: SparkSession, staging_db: str, analytics_db: str, location: str) -> list[str]:
+    """``CREATE VIEW analytics_db.vw_*`` for every view whose staging tables exist; returns their full names."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {analytics_db} LOCATION '{location}'")
+    made = []
+    for name, (tables, query) in ANALYTICS.items():
+        if all(spark.catalog.tableExists(f"{staging_db}.{t}") for t in tables):
+            spark.sql(f"CREATE OR REPLACE VIEW {analytics_db}.{name} AS {query.format(s=staging_db)}")
+            made.append(f"{analytics_db}.{name}")
+    return made
+
+
+def distinct_view(database: str, table: str) -> str:
+    return f"{database}.vw_{table}_distinct"
+
+
+def tie_columns(table: str, key: str) -> list[str]:
+    """Landing columns that order the rows of a key within a run: all but the key, so the order is total."""
+    return [c for c in landing_columns(table) if c != key]
+
+
+def create_distinct_views(spark: SparkSession, database: str, tables: Iterable[str]) -> list[str]:
+    """``CREATE VIEW database.vw_<table>_distinct``: one landed row per key, in the order as written.
+
+    Companies are keyed by symbol and come without ``pk`` (T4).
     """
-    exchanges = dim_exchange.select("ExchangeId", "Country")
-    w = Window.partitionBy("CompanyId").orderBy(F.desc("ExchangeId"))
-    picked = (dim_company.join(exchanges, "ExchangeId")
-              .withColumn("__rownum", F.row_number().over(w))
-              .where(F.col("__rownum") == 1))
-    return picked.where(F.col("CompanyName").isNotNull()) \
-        .select("CompanyId", "CompanyName", "ExchangeId", "Country")
-
-
-def vw_dim_company_exchange(dim_company: DataFrame) -> DataFrame:
-    return dim_company.where(F.col("CompanyName").isNotNull()).select(
-        F.col("PK").alias("CompanyExchangeId"), "CompanyId", "CompanyName", "ExchangeId")
-
-
-def vw_dim_currency(dim_currency: DataFrame) -> DataFrame:
-    return dim_currency.select("CurrencyId", "Symbol", "Name")
-
-
-def vw_dim_date(dim_date: DataFrame) -> DataFrame:
-    cols = [c for c in dim_date.columns]
-    return dim_date.select(*cols, F.concat(F.col("YearId").cast("string"), F.lit(" Q"),
-                                           F.col("Quarter").cast("string")).alias("YearAndQuarter"))
-
-
-def vw_dim_exchange(dim_exchange: DataFrame) -> DataFrame:
-    return dim_exchange.select("ExchangeId", "Name", "Acronym", "Country", "CountryCode", "City",
-                               "Website", "TimezoneName", "TimezoneCode", "CurrencyId")
-
-
-def vw_fact_dividends(fact_dividends: DataFrame) -> DataFrame:
-    return fact_dividends.select("Symbol", "Dividend", "Date")
-
-
-def vw_fact_eod(fact_eod: DataFrame) -> DataFrame:
-    """Prices plus day ratios (DOUBLE); a zero divisor gives NULL, not an error."""
-    ratio = lambda a, b: F.try_divide(F.col(a).cast("double"), F.col(b).cast("double")) - 1
-    return fact_eod.select(
-        F.concat(F.col("Symbol"), F.lit("_"), F.col("ExchangeId")).alias("CompanyExchangeId"),
-        F.col("Symbol").alias("CompanyId"),
-        "Open", "High", "Low", "Close", "Volume", "SplitFactor", "Dividend", "ExchangeId", "Date",
-        ratio("Close", "Open").alias("OpenToCloseChange"),
-        ratio("High", "Low").alias("LowToHightChange"),
-    )
-
-
-def vw_fact_splits(fact_splits: DataFrame) -> DataFrame:
-    return fact_splits.select("Symbol", "SplitFactor", "Date")
-
-
-def analytics_views(staging: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """All views that the given staging frames allow."""
-    out = {}
-    if "DimCompany" in staging and "DimExchange" in staging:
-        out["vw_DimCompany"] = vw_dim_company(staging["DimCompany"], staging["DimExchange"])
-    if "DimCompany" in staging:
-        out["vw_DimCompanyExchange"] = vw_dim_company_exchange(staging["DimCompany"])
-    if "DimCurrency" in staging:
-        out["vw_DimCurrency"] = vw_dim_currency(staging["DimCurrency"])
-    if "DimDate" in staging:
-        out["vw_DimDate"] = vw_dim_date(staging["DimDate"])
-    if "DimExchange" in staging:
-        out["vw_DimExchange"] = vw_dim_exchange(staging["DimExchange"])
-    if "FactDividends" in staging:
-        out["vw_FactDividends"] = vw_fact_dividends(staging["FactDividends"])
-    if "FactEod" in staging:
-        out["vw_FactEod"] = vw_fact_eod(staging["FactEod"])
-    if "FactSplits" in staging:
-        out["vw_FactSplits"] = vw_fact_splits(staging["FactSplits"])
-    return out
-
-
-def register_views(spark: SparkSession, staging: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    views = analytics_views(staging)
-    for name, df in views.items():
-        df.createOrReplaceTempView(name)
-    return views
+    made = []
+    for table in tables:
+        key = DISTINCT_VIEW_KEY[table]
+        order = [f"{c} {d.upper()}" for c, d in RECENCY["reference"]] + \
+            [f"{c} ASC NULLS LAST" for c in tie_columns(table, key)]
+        shown = [c for c in landing_columns(table) if table != "DimCompany" or c != "pk"]
+        name = distinct_view(database, table)
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {', '.join(shown)} FROM (SELECT *, row_number() OVER "
+                  f"(PARTITION BY {key} ORDER BY {', '.join(order)}) AS place FROM {database}.{table}) WHERE place = 1")
+        made.append(name)
+    return made

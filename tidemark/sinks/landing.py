@@ -13,11 +13,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.runs import max_day_run, next_run_ids, parse_partitions
-from tidemark.session import exists, mkdirs
+from tidemark.session import delete_path, exists, mkdirs
 from tidemark.schemas import LANDING_DDL, RUN_PARTITION_COLUMNS, landing_schema
 
 
@@ -45,9 +45,7 @@ def create_landing(spark: SparkSession, database: str, table: str, path: str,
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {database}.{table} ({LANDING_DDL[table]}, dayId INT, runId INT) "
         f"USING PARQUET PARTITIONED BY ({', '.join(RUN_PARTITION_COLUMNS)}) LOCATION '{path}'")
-    lt = LandingTable(database, table, path)
-    repair(spark, lt)
-    return lt
+    return LandingTable(database, table, path)
 
 
 def table_location(spark: SparkSession, name: str) -> str:
@@ -75,27 +73,37 @@ def register_run(spark: SparkSession, lt: LandingTable, day_id: int, run_id: int
     if not exists(spark, f"{lt.path}/dayId={day_id}/runId={run_id}"):
         return False
     spark.sql(f"ALTER TABLE {lt.name} ADD IF NOT EXISTS PARTITION (dayId={day_id}, runId={run_id})")
+    spark.catalog.refreshTable(lt.name)  # a replayed run has new files
     return True
 
 
-def append_runs(df: DataFrame, lt: LandingTable, one_run: bool = False) -> None:
+def append_runs(df: DataFrame, lt: LandingTable) -> None:
     """Append rows that already carry ``dayId``/``runId`` (K1)."""
     cols = [f.name for f in landing_schema(lt.table).fields]
     out = df.select(*[F.col(c).cast(t.dataType) for c, t in
                       zip(cols, landing_schema(lt.table).fields)])
-    # Several runs: rebalance by run, so AQE sizes the write tasks by bytes and
-    # a run becomes a few large files rather than one small file per (task, run).
-    # One run: the run columns are constant, and hashing them would send every
-    # row to one partition; an unkeyed rebalance spreads them (AQE still merges
-    # small outputs).
-    out = out.hint("rebalance") if one_run else out.hint("rebalance", *RUN_PARTITION_COLUMNS)
-    out.write.mode("append").partitionBy(*RUN_PARTITION_COLUMNS).parquet(lt.path)
+    # Rebalanced by run, so AQE sizes the write tasks by bytes and a run becomes a
+    # few large files rather than one small file per (task, run).
+    out.hint("rebalance", *RUN_PARTITION_COLUMNS).write.mode("append").partitionBy(*RUN_PARTITION_COLUMNS).parquet(lt.path)
 
 
-def append_run(df: DataFrame, lt: LandingTable, day_id: int, run_id: int) -> None:
-    """Append one run: every row gets the same ``dayId``/``runId``."""
-    append_runs(df.withColumn("dayId", F.lit(int(day_id))).withColumn("runId", F.lit(int(run_id))), lt,
-                one_run=True)
+def append_run(df: DataFrame, lt: LandingTable, day_id: int, run_id: int) -> int:
+    """Write one run into its own folder, replacing what a failed attempt left there; returns its rows.
+
+    A response without records is no run: it leaves no folder.
+    """
+    fields = landing_schema(lt.table, with_run=False).fields
+    out = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
+    # The run's folder is its identity; an unkeyed rebalance spreads the rows over write tasks.
+    folder, observed = run_path(lt, day_id, run_id), Observation()
+    out.hint("rebalance").observe(observed, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(folder)
+    if not observed.get["n"]:
+        delete_path(df.sparkSession, folder)
+    return observed.get["n"]
+
+
+def run_path(lt: LandingTable, day_id: int, run_id: int) -> str:
+    return f"{lt.path}/dayId={int(day_id)}/runId={int(run_id)}"
 
 
 def read_landing(spark: SparkSession, lt: LandingTable) -> DataFrame:
@@ -123,6 +131,10 @@ def latest_run_rows(spark: SparkSession, lt: LandingTable) -> DataFrame:
 
 
 def next_run_id(spark: SparkSession, lt: LandingTable, day_id: int) -> int:
-    """1 + the highest run of ``day_id`` (numerically), or 1 (O2)."""
+    """1 + the highest registered run of ``day_id`` (numerically), or 1 (O2).
+
+    A run that was written but not registered, because the driver was lost in between, isn't counted:
+    the retry takes its id and replaces its folder.
+    """
     days = spark.createDataFrame([(int(day_id),)], "dayId INT")
     return int(next_run_ids(partitions(spark, lt), days).first().next_run_id)

@@ -1,43 +1,39 @@
-"""Current-state staging tables and the upsert that maintains them (K2, K3, K5).
-
-No transactional table format is assumed (plain Parquet rejects ``MERGE``),
-so a merge is computed as a DataFrame and written in one of two ways:
-
-* **partitioned facts** (``Date``): only partitions the updates touch are read
-  and rewritten, with dynamic partition overwrite. When the key implies the
-  partition (fact keys end in the date), touched partitions are the update
-  dates; otherwise the partitions of matched destination rows are added. The
-  touched dates (one value per partition) become a literal ``IN`` filter, so
-  the destination scan is pruned statically to those partitions.
-  Rows with a NULL date live in the default partition, which is always rewritten.
-  Dynamic overwrite only replaces partitions that receive rows, so when a
-  matched row moves to another date and leaves its old partition empty, that
-  partition's folder is deleted after the write has committed.
-* **unpartitioned dims**: the merged table is written to a new version folder;
-  readers take the newest version whose ``_SUCCESS`` marker exists, so a
-  failed or half-written merge is never seen. After a write, the newest
-  ``KEEP_VERSIONS`` complete versions are kept and the rest are deleted.
-
-Neither is atomic across partitions the way a transaction log is; a failed
-fact merge can leave some partitions rewritten and others not. Re-running the
-same merge is idempotent, which is the recovery path.
+"""Current-state staging tables and the upsert that maintains them.
+
+A staging table is an external catalog table over Parquet folders. A merge never touches a file that
+the table uses: it writes its result into a new folder and then points the catalog at it.
+
+* **unpartitioned dims**: ``ALTER TABLE ... SET LOCATION`` to the folder with the whole merged table;
+  one step, so a reader sees the table before or after the merge.
+* **partitioned facts** (``Date``): only the partitions that the updates touch are read and rewritten;
+  then each one's location is switched (``PARTITION ... SET LOCATION``), new ones are added and those
+  left without rows are dropped from the catalog. The switch is one step per date, so a driver lost
+  in the middle leaves some dates merged and others not: nothing is lost, and running the merge again
+  completes it.
+
+Frames resolved before a merge keep reading the old folders. ``retire`` deletes folders that the table
+no longer uses and that are older than the operator says; no merge deletes anything.
+
+The touched dates (one value per partition) become a literal ``IN`` filter, so every scan of the
+destination is pruned statically. Where the key implies the date, they are the dates of the updates;
+else the dates of matched destination rows are added.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+import hashlib
+import time
+import uuid
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from itertools import islice
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.upsert import fail_on_duplicate_matches, merge_frames, project_updates
-from tidemark.schemas import STAGING_PARTITION, staging_schema
-from tidemark.session import delete_path, exists, list_dirs, shared_dir
+from tidemark.operators.upsert import bad_casts, fail_on_duplicate_matches, merge_frames, project_updates, source_text
+from tidemark.schemas import COLUMN_MAPPING, STAGING_DDL, STAGING_PARTITION, staging_schema
+from tidemark.session import delete_path, exists, list_dirs, mkdirs, modified_ms
 
-_VERSION = "v"
-KEEP_VERSIONS = 3
 # Fixed value: the folder name Spark gives the partition of NULL values.
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
@@ -46,141 +42,162 @@ _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 class StagingTable:
     table: str    # logical table, e.g. "FactEod"
     path: str
+    database: str
 
     @property
     def partition(self) -> str | None:
         return STAGING_PARTITION.get(self.table)
 
-
-def _empty(spark: SparkSession, table: str) -> DataFrame:
-    return spark.createDataFrame([], staging_schema(table))
+    @property
+    def name(self) -> str:
+        return f"{self.database}.{self.table}"
 
 
-def _versions(spark: SparkSession, st: StagingTable) -> list[int]:
-    """Every version folder, complete or not, oldest first (one listing)."""
-    return sorted(int(n[1:]) for n in list_dirs(spark, st.path) if n.startswith(_VERSION) and n[1:].isdigit())
+def staging_table(table: str, path: str, database: str | None = None) -> StagingTable:
+    return StagingTable(table, path, database or "stg_" + hashlib.md5(path.encode()).hexdigest()[:10])
 
 
-def _complete(spark: SparkSession, st: StagingTable, versions: list[int]) -> Iterator[int]:
-    """Versions whose write committed (``_SUCCESS``), newest first, probed lazily."""
-    return (v for v in reversed(versions) if exists(spark, f"{_version_path(st, v)}/_SUCCESS"))
+def read_staging(spark: SparkSession, st: StagingTable) -> DataFrame:
+    if not spark.catalog.tableExists(st.name):
+        return spark.createDataFrame([], staging_schema(st.table))
+    return spark.table(st.name).select(*[f.name for f in staging_schema(st.table).fields])
 
 
-def _latest(spark: SparkSession, st: StagingTable) -> int | None:
-    return next(_complete(spark, st, _versions(spark, st)), None)
+def _conform(df: DataFrame, table: str) -> DataFrame:
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in staging_schema(table).fields])
 
 
-def _version_path(st: StagingTable, v: int) -> str:
-    return f"{st.path}/{_VERSION}{v:08d}"
+def _new_folder(st: StagingTable, kind: str) -> str:
+    return f"{st.path}/{kind}-{uuid.uuid4().hex}"
 
 
-def read_staging(spark: SparkSession, st: StagingTable) -> DataFrame:
-    schema = staging_schema(st.table)
+def _write(st: StagingTable, df: DataFrame) -> str:
+    """Write rows into a new folder; rebalance sizes files by bytes, not by (tasks x dates)."""
+    folder, df = _new_folder(st, "v"), _conform(df, st.table)
     if st.partition:
-        if not exists(spark, st.path):
-            return _empty(spark, st.table)
-        df = spark.read.schema(schema).parquet(st.path)
-        return df.select(*[f.name for f in schema.fields])
-    latest = _latest(spark, st)
-    if latest is None:
-        return _empty(spark, st.table)
-    return spark.read.schema(schema).parquet(_version_path(st, latest))
+        df.hint("rebalance", st.partition).write.partitionBy(st.partition).parquet(folder)
+    else:
+        df.hint("rebalance").write.parquet(folder)
+    return folder
 
 
-def _conform(df: DataFrame, table: str) -> DataFrame:
-    schema = staging_schema(table)
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+def _create(spark: SparkSession, st: StagingTable, location: str) -> None:
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {st.database} LOCATION '{st.path}/_db'")
+    partitioned = f"PARTITIONED BY ({st.partition})" if st.partition else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {st.name} ({STAGING_DDL[st.table]}) USING PARQUET {partitioned} "
+              f"LOCATION '{location}'")
 
 
-def write_staging(spark: SparkSession, st: StagingTable, df: DataFrame, replace_all: bool = False) -> None:
-    """Write rows as the table's content (facts: the partitions present in ``df``)."""
-    df = _conform(df, st.table)
-    if st.partition:
-        mode = "static" if replace_all else "dynamic"
-        # rebalance: AQE merges small date partitions and splits skewed ones,
-        # so files are sized by bytes, not by (tasks x dates)
-        (df.hint("rebalance", st.partition).write.mode("overwrite").option("partitionOverwriteMode", mode)
-           .partitionBy(st.partition).parquet(st.path))
+def _value(folder_name: str) -> str:
+    text = folder_name.split("=", 1)[1]
+    return "null" if text == _NULL_PARTITION else str(int(text))
+
+
+def _switch(spark: SparkSession, st: StagingTable, folder: str, rewritten: Sequence[str]) -> None:
+    """Point the table at ``folder``; facts: its dates there, and ``rewritten`` dates that aren't in it go."""
+    if not st.partition:
+        _create(spark, st, folder)
+        spark.sql(f"ALTER TABLE {st.name} SET LOCATION '{folder}'")
+        spark.catalog.refreshTable(st.name)
         return
-    versions = _versions(spark, st)
-    nxt = (versions[-1] + 1) if versions else 1   # past failed attempts too
-    df.hint("rebalance").write.mode("overwrite").parquet(_version_path(st, nxt))
-    # Retention: the newest complete versions stay readable for readers that
-    # resolved them just before this write; everything older is removed.
-    keep = list(islice(_complete(spark, st, [*versions, nxt]), KEEP_VERSIONS))
-    for v in versions:
-        if v < keep[-1]:
-            delete_path(spark, _version_path(st, v))
-
-
-def create_staging(spark: SparkSession, table: str, path: str, initial: DataFrame | None = None) -> StagingTable:
-    st = StagingTable(table, path)
-    write_staging(spark, st, initial if initial is not None else _empty(spark, table), replace_all=True)
+    if not spark.catalog.tableExists(st.name):
+        mkdirs(spark, f"{st.path}/base")
+        _create(spark, st, f"{st.path}/base")
+    part = st.partition
+    known = {_value(r[0]) for r in spark.sql(f"SHOW PARTITIONS {st.name}").collect()}
+    written = {_value(n): f"{folder}/{n}" for n in list_dirs(spark, folder) if n.startswith(f"{part}=")}
+    added = [f"PARTITION ({part}={v}) LOCATION '{at}'" for v, at in written.items() if v not in known]
+    for i in range(0, len(added), 500):
+        spark.sql(f"ALTER TABLE {st.name} ADD IF NOT EXISTS {' '.join(added[i:i + 500])}")
+    for v, at in written.items():
+        if v in known:
+            spark.sql(f"ALTER TABLE {st.name} PARTITION ({part}={v}) SET LOCATION '{at}'")
+    for v in rewritten:
+        if v in known and v not in written:
+            spark.sql(f"ALTER TABLE {st.name} DROP IF EXISTS PARTITION ({part}={v})")
+    spark.catalog.refreshTable(st.name)
+
+
+def create_staging(spark: SparkSession, table: str, path: str, initial: DataFrame | None = None,
+                   database: str | None = None) -> StagingTable:
+    """A staging table holding ``initial``; a table that exists gets it as its whole content."""
+    st = staging_table(table, path, database)
+    rows = initial if initial is not None else spark.createDataFrame([], staging_schema(table))
+    folder = _write(st, rows)
+    known = [_value(r[0]) for r in spark.sql(f"SHOW PARTITIONS {st.name}").collect()] \
+        if st.partition and spark.catalog.tableExists(st.name) else []
+    _switch(spark, st, folder, known)
     return st
 
 
+def key_implies_partition(table: str, keys: Sequence[str], mapping: Mapping[str, str | Column]) -> bool:
+    """Is the key of ``mapping`` the landing key, which ends in the date, and the partition that date?"""
+    part, usual = STAGING_PARTITION.get(table), COLUMN_MAPPING[table]
+    return bool(part) and list(keys) == ["PK"] and all(
+        source_text(mapping.get(c)) == usual[c] for c in ("PK", part))
+
+
 def merge_into(spark: SparkSession, st: StagingTable, updates: DataFrame, keys: Sequence[str],
-               mapping: Mapping[str, str | Column], key_implies_partition: bool = False) -> None:
-    """Upsert ``updates`` into the staging table and persist the result."""
+               mapping: Mapping[str, str | Column], unique_source: bool = False) -> dict[str, int]:
+    """Upsert ``updates`` into the staging table; returns {column: rows whose value couldn't be cast}.
+
+    ``unique_source`` says that no two updates share a key, which spares the check for it.
+    """
     dest = read_staging(spark, st)
-    if not st.partition:
-        write_staging(spark, st, merge_frames(dest, updates, keys, mapping, check="inline"))
-        return
-    staged_at = shared_dir(spark, "merge_updates", st.table)
+    observed = Observation()
+    counted = updates.observe(observed, *bad_casts(mapping, dest.schema))
+    staged_at = _new_folder(st, "_updates")
     try:
-        _merge_partitioned(spark, st, dest, stage_updates(spark, project_updates(updates, mapping, dest.schema),
-                                                          staged_at), keys, key_implies_partition)
+        mapped = stage_updates(spark, project_updates(counted, mapping, dest.schema), staged_at)
+        if st.partition:
+            _merge_partitioned(spark, st, dest, mapped, keys, key_implies_partition(st.table, keys, mapping), unique_source)
+        else:
+            merged = merge_frames(dest, mapped, keys, {c: c for c in mapped.columns}, check=False if unique_source else "inline")
+            _switch(spark, st, _write(st, merged), [])
     finally:
         delete_path(spark, staged_at)
+    return {c: n for c, n in observed.get.items() if n}
 
 
 def stage_updates(spark: SparkSession, mapped: DataFrame, path: str) -> DataFrame:
-    """Write the mapped update rows once and read them back.
+    """Write the mapped update rows once, beside the table, and read them back.
 
-    The merge reads the update side in several branches (touched dates, keys
-    for the anti-join, inserts, duplicate check), each pruned to other columns,
-    so Spark would recompute the source (for a full reload: a dedupe of the
-    whole landing table) once per branch. Written as Parquet under the shared
-    folder, it is computed once and every branch reads only its columns.
+    The merge reads the update side in several branches (touched dates, keys for the anti-join, inserts,
+    duplicate check), each pruned to other columns, so Spark would recompute the source (for a full
+    reload: a dedupe of the whole landing table) once per branch.
     """
-    mapped.write.mode("overwrite").parquet(path)
+    mapped.write.parquet(path)
     return spark.read.schema(mapped.schema).parquet(path)
 
 
 def _merge_partitioned(spark: SparkSession, st: StagingTable, dest: DataFrame, mapped: DataFrame,
-                       keys: Sequence[str], key_implies_partition: bool) -> None:
+                       keys: Sequence[str], implied: bool, unique_source: bool) -> None:
     part = st.partition
-    touched = mapped.select(part)
-    if not key_implies_partition:
-        touched = touched.unionByName(dest.join(mapped.select(*keys), list(keys), "left_semi").select(part))
-    # Partition values only, at most one per date, reach the driver. As a literal
-    # list they prune the destination scan statically (``PartitionFilters``),
-    # whatever the optimizer would decide about dynamic pruning.
+    matched = dest.join(mapped.select(*keys), list(keys), "left_semi").select(part)
+    touched = mapped.select(part) if part in mapped.columns else matched
+    if part in mapped.columns and not implied:
+        touched = touched.unionByName(matched)
+    # Partition values only, at most one per date, reach the driver.
     values = [r[0] for r in touched.where(F.col(part).isNotNull()).distinct().collect()]
     scope = dest.where(F.col(part).isin(values) | F.col(part).isNull())
     merged = merge_frames(scope, mapped, keys, {c: c for c in mapped.columns}, check=False)
-    emptied = [] if key_implies_partition else emptied_partitions(scope, mapped, keys, part)
-    # Every destination row an update can match lies in ``scope`` (its date is
-    # touched, or it was added as a moved row's partition), so the duplicate
-    # check reads only the rewritten partitions, like the rest of the merge.
-    write_staging(spark, st, merged.unionByName(fail_on_duplicate_matches(scope, mapped, keys)))
-    # Only after the commit: a failure before this point leaves the old rows in
-    # place, and re-running the merge finds and removes them again.
-    for value in emptied:
-        delete_path(spark, f"{st.path}/{part}={_NULL_PARTITION if value is None else value}")
-
-
-def emptied_partitions(scope: DataFrame, mapped: DataFrame, keys: Sequence[str], part: str) -> list:
-    """Partition values whose matched rows all move elsewhere, leaving no row.
-
-    ``scope`` is the destination restricted to the rewritten partitions. The
-    result is a list of partition values (at most one per touched partition),
-    the only thing brought to the driver.
+    if not unique_source:
+        # Every destination row an update can match lies in ``scope``.
+        merged = merged.unionByName(fail_on_duplicate_matches(scope, mapped, keys))
+    _switch(spark, st, _write(st, merged), [*map(str, values), "null"])
+
+
+def retire(spark: SparkSession, st: StagingTable, older_than_seconds: float) -> list[str]:
+    """Delete version folders that the table doesn't use and that are at least that old; returns their names.
+
+    To be called apart from merges, with an age above that of the oldest reader.
     """
-    keys = list(keys)
-    upd_keys = mapped.select(*keys)
-    had_match = scope.join(upd_keys, keys, "left_semi").select(part).distinct()
-    after = (scope.join(upd_keys, keys, "left_anti").select(F.col(part).alias("_p"))
-             .unionByName(mapped.select(F.col(part).alias("_p"))).distinct())
-    gone = had_match.join(after, had_match[part].eqNullSafe(after["_p"]), "left_anti")
-    return [r[0] for r in gone.collect()]
+    used = {f.rsplit(f"{st.path.rsplit('/', 1)[1]}/", 1)[-1].split("/")[0] for f in spark.table(st.name).inputFiles()}
+    location = spark.sql(f"DESCRIBE TABLE EXTENDED {st.name}").where("col_name = 'Location'").first()[1]
+    used.add(location.rstrip("/").rsplit("/", 1)[-1])
+    limit = (time.time() - older_than_seconds) * 1000
+    gone = [n for n in list_dirs(spark, st.path) if n.split("-")[0] in ("v", "_updates") and n not in used
+            and exists(spark, f"{st.path}/{n}") and modified_ms(spark, f"{st.path}/{n}") <= limit]
+    for n in gone:
+        delete_path(spark, f"{st.path}/{n}")
+    return gone

@@ -17,35 +17,63 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.paging import assign_pages
+from tidemark.operators.indexing import rank_within
+from tidemark.operators.paging import assign_pages, page_requests
 from tidemark.schemas import PAGE_SIZE, page_schema
 
 
 def read_pages(spark: SparkSession, path: str | Sequence[str], endpoint: str) -> DataFrame:
-    """Pages of one endpoint from JSON-lines files: (pagination, data)."""
-    return spark.read.schema(page_schema(endpoint)).json(path, mode="PERMISSIVE")
+    """Pages of one endpoint from JSON-lines files: (page, pagination, data)."""
+    return parse_pages(spark.read.text(path).withColumnRenamed("value", "page"), endpoint)
 
 
 def parse_pages(df: DataFrame, endpoint: str, json_col: str = "page") -> DataFrame:
-    """Pages held as JSON text in a column -> (pagination, data)."""
+    """Pages held as JSON text in a column, with their parsed ``pagination`` and ``data``."""
     parsed = F.from_json(F.col(json_col), page_schema(endpoint))
-    return df.select(parsed.alias("__p")).select("__p.pagination", "__p.data")
+    kept = [c for c in df.columns if c != json_col]
+    return df.select(*kept, F.col(json_col).alias("page"), parsed.alias("__p")).select(
+        *kept, "page", "__p.pagination", "__p.data")
 
 
-def _data_or_fail(pages: DataFrame) -> Column:
-    return F.coalesce(F.col("data"), F.raise_error(
-        F.concat(F.lit("API page without data: "), F.to_json(F.struct(*pages.columns)))))
+def _or_fail(value: Column, what: str) -> Column:
+    return F.coalesce(value, F.raise_error(F.concat(F.lit(what), F.coalesce("page", F.lit("null")))))
+
+
+def _data_or_fail() -> Column:
+    return _or_fail(F.col("data"), "API page without data: ")
+
+
+def _total_or_fail() -> Column:
+    return _or_fail(F.col("pagination.total"), "API page without a total: ")
 
 
 def explode_pages(pages: DataFrame) -> DataFrame:
-    """One row per record, one column per record field."""
-    return pages.select(F.inline(_data_or_fail(pages)))
+    """One row per record, one column per record field; a page without data fails with its text."""
+    return pages.select(F.inline(_data_or_fail()))
 
 
 def page_totals(pages: DataFrame, *keep: str) -> DataFrame:
-    """(total, n_records) per page: the response total and the page's own size."""
-    return pages.select(*keep, F.col("pagination.total").alias("total"),
-                        F.size(_data_or_fail(pages)).cast("long").alias("n_records"))
+    """(total, n_records) per page: the response total and the page's own size; either missing fails."""
+    return pages.select(*keep, _total_or_fail().alias("total"), F.size(_data_or_fail()).cast("long").alias("n_records"))
+
+
+def fail_on_missing_pages(pages: DataFrame, requests: DataFrame) -> DataFrame:
+    """No rows, with the one column ``path`` of ``requests``; fails if a request has no page, or fewer records
+    than its total.
+
+    ``pages`` (request, offset, pagination, data) are the parsed pages of ``requests`` (path). The message
+    names the request and the first planned page that is missing.
+    """
+    read = (page_totals(pages, "request", "offset").groupBy("request")
+            .agg(F.max("total").alias("total"), F.sum("n_records").alias("got"), F.collect_set("offset").alias("offsets")))
+    planned = page_requests(requests.select("path").distinct().join(read, F.col("path") == F.col("request"), "left")
+                            .withColumn("total", F.coalesce("total", F.lit(0))))
+    all_pages = F.size("offsets") * PAGE_SIZE >= F.col("total")  # then a page itself is short; the first one stands for it
+    short = (F.col("got") < F.col("total")) & (~F.array_contains("offsets", F.col("offset")) | (all_pages & (F.col("page_no") == 0)))
+    missing = planned.filter(F.col("request").isNull() | short)
+    told = F.concat(F.lit("incomplete response to "), F.col("path"), F.lit(": "), F.coalesce(F.col("got"), F.lit(0)),
+                    F.lit(" of "), F.col("total"), F.lit(" records, page at offset "), F.col("offset"))
+    return missing.select(F.raise_error(told).cast("string").alias("path"))
 
 
 def build_pages(records: DataFrame, record: Column, total: int | Column | None = None,
@@ -57,7 +85,8 @@ def build_pages(records: DataFrame, record: Column, total: int | Column | None =
     request a record answers: pages never mix requests, and each page's
     ``pagination.total`` is its request's record count (a grouped count joined
     back, so no separate action runs). Each page gathers at most ``page_size``
-    records, so no group is unbounded. Adds ``page_no`` (and the group columns).
+    records, so no group is unbounded. Adds ``page_no`` (and the group columns): with ``order``, which must
+    make a request's records unique, it counts a request's pages, else it only tells pages apart.
     """
     group = list(group)
     order_cols = [F.col(c) if isinstance(c, str) else c for c in (order or [])]
@@ -74,7 +103,10 @@ def build_pages(records: DataFrame, record: Column, total: int | Column | None =
     else:
         total_col = total if isinstance(total, Column) else F.lit(int(total)).cast("long")
         sel = sel.withColumn("__total", total_col)
-    paged = assign_pages(sel, page_size, order=keys or None, name="page_no")
+    if keys:
+        paged = rank_within(sel, group, keys, "__pos").withColumn("page_no", F.floor(F.col("__pos") / page_size).cast("long"))
+    else:
+        paged = assign_pages(sel, page_size, name="page_no")
     if keys:
         # sorting the (order keys, record) structs keeps records in order inside a page
         recs = F.transform(F.sort_array(F.collect_list(F.struct(*keys, "__rec"))), lambda r: r["__rec"])
@@ -90,3 +122,16 @@ def build_pages(records: DataFrame, record: Column, total: int | Column | None =
 def write_pages(pages: DataFrame, path: str) -> None:
     """Land pages as JSON-lines text, one page per line."""
     pages.select("page").write.mode("append").text(path)
+
+
+#: What a fetcher lands for each page it got: the request it answers, when, from which record on, and its text.
+FETCHED = "request STRING, fetched_at LONG, offset LONG, page STRING"
+
+
+def write_fetched(pages: DataFrame, path: str, fetched_at: int, page_size: int = PAGE_SIZE) -> None:
+    """Land the pages of ``build_pages(..., group=["path"])`` as a fetcher does: JSON lines of FETCHED.
+
+    The pages must be built in an order.
+    """
+    (pages.select(F.col("path").alias("request"), F.lit(int(fetched_at)).alias("fetched_at"),
+                  (F.col("page_no") * page_size).cast("long").alias("offset"), "page").write.mode("append").json(path))

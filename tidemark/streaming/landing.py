@@ -5,44 +5,50 @@ into an inbox instead, ``stream_pages_to_landing`` picks them up with a file
 stream (declared schema, no inference), flattens them with the endpoint's
 flattener and lands every micro-batch as its own run of the landing table.
 
-Exactly-once on restart: run ``first_run + batch_id`` is written with
-overwrite into its own run folder, and the batch id comes from the stream's
-checkpoint, so a batch replayed after a lost executor or driver rewrites the
-same run instead of appending a copy. Downstream dedupe treats runs as usual.
+Exactly-once on restart: run ``first_run + batch_id`` of day ``day_id`` is written with overwrite into
+its own run folder. The batch id comes from the stream's checkpoint, and day and first run are kept
+beside it from the first start on, so a batch replayed after a lost executor or driver rewrites the
+same run instead of appending a copy. A stream lands under the day of its first start; a new
+checkpoint folder begins a new day. Downstream dedupe treats runs as usual.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.flatten import flatten
-from tidemark.schemas import landing_schema, page_schema
+from tidemark.session import exists
 from tidemark.sinks import landing as L
-from tidemark.sources.pages import explode_pages
+from tidemark.sources.pages import explode_pages, parse_pages
+
+
+def _first_run(spark: SparkSession, lt: L.LandingTable, day_id: int, checkpoint_dir: str) -> tuple[int, int]:
+    """(day, first run) of the stream, as its first start wrote them beside the checkpoint."""
+    kept = f"{checkpoint_dir.rstrip('/')}_first_run"
+    if not exists(spark, f"{kept}/_SUCCESS"):
+        first = spark.createDataFrame([(int(day_id), L.next_run_id(spark, lt, day_id))], "day_id INT, first_run INT")
+        first.coalesce(1).write.mode("overwrite").json(kept)
+    row = spark.read.schema("day_id INT, first_run INT").json(kept).first()
+    return row.day_id, row.first_run
 
 
 def stream_pages_to_landing(spark: SparkSession, inbox: str, endpoint: str, lt: L.LandingTable,
-                            day_id: int, checkpoint_dir: str, first_run: int | None = None,
-                            max_files_per_trigger: int | None = None,
+                            day_id: int, checkpoint_dir: str, max_files_per_trigger: int | None = None,
                             available_now: bool = True) -> StreamingQuery:
     """Start the stream; with ``available_now`` it stops when the inbox is drained."""
-    if first_run is None:
-        first_run = L.next_run_id(spark, lt, day_id)
-    reader = spark.readStream.schema(page_schema(endpoint))
+    day_id, first_run = _first_run(spark, lt, day_id, checkpoint_dir)
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    records = flatten(explode_pages(reader.json(inbox)), endpoint)
-    fields = [f for f in landing_schema(lt.table, with_run=False).fields]
-
+    pages = parse_pages(reader.text(inbox), endpoint, "value")
+    records = flatten(explode_pages(pages), endpoint)
     def land_batch(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
         run = first_run + int(batch_id)
-        out = batch.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
-        out.write.mode("overwrite").parquet(f"{lt.path}/dayId={int(day_id)}/runId={run}")
-        L.register_run(batch.sparkSession, lt, day_id, run)
+        L.append_run(batch, lt, day_id, run)
+        L.register_run(spark, lt, day_id, run)  # the caller's session, whose listing is refreshed
 
     writer = records.writeStream.foreachBatch(land_batch).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
