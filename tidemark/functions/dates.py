@@ -30,8 +30,3 @@ def date_key(c) -> Column:
 def int_to_date(c) -> Column:
     """INT date key ``20220706`` -> text ``2022-07-06``."""
     return F.date_format(F.to_date(_c(c).cast("string"), "yyyyMMdd"), "yyyy-MM-dd")
-
-
-def iso_date(c) -> Column:
-    """DATE/TIMESTAMP -> ``yyyy-MM-dd`` text."""
-    return F.date_format(_c(c), "yyyy-MM-dd")
