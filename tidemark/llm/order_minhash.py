@@ -7,8 +7,11 @@ verified by a banded alignment of the words: its similarity is the windows that
 conserves over the windows of both texts, and 0.8 or more links them. Classes are the connected
 components of the links.
 
-Candidates of a bucket are first compared with one pivot, a text a round; texts that are connected by then need
-no comparison, and of the others every pair that shares a bucket is compared.
+Two exact bounds settle most pairs of texts that are merely related: windows that only one
+component has are shared with no other, and texts share no more windows than they have of the same
+hash classes. Candidates of a bucket are then compared with few pivots;
+texts that are connected by then need no comparison, and of the others every pair that shares a
+bucket, and that the bounds leave open, is compared.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import HOT_PARTS, left_join_hot, store
@@ -30,7 +33,10 @@ WINDOW = 5
 SIMILARITY = 0.8
 SKETCHES = 40
 SAMPLED = 7
-PIVOT_ROUNDS = 2
+#: Pivots of a bucket in each round.
+PIVOTS = (1, 8, 8)
+#: Hash classes that a text's windows are counted by.
+CLASSES = 128
 
 _SALTS = 64
 _CELLS = 1 << 21
@@ -116,6 +122,42 @@ def _sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame(rows, columns=["doc_id", "text_key", "n_words", "n_kmers", "sketches"])
 
 
+def _windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        found = [labelled(windows(word_hashes(text))).view(np.int64).tolist() for text in batch["text"]]
+        yield pd.DataFrame({"doc_id": batch["doc_id"], "root": batch["root"], "windows": found})
+
+
+def _classes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        found = [np.bincount((labelled(windows(word_hashes(text))) % np.uint64(CLASSES)).astype(np.int64), minlength=CLASSES)
+                 .tolist() for text in batch["text"]]
+        yield pd.DataFrame({"doc_id": batch["doc_id"], "classes": found})
+
+
+def _own_windows(texts: DataFrame, placed: DataFrame) -> DataFrame:
+    """(doc_id, own): how many labelled windows of each text of ``placed`` (doc_id, root) only texts of its
+    root have. No text of another root shares them."""
+    rows = store(texts.join(placed, "doc_id").mapInPandas(_windows, "doc_id long, root long, windows array<long>")
+                 .select("doc_id", "root", F.explode("windows").alias("window")), "op7_windows")
+    alone = store(rows.groupBy("window").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+                  .filter("lo = hi").select("window", "n"), "op7_alone")
+    found = left_join_hot(rows, alone, ["window"], "n", rows.count())
+    return found.filter("n IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("own"))
+
+
+def _can_be_near(least: float, kmers: str, own: str, other_kmers: str, other_own: str) -> Column:
+    """False where two texts can't share enough windows: neither shares the windows that its root alone has."""
+    shared = F.least(F.col(kmers) - F.col(own), F.col(other_kmers) - F.col(other_own))
+    return shared * (1 + least) >= (F.col(kmers) + F.col(other_kmers)) * least - F.lit(1e-6)
+
+
+def _classes_allow(least: float, classes: str, other_classes: str, kmers: str, other_kmers: str) -> Column:
+    """False where two texts have too few windows of the same hash classes to share enough windows."""
+    shared = F.aggregate(F.zip_with(classes, other_classes, lambda a, b: F.least(a, b)), F.lit(0), lambda n, x: n + x)
+    return shared * (1 + least) >= (F.col(kmers) + F.col(other_kmers)) * least - F.lit(1e-6)
+
+
 def _same_to(a: np.ndarray, b: np.ndarray, x: int, y: int) -> int:
     """How many elements agree from a[x] and b[y] on."""
     n, step, most = 0, 32, min(len(a) - x, len(b) - y)
@@ -181,37 +223,47 @@ def _trace(past: list[array], d: int, n: int, m: int, front: int, partner: np.nd
     return partner
 
 
+def _profile(words: np.ndarray, k: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+    """The words and their labelled windows, sorted."""
+    return words, np.sort(labelled(windows(words, k)))
+
+
 def conserved_similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY, k: int = WINDOW) -> float:
-    """Windows that the alignment conserves / windows of either text; 0 where it must be under ``least``."""
-    ka, kb = windows(a, k), windows(b, k)
-    if not len(ka) or not len(kb):
-        return float(len(ka) == len(kb))
+    """Windows that the alignment of the word hashes conserves / windows of either text; 0 where it must be
+    under ``least``."""
+    return _similarity(_profile(a, k), _profile(b, k), least, k)
+
+
+def _similarity(u: tuple[np.ndarray, np.ndarray], v: tuple[np.ndarray, np.ndarray], least: float, k: int = WINDOW) -> float:
+    (a, la), (b, lb) = u, v
+    if not len(la) or not len(lb):
+        return float(len(la) == len(lb))
     if len(a) < k or len(b) < k:
         return float(len(a) == len(b) and bool((a == b).all()))
-    needed = least / (1 + least) * (len(ka) + len(kb))
-    la, lb = labelled(ka), labelled(kb)
-    if len(np.intersect1d(la, lb, assume_unique=True)) < needed - 1e-9:
+    needed = least / (1 + least) * (len(la) + len(lb))
+    shared = int((la[np.minimum(np.searchsorted(la, lb), len(la) - 1)] == lb).sum())
+    if shared < needed - 1e-9:
         return 0.0  # an alignment conserves no more windows than the texts share
     # Every unpartnered word but four at each text's start ends a window of its own that isn't conserved.
-    band = int((len(ka) + len(kb)) * (1 - least) / (1 + least)) + 2 * (k - 1)
+    band = int((len(la) + len(lb)) * (1 - least) / (1 + least)) + 2 * (k - 1)
     partner = alignment(a, b, band)
     if partner is None:
         return 0.0
     follows = (partner[1:] == partner[:-1] + 1) & (partner[:-1] >= 0)
     run = np.concatenate([[0], np.cumsum(follows)])
     conserved = int((run[k - 1:] - run[:-(k - 1)] == k - 1).sum())
-    return conserved / (len(ka) + len(kb) - conserved)
+    return conserved / (len(la) + len(lb) - conserved)
 
 
-@lru_cache(maxsize=64)
-def _cached_hashes(text: str) -> np.ndarray:
-    return word_hashes(text)
+@lru_cache(maxsize=256)
+def _cached_profile(text: str) -> tuple[np.ndarray, np.ndarray]:
+    return _profile(word_hashes(text))
 
 
 def _verify(least: float):
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [conserved_similarity(_cached_hashes(x), _cached_hashes(y), least)
+            found = [_similarity(_cached_profile(x), _cached_profile(y), least)
                      for x, y in zip(batch["text_u"], batch["text_v"], strict=True)]
             yield pd.DataFrame({"u": batch["u"], "v": batch["v"], "similarity": found})
     return verify
@@ -261,6 +313,13 @@ def near_dedup(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     shared = store(rows.join(sizes.select("bucket"), "bucket", "left_semi"), "op7_buckets")
     texts = store(named.join(shared.select("doc_id").distinct(), "doc_id", "left_semi")
                   .dropDuplicates(["doc_id"]), "op7_texts")
+    def told_apart(rows_: DataFrame) -> DataFrame:
+        """Bucket rows with ``own``; texts with too few other windows to be near one of another root go."""
+        own = _own_windows(texts, rows_.select("doc_id", "root").distinct())
+        counted = rows_.drop("own").join(own, "doc_id", "left").fillna(0, ["own"])
+        return counted.filter(F.col("n_kmers") - F.col("own") >= F.col("n_kmers") * least - F.lit(1e-6))
+
+    shared = store(told_apart(shared.withColumn("root", F.col("doc_id"))).drop("root"), "op7_near_buckets")
     roots = spark.createDataFrame([], "node long, root long")
     links = spark.createDataFrame([], "u long, v long")
     tried = links
@@ -272,31 +331,34 @@ def near_dedup(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
         open_ = now.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi")
         return store(now.join(open_.select("bucket"), "bucket", "left_semi"), "op7_open")
 
-    def near_sizes(x: str, y: str):
-        return F.least(x, y) >= F.greatest(x, y) * F.lit(least) - F.lit(1e-9)
-
-    for turn in range(PIVOT_ROUNDS + 1):
+    for turn, n_pivots in enumerate((*PIVOTS, 0)):
         now = placed()
         if not now.take(1):
             break
-        if turn < PIVOT_ROUNDS:
-            order = F.col("doc_id") if turn == 0 else F.xxhash64("doc_id", F.lit(turn))
-            pivots = store(now.groupBy("bucket").agg(
-                F.min(F.struct(order.alias("o"), "doc_id", "root", "n_kmers")).alias("p"), F.count(F.lit(1)).alias("n"))
-                .select("bucket", "n", F.col("p.doc_id").alias("v"), F.col("p.root").alias("v_root"),
-                        F.col("p.n_kmers").alias("v_kmers"), F.col("p.o").alias("o")), "op7_pivots")
+        if n_pivots:  # those with the fewest windows of their own, out of n_pivots parts: the middle of their copies
+            part = F.pmod(F.xxhash64("doc_id", F.lit(turn)), F.lit(n_pivots))
+            least_own = now.groupBy("bucket", part.alias("part")).agg(
+                F.min(F.struct("own", "doc_id", "root", "n_kmers")).alias("p"), F.count(F.lit(1)).alias("n"))
+            pivots = store(least_own.groupBy("bucket").agg(F.collect_list("p").alias("pivots"), F.sum("n").alias("n")), "op7_pivots")
             with_pivot = left_join_hot(now, pivots, ["bucket"], "n", now.count())
-            pairs = (with_pivot.filter((F.col("root") != F.col("v_root")) & near_sizes("n_kmers", "v_kmers"))
-                     .groupBy(F.col("doc_id").alias("u")).agg(F.min(F.struct("o", "v")).alias("p"))
-                     .select("u", F.col("p.v").alias("v")))
+            met = with_pivot.withColumn("p", F.explode("pivots")).select(
+                F.col("doc_id").alias("u"), "root", "n_kmers", "own", F.col("p.own").alias("v_own"), F.col("p.doc_id").alias("v"),
+                F.col("p.root").alias("v_root"), F.col("p.n_kmers").alias("v_kmers"))
+            pairs = met.filter((F.col("root") != F.col("v_root")) & _can_be_near(least, "n_kmers", "own", "v_kmers", "v_own"))
+            if n_pivots == 1:
+                pairs = pairs.groupBy("u").agg(F.min(F.struct("v_own", "v")).alias("p")).select("u", F.col("p.v").alias("v"))
         else:
+            classes = texts.mapInPandas(_classes, "doc_id long, classes array<int>")
+            now = store(told_apart(now).join(classes, "doc_id"), "op7_last")
             main = now.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(
                 F.max_by("root", F.struct("n", "root")).alias("main"))
             other = now.join(main, "bucket").filter("root <> main").select(
-                "bucket", F.col("doc_id").alias("u"), F.col("root").alias("u_root"), F.col("n_kmers").alias("u_kmers"), "main")
-            met = other.join(now.select("bucket", F.col("doc_id").alias("v"), "root", "n_kmers"), "bucket").filter(
+                "bucket", F.col("doc_id").alias("u"), F.col("root").alias("u_root"), F.col("n_kmers").alias("u_kmers"),
+                F.col("own").alias("u_own"), F.col("classes").alias("u_classes"), "main")
+            met = other.join(now.withColumnRenamed("doc_id", "v"), "bucket").filter(
                 (F.col("u_root") != F.col("root")) & ((F.col("root") == F.col("main")) | (F.col("u") > F.col("v")))
-                & near_sizes("u_kmers", "n_kmers"))
+                & _can_be_near(least, "u_kmers", "u_own", "n_kmers", "own")
+                & _classes_allow(least, "u_classes", "classes", "u_kmers", "n_kmers"))
             pairs = met.select("u", "v").distinct()
         pairs = pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
         pairs = store(pairs.join(tried, ["u", "v"], "left_anti"), "op7_pairs")
