@@ -28,8 +28,8 @@ NONE = np.iinfo(np.int32).max
 #: Widest matrix row; longer pretokens merge one by one on a heap, with the same result.
 WIDEST = 256
 _CELLS = 1 << 20
-_CHUNK_WORDS = 250_000
-_KNOWN_WORDS = 400_000
+_CHUNK_WORDS = 100_000
+_KNOWN_WORDS = 200_000
 
 
 class Vocabulary:
@@ -240,18 +240,19 @@ def encode(text: Column, path: str, pattern: str) -> Column:
     return ids(text)
 
 
+def _decoded(packed: bytes, token) -> bytes:
+    size, step = len(packed) // 4, _CHUNK_WORDS
+    return b"".join(b"".join(map(token, np.frombuffer(packed, "<u4", min(step, size - i), 4 * i).tolist()))
+                    for i in range(0, size, step))
+
+
 def decode(ids: Column, path: str) -> Column:
     """Binary column of the bytes that ``ids``, as ``encode`` gives them, stand for; null gives null."""
     @F.pandas_udf(T.BinaryType())
     def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         token = _vocabulary(path).tokens.__getitem__
-
-        def text(packed: bytes) -> bytes:
-            return b"".join(b"".join(map(token, np.frombuffer(packed, "<u4", min(_CELLS, len(packed) // 4 - i), 4 * i)
-                                         .tolist())) for i in range(0, len(packed) // 4, _CELLS))
-
         for rows in batches:
-            yield rows.map(lambda x: None if x is None else text(x))
+            yield rows.map(lambda x: None if x is None else _decoded(x, token))
 
     return decoded(ids)
 
@@ -262,5 +263,12 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     Null and empty texts give no ids and no bytes; repeated rows and ties are rows like others; the
     columns of ``docs`` may have any names.
     """
-    encoded = docs.select(F.struct("*").alias("row"), encode(text_or_empty(), path, pattern).alias("token_ids"))
-    return encoded.select("row", "token_ids", decode(F.col("token_ids"), path).alias("decoded"))
+    @F.pandas_udf("token_ids binary, decoded binary")
+    def there_and_back(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:  # one worker for both ways
+        token = _vocabulary(path).tokens.__getitem__
+        for texts in batches:
+            ids = list(_encoder(path, pattern).encode(texts))
+            yield pd.DataFrame({"token_ids": ids, "decoded": [_decoded(x, token) for x in ids]})
+
+    done = docs.select(F.struct("*").alias("row"), there_and_back(text_or_empty()).alias("done"))
+    return done.select("row", "done.token_ids", "done.decoded")
