@@ -110,3 +110,28 @@ def test_scan_of_a_table(make_docs, sf_dir, spark):
     expected = sorted((d["doc_id"], m.start(), m.end() - 1) for d in docs.collect() for t in TEMPLATES
                       for m in re.finditer(re.escape(t.text), d["text"]))
     assert sorted((r["doc_id"], r["start"], r["end"]) for r in L.license_scan(docs).collect()) == expected
+
+
+def letters(seed, n):
+    import random
+    r = random.Random(seed)
+    return " ".join("".join(r.choice("etaoinshrdlu") for _ in range(r.randrange(2, 10))) for _ in range(n))
+
+
+@pytest.mark.parametrize("number", [0, 2, 6, 14])
+@pytest.mark.parametrize("copies", [2, 10, 60, 500])
+def test_repeated_notices_are_all_found(number, copies):
+    text = " ".join(f"{letters(i, 60)} {TEMPLATES[number].text}" for i in range(copies))
+    found = [f[:2] for f in L.notices(text, TEMPLATES) if f[3] == number and f[7]]
+    words = re.escape(TEMPLATES[number].text.rstrip(".:"))
+    assert found == [m.span() for m in re.finditer(words, text)] and len(found) == copies
+
+
+@pytest.mark.parametrize("number", range(15))
+def test_a_notice_deep_in_cue_dense_text_is_found(number):
+    words = letters(number, 8000).split()
+    words[::60] = ["licence"] * len(words[::60])
+    for at in (0, 3010, 8000):
+        text = " ".join([*words[:at], TEMPLATES[number].text, *words[at:]])
+        (found,) = [f for f in L.notices(text, TEMPLATES) if f[3] == number]
+        assert found[7] and TEMPLATES[number].text.startswith(text[found[0]:found[1]])

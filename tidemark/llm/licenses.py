@@ -1,14 +1,16 @@
 """Licence scan by conditional compression.
 
-Texts with a licence cue are cut into blocks around their cues. A block is compressed alone and once
-with each template as a zstandard raw dictionary; the bytes saved, as a share of what the template
-itself compresses to, rank the templates. Ranked templates are confirmed by aligning their words
-with the block's: only a wording with few differences is reported, and the differences with it.
+Texts with a licence cue are cut into blocks around their cues, and long blocks into overlapping pieces of
+a few template lengths. A piece is compressed alone and once with each template as a zstandard raw
+dictionary; the bytes saved, as a share of what the template itself compresses to, rank the templates.
+Ranked templates are confirmed by aligning their words with the piece's: only a wording with few
+differences is reported, and the differences with it.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -94,6 +96,17 @@ def blocks(text: str, reach: int) -> Iterator[tuple[int, int]]:
         yield start, end
 
 
+def pieces(text: str, reach: int) -> Iterator[tuple[int, int, int, int]]:
+    """The blocks of ``text``, long ones as pieces of six reaches that overlap by half: start and end of the piece and
+    of its block. A wording of up to two reaches stands whole in a piece, half a reach from its cut ends."""
+    for start, end in blocks(text, reach):
+        at = start
+        while end - at > 6 * reach:
+            yield at, at + 6 * reach, start, end
+            at += 3 * reach
+        yield at, end, start, end
+
+
 def align(template: list[str], block: list[str]) -> tuple[int, int, list[str]]:
     """The words first to last (exclusive) of ``block`` nearest to ``template``, and their differences.
 
@@ -131,28 +144,38 @@ def notices(text: str, templates: list[Template], min_saved: float = MIN_SAVED,
     ranked = []
     alone: dict[tuple[int, int], int] = {}
     for i, template in enumerate(templates):  # a block is as wide as the template can stand around a cue
-        for start, end in blocks(text, len(template.text) + 8):
-            raw = text[start:end].lower().encode()
+        for start, end, *block in pieces(text, len(template.text) + 8):
+            lower = text[start:end].lower()
+            raw = lower.encode()
             if (start, end) not in alone:
                 alone[start, end] = len(plain.compress(raw))
             saved = alone[start, end] - len(template.compressor.compress(raw))
-            if saved >= min_saved * template.own_bytes:
-                ranked.append((-saved, i, start, end))
+            # The frame of a short piece can cost more than a short wording saves: with all its words there, it is aligned.
+            if saved >= min_saved * template.own_bytes or all(w in lower for w in template.words):
+                ranked.append((-saved, i, start, end, block))
     found: list[tuple] = []
-    for less, i, start, end in sorted(ranked):
+    starts: list[int] = []
+    for less, i, start, end, block in sorted(ranked):
         template = templates[i]
+        most = int(max_different * len(template.words))
         words = [(m.group().lower(), m.start(), m.end()) for m in _WORD.finditer(text, start, end)]
         left = [w for w, _, _ in words]
-        while True:  # every place of the block where the wording stands
+        low = most + 1 if start > block[0] else 0  # a wording that a cut end may have changed is whole in the next piece
+        high = len(words) - (most + 1 if end < block[1] else 0)
+        while True:  # every place of the piece where the wording stands
             first, last, differences = align(template.words, left)
             if last == first or len(differences) > max_different * len(template.words):
                 break
             left[first:last] = ["\0"] * (last - first)
+            if differences and (first < low or last > high):
+                continue
             place = words[first][1], words[last - 1][2]
-            if not any(a < place[1] and place[0] < b for a, b, *_ in found):
-                found.append((*place, template.license, i, -less, round(-less / template.own_bytes, 6),
-                              differences, not differences))
-    return sorted(found, key=lambda x: (x[0], x[1], x[3]))
+            at = bisect_left(starts, place[1])  # what is found doesn't overlap
+            if not at or found[at - 1][1] <= place[0]:
+                starts.insert(at, place[0])
+                found.insert(at, (*place, template.license, i, -less, round(-less / template.own_bytes, 6),
+                                  differences, not differences))
+    return found
 
 
 def license_scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES) -> DataFrame:
