@@ -156,3 +156,17 @@ def test_recall_on_random_near_copies():
         a, b = (O.order_sketches(O.labelled(O.windows(O.word_hashes(" ".join(x))))) for x in (words, other))
         missed += not (a == b).any()
     assert missed <= 1
+
+
+def test_one_word_edits_of_short_texts_against_all_pairs(make_docs):
+    rows = []
+    for n in range(6, 41):
+        words = [f"n{n}w{i}" for i in range(n)]
+        texts = [words, [*words, "end"], ["start", *words], words[1:], words[:-1],
+                 [*words[:n // 2], "middle", *words[n // 2:]], [*words[:n // 2], *words[n // 2 + 1:]]]
+        rows += [(100 * n + i, " ".join(x)) for i, x in enumerate(texts)]
+        # pairs by themselves: no third text links them
+        rows += [(5000 + 10 * n + i, " ".join(f"p{x}" for x in y)) for i, y in enumerate((words, [*words, "end"]))]
+        rows += [(6000 + 10 * n + i, " ".join(f"q{x}" for x in y)) for i, y in enumerate((words, words[:n // 2] + ["x"] + words[n // 2 + 1:]))]
+    got = {x["doc_id"]: (x["class_id"], x["class_size"]) for x in O.near_dedup(make_docs(rows)).collect()}
+    assert got == brute_classes(rows)

@@ -2,7 +2,9 @@
 
 A text's k-mers are its five-word windows, each labelled with its occurrence number. A sketch takes the
 SAMPLED k-mers that are smallest under one hash function and keeps them in text order, so it agrees only
-where both content and order agree. Texts with an equal sketch are candidates. A candidate pair is
+where both content and order agree. Texts with an equal sketch are candidates. Short texts have too few
+k-mers for that: they are also candidates where they share one of their rarest k-mers, so many of them
+that two near texts always do (prefix filtering). A candidate pair is
 verified by a banded alignment of the words: its similarity is the windows that the alignment
 conserves over the windows of both texts, and 0.8 or more links them. Classes are the connected
 components of the links.
@@ -33,6 +35,8 @@ WINDOW = 5
 SIMILARITY = 0.8
 SKETCHES = 40
 SAMPLED = 7
+#: Texts with up to SHORT windows are found exactly: so are all near pairs of which one has up to 0.8 SHORT.
+SHORT = 80
 #: Pivots of a bucket in each round.
 PIVOTS = (1, 8, 8)
 #: Hash classes that a text's windows are counted by.
@@ -117,9 +121,11 @@ def _sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for doc_id, text in zip(batch["doc_id"][a:a + 512], batch["text"][a:a + 512], strict=True):
                 words = word_hashes(text)
                 kmers = windows(words)
-                sketches = order_sketches(labelled(kmers))
-                rows.append((doc_id, text_key(words), len(words), len(kmers), sketches.view(np.int64).tolist()))
-            yield pd.DataFrame(rows, columns=["doc_id", "text_key", "n_words", "n_kmers", "sketches"])
+                marked = labelled(kmers)
+                short = marked if WINDOW <= len(words) and len(kmers) <= SHORT else marked[:0]
+                rows.append((doc_id, text_key(words), len(words), len(kmers), order_sketches(marked).view(np.int64).tolist(),
+                             short.view(np.int64).tolist()))
+            yield pd.DataFrame(rows, columns=["doc_id", "text_key", "n_words", "n_kmers", "sketches", "short"])
 
 
 def _windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -135,6 +141,22 @@ def _classes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"doc_id": batch["doc_id"], "classes": found})
 
 
+def _short_buckets(chosen: DataFrame, least: float) -> DataFrame:
+    """(doc_id, n_kmers, bucket): the rarest windows of each short text, as many as it can't all lack of a near one's.
+
+    Near texts of n windows and more share ``least`` * n, so two of them that order their windows alike share one of
+    the first n - ceil(least * n) + 1. Windows of one text alone come first in that order and need no bucket.
+    """
+    rows = store(chosen.select("doc_id", "n_kmers", F.explode("short").alias("window")), "op7_short")
+    counts = store(rows.groupBy("window").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "op7_short_counts")
+    found = left_join_hot(rows, counts, ["window"], "n", rows.count()).filter("n IS NOT NULL")
+    texts = found.groupBy("doc_id", "n_kmers").agg(F.sort_array(F.collect_list(F.struct("n", "window"))).alias("ranked"))
+    prefix = F.col("n_kmers") - F.ceil(F.col("n_kmers") * least - F.lit(1e-6)) + 1
+    take = F.greatest(F.lit(0), prefix - (F.col("n_kmers") - F.size("ranked"))).cast("int")
+    return texts.select("doc_id", "n_kmers", F.explode(F.slice("ranked", F.lit(1), take)).alias("of")).select(
+        "doc_id", "n_kmers", F.xxhash64(F.lit(-1), F.col("of.window")).alias("bucket"))
+
+
 def _own_windows(texts: DataFrame, placed: DataFrame) -> DataFrame:
     """(doc_id, own): how many labelled windows of each text of ``placed`` (doc_id, root) only texts of its
     root have. No text of another root shares them."""
@@ -298,7 +320,7 @@ def near_dedup(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """
     spark = docs.sparkSession
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    schema = "doc_id long, text_key long, n_words long, n_kmers long, sketches array<long>"
+    schema = "doc_id long, text_key long, n_words long, n_kmers long, sketches array<long>, short array<long>"
     marks = store(named.mapInPandas(_sketch, schema), "op7_marks")
     total = marks.count()
     texts_of = ["text_key", "n_words"]
@@ -308,7 +330,8 @@ def near_dedup(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     bucket = (F.col("band"), F.col("sketch"))
     rows = (chosen.filter(F.col("n_words") >= WINDOW)
             .select("doc_id", "n_kmers", F.posexplode("sketches").alias("band", "sketch"))
-            .select("doc_id", "n_kmers", F.xxhash64(*bucket).alias("bucket")))
+            .select("doc_id", "n_kmers", F.xxhash64(*bucket).alias("bucket"))
+            .unionByName(_short_buckets(chosen, least)))
     sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     shared = store(rows.join(sizes.select("bucket"), "bucket", "left_semi"), "op7_buckets")
     texts = store(named.join(shared.select("doc_id").distinct(), "doc_id", "left_semi")
