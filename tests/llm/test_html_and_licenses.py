@@ -135,3 +135,19 @@ def test_a_notice_deep_in_cue_dense_text_is_found(number):
         text = " ".join([*words[:at], TEMPLATES[number].text, *words[at:]])
         (found,) = [f for f in L.notices(text, TEMPLATES) if f[3] == number]
         assert found[7] and TEMPLATES[number].text.startswith(text[found[0]:found[1]])
+
+
+LONG = "long text of the story " * 9
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<body><div class='layout has-sidebar'><p>Top</p><article><p>a story</p></article><div class=sidebar>x</div></div>", "a story"),
+    ("<div id='page' class='sticky-footer'><main><p>a story<div class=ad>Buy</div></main></div><footer>f</footer>", "a story"),
+    ("<div class='has-sidebar'><div class=related><article>teaser</article></div><article>story</article></div>", "story"),
+    ("<article>story</article><div class=related><article>teaser</article></div>", "story"),
+    ("<div class=x-form><nav><article>no</article></nav></div>", ""),
+    (f"<div class='sticky-footer'><p>{LONG}</p><div class=ad>Buy</div><p>{LONG}</p></div>", f"{LONG}{LONG}".strip()),
+    (f"<p>{LONG}</p><div class=ad>Buy</div><p>Short but true.</p><div class=ad>Buy</div><p>{LONG}</p>", f"{LONG}Short but true. {LONG}".strip()),
+])
+def test_no_article_or_paragraph_within_it_is_dropped(page, text):
+    assert H.main_text(page) == text

@@ -1,8 +1,8 @@
 """Main-text extraction by line-block distribution.
 
 Markup is stripped to lines, one per block of the page. The text lengths of sliding windows of lines
-surge where the main text begins and dive where it ends; what lies between a surge and its dive is
-kept. Elements that never hold main text (scripts, forms, menus, notices, comments, ...) become
+surge where the main text begins and dive where it ends; what lies between the first surge and the last
+dive is kept. Elements that never hold main text (scripts, forms, menus, notices, comments, ...) become
 empty lines, and so do lines outside the page's article where it marks one.
 """
 
@@ -42,26 +42,31 @@ _ATTRIBUTE = re.compile(r"""([^\s"'=<>/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
-def _is_boilerplate(attributes: str) -> bool:
+def _is_boilerplate(attributes: str) -> str:
+    """Why an element is boilerplate: "word" for its class or id, "mark" for what says so by itself, or empty."""
+    found = ""
     for match in _ATTRIBUTE.finditer(attributes.rstrip(">")):
         name, value = match[1].lower(), html.unescape(match[2] or match[3] or match[4] or "").lower()
         if name in ("class", "id") and not BOILERPLATE_WORDS.isdisjoint(re.split(r"[^a-z]+", value)):
-            return True
+            found = "word"
         if name == "hidden" or name == "aria-hidden" and value == "true" or \
                 name == "role" and value in BOILERPLATE_ROLES or name == "style" and _HIDDEN.search(value):
-            return True
-    return False
+            return "mark"
+    return found
 
 
 class _Lines:
     """Reads a page into lines: [text, is inside the article]; a dropped element leaves empty lines."""
 
-    def __init__(self, page: str):
+    def __init__(self, page: str, spared: frozenset[int] = frozenset()):
         self.lines: list[tuple[str, bool]] = []
         self.has_main = False
         self._text: list[str] = []
-        self._open: list[tuple[str, bool]] = []  # name, dropped
-        self._dropped = self._main = 0
+        self._open: list[tuple[str, bool, int, int, int]] = []  # name, dropped, number if for a word only, counts before it
+        self._dropped = self._hard = self._main = 0
+        self._spared, self._marked = spared, 0
+        self.chars = self.articles = 0  # outside of elements that are dropped whatever they hold
+        self.held: dict[int, tuple[int, int]] = {}  # articles and characters in each element dropped for a word
         self._read(page)
 
     def _end_line(self) -> None:
@@ -72,8 +77,11 @@ class _Lines:
 
     def _pop(self, to: int) -> None:
         while len(self._open) > to:
-            name, dropped = self._open.pop()
+            name, dropped, number, chars, articles = self._open.pop()
             self._dropped -= dropped
+            self._hard -= dropped and not number
+            if number:
+                self.held[number] = self.articles - articles, self.chars - chars
             self._main -= name in MAIN
             if dropped and not self._dropped:
                 self.lines.extend([("", False)] * WINDOW)
@@ -91,19 +99,31 @@ class _Lines:
             self._pop(len(self._open) - 1)
         if name in VOID or attributes.endswith("/>"):
             return
-        dropped = name in DROPPED or name in ("header", "footer") and (name == "footer" or not self._main) or \
-            name not in ("html", "body", *MAIN) and _is_boilerplate(attributes)
-        self._open.append((name, dropped))
+        dropped = name in DROPPED or name in ("header", "footer") and (name == "footer" or not self._main)
+        number = 0
+        if not dropped and name not in ("html", "body", *MAIN) and (why := _is_boilerplate(attributes)):
+            number = self._marked = self._marked + (why == "word")
+            number *= why == "word"
+            dropped = not number or number not in self._spared
+        self._open.append((name, dropped, number if dropped else 0, self.chars, self.articles))
         self._dropped += dropped
+        self._hard += dropped and not self._open[-1][2]
         if name in MAIN:
             self._main += 1
             self.has_main |= not self._dropped
+            self.articles += not self._hard
+
+    def _count(self, text: str) -> None:
+        if not self._hard:
+            self.chars += len(text.strip())
 
     def _read(self, page: str) -> None:
         at = 0
         while match := _TAG.search(page, at):
-            if not self._dropped and match.start() > at:
-                self._text.append(page[at:match.start()])
+            if match.start() > at:
+                self._count(page[at:match.start()])
+                if not self._dropped:
+                    self._text.append(page[at:match.start()])
             at, name = match.end(), (match[2] or "").lower()
             if not name:
                 continue
@@ -117,9 +137,28 @@ class _Lines:
                     end = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(page, at)
                     at = end.end() if end else len(page)
                     self._close(name)
+        self._count(page[at:])
         if not self._dropped:
             self._text.append(page[at:])
         self._end_line()
+        self._pop(0)
+
+
+def _read(page: str) -> _Lines:
+    """The page's lines. No class or id word drops the page's only articles, or most of a page without one."""
+    spared: frozenset[int] = frozenset()
+    while True:
+        read = _Lines(page, spared)
+        if read.has_main:
+            return read
+        if read.articles:  # the outermost that holds some, and those in it that hold as many
+            most = read.held[min(x for x, (n, _) in read.held.items() if n)][0]
+            held = [x for x, (n, _) in read.held.items() if n == most]
+        else:
+            held = [x for x, (_, n) in read.held.items() if 2 * n > read.chars]
+        if not held:
+            return read
+        spared |= frozenset(held)
 
 
 def main_text(page: str | None, window: int = WINDOW, surge_chars: int = SURGE_CHARS) -> str:
@@ -130,21 +169,21 @@ def main_text(page: str | None, window: int = WINDOW, surge_chars: int = SURGE_C
     """
     if not page:
         return ""
-    read = _Lines(page)
+    read = _read(page)
     lines = [text if inside or not read.has_main else "" for text, inside in read.lines]
     sizes = [len(x) for x in lines]
     sums = [sum(sizes[i:i + window]) for i in range(len(sizes))]
     least = 1 if read.has_main else min(surge_chars, max(1, max(sums, default=0) // 2))
-    kept, i = [], 0
+    first, end, i = len(lines), 0, 0
     while i < len(lines):
         if not sizes[i] or sums[i] < least:
             i += 1
             continue
+        first = min(first, i)
         while i < len(lines) and sums[i]:  # to the dive: a window without text
-            if lines[i]:
-                kept.append(lines[i])
             i += 1
-    return " ".join(kept)
+        end = i
+    return " ".join(x for x in lines[first:end] if x)  # a dropped element within the text parts no paragraph from it
 
 
 def extract(page: Column) -> Column:
