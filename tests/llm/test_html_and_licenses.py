@@ -151,3 +151,29 @@ LONG = "long text of the story " * 9
 ])
 def test_no_article_or_paragraph_within_it_is_dropped(page, text):
     assert H.main_text(page) == text
+
+
+GPL = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public
+License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."""
+WORK = "This work is licensed under a Creative Commons Attribution 4.0 International License."
+BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that
+the following conditions are met:"""
+
+
+@pytest.mark.parametrize("text, licence", [
+    (GPL, "GPL-3.0-or-later"), (GPL.replace("version 3", "version 2"), "GPL-2.0-or-later"),
+    (GPL.replace("version 3", "version 2.1").replace("General", "Lesser General"), "LGPL-2.1-or-later"),
+    ("This work is licensed under the GNU General Public License, version 2.", "GPL-2.0-only"),
+    ("This work is licensed under the GNU General Public License, version 3 or any later version.", "GPL-3.0-or-later"),
+    (WORK, "CC-BY-4.0"), (WORK.replace("Attribution", "Attribution-NonCommercial"), "CC-BY-NC-4.0"),
+    (WORK.replace("Attribution", "Attribution-ShareAlike"), "CC-BY-SA-4.0"),
+    (BSD, "LicenseRef-BSD-family"), (GPL.replace("version 3", "version 7"), None)])
+def test_licences_that_differ_in_a_word_are_told_apart(text, licence):
+    found = [(f[2], f[7]) for f in L.notices(f"Words before. {text} Words after.", TEMPLATES)]
+    assert found == ([(licence, True)] if licence else [])
+
+
+def test_bsd_texts_by_their_clauses():
+    for licence in ("BSD-2-Clause", "BSD-3-Clause", "BSD-4-Clause"):
+        (text,) = [t.text for t in TEMPLATES if t.license == licence]
+        assert [(f[2], f[7]) for f in L.notices(text, TEMPLATES)] == [(licence, True)]

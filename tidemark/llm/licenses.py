@@ -45,8 +45,8 @@ TEMPLATES = [
         or (at your option) any later version."""),
     ("MPL-2.0", """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of
         the MPL was not distributed with this file, You can obtain one at"""),
-    ("BSD-3-Clause", """Redistribution and use in source and binary forms, with or without modification, are permitted
-        provided that the following conditions are met:"""),
+    ("LicenseRef-BSD-family", """Redistribution and use in source and binary forms, with or without modification, are
+        permitted provided that the following conditions are met:"""),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
@@ -54,7 +54,63 @@ TEMPLATES = [
     ("CC0-1.0", "Dedicated to the public domain under CC0 1.0."),
     ("LicenseRef-All-Rights-Reserved", "All rights reserved."),
 ]
+
+_GNU = [("GPL", "GNU General Public License", ("1.0", "2.0", "3.0")), ("LGPL", "GNU Lesser General Public License", ("2.1", "3.0")),
+        ("LGPL", "GNU Library General Public License", ("2.0",)), ("AGPL", "GNU Affero General Public License", ("3.0",))]
+for _id, _name, _versions in _GNU:
+    for _v in _versions:
+        _either = [f"version {_v.removesuffix('.0')}"] + [f"version {_v}"] * _v.endswith(".0")
+        for _version in _either:
+            TEMPLATES += [
+                (f"{_id}-{_v}-only", f"This work is licensed under the {_name}, {_version}."),
+                (f"{_id}-{_v}-or-later", f"This work is licensed under the {_name}, {_version} or later."),
+                (f"{_id}-{_v}-or-later", f"This work is licensed under the {_name}, {_version} or any later version."),
+                (f"{_id}-{_v}-or-later", f"This work is licensed under the {_name}, {_version} or (at your option) any later version."),
+                (f"{_id}-{_v}-or-later", f"""you can redistribute it and/or modify it under the terms of the {_name} as published by
+                    the Free Software Foundation, either {_version} of the License, or (at your option) any later version."""),
+                (f"{_id}-{_v}-only", f"""you can redistribute it and/or modify it under the terms of the {_name} as published by
+                    the Free Software Foundation, {_version} of the License."""),
+                (f"{_id}-{_v}-only", f"""you can redistribute it and/or modify it under the terms of the {_name}, {_version},
+                    as published by the Free Software Foundation.""")]
+_BY = [("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-NC", "Attribution-NonCommercial"),
+       ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"), ("BY-ND", "Attribution-NoDerivatives"),
+       ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"), ("BY-ND", "Attribution-NoDerivs"),
+       ("BY-NC-ND", "Attribution-NonCommercial-NoDerivs")]
+for _id, _name in _BY:
+    for _v, _port in (("4.0", "International"), ("3.0", "Unported"), ("2.5", "Generic"), ("2.0", "Generic")):
+        TEMPLATES += [(f"CC-{_id}-{_v}", f"This work is licensed under a Creative Commons {_name} {_v} {_port} License."),
+                      (f"CC-{_id}-{_v}", f"Licensed under CC {_id} {_v}.")]
+_SOURCE = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that
+    the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of
+    conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this
+    list of conditions and the following disclaimer in the documentation and/or other materials provided with the
+    distribution. """
+_ENDORSE = """Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+    products derived from this software without specific prior written permission."""
+TEMPLATES += [
+    ("BSD-2-Clause", _SOURCE + "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS"),
+    ("BSD-3-Clause", _SOURCE + "3. " + _ENDORSE),
+    ("BSD-4-Clause", _SOURCE + """3. All advertising materials mentioning features or use of this software must display the
+        following acknowledgement: This product includes software developed by the organization. 4. """ + _ENDORSE),
+    ("EPL-2.0", """This program and the accompanying materials are made available under the terms of the Eclipse Public
+        License 2.0"""),
+    ("EPL-1.0", """This program and the accompanying materials are made available under the terms of the Eclipse Public
+        License v1.0"""),
+    ("MPL-1.1", """The contents of this file are subject to the Mozilla Public License Version 1.1 (the "License"); you may
+        not use this file except in compliance with the License."""),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("ISC", """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is
+        hereby granted, provided that the above copyright notice and this permission notice appear in all copies."""),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+]
+TEMPLATES = list(dict.fromkeys((_id, " ".join(_text.split())) for _id, _text in TEMPLATES))
+
+#: Words that tell licences apart, besides versions: no difference in them is allowed.
+DISTINGUISHING = frozenset("""lesser library affero general gnu mozilla apache eclipse boost mit bsd isc cc by sa nc nd
+    attribution sharealike share alike noncommercial commercial noderivatives noderivs derivatives derivs only later
+    endorse advertising contributors international unported generic""".split())
 CUES = (r"(?i)licen[cs]e|rights\s+reserved|permission\s+is\s+hereby|creative\s+commons|public\s+domain"
+        r"|permission\s+to\s+use"
         r"|free\s+software|redistribution\s+and\s+use")
 
 _FOUND = {"start": "int", "end": "int", "license": "string", "template": "int", "saved_bytes": "int",
@@ -73,11 +129,23 @@ class Template:
     def __init__(self, license_id: str, text: str):
         self.license, self.text = license_id, " ".join(text.split())
         self.words = [w.lower() for w in _WORD.findall(self.text)]
+        self.rare = sorted(set(self.words), key=lambda w: (-len(w), w))
         raw = self.text.lower().encode()
         self.compressor = _compressor(raw)
         self.own_bytes = len(_compressor().compress(raw)) - len(_compressor().compress(b""))
 
 
+    def lacks(self, lower: str, most: int) -> bool:
+        """Whether more than ``most`` of the template's words are not in the text: no match is that near then."""
+        missing = 0
+        for word in self.rare:
+            if word not in lower:
+                missing += 1
+                if missing > most:
+                    return True
+        return False
+
+
 @lru_cache(maxsize=4)
 def _templates(pairs: tuple[tuple[str, str], ...]) -> list[Template]:
     return [Template(*p) for p in pairs]
@@ -107,6 +175,14 @@ def pieces(text: str, reach: int) -> Iterator[tuple[int, int, int, int]]:
         yield at, end, start, end
 
 
+def tells_apart(difference: str) -> bool:
+    """Whether a difference is in a version or in another word that tells licences apart."""
+    for word in (x[1:] for x in difference.split(" ")):
+        if any(c.isdigit() for c in word) or not DISTINGUISHING.isdisjoint(word.split("-")):
+            return True
+    return False
+
+
 def align(template: list[str], block: list[str]) -> tuple[int, int, list[str]]:
     """The words first to last (exclusive) of ``block`` nearest to ``template``, and their differences.
 
@@ -143,9 +219,15 @@ def notices(text: str, templates: list[Template], min_saved: float = MIN_SAVED,
     plain = _compressor()
     ranked = []
     alone: dict[tuple[int, int], int] = {}
+    whole = text.lower()
     for i, template in enumerate(templates):  # a block is as wide as the template can stand around a cue
+        most = int(max_different * len(template.words))
+        if template.lacks(whole, most):
+            continue
         for start, end, *block in pieces(text, len(template.text) + 8):
             lower = text[start:end].lower()
+            if template.lacks(lower, most):
+                continue
             raw = lower.encode()
             if (start, end) not in alone:
                 alone[start, end] = len(plain.compress(raw))
@@ -167,7 +249,7 @@ def notices(text: str, templates: list[Template], min_saved: float = MIN_SAVED,
             if last == first or len(differences) > max_different * len(template.words):
                 break
             left[first:last] = ["\0"] * (last - first)
-            if differences and (first < low or last > high):
+            if differences and (first < low or last > high) or any(map(tells_apart, differences)):
                 continue
             place = words[first][1], words[last - 1][2]
             at = bisect_left(starts, place[1])  # what is found doesn't overlap
