@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (bpe, exact_dedup, fill_middle, html_text, language_id, licenses, line_dedup, mixing, order_minhash,
-                          quality, warc)
+                          quality, sharding, warc)
 from tidemark.llm.common import table
 
 
@@ -75,6 +75,12 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
 
 
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = sharding.shard(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                       F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "language_id_pages": language_id_pages,
@@ -88,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_line_dedup": op9_line_dedup,
     "op10_html_text": op10_html_text,
     "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_sharding": op13_sharding,
 }
 
 ORACLES: dict[str, str] = {
