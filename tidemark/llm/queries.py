@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (bpe, exact_dedup, fill_middle, html_text, language_id, licenses, line_dedup, mixing, order_minhash,
-                          quality, sharding, warc)
+                          quality, sharding, warc, whitening)
 from tidemark.llm.common import table
 
 
@@ -69,6 +69,10 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op11_feast_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = fill_middle.fill_in_middle(table(spark, sf_dir, "documents"))
     return done.select("doc_id", F.col("n_units").alias("n"), "form", "prefix_chars", "middle_chars",
@@ -93,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_line_dedup": op9_line_dedup,
     "op10_html_text": op10_html_text,
+    "op11_feast_whitening": op11_feast_whitening,
     "op12_fill_in_middle": op12_fill_in_middle,
     "op13_sharding": op13_sharding,
 }
