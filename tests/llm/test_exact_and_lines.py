@@ -76,6 +76,24 @@ def test_left_join_hot_equals_a_left_join(spark, hot):
     assert sorted(map(str, left_join_hot(left, right, ["k"], "n", 2000).collect())) == sorted(map(str, expected.collect()))
 
 
+def test_left_join_hot_spreads_a_hot_key(spark):
+    """A third of the rows on one key, no broadcast of the other keys: no task has twice the mean."""
+    n, settings = 60_000, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false",
+                           "spark.sql.shuffle.partitions": "16"}
+    left = spark.range(n).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"), "id")
+    right = store(left.groupBy("k").agg(F.count("*").alias("n")), "test_hot")
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        joined = left_join_hot(left, right, ["k"], "n", n)
+        tasks = [r["count"] for r in joined.filter("n IS NOT NULL").groupBy(F.spark_partition_id().alias("task")).count().collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(tasks) == n and len(tasks) == 16 and max(tasks) < 2 * n / 16
+
+
 def brute_lines(rows, min_sites):
     sites, first = {}, {}
     for i, (doc, text, _, site) in enumerate(rows):
