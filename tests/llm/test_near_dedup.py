@@ -144,6 +144,20 @@ def test_near_dedup_edge_cases(make_docs, prose):
     assert got == ["(4, 4, True)"] * 2 + ["(6, 6, True)", "(None, 4, False)", "(None, None, True)"]
 
 
+def test_every_text_of_a_shared_doc_id_links(make_docs, prose):
+    one, two = prose(21, 90, 5000), prose(22, 90, 5000)
+    rows = [(5, one), (5, two), (6, one + " more"), (7, two + " more"), (4, two), (8, prose(23, 90, 5000))]
+    got = {(x["doc_id"], x["class_id"], x["class_size"], x["kept"]) for x in O.near_dedup(make_docs(rows)).collect()}
+    assert got == {(4, 4, 5, True), (5, 4, 5, False), (6, 4, 5, False), (7, 4, 5, False), (8, 8, 1, True)}
+
+
+def test_components_of_a_long_chain_and_a_hub(spark):
+    links = [(i, i + 1) for i in range(10, 200)] + [(1000, x) for x in range(2000, 2300)] + [(7, 7), (300, 3), (3, 301), (301, 300)]
+    roots = dict(components(spark.createDataFrame(links, "u long, v long")).collect())
+    assert {roots[i] for i in range(10, 201)} == {10} and {roots[i] for i in range(2000, 2300)} == {1000}
+    assert roots[300] == roots[301] == 3 and 7 not in roots
+
+
 def test_recall_on_random_near_copies():
     """Sketches of texts just over the threshold nearly always meet."""
     r = random.Random(12)

@@ -31,6 +31,14 @@ def test_stages_over_a_small_table(spark, make_docs, prose):
     assert collections.Counter(r["doc_id"] for r in last) == collections.Counter(r["doc_id"] for r in mixed)
 
 
+def test_near_copies_without_an_id_go(spark, make_docs, prose):
+    text = prose(3, 60)
+    rows = [(None, text), (4, text), (4, text + " more"), (None, "alone in the whole table of documents"), (6, None), (7, "")]
+    kept = P.drop_near_duplicates(spark, make_docs(rows, extra=True), "unused").collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in kept), key=str) == sorted(
+        [(4, text), (4, text + " more"), (None, "alone in the whole table of documents"), (6, None)], key=str)
+
+
 def test_empty_table_through_every_stage(spark, make_docs):
     docs = make_docs([])
     for _, stage in P.STAGES:
@@ -41,7 +49,7 @@ def test_empty_table_through_every_stage(spark, make_docs):
 def test_registered_names():
     import __spark_entry__ as entry
     names = entry.queries()
-    assert [n for n in range(1, 11) if sum(x.startswith(f"op{n}_") for x in names) != 1] == []
+    assert [n for n in range(1, 14) if sum(x.startswith(f"op{n}_") for x in names) != 1] == []
     assert names["pipeline"] is P.run and set(entry.oracle_sql()) <= set(names)
 
 

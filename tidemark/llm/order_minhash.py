@@ -11,9 +11,9 @@ components of the links.
 
 Two exact bounds settle most pairs of texts that are merely related: windows that only one
 component has are shared with no other, and texts share no more windows than they have of the same
-hash classes. Candidates of a bucket are then compared with few pivots;
-texts that are connected by then need no comparison, and of the others every pair that shares a
-bucket, and that the bounds leave open, is compared.
+hash classes. Of buckets with equal members one is kept. Each text is compared with one central text of its
+buckets, then with central texts of the largest root of each; texts that are connected by then need no
+comparison, and of the others every pair that shares a bucket, and that the bounds leave open, is compared.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import HOT_PARTS, left_join_hot, store
+from tidemark.llm.common import HOT_PARTS, dealt, left_join_hot, matched_hot, store, store_counted
 from tidemark.llm.components import components
 
 #: Production parameters.
@@ -37,8 +37,8 @@ SKETCHES = 40
 SAMPLED = 7
 #: Texts with up to SHORT windows are found exactly: so are all near pairs of which one has up to 0.8 SHORT.
 SHORT = 80
-#: Pivots of a bucket in each round.
-PIVOTS = (1, 8, 8)
+#: Central texts of a bucket's main root that the others are dealt to.
+PIVOTS = 8
 #: Hash classes that a text's windows are counted by.
 CLASSES = 128
 
@@ -118,66 +118,69 @@ def _sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for a in range(0, len(batch), 512):
             rows = []
-            for doc_id, text in zip(batch["doc_id"][a:a + 512], batch["text"][a:a + 512], strict=True):
+            for doc_id, text, text_hash in zip(batch["doc_id"][a:a + 512], batch["text"][a:a + 512], batch["text_hash"][a:a + 512],
+                                               strict=True):
                 words = word_hashes(text)
                 kmers = windows(words)
                 marked = labelled(kmers)
                 short = marked if WINDOW <= len(words) and len(kmers) <= SHORT else marked[:0]
-                rows.append((doc_id, text_key(words), len(words), len(kmers), order_sketches(marked).view(np.int64).tolist(),
-                             short.view(np.int64).tolist()))
-            yield pd.DataFrame(rows, columns=["doc_id", "text_key", "n_words", "n_kmers", "sketches", "short"])
+                rows.append((doc_id, text_hash, text_key(words), len(words), len(kmers),
+                             order_sketches(marked).view(np.int64).tolist(), short.view(np.int64).tolist()))
+            yield pd.DataFrame(rows, columns=["doc_id", "text_hash", "text_key", "n_words", "n_kmers", "sketches", "short"])
 
 
 def _windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         found = [labelled(windows(word_hashes(text))).view(np.int64).tolist() for text in batch["text"]]
-        yield pd.DataFrame({"doc_id": batch["doc_id"], "root": batch["root"], "windows": found})
+        yield pd.DataFrame({"node": batch["node"], "root": batch["root"], "windows": found})
 
 
 def _classes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         found = [np.bincount((labelled(windows(word_hashes(text))) % np.uint64(CLASSES)).astype(np.int64), minlength=CLASSES)
                  .tolist() for text in batch["text"]]
-        yield pd.DataFrame({"doc_id": batch["doc_id"], "classes": found})
+        yield pd.DataFrame({"node": batch["node"], "classes": found})
 
 
-def _short_buckets(chosen: DataFrame, least: float) -> DataFrame:
-    """(doc_id, n_kmers, bucket): the rarest windows of each short text, as many as it can't all lack of a near one's.
+def _short_buckets(texts: DataFrame, least: float) -> DataFrame:
+    """(node, n_kmers, bucket): the rarest windows of each short text, as many as it can't all lack of a near one's.
 
     Near texts of n windows and more share ``least`` * n, so two of them that order their windows alike share one of
     the first n - ceil(least * n) + 1. Windows of one text alone come first in that order and need no bucket.
     """
-    rows = store(chosen.select("doc_id", "n_kmers", F.explode("short").alias("window")), "op7_short")
+    rows, total = store_counted(texts.select("node", "n_kmers", F.explode("short").alias("window")), "op7_short")
     counts = store(rows.groupBy("window").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "op7_short_counts")
-    found = left_join_hot(rows, counts, ["window"], "n", rows.count()).filter("n IS NOT NULL")
-    texts = found.groupBy("doc_id", "n_kmers").agg(F.sort_array(F.collect_list(F.struct("n", "window"))).alias("ranked"))
+    found = matched_hot(rows, counts, ["window"], "n", total)
+    texts = found.groupBy("node", "n_kmers").agg(F.sort_array(F.collect_list(F.struct("n", "window"))).alias("ranked"))
     prefix = F.col("n_kmers") - F.ceil(F.col("n_kmers") * least - F.lit(1e-6)) + 1
     take = F.greatest(F.lit(0), prefix - (F.col("n_kmers") - F.size("ranked"))).cast("int")
-    return texts.select("doc_id", "n_kmers", F.explode(F.slice("ranked", F.lit(1), take)).alias("of")).select(
-        "doc_id", "n_kmers", F.xxhash64(F.lit(-1), F.col("of.window")).alias("bucket"))
+    return texts.select("node", "n_kmers", F.explode(F.slice("ranked", F.lit(1), take)).alias("of")).select(
+        "node", "n_kmers", F.xxhash64(F.lit(-1), F.col("of.window")).alias("bucket"))
 
 
 def _own_windows(texts: DataFrame, placed: DataFrame) -> DataFrame:
-    """(doc_id, own): how many labelled windows of each text of ``placed`` (doc_id, root) only texts of its
+    """(node, own): how many labelled windows of each text of ``placed`` (node, root) only texts of its
     root have. No text of another root shares them."""
-    rows = store(texts.join(placed, "doc_id").mapInPandas(_windows, "doc_id long, root long, windows array<long>")
-                 .select("doc_id", "root", F.explode("windows").alias("window")), "op7_windows")
+    rows, total = store_counted(texts.join(placed, "node").mapInPandas(_windows, "node long, root long, windows array<long>")
+                                .select("node", "root", F.explode("windows").alias("window")), "op7_windows")
     alone = store(rows.groupBy("window").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
                   .filter("lo = hi").select("window", "n"), "op7_alone")
-    found = left_join_hot(rows, alone, ["window"], "n", rows.count())
-    return found.filter("n IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("own"))
+    return matched_hot(rows, alone, ["window"], "n", total).groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+
+
+def _enough(least: float, shared: Column, kmers: str, other_kmers: str) -> Column:
+    """Are ``shared`` windows enough for two texts to be near?"""
+    return shared * (1 + least) >= (F.col(kmers) + F.col(other_kmers)) * least - F.lit(1e-6)
 
 
 def _can_be_near(least: float, kmers: str, own: str, other_kmers: str, other_own: str) -> Column:
     """False where two texts can't share enough windows: neither shares the windows that its root alone has."""
-    shared = F.least(F.col(kmers) - F.col(own), F.col(other_kmers) - F.col(other_own))
-    return shared * (1 + least) >= (F.col(kmers) + F.col(other_kmers)) * least - F.lit(1e-6)
+    return _enough(least, F.least(F.col(kmers) - F.col(own), F.col(other_kmers) - F.col(other_own)), kmers, other_kmers)
 
 
-def _classes_allow(least: float, classes: str, other_classes: str, kmers: str, other_kmers: str) -> Column:
-    """False where two texts have too few windows of the same hash classes to share enough windows."""
-    shared = F.aggregate(F.zip_with(classes, other_classes, lambda a, b: F.least(a, b)), F.lit(0), lambda n, x: n + x)
-    return shared * (1 + least) >= (F.col(kmers) + F.col(other_kmers)) * least - F.lit(1e-6)
+def _shared_classes(classes: str, other_classes: str) -> Column:
+    """No fewer windows than two texts share: those of the same hash classes."""
+    return F.aggregate(F.zip_with(classes, other_classes, lambda a, b: F.least(a, b)), F.lit(0), lambda n, x: n + x)
 
 
 def _same_to(a: np.ndarray, b: np.ndarray, x: int, y: int) -> int:
@@ -291,26 +294,135 @@ def _verify(least: float):
     return verify
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """``pairs`` (u, v) with their similarity, where it is ``least`` or more. A pivot v may be in most pairs:
+def _verified(pairs: DataFrame, total: int, texts: DataFrame, least: float) -> DataFrame:
+    """The ``total`` stored ``pairs`` (u, v) that have a similarity of ``least`` or more. A pivot v may be in most pairs:
     its text is dealt out in _SALTS copies then."""
-    total = pairs.count()
     hubs = pairs.groupBy("v").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") * HOT_PARTS >= total + HOT_PARTS * 64)
     hubs = store(hubs.select("v"), "op7_hubs")  # at most HOT_PARTS
     salt = F.pmod(F.xxhash64("u"), F.lit(_SALTS)).cast("int")
     salted = (pairs.join(F.broadcast(hubs.withColumn("hub", F.lit(True))), "v", "left")
               .withColumn("salt", F.when(F.col("hub"), salt).otherwise(F.lit(0))).drop("hub"))
     copies = F.when(F.col("hub"), F.sequence(F.lit(0), F.lit(_SALTS - 1))).otherwise(F.array(F.lit(0)))
-    of_v = (texts.select(F.col("doc_id").alias("v"), F.col("text").alias("text_v"))
+    of_v = (texts.select(F.col("node").alias("v"), F.col("text").alias("text_v"))
             .join(F.broadcast(hubs.withColumn("hub", F.lit(True))), "v", "left")
             .select("v", "text_v", F.explode(copies).alias("salt")))
-    joined = (salted.join(texts.select(F.col("doc_id").alias("u"), F.col("text").alias("text_u")), "u")
+    joined = (salted.join(texts.select(F.col("node").alias("u"), F.col("text").alias("text_u")), "u")
               .join(of_v, ["v", "salt"]).select("u", "v", "text_u", "text_v"))
     return joined.mapInPandas(_verify(least), "u long, v long, similarity double").filter(F.col("similarity") >= least)
 
 
+def _buckets(texts: DataFrame, n_texts: int, least: float) -> tuple[DataFrame, int]:
+    """(node, n_kmers, bucket) of the buckets that two texts or more share, and how many rows; of buckets with the same
+    members one."""
+    rows = (texts.filter(F.col("n_words") >= WINDOW)
+            .select("node", "n_kmers", F.posexplode("sketches").alias("band", "sketch"))
+            .select("node", "n_kmers", F.xxhash64("band", "sketch").alias("bucket"))
+            .unionByName(_short_buckets(texts, least)))
+    members = F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node")).alias("one"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("two")
+    alike = rows.groupBy("bucket").agg(*members).filter("n > 1").groupBy("n", "one", "two").agg(F.min("bucket").alias("bucket"))
+    found = matched_hot(rows, store(alike.select("bucket", "n"), "op7_shared"), ["bucket"], "n", n_texts * SKETCHES)
+    return store_counted(found.drop("n"), "op7_buckets")
+
+
+class _Matcher:
+    """Verifies candidate pairs, none twice, and keeps the links."""
+
+    def __init__(self, texts: DataFrame, least: float):
+        self.texts, self.least = texts, least
+        self.tried = self.links = texts.sparkSession.createDataFrame([], "u long, v long")
+
+    def link(self, pairs: DataFrame) -> tuple[DataFrame, int]:
+        """The links among ``pairs`` (u, v), without repeats, and how many they are."""
+        fresh, total = store_counted(pairs.select("u", "v").join(self.tried, ["u", "v"], "left_anti"), "op7_pairs")
+        if not total:
+            return fresh, 0
+        found, n = store_counted(_verified(fresh, total, self.texts, self.least).select("u", "v"), "op7_links")
+        self.tried = self.tried.unionByName(fresh).unionByName(fresh.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        self.links = self.links.unionByName(found)
+        return found, n
+
+
+def _open_rows(rows: DataFrame, total: int) -> tuple[DataFrame, int]:
+    """Of ``total`` stored ``rows`` (node, bucket, root, others) those of buckets with several roots, with ``main``, the
+    bucket's most frequent one."""
+    roots = dealt(rows, total, "bucket").groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("of_root"))
+    mains = (roots.groupBy("bucket").agg(F.max_by("root", F.struct("of_root", "root")).alias("main"), F.sum("of_root").alias("n"),
+                                         F.count(F.lit(1)).alias("n_roots")).filter("n_roots > 1").drop("n_roots"))
+    return store_counted(matched_hot(rows, store(mains, "op7_mains"), ["bucket"], "n", total).drop("n"), "op7_open")
+
+
+def _candidate_links(texts: DataFrame, shared: DataFrame, total: int, least: float) -> DataFrame:
+    """(u, v): links that connect all texts which near pairs of a bucket connect.
+
+    ``shared`` is (node, n_kmers, bucket), of ``total`` rows. First each text meets one text: of its buckets' most
+    central ones (fewest windows of their own) the most central. What is linked to one text is one root. In buckets
+    with several roots, the texts outside the main root then meet one of its central texts a bucket. Of what is left,
+    two roots meet in the pair of texts whose hash classes agree most, and, if that is no link, in all pairs that
+    share a bucket and that the bounds leave open.
+    """
+    def told_apart(rows: DataFrame) -> DataFrame:
+        """Rows with ``own``; texts with too few other windows to be near one of another root go."""
+        own = _own_windows(texts, rows.select("node", "root").distinct())
+        counted = rows.drop("own").join(own, "node", "left").fillna(0, ["own"])
+        return counted.filter(F.col("n_kmers") - F.col("own") >= F.col("n_kmers") * least - F.lit(1e-6))
+
+    matcher = _Matcher(texts, least)
+    now, total = store_counted(told_apart(shared.withColumn("root", F.col("node"))), "op7_near_buckets")
+    if not total:
+        return matcher.links
+    central = dealt(now, total, "bucket").groupBy("bucket").agg(
+        F.min(F.struct("own", "node", "n_kmers")).alias("p"), F.count(F.lit(1)).alias("n"))
+    met = matched_hot(now, store(central, "op7_central"), ["bucket"], "n", total).filter(
+        (F.col("node") != F.col("p.node")) & _can_be_near(least, "n_kmers", "own", "p.n_kmers", "p.own"))
+    first, n = matcher.link(dealt(met, total, "node").groupBy(F.col("node").alias("u")).agg(F.min(F.struct("p.own", "p.node")).alias("p"))
+                            .select("u", F.col("p.node").alias("v")))
+    centres = dealt(first, n, "v").select("v").distinct()
+    labels = first.join(centres.withColumnRenamed("v", "u"), "u", "left_anti").unionByName(centres.select(F.col("v").alias("u"), "v"))
+    now = now.drop("root").join(labels.toDF("node", "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    now, total = _open_rows(store(now, "op7_rooted"), total)
+    if not total:
+        return matcher.links
+
+    part = F.pmod(F.xxhash64("node"), F.lit(PIVOTS))
+    pivots = (dealt(now.filter("root = main"), total, "bucket").groupBy("bucket", part.alias("part"))
+              .agg(F.min(F.struct("own", "node", "n_kmers", "root")).alias("p")).groupBy("bucket").agg(F.collect_list("p").alias("pivots")))
+    others, n_others = store_counted(now.filter("root <> main"), "op7_others")
+    sizes = dealt(others, n_others, "bucket").groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    met = matched_hot(others, store(pivots.join(sizes, "bucket"), "op7_pivots"), ["bucket"], "n", n_others)
+    one = F.element_at("pivots", (F.pmod(F.xxhash64("node", "bucket"), F.size("pivots")) + 1).cast("int"))
+    met = met.withColumn("p", one).filter(_can_be_near(least, "n_kmers", "own", "p.n_kmers", "p.own"))
+    second, n = matcher.link(dealt(met.select(F.col("node").alias("u"), F.col("p.node").alias("v")), n_others, "u").distinct())
+    if n:
+        roots = store(dealt(now.select("node", "root"), total, "node").distinct(), "op7_roots")
+        hooked = (dealt(second, n, "u").join(roots.toDF("u", "old"), "u").join(roots.toDF("v", "new"), "v")
+                  .groupBy(F.col("old").alias("root")).agg(F.min("new").alias("new")))
+        now = now.drop("main").join(store(hooked, "op7_hooked"), "root", "left").withColumn("root", F.coalesce("new", "root")).drop("new")
+        now, total = _open_rows(store(now, "op7_rerooted"), total)
+        if not total:
+            return matcher.links
+
+    nodes = dealt(now.select("node"), total, "node").distinct()
+    classes = texts.join(nodes, "node", "left_semi").mapInPandas(_classes, "node long, classes array<int>")
+    now, total = store_counted(told_apart(now).join(classes, "node"), "op7_last")
+    other = now.filter("root <> main").select("bucket", F.col("node").alias("u"), F.col("root").alias("u_root"),
+                                              F.col("n_kmers").alias("u_kmers"), F.col("own").alias("u_own"), F.col("classes").alias("u_classes"))
+    met = other.join(now.withColumnRenamed("node", "v"), "bucket").filter(
+        (F.col("u_root") != F.col("root")) & ((F.col("root") == F.col("main")) | (F.col("u") > F.col("v")))
+        & _can_be_near(least, "u_kmers", "u_own", "n_kmers", "own"))
+    shared_ = _shared_classes("u_classes", "classes")
+    met = met.withColumn("agree", shared_).filter(_enough(least, F.col("agree"), "u_kmers", "n_kmers"))
+    pairs, total = store_counted(met.groupBy("u", "v").agg(F.min("u_root").alias("u_root"), F.min("root").alias("root"),
+                                                           F.max(F.col("agree") / (F.col("u_kmers") + F.col("n_kmers"))).alias("agree")), "op7_left")
+    best = dealt(pairs, total, "u_root").groupBy("u_root", "root").agg(F.max(F.struct("agree", "u", "v")).alias("p")).select("u_root", "root", "p.u", "p.v")
+    best = store(best, "op7_best")
+    third, n = matcher.link(best.select("u", "v"))
+    settled = best.join(third, ["u", "v"], "left_semi").select("u_root", "root")
+    matcher.link(pairs.join(settled, ["u_root", "root"], "left_anti"))
+    return matcher.links
+
+
 def near_dedup(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """One row per row of ``docs`` (doc_id long, text): doc_id, class_id, class_size and kept.
+    """One row per row of ``docs`` (doc_id long, text): doc_id, text_hash (xxhash64), class_id, class_size and kept.
 
     class_id is the smallest doc_id of the class; that row is kept. Texts with the same words in the same
     order are one text. Under five words a text is near only to equal ones; texts without words, null
@@ -318,82 +430,35 @@ def near_dedup(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     doc_id joins the class of equal texts that have one; without any it is kept, with null class_id.
     An empty table gives no rows; other columns are not read.
     """
-    spark = docs.sparkSession
-    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    schema = "doc_id long, text_key long, n_words long, n_kmers long, sketches array<long>, short array<long>"
-    marks = store(named.mapInPandas(_sketch, schema), "op7_marks")
-    total = marks.count()
-    texts_of = ["text_key", "n_words"]
-    reps = store(marks.groupBy(*texts_of).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")), "op7_reps")
-    chosen = marks.join(reps.filter("rep IS NOT NULL").select(*texts_of, F.col("rep").alias("doc_id")),
-                        ["doc_id", *texts_of], "left_semi").dropDuplicates(["doc_id", *texts_of])
-    bucket = (F.col("band"), F.col("sketch"))
-    rows = (chosen.filter(F.col("n_words") >= WINDOW)
-            .select("doc_id", "n_kmers", F.posexplode("sketches").alias("band", "sketch"))
-            .select("doc_id", "n_kmers", F.xxhash64(*bucket).alias("bucket"))
-            .unionByName(_short_buckets(chosen, least)))
-    sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    shared = store(rows.join(sizes.select("bucket"), "bucket", "left_semi"), "op7_buckets")
-    texts = store(named.join(shared.select("doc_id").distinct(), "doc_id", "left_semi")
-                  .dropDuplicates(["doc_id"]), "op7_texts")
-    def told_apart(rows_: DataFrame) -> DataFrame:
-        """Bucket rows with ``own``; texts with too few other windows to be near one of another root go."""
-        own = _own_windows(texts, rows_.select("doc_id", "root").distinct())
-        counted = rows_.drop("own").join(own, "doc_id", "left").fillna(0, ["own"])
-        return counted.filter(F.col("n_kmers") - F.col("own") >= F.col("n_kmers") * least - F.lit(1e-6))
-
-    shared = store(told_apart(shared.withColumn("root", F.col("doc_id"))).drop("root"), "op7_near_buckets")
-    roots = spark.createDataFrame([], "node long, root long")
-    links = spark.createDataFrame([], "u long, v long")
-    tried = links
-
-    def placed() -> DataFrame:
-        """Rows of the buckets with their component; buckets of one component are done."""
-        now = shared.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
-            "root", F.coalesce("root", "doc_id"))
-        open_ = now.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi")
-        return store(now.join(open_.select("bucket"), "bucket", "left_semi"), "op7_open")
-
-    for turn, n_pivots in enumerate((*PIVOTS, 0)):
-        now = placed()
-        if not now.take(1):
-            break
-        if n_pivots:  # those with the fewest windows of their own, out of n_pivots parts: the middle of their copies
-            part = F.pmod(F.xxhash64("doc_id", F.lit(turn)), F.lit(n_pivots))
-            least_own = now.groupBy("bucket", part.alias("part")).agg(
-                F.min(F.struct("own", "doc_id", "root", "n_kmers")).alias("p"), F.count(F.lit(1)).alias("n"))
-            pivots = store(least_own.groupBy("bucket").agg(F.collect_list("p").alias("pivots"), F.sum("n").alias("n")), "op7_pivots")
-            with_pivot = left_join_hot(now, pivots, ["bucket"], "n", now.count())
-            met = with_pivot.withColumn("p", F.explode("pivots")).select(
-                F.col("doc_id").alias("u"), "root", "n_kmers", "own", F.col("p.own").alias("v_own"), F.col("p.doc_id").alias("v"),
-                F.col("p.root").alias("v_root"), F.col("p.n_kmers").alias("v_kmers"))
-            pairs = met.filter((F.col("root") != F.col("v_root")) & _can_be_near(least, "n_kmers", "own", "v_kmers", "v_own"))
-            if n_pivots == 1:
-                pairs = pairs.groupBy("u").agg(F.min(F.struct("v_own", "v")).alias("p")).select("u", F.col("p.v").alias("v"))
-        else:
-            classes = texts.mapInPandas(_classes, "doc_id long, classes array<int>")
-            now = store(told_apart(now).join(classes, "doc_id"), "op7_last")
-            main = now.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(
-                F.max_by("root", F.struct("n", "root")).alias("main"))
-            other = now.join(main, "bucket").filter("root <> main").select(
-                "bucket", F.col("doc_id").alias("u"), F.col("root").alias("u_root"), F.col("n_kmers").alias("u_kmers"),
-                F.col("own").alias("u_own"), F.col("classes").alias("u_classes"), "main")
-            met = other.join(now.withColumnRenamed("doc_id", "v"), "bucket").filter(
-                (F.col("u_root") != F.col("root")) & ((F.col("root") == F.col("main")) | (F.col("u") > F.col("v")))
-                & _can_be_near(least, "u_kmers", "u_own", "n_kmers", "own")
-                & _classes_allow(least, "u_classes", "classes", "u_kmers", "n_kmers"))
-            pairs = met.select("u", "v").distinct()
-        pairs = pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-        pairs = store(pairs.join(tried, ["u", "v"], "left_anti"), "op7_pairs")
-        links = store(links.unionByName(_verified(pairs, texts, least).select("u", "v")), "op7_links")
-        tried = tried.unionByName(pairs)
-        roots = store(components(links), "op7_roots")
-
-    classes = reps.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("class_id", F.coalesce("root", "rep"))
-    whole = classes.groupBy("class_id").agg(F.sum("n").alias("class_size"))
-    named_classes = store(classes.join(whole.filter("class_id IS NOT NULL"), "class_id", "left")
-                          .select(*texts_of, "n", "class_id", "class_size"), "op7_classes")
-    joined = left_join_hot(marks.select("doc_id", *texts_of), named_classes, texts_of, "n", total)
+    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
+    schema = "doc_id long, text_hash long, text_key long, n_words long, n_kmers long, sketches array<long>, short array<long>"
+    marks, total = store_counted(named.mapInPandas(_sketch, schema), "op7_marks")
+    text_of = ["text_key", "n_words"]
+    # Texts are nodes. Equal ones have equal sketches, so any will do.
+    row = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "text_hash"))
+    nodes, n_nodes = store_counted(
+        marks.groupBy(*text_of).agg(F.min(row).alias("row"), F.count(F.lit(1)).alias("n"), F.first("n_kmers").alias("n_kmers"),
+                                    F.first("sketches").alias("sketches"), F.first("short").alias("short"))
+        .select(F.monotonically_increasing_id().alias("node"), *text_of, "n", "n_kmers", "sketches", "short", F.col("row.doc_id").alias("rep"),
+                F.col("row.text_hash").alias("rep_hash")), "op7_nodes")
+    named_nodes = nodes.filter("rep IS NOT NULL")
+    shared, n_shared = _buckets(named_nodes, n_nodes, least)
+    of_node = named_nodes.join(shared.select("node").distinct(), "node", "left_semi").select(
+        "node", F.col("rep").alias("doc_id"), F.col("rep_hash").alias("text_hash"))
+    texts = store(named.join(of_node, ["doc_id", "text_hash"]).dropDuplicates(["doc_id", "text_hash"]).select("node", "text"), "op7_texts")
+    links = _candidate_links(texts, shared, n_shared, least)
+    # A document of several texts links them.
+    several = (marks.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(F.struct(*text_of)).alias("lo"), F.max(F.struct(*text_of)).alias("hi"))
+               .filter("lo <> hi").select("doc_id"))
+    own_texts = marks.join(several, "doc_id", "left_semi").select("doc_id", *text_of).distinct().join(
+        nodes.select(*text_of, "node"), text_of)
+    joint = own_texts.groupBy("doc_id").agg(F.min("node").alias("v")).join(own_texts, "doc_id").select(F.col("node").alias("u"), "v")
+    roots = components(links.unionByName(joint))
+
+    classes = named_nodes.select("node", *text_of, "n", "rep").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    whole = classes.groupBy("root").agg(F.min("rep").alias("class_id"), F.sum("n").alias("class_size"))
+    named_classes = store(classes.join(whole, "root").select(*text_of, "n", "class_id", "class_size"), "op7_classes")
+    joined = left_join_hot(marks.select("doc_id", "text_hash", *text_of), named_classes, text_of, "n", total)
     alone = F.col("class_id").isNull()
-    return joined.select("doc_id", "class_id", F.when(alone, 1).otherwise(F.col("class_size")).cast("long").alias("class_size"),
+    return joined.select("doc_id", "text_hash", "class_id", F.when(alone, 1).otherwise(F.col("class_size")).cast("long").alias("class_size"),
                          (alone | F.col("doc_id").eqNullSafe(F.col("class_id"))).alias("kept"))

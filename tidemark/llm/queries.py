@@ -50,7 +50,7 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return order_minhash.near_dedup(table(spark, sf_dir, "documents"))
+    return order_minhash.near_dedup(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
