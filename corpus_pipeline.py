@@ -14,7 +14,9 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """The documents whose text is in a language that language ID knows; the others go."""
     records = language_id.document_records(docs)
     found = language_id.identify(records.withColumn("id", F.struct("id", F.xxhash64("text").alias("hash"))))
-    rejected = found.filter("rejected").select("id.id", "id.hash").distinct()
+    # Written before it is filtered: a filter pushed into the posterior would evaluate it many times over.
+    answers = store(found.select("id.id", "id.hash", "rejected"), "pipeline_answers")
+    rejected = answers.filter("rejected").select("id", "hash").distinct()
     same = docs["doc_id"].eqNullSafe(rejected["id"]) & (F.xxhash64(docs["text"]) == rejected["hash"])
     return docs.join(rejected, same, "left_anti")
 
@@ -28,9 +30,13 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class, that with the smallest doc_id."""
-    gone = order_minhash.near_dedup(docs).filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One document of each near-duplicate class, that with the smallest doc_id. A row without a doc_id goes if
+    its text has a document."""
+    answers = order_minhash.near_dedup(docs)
+    gone = store(answers.filter(~F.col("kept")).select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"))
+                 .distinct(), "pipeline_gone")
+    same = docs["doc_id"].eqNullSafe(gone["gone_id"]) & F.xxhash64(docs["text"]).eqNullSafe(gone["gone_hash"])
+    return docs.join(gone, same, "left_anti")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
