@@ -367,10 +367,68 @@ def test_retry_of_a_lost_registration_replaces_the_run(spark, monkeypatch):
     register = L.register_run
     monkeypatch.setattr(L, "register_run", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
     with pytest.raises(RuntimeError, match="lost"):
-        land_pages(spark, lt, pages, "currencies", 20220701)
+        land_pages(spark, lt, pages, "currencies", 20220701, attempt="job 1")
     monkeypatch.setattr(L, "register_run", register)
-    assert land_pages(spark, lt, pages, "currencies", 20220701) == 1
+    assert land_pages(spark, lt, pages, "currencies", 20220701, attempt="job 1") == 1
     assert L.read_landing(spark, lt).count() == 2
+    assert land_pages(spark, lt, pages, "currencies", 20220701, attempt="job 2") == 2
+    assert L.read_landing(spark, lt).count() == 4
+
+
+def _land(spark, lt, *names, day=20220701):
+    from tidemark.plans.loader import land_pages
+    return land_pages(spark, lt, P.build_pages(_currencies(spark, *names), F.struct("code", "symbol", "name")), "currencies", day)
+
+
+def _landed_names(spark, lt):
+    L.repair(spark, lt)
+    spark.catalog.refreshTable(lt.name)
+    return sorted(r.name for r in L.read_landing(spark, lt).collect())
+
+
+def test_a_catalog_without_partitions_costs_no_run(spark):
+    path = shared_dir(spark, "t", "lostcat")
+    lt = L.create_landing(spark, "t_lostcat", "DimCurrency", path)
+    assert _land(spark, lt, "a") == 1
+    spark.sql(f"DROP TABLE {lt.name}")
+    lt = L.create_landing(spark, "t_lostcat", "DimCurrency", path)
+    assert _land(spark, lt, "b") == 2 and _landed_names(spark, lt) == ["a", "b"]
+
+
+def test_two_loaders_never_share_a_run(spark):
+    from concurrent.futures import ThreadPoolExecutor
+    lt = L.create_landing(spark, "t_two", "DimCurrency", shared_dir(spark, "t", "two"))
+    names = [f"n{i}" for i in range(8)]
+    with ThreadPoolExecutor(8) as pool:
+        runs = list(pool.map(lambda n: _land(spark, lt, n), names))
+        claims = list(pool.map(lambda i: L.claim_run(spark, lt, 20220702, f"a{i}"), range(40)))
+    assert sorted(runs) == list(range(1, 9)) and _landed_names(spark, lt) == names
+    assert sorted(claims) == list(range(1, 41)) and L.claim_run(spark, lt, 20220702, "a7") == claims[7]
+
+
+def test_no_attempt_writes_the_run_of_another(spark):
+    lt = L.create_landing(spark, "t_taken", "DimCurrency", shared_dir(spark, "t", "taken"))
+    rows = _currencies(spark, "a")
+    assert L.append_run(rows, lt, 20220701, 3, "mine") == 1 and L.append_run(rows, lt, 20220701, 3, "mine") == 1
+    with pytest.raises(L.RunTakenError):
+        L.append_run(rows, lt, 20220701, 3, "other")
+    L.append_runs(rows.selectExpr("*", "20220701 AS dayId", "4 AS runId"), lt)  # a run of a writer without claims
+    with pytest.raises(L.RunTakenError):
+        L.append_run(rows, lt, 20220701, 4)
+    assert _land(spark, lt, "b") == 5 and _landed_names(spark, lt) == ["a", "a", "b"]
+
+
+def test_a_loader_beside_the_stream_keeps_its_run(spark):
+    from tidemark.streaming import stream_pages_to_landing
+    inbox, ckpt = shared_dir(spark, "t", "inbox2"), shared_dir(spark, "t", "ckpt2")
+    lt = L.create_landing(spark, "t_beside", "DimCurrency", shared_dir(spark, "t", "beside"))
+    for name, run in (("s1", 1), ("s2", 3)):
+        P.write_pages(P.build_pages(_currencies(spark, name), F.struct("code", "symbol", "name")).coalesce(1), inbox)
+        stream_pages_to_landing(spark, inbox, "currencies", lt, 20220701, ckpt).awaitTermination()
+        assert L.latest_run(spark, lt) == (20220701, run)
+        if run == 1:
+            assert _land(spark, lt, "loader") == 2
+    assert _landed_names(spark, lt) == ["loader", "s1", "s2"]
 
 
 def test_error_pages_and_missing_totals_fail_with_their_text(spark):

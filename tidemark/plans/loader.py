@@ -109,24 +109,31 @@ def run_day(now: str) -> int:
 
 
 def land_pages(spark: SparkSession, lt: L.LandingTable, pages: DataFrame, endpoint: str,
-               day_id: int, run_id: int | None = None, requests: DataFrame | None = None) -> int:
-    """Flatten a response's pages into one new run of a landing table (K4).
+               day_id: int, requests: DataFrame | None = None, attempt: str | None = None) -> int:
+    """Flatten a response's pages into one new run of a landing table (K4); returns the run id.
 
     One distributed write for all pages; an empty response writes no run, so the previous run stays the
-    latest one. With ``requests`` an incomplete response fails the write, and no run is landed. A retry
-    after a failure before the registration replaces the run's folder.
+    latest one. With ``requests`` an incomplete response fails the write, and no run is landed. The run is claimed
+    first: a caller that retries with the ``attempt`` it named replaces its own run, and no other.
     """
-    if run_id is None:
-        run_id = L.next_run_id(spark, lt, day_id)
-    parsed = parse_pages(pages, endpoint)
-    records = flatten(explode_pages(parsed), endpoint)
-    if requests is not None:
-        missing = fail_on_missing_pages(parsed, requests)
-        first, *rest = records.schema.fields
-        records = records.unionByName(missing.select(
-            F.col("path").cast(first.dataType).alias(first.name), *[F.lit(None).cast(f.dataType).alias(f.name) for f in rest]))
-    if L.append_run(records, lt, day_id, run_id):
+    attempt = attempt or L.new_attempt()
+    run_id = L.claim_run(spark, lt, day_id, attempt)
+    try:
+        parsed = parse_pages(pages, endpoint)
+        records = flatten(explode_pages(parsed), endpoint)
+        if requests is not None:
+            missing = fail_on_missing_pages(parsed, requests)
+            first, *rest = records.schema.fields
+            records = records.unionByName(missing.select(
+                F.col("path").cast(first.dataType).alias(first.name), *[F.lit(None).cast(f.dataType).alias(f.name) for f in rest]))
+        landed = L.append_run(records, lt, day_id, run_id, attempt)
+    except BaseException:
+        L.release_run(spark, lt, day_id, run_id, attempt)
+        raise
+    if landed:
         L.register_run(spark, lt, day_id, run_id)
+    else:
+        L.release_run(spark, lt, day_id, run_id, attempt)
     return run_id
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 _TABLE_ROOT = "tidemark"
@@ -94,6 +95,56 @@ def modified_ms(spark: SparkSession, path: str) -> int:
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(hpath).getModificationTime()
 
 
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly in ``path`` on the cluster file system, none if there is no such folder."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
+        return []
+    return [s.getPath().getName() for s in fs.listStatus(hpath) if not s.isDirectory()]
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The text of one small file on the cluster file system."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    stream = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(hpath)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file if none of that name exists: of several writers one gets True.
+
+    HDFS and object stores with conditional writes decide this by themselves; for the local file system,
+    whose Hadoop client looks before it writes, the operating system does.
+    """
+    mkdirs(spark, path.rsplit("/", 1)[0])
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    data = text.encode()
+    if fs.getUri().getScheme() == "file":
+        try:
+            with open(hpath.toUri().getPath(), "xb") as f:
+                f.write(data)
+        except FileExistsError:
+            return False
+        return True
+    try:
+        out = fs.create(hpath, False)
+    except Py4JJavaError:
+        if fs.exists(hpath):
+            return False
+        raise
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+    return True
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     """Recursively delete a path on the cluster file system (Hadoop FS, not os)."""
     jvm = spark.sparkContext._jvm
@@ -111,5 +162,8 @@ __all__ = [
     "mkdirs",
     "list_dirs",
     "modified_ms",
+    "list_files",
+    "read_text",
+    "create_new",
     "delete_path",
 ]

@@ -7,20 +7,30 @@ data. A run the loader writes is registered as one partition
 folder) is only for folders written by others.
 Writes go through Spark's commit protocol: a lost executor's task is simply
 retried, and a failed job leaves no partial partition behind.
+
+A run belongs to the attempt that claimed it: a small file beside the run folders, made only if there is none
+(``_claims/dayId=…/runId=…``, with the attempt's name). Ids are taken above those of claims, folders and catalog
+alike, so two loaders, a loader beside a stream, or a session whose catalog is empty never share one. Only the
+attempt that holds a claim may write, or write again, the run's folder; no other landed row is ever replaced.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.runs import max_day_run, next_run_ids, parse_partitions
-from tidemark.session import delete_path, exists, mkdirs
+from tidemark.operators.runs import max_day_run, parse_partitions
+from tidemark.session import create_new, delete_path, exists, list_dirs, list_files, mkdirs, read_text
 from tidemark.schemas import LANDING_DDL, RUN_PARTITION_COLUMNS, landing_schema
 
 
+class RunTakenError(RuntimeError):
+    """A run's folder belongs to another attempt."""
+
+
 @dataclass(frozen=True)
 class LandingTable:
     database: str
@@ -87,18 +97,76 @@ def append_runs(df: DataFrame, lt: LandingTable) -> None:
     out.hint("rebalance", *RUN_PARTITION_COLUMNS).write.mode("append").partitionBy(*RUN_PARTITION_COLUMNS).parquet(lt.path)
 
 
-def append_run(df: DataFrame, lt: LandingTable, day_id: int, run_id: int) -> int:
-    """Write one run into its own folder, replacing what a failed attempt left there; returns its rows.
+def claim_path(lt: LandingTable, day_id: int, run_id: int) -> str:
+    return f"{lt.path}/_claims/dayId={int(day_id)}/runId={int(run_id)}"
+
+
+def new_attempt() -> str:
+    return uuid.uuid4().hex
+
+
+def _ids(names: list[str]) -> list[int]:
+    return [int(n.split("=", 1)[1]) for n in names if n.startswith("runId=") and n.split("=", 1)[1].isdigit()]
+
+
+def _runs_of(spark: SparkSession, lt: LandingTable, day_id: int) -> list[int]:
+    """Run ids of a day that have a claim, a folder or a catalog entry."""
+    known = spark.sql(f"SHOW PARTITIONS {lt.name} PARTITION (dayId={int(day_id)})").collect()
+    return (_ids(list_files(spark, f"{lt.path}/_claims/dayId={int(day_id)}"))
+            + _ids(list_dirs(spark, f"{lt.path}/dayId={int(day_id)}"))
+            + _ids([part for r in known for part in r[0].split("/")]))
+
+
+def claim_run(spark: SparkSession, lt: LandingTable, day_id: int, attempt: str) -> int:
+    """A run id of ``day_id`` for this attempt alone; an attempt that claimed one before gets it again."""
+    claims = f"{lt.path}/_claims/dayId={int(day_id)}"
+    mine = [i for i in _ids(list_files(spark, claims)) if read_text(spark, f"{claims}/runId={i}") == attempt]
+    if mine:
+        return max(mine)
+    run_id = max(_runs_of(spark, lt, day_id), default=0) + 1
+    while not create_new(spark, claim_path(lt, day_id, run_id), attempt):
+        run_id += 1
+    return run_id
+
+
+def release_run(spark: SparkSession, lt: LandingTable, day_id: int, run_id: int, attempt: str) -> None:
+    """Give up this attempt's claim of a run that landed nothing; what a failed write left in its folder goes too."""
+    at, folder = claim_path(lt, day_id, run_id), run_path(lt, day_id, run_id)
+    if not exists(spark, at) or read_text(spark, at) != attempt:
+        return
+    if exists(spark, folder) and not list_files(spark, folder):
+        delete_path(spark, folder)
+    if not exists(spark, folder):
+        delete_path(spark, at)
+
+
+def _hold(spark: SparkSession, lt: LandingTable, day_id: int, run_id: int, attempt: str) -> None:
+    """Make sure that the run is this attempt's, claiming it if nobody did and nothing is there."""
+    at = claim_path(lt, day_id, run_id)
+    if not exists(spark, at):
+        if exists(spark, run_path(lt, day_id, run_id)):
+            raise RunTakenError(f"{run_path(lt, day_id, run_id)} was written without a claim")
+        if create_new(spark, at, attempt):
+            return
+    if read_text(spark, at) != attempt:
+        raise RunTakenError(f"{run_path(lt, day_id, run_id)} is claimed by another attempt")
+
+
+def append_run(df: DataFrame, lt: LandingTable, day_id: int, run_id: int, attempt: str | None = None) -> int:
+    """Write one run into its own folder; returns its rows.
 
-    A response without records is no run: it leaves no folder.
+    What the same attempt wrote there before is replaced; a run of another attempt is an error. A response without
+    records is no run: it leaves no folder.
     """
+    spark = df.sparkSession
+    _hold(spark, lt, day_id, run_id, attempt or new_attempt())
     fields = landing_schema(lt.table, with_run=False).fields
     out = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
     # The run's folder is its identity; an unkeyed rebalance spreads the rows over write tasks.
     folder, observed = run_path(lt, day_id, run_id), Observation()
     out.hint("rebalance").observe(observed, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(folder)
     if not observed.get["n"]:
-        delete_path(df.sparkSession, folder)
+        delete_path(spark, folder)
     return observed.get["n"]
 
 
@@ -131,10 +199,8 @@ def latest_run_rows(spark: SparkSession, lt: LandingTable) -> DataFrame:
 
 
 def next_run_id(spark: SparkSession, lt: LandingTable, day_id: int) -> int:
-    """1 + the highest registered run of ``day_id`` (numerically), or 1 (O2).
+    """1 + the highest run of ``day_id`` (numerically) that is registered, on storage or claimed, or 1 (O2).
 
-    A run that was written but not registered, because the driver was lost in between, isn't counted:
-    the retry takes its id and replaces its folder.
+    Only a look: a loader takes its id by ``claim_run``.
     """
-    days = spark.createDataFrame([(int(day_id),)], "dayId INT")
-    return int(next_run_ids(partitions(spark, lt), days).first().next_run_id)
+    return max(_runs_of(spark, lt, day_id), default=0) + 1

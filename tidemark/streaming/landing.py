@@ -5,11 +5,12 @@ into an inbox instead, ``stream_pages_to_landing`` picks them up with a file
 stream (declared schema, no inference), flattens them with the endpoint's
 flattener and lands every micro-batch as its own run of the landing table.
 
-Exactly-once on restart: run ``first_run + batch_id`` of day ``day_id`` is written with overwrite into
-its own run folder. The batch id comes from the stream's checkpoint, and day and first run are kept
-beside it from the first start on, so a batch replayed after a lost executor or driver rewrites the
-same run instead of appending a copy. A stream lands under the day of its first start; a new
-checkpoint folder begins a new day. Downstream dedupe treats runs as usual.
+Exactly-once on restart: the attempt that claims a batch's run is named by the stream and the batch id. The
+batch id comes from the stream's checkpoint, and the stream's name and day are kept beside it from the first
+start on, so a batch replayed after a lost executor or driver finds its claim and rewrites its own run
+instead of appending a copy, while runs of loaders and other streams are never touched. A stream lands
+under the day of its first start; a new checkpoint folder begins a new day. Downstream dedupe treats runs
+as usual.
 """
 
 from __future__ import annotations
@@ -18,36 +19,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.flatten import flatten
-from tidemark.session import exists
+from tidemark.session import create_new, read_text
 from tidemark.sinks import landing as L
 from tidemark.sources.pages import explode_pages, parse_pages
 
 
-def _first_run(spark: SparkSession, lt: L.LandingTable, day_id: int, checkpoint_dir: str) -> tuple[int, int]:
-    """(day, first run) of the stream, as its first start wrote them beside the checkpoint."""
-    kept = f"{checkpoint_dir.rstrip('/')}_first_run"
-    if not exists(spark, f"{kept}/_SUCCESS"):
-        first = spark.createDataFrame([(int(day_id), L.next_run_id(spark, lt, day_id))], "day_id INT, first_run INT")
-        first.coalesce(1).write.mode("overwrite").json(kept)
-    row = spark.read.schema("day_id INT, first_run INT").json(kept).first()
-    return row.day_id, row.first_run
+def _identity(spark: SparkSession, day_id: int, checkpoint_dir: str) -> tuple[int, str]:
+    """(day, name) of the stream, as its first start wrote them beside the checkpoint."""
+    kept = f"{checkpoint_dir.rstrip('/')}_stream"
+    create_new(spark, kept, f"{int(day_id)} {L.new_attempt()}")
+    day, name = read_text(spark, kept).split()
+    return int(day), name
 
 
 def stream_pages_to_landing(spark: SparkSession, inbox: str, endpoint: str, lt: L.LandingTable,
                             day_id: int, checkpoint_dir: str, max_files_per_trigger: int | None = None,
                             available_now: bool = True) -> StreamingQuery:
     """Start the stream; with ``available_now`` it stops when the inbox is drained."""
-    day_id, first_run = _first_run(spark, lt, day_id, checkpoint_dir)
+    day_id, name = _identity(spark, day_id, checkpoint_dir)
     reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     pages = parse_pages(reader.text(inbox), endpoint, "value")
     records = flatten(explode_pages(pages), endpoint)
+
     def land_batch(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        run = first_run + int(batch_id)
-        L.append_run(batch, lt, day_id, run)
+        attempt = f"{name}/{int(batch_id)}"
+        run = L.claim_run(spark, lt, day_id, attempt)
+        L.append_run(batch, lt, day_id, run, attempt)
         L.register_run(spark, lt, day_id, run)  # the caller's session, whose listing is refreshed
 
     writer = records.writeStream.foreachBatch(land_batch).option("checkpointLocation", checkpoint_dir)
