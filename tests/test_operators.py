@@ -282,7 +282,9 @@ def test_frames_outlive_merges_until_retired(spark):
     assert sorted(r.Name for r in S.read_staging(spark, dim).collect()) == ["m3", "x"]
     versions = [n for n in list_dirs(spark, dim.path) if n.startswith("v-")]
     assert len(versions) == 6 and S.retire(spark, dim, 3600) == []
-    assert len(S.retire(spark, dim, 0)) == 5 and len(S.retire(spark, fact, 0)) == 4
+    assert len(S.retire(spark, dim, 0)) == 5
+    assert sorted(n.split("-")[0] for n in S.retire(spark, fact, 0)) == ["m"] * 4 + ["v"] * 4
+    assert spark.sql(f"SHOW TABLES IN {fact.database}").where("tableName LIKE '%__v%'").count() == 1
     assert sorted(r.Name for r in S.read_staging(spark, dim).collect()) == ["m3", "x"]
     assert [r.SplitFactor for r in S.read_staging(spark, fact).collect()] == [8.0]
 
@@ -301,6 +303,86 @@ def test_merge_lost_before_the_switch_leaves_the_old_table(spark, monkeypatch):
     assert sorted(r.SplitFactor for r in S.read_staging(spark, st).collect()) == [2.0, 3.0, 9.0]
 
 
+def _rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def test_tables_come_back_from_storage(spark):
+    rows = spark.createDataFrame([("A_1", "A", 1.0, 20220101), ("B_1", "B", 2.0, 20220201), (None, "N", 3.0, None)], SPLIT_ROWS)
+    fact = S.create_staging(spark, "FactSplits", shared_dir(spark, "t", "back"), rows)
+    dim = S.create_staging(spark, "DimCurrency", shared_dir(spark, "t", "backd"))
+    S.merge_into(spark, fact, spark.createDataFrame([("A_1", "A", 9.0, 20220101)], SPLIT_UPDATES), ["PK"], SPLITS)
+    S.merge_into(spark, dim, _currencies(spark, "n"), ["CurrencyId"], CURRENCY)
+    before = [_rows(S.read_staging(spark, st)) for st in (fact, dim)]
+    for st in (fact, dim):
+        spark.sql(f"DROP DATABASE {st.database} CASCADE")
+        with pytest.raises(S.LostTableError, match="recreate"):
+            S.read_staging(spark, st)
+        with pytest.raises(S.LostTableError):
+            S.merge_into(spark, st, spark.createDataFrame([], SPLIT_UPDATES) if st is fact else _currencies(spark), ["PK"],
+                         SPLITS if st is fact else CURRENCY)
+        S.recreate(spark, st.table, st.path)
+    assert [_rows(S.read_staging(spark, st)) for st in (fact, dim)] == before
+    S.merge_into(spark, fact, spark.createDataFrame([("C_1", "C", 4.0, 20220201)], SPLIT_UPDATES), ["PK"], SPLITS)
+    assert S.read_staging(spark, fact).count() == 4
+    empty = S.staging_table("FactSplits", shared_dir(spark, "t", "none"))
+    assert S.read_staging(spark, empty).count() == 0 and S.recreate(spark, empty.table, empty.path) == empty
+
+
+def test_two_merges_from_one_version_conflict(spark, monkeypatch):
+    st = S.create_staging(spark, "DimCurrency", shared_dir(spark, "t", "conflict"))
+    S.merge_into(spark, st, _currencies(spark, "a"), ["CurrencyId"], CURRENCY)
+    write = S._write
+
+    def slow(st_, df):
+        monkeypatch.setattr(S, "_write", write)
+        S.merge_into(spark, st, _currencies(spark, "first"), ["CurrencyId"], CURRENCY)
+        return write(st_, df)
+
+    monkeypatch.setattr(S, "_write", slow)
+    with pytest.raises(S.ConcurrentMergeError):
+        S.merge_into(spark, st, _currencies(spark, "second"), ["CurrencyId"], CURRENCY)
+    assert [r.Name for r in S.read_staging(spark, st).collect()] == ["first"]
+
+
+def test_a_reload_of_many_dates_is_one_step(spark, monkeypatch):
+    """2,000 dates: as many statements as for two; a reader sees none of them, then all."""
+    st = S.create_staging(spark, "FactSplits", shared_dir(spark, "t", "many"),
+                          spark.createDataFrame([("A", "A", 1.0, 20220101), ("B", "B", 1.0, 20220102)], SPLIT_ROWS))
+    days = spark.range(2000).select(F.date_format(F.date_add(F.lit("2018-01-01").cast("date"), F.col("id").cast("int")), "yyyyMMdd").cast("int").alias("date"))
+    updates = days.select(F.concat(F.lit("K_"), "date").alias("pk"), F.lit("K").alias("symbol"), F.lit(2.0).alias("split_factor"), "date").coalesce(2)
+    seen, sql = [], type(spark).sql
+
+    def spy(self, text, *a, **k):
+        if not text.startswith(("SHOW", "DESCRIBE")):
+            seen.append((text.split("(")[0].split(" AS ")[0][:40], sql(self, f"SELECT count(*) FROM {st.name}").first()[0]))
+        return sql(self, text, *a, **k)
+
+    monkeypatch.setattr(type(spark), "sql", spy)
+    S.merge_into(spark, st, updates, ["PK"], SPLITS)
+    monkeypatch.undo()
+    assert len(seen) == 5 and {n for _, n in seen} == {2}  # database, old table, table, partitions, view
+    assert S.read_staging(spark, st).count() == 2002
+    assert S.read_staging(spark, st).where("Date = 20220102").count() == 2
+
+
+def test_marks_follow_merges(spark):
+    """Rows and latest date by symbol equal the whole aggregate after merges that add, move and drop dates."""
+    from tidemark.operators.incremental import max_date_per_symbol
+    st = S.create_staging(spark, "FactSplits", shared_dir(spark, "t", "marks"), spark.createDataFrame(
+        [("a1", "A", 1.0, 20220101), ("a2", "A", 2.0, 20220301), ("b1", "B", 1.0, 20220201), ("c1", "C", 1.0, None), ("d1", "D", 1.0, 20220301)],
+        SPLIT_ROWS))
+    by_key = {"PK": "pk", "Symbol": "symbol", "SplitFactor": "split_factor", "Date": "date"}
+    merges = [[("a2", "A", 2.0, 20220115)], [("b1", "E", 1.0, 20220201)], [("d1", "D", 1.0, None)], [("c1", "C", 1.0, 20220401)],
+              [("n1", "N", 1.0, 20230101), (None, None, 1.0, 20230101)], [("n1", "A", 1.0, 20230101)], []]
+    for rows in merges:
+        S.merge_into(spark, st, spark.createDataFrame(rows, SPLIT_UPDATES), ["PK"], by_key)
+        facts = S.read_staging(spark, st)
+        expected = facts.groupBy("Symbol").agg(F.count("*").alias("n"), F.max("Date"))
+        assert _rows(S.read_marks(spark, st)) == _rows(expected)
+        assert _rows(S.read_marks(spark, st).select("Symbol", "max_date")) == _rows(max_date_per_symbol(facts))
+
+
 def test_views_follow_merges(spark):
     from tidemark.plans.views import create_analytics_views
     root = shared_dir(spark, "t", "views")
