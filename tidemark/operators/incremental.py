@@ -63,12 +63,9 @@ def fact_symbols_for(fact: DataFrame, companies: DataFrame) -> DataFrame:
     return fact_symbols(fact).join(wanted, "Symbol", "left_semi")
 
 
-def missing_companies(companies: DataFrame, fact: DataFrame) -> DataFrame:
-    """(group_id, CompanyId) of companies with no row in the fact table.
-
-    The fact is cut to the groups' companies before its symbols are made distinct.
-    """
-    present = _facts_of(fact, companies).select(F.col("Symbol").alias("CompanyId")).distinct()
+def missing_companies(companies: DataFrame, marks: DataFrame) -> DataFrame:
+    """(group_id, CompanyId) of companies without a row in the fact table, which has a mark for each of its symbols."""
+    present = marks.select(F.col("Symbol").alias("CompanyId"))
     return companies.select("group_id", "CompanyId").distinct().join(present, "CompanyId", "left_anti")
 
 
@@ -83,21 +80,26 @@ def max_date_per_symbol(fact: DataFrame) -> DataFrame:
 
 def high_water_marks(groups: DataFrame, dim_company: DataFrame, fact: DataFrame,
                      history_start: str) -> DataFrame:
+    """``high_water_marks_from`` marks taken from the fact rows of the groups' companies."""
+    companies = companies_per_group(dim_company, groups)
+    return high_water_marks_from(groups, dim_company, max_date_per_symbol(_facts_of(fact, companies)), history_start)
+
+
+def high_water_marks_from(groups: DataFrame, dim_company: DataFrame, marks: DataFrame, history_start: str) -> DataFrame:
     """Start date of the next fact request per group, ``yyyy-MM-dd``.
 
-    If any company of the group has no fact row: ``history_start``. Otherwise
-    the least, over the group's companies, of each company's latest fact date
-    (facts are matched on symbol only). A group without companies also starts
-    at ``history_start``. Facts of other companies are cut before the aggregate.
+    ``marks`` (Symbol, max_date) has one row per symbol. If any company of the group has no fact row: ``history_start``.
+    Otherwise the least, over the group's companies, of each company's latest fact date (facts are matched on symbol
+    only). A group without companies also starts at ``history_start``.
     """
     companies = companies_per_group(dim_company, groups)
-    per_symbol = max_date_per_symbol(_facts_of(fact, companies))
-    marks = (companies.join(per_symbol, companies.CompanyId == per_symbol.Symbol, "left")
-             .groupBy("group_id")
-             .agg(F.max(F.col("max_date").isNull().cast("int")).alias("__missing"),
-                  F.min("max_date").alias("__least")))
+    per_symbol = marks.select("Symbol", "max_date")
+    starts = (companies.join(per_symbol, companies.CompanyId == per_symbol.Symbol, "left")
+              .groupBy("group_id")
+              .agg(F.max(F.col("max_date").isNull().cast("int")).alias("__missing"),
+                   F.min("max_date").alias("__least")))
     start = F.when((F.col("__missing") == 1) | F.col("__least").isNull(), F.lit(history_start)) \
         .otherwise(int_to_date("__least"))
     return (groups.select("group_id").distinct()
-            .join(marks, "group_id", "left")
+            .join(starts, "group_id", "left")
             .select("group_id", start.alias("date_from")))

@@ -36,6 +36,7 @@ from tidemark.plans.requests import dim_requests, fact_requests
 from tidemark.plans.views import create_analytics_views, create_distinct_views, distinct_view, tie_columns
 from tidemark.schemas import (COLUMN_MAPPING, DISTINCT_VIEW_KEY, ENDPOINT_OF_TABLE, LANDING_KEY, STAGING_KEY,
                               landing_columns)
+from tidemark.session import list_dirs
 from tidemark.sinks import landing as L
 from tidemark.sinks import staging as S
 from tidemark.sources.pages import FETCHED, explode_pages, fail_on_missing_pages, parse_pages
@@ -85,6 +86,17 @@ class Lake:
     def read_staging(self, table: str) -> DataFrame:
         return S.read_staging(self.spark, self.staging(table))
 
+    def read_marks(self, table: str) -> DataFrame:
+        return S.read_marks(self.spark, self.staging(table))
+
+    def recreate(self) -> None:
+        """Bring back the landing and staging tables that lie under ``root`` and that the catalog doesn't know."""
+        for table in list_dirs(self.spark, f"{self.root}/landing"):
+            if table in LANDING_KEY:
+                L.repair(self.spark, self.landing(table))
+        for table in list_dirs(self.spark, f"{self.root}/staging"):
+            S.recreate(self.spark, table, f"{self.root}/staging/{table}", self.staging_db)
+
     def create_views(self) -> list[str]:
         """The analytics views over the staging tables that exist, and the distinct views of the landing tables."""
         distinct = [t for t in self._landing if t in DISTINCT_VIEW_KEY]
@@ -180,7 +192,7 @@ def plan_fact(spark: SparkSession, lake: Lake, cfg: Mapping, now: str) -> DataFr
     """The requests of a fact table's next load (path and its parts), written once in the shared folder."""
     table = cfg["table_name"]
     groups = exchange_groups(spark, {table: cfg["exchanges"]})
-    requests = fact_requests(groups, lake.read_staging("DimCompany"), lake.read_staging(table),
+    requests = fact_requests(groups, lake.read_staging("DimCompany"), lake.read_marks(table),
                              cfg.get("endpoint_name") or ENDPOINT_OF_TABLE[table], cfg["history_start_date"], now)
     return requests.checkpoint(eager=True)  # one row per 99 symbols, read by the fetch and the check
 

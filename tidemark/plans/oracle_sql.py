@@ -385,6 +385,10 @@ LEFT JOIN fx_eod f ON f.dayId = p.dayId GROUP BY p.dayId"""),
     "merge_calendar": FX["fx_calendar"],
     "merge_unmapped_columns": _merge("FactEod", unmapped="Dividend"),
     "merge_null_keys": _merge("FactEod", bad=True),
+    "staging_recreated": "SELECT m.PK, m.Symbol, m.Dividend, m.Date, n.n_landed FROM (" + _merge("FactDividends") + ") m JOIN ("
+        + _with(_fx("fx_dividends"), "SELECT pk, count(*) AS n_landed FROM fx_dividends GROUP BY pk") + ") n ON m.PK = n.pk "
+        "UNION ALL SELECT CurrencyId, Symbol, NULL, NULL, NULL FROM (" + _merge("DimCurrency") + ")",
+    "fact_marks": "SELECT Symbol, count(*) AS n_rows, max(Date) AS max_date FROM (" + _merge("FactEod") + ") GROUP BY Symbol",
     "staging_partition_overwrite": "SELECT Date, count(*) AS n_rows FROM (" + _merge("FactEod") + ") GROUP BY Date",
     "vw_dim_company": _view({**_staged("DimCompany"), **_staged("DimExchange")}, """
 SELECT CompanyId, CompanyName, ExchangeId, Country FROM (

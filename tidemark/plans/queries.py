@@ -129,6 +129,11 @@ def staged(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return staged_table(spark, sf_dir, table).read_staging(table)
 
 
+def marks(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """The marks that the prepared table's merges kept."""
+    return staged_table(spark, sf_dir, table).read_marks(table)
+
+
 def prepare(spark: SparkSession, sf_dir: str) -> None:
     """Make the landing and staging tables that the queries share."""
     for table in [*TABLES, "DimDate"]:
@@ -341,6 +346,27 @@ def q_merge_calendar(spark, sf_dir):
     return two_calendar_merges(spark, sf_dir, _new_lake(spark)).read_staging("DimDate")
 
 
+def q_staging_recreated(spark, sf_dir):
+    """Landing and staging of two tables, brought back from storage after the catalog lost them: their contents."""
+    lake = _new_lake(spark)
+    for table in ("FactDividends", "DimCurrency"):
+        two_merges(spark, sf_dir, table, lake)
+    for database in (lake.landing_db, lake.staging_db):
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+    found = LD.Lake(spark, lake.root, lake.landing_db, lake.staging_db, lake.analytics_db)
+    found.recreate()
+    landed_ = L.read_landing(spark, found.landing("FactDividends")).groupBy(F.col("pk").alias("PK")).agg(F.count(F.lit(1)).alias("n_landed"))
+    fact = found.read_staging("FactDividends").join(landed_, "PK", "left")
+    dim = found.read_staging("DimCurrency").select(F.col("CurrencyId").alias("PK"), "Symbol", F.lit(None).cast("float").alias("Dividend"),
+                                                   F.lit(None).cast("int").alias("Date"), F.lit(None).cast("long").alias("n_landed"))
+    return widen(fact.select("PK", "Symbol", "Dividend", "Date", "n_landed").unionByName(dim))
+
+
+def q_fact_marks(spark, sf_dir):
+    """What two merges keep of a fact table: rows and latest date of each symbol."""
+    return marks(spark, sf_dir, "FactEod")
+
+
 def q_staging_partition_overwrite(spark, sf_dir):
     out = two_merges(spark, sf_dir, "FactEod", _new_lake(spark)).read_staging("FactEod")
     return out.groupBy("Date").agg(F.count(F.lit(1)).alias("n_rows"))
@@ -377,7 +403,7 @@ def q_fact_symbols_for_exchange(spark, sf_dir):
 def q_missing_companies(spark, sf_dir):
     dim = staged(spark, sf_dir, "DimCompany")
     companies = inc.companies_per_group(dim, groups_each_exchange(dim))
-    return inc.missing_companies(companies, staged(spark, sf_dir, "FactEod"))
+    return inc.missing_companies(companies, marks(spark, sf_dir, "FactEod"))
 
 
 def q_max_date_per_symbol(spark, sf_dir):
@@ -386,8 +412,7 @@ def q_max_date_per_symbol(spark, sf_dir):
 
 def q_high_water_mark(spark, sf_dir):
     dim = staged(spark, sf_dir, "DimCompany")
-    return inc.high_water_marks(groups_each_exchange(dim), dim, staged(spark, sf_dir, "FactEod"),
-                                fx.HISTORY_START)
+    return inc.high_water_marks_from(groups_each_exchange(dim), dim, marks(spark, sf_dir, "FactEod"), fx.HISTORY_START)
 
 
 def q_int_to_date(spark, sf_dir):
@@ -403,7 +428,7 @@ def q_symbol_chunks(spark, sf_dir):
 
 def q_fact_request_paths(spark, sf_dir):
     dim = staged(spark, sf_dir, "DimCompany")
-    return RQ.fact_requests(groups_each_exchange(dim), dim, staged(spark, sf_dir, "FactEod"),
+    return RQ.fact_requests(groups_each_exchange(dim), dim, marks(spark, sf_dir, "FactEod"),
                             "eod", fx.HISTORY_START, fx.NOW)
 
 
@@ -541,6 +566,8 @@ QUERIES: dict[str, Query] = {
     "merge_key_without_date": q_merge_key_without_date,
     "reload_matches_incremental": q_reload_matches_incremental,
     "merge_null_keys": _merge_q("FactEod", bad_dates=True),
+    "staging_recreated": q_staging_recreated,
+    "fact_marks": q_fact_marks,
     "staging_partition_overwrite": q_staging_partition_overwrite,
     "vw_dim_company": _view_q("vw_DimCompany"),
     "vw_dim_company_exchange": _view_q("vw_DimCompanyExchange"),

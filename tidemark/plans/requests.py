@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import request_path, symbols_text
-from tidemark.operators.incremental import companies_per_group, high_water_marks
+from tidemark.operators.incremental import companies_per_group, high_water_marks_from
 from tidemark.operators.indexing import chunk_within
 from tidemark.schemas import SYMBOLS_PER_REQUEST
 
@@ -27,12 +27,12 @@ def symbol_chunks(companies: DataFrame, size: int = SYMBOLS_PER_REQUEST) -> Data
                     symbols_text(F.col("__syms")).alias("symbols")))
 
 
-def fact_requests(groups: DataFrame, dim_company: DataFrame, fact: DataFrame, endpoint: str,
+def fact_requests(groups: DataFrame, dim_company: DataFrame, marks: DataFrame, endpoint: str,
                   history_start: str, now: str) -> DataFrame:
-    """(group_id, chunk_no, symbols, date_from, date_to, path) for every request."""
+    """(group_id, chunk_no, symbols, date_from, date_to, path) for every request; ``marks`` are those of the fact table."""
     chunks = symbol_chunks(companies_per_group(dim_company, groups))
-    marks = high_water_marks(groups, dim_company, fact, history_start)
-    return (chunks.join(marks, "group_id")
+    starts = high_water_marks_from(groups, dim_company, marks, history_start)
+    return (chunks.join(starts, "group_id")
             .select("group_id", "chunk_no", "symbols", "date_from",
                     F.lit(now).alias("date_to"),
                     request_path(endpoint, F.col("symbols"), F.col("date_from"), F.lit(now)).alias("path")))
