@@ -404,16 +404,19 @@ def _candidate_links(texts: DataFrame, shared: DataFrame, total: int, least: flo
     nodes = dealt(now.select("node"), total, "node").distinct()
     classes = texts.join(nodes, "node", "left_semi").mapInPandas(_classes, "node long, classes array<int>")
     now, total = store_counted(told_apart(now).join(classes, "node"), "op7_last")
-    other = now.filter("root <> main").select("bucket", F.col("node").alias("u"), F.col("root").alias("u_root"),
-                                              F.col("n_kmers").alias("u_kmers"), F.col("own").alias("u_own"), F.col("classes").alias("u_classes"))
+    # A pair meets in the first bucket that both are in, so once.
+    now = now.join(dealt(now.select("node", "bucket"), total, "node").groupBy("node").agg(F.collect_set("bucket").alias("buckets")), "node")
+    other = now.filter("root <> main").select("bucket", F.col("node").alias("u"), F.col("root").alias("u_root"), F.col("n_kmers").alias("u_kmers"),
+                                              F.col("own").alias("u_own"), F.col("classes").alias("u_classes"), F.col("buckets").alias("u_buckets"))
+    agree = _shared_classes("u_classes", "classes")
     met = other.join(now.withColumnRenamed("node", "v"), "bucket").filter(
         (F.col("u_root") != F.col("root")) & ((F.col("root") == F.col("main")) | (F.col("u") > F.col("v")))
-        & _can_be_near(least, "u_kmers", "u_own", "n_kmers", "own"))
-    shared_ = _shared_classes("u_classes", "classes")
-    met = met.withColumn("agree", shared_).filter(_enough(least, F.col("agree"), "u_kmers", "n_kmers"))
-    pairs, total = store_counted(met.groupBy("u", "v").agg(F.min("u_root").alias("u_root"), F.min("root").alias("root"),
-                                                           F.max(F.col("agree") / (F.col("u_kmers") + F.col("n_kmers"))).alias("agree")), "op7_left")
-    best = dealt(pairs, total, "u_root").groupBy("u_root", "root").agg(F.max(F.struct("agree", "u", "v")).alias("p")).select("u_root", "root", "p.u", "p.v")
+        & _can_be_near(least, "u_kmers", "u_own", "n_kmers", "own")
+        & (F.col("bucket") == F.array_min(F.array_intersect("u_buckets", "buckets")))
+        & _enough(least, agree, "u_kmers", "n_kmers"))
+    pairs, total = store_counted(met.select("u", "v", "u_root", "root", (agree / (F.col("u_kmers") + F.col("n_kmers"))).alias("agree")), "op7_left")
+    best = dealt(pairs, total, "u_root", "root").groupBy("u_root", "root").agg(F.max(F.struct("agree", "u", "v")).alias("p")).select(
+        "u_root", "root", "p.u", "p.v")
     best = store(best, "op7_best")
     third, n = matcher.link(best.select("u", "v"))
     settled = best.join(third, ["u", "v"], "left_semi").select("u_root", "root")
