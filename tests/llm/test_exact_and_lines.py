@@ -135,6 +135,30 @@ def test_line_dedup_counts_near_lines_exactly(spark):
     assert got == set(range(10, 16))
 
 
+def brute_threshold(sites):
+    shares = [sites.count(s) / len(sites) for s in set(sites)]
+    return max(3, int(round(0.7 * sum(1 - (1 - p) ** 20 for p in shares), 6)))
+
+
+def test_threshold_follows_the_sites_and_their_shares(spark, make_docs, prose):
+    """With a third of the documents on one site, passages in 20 documents still go, those in a few stay."""
+    import random
+    r = random.Random(5)
+    sites = ["hot" if r.random() < 1 / 3 else f"s{r.randrange(19)}" for _ in range(900)]
+    rows, passages = [(i, prose(i, 30), "en", s) for i, s in enumerate(sites)], [prose(9000 + p, 55) for p in range(15)]
+    for p, passage in enumerate(passages):
+        for i in r.sample(range(900), 20 if p else 4):
+            rows[i] = (*rows[i][:1], rows[i][1] + "\n" + passage, *rows[i][2:])
+    even = [f"s{i % 20}" for i in range(400)]
+    for given in (sites, even, ["only"] * 5):
+        assert L.spread_threshold(spark.createDataFrame([(s,) for s in given], "site string")) == brute_threshold(given)
+    assert brute_threshold(sites) < brute_threshold(even) == 8
+    got = {x["row"]["doc_id"]: x["lines"]["cleaned"] for x in L.line_dedup(make_docs(rows)).collect()}
+    assert got == brute_lines(rows, brute_threshold(sites))
+    kept = [sum(passage in text for text in got.values()) for passage in passages]
+    assert kept[0] == 4 and kept[1:].count(1) >= 13
+
+
 def test_line_dedup_edge_cases(make_docs):
     assert L.line_dedup(make_docs([])).collect() == []
     twice = [(1, "x\ny", "en", s) for s in ("a", "b")]  # rows equal in doc_id and text are one

@@ -156,8 +156,10 @@ ORACLES: dict[str, str] = {
             SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
                    generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents),
         k AS (SELECT *, trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS key FROM l),
+        n AS (SELECT count(*)::DOUBLE AS n FROM documents GROUP BY source),
+        t AS (SELECT greatest(3, floor(round(sum(1 - pow(1 - n / (SELECT sum(n) FROM n), 20)) * 0.7, 6))) AS least FROM n),
         b AS (SELECT key, count(DISTINCT source) AS n_sites, min((doc_id, pos)) AS first FROM k
-              WHERE key <> '' GROUP BY key HAVING count(DISTINCT source) >= 10),
+              WHERE key <> '' GROUP BY key HAVING count(DISTINCT source) >= (SELECT least FROM t)),
         m AS (SELECT k.*, b.key IS NOT NULL AND (k.doc_id, k.pos) <> b.first AS gone FROM k LEFT JOIN b ON k.key = b.key),
         d AS (SELECT doc_id, source, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
                      coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS cleaned
