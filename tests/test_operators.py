@@ -1,5 +1,7 @@
 """Targeted checks: traps where a wrong answer differs from the right one."""
 
+import re
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -524,7 +526,8 @@ def test_error_pages_and_missing_totals_fail_with_their_text(spark):
 
 
 def _fetched(spark, path, rows):
-    spark.createDataFrame(rows, P.FETCHED).write.mode("append").json(path)
+    for fetched_at in sorted({r[1] for r in rows}):
+        P.land_fetched(spark.createDataFrame([(r[0], r[2], r[3]) for r in rows if r[1] == fetched_at], P.FETCHED), path, fetched_at)
 
 
 def _page(total, *codes):
@@ -555,6 +558,42 @@ def test_file_pages_answer_their_requests_completely(spark):
         LD.update_tables(spark, cfg, LD.FilePageSource(spark, f"{inbox}/none"), lake, "2022-07-03")
 
 
+def test_only_folders_of_the_requests_are_read(spark):
+    """Twenty older fetches and other requests: the scan lists the newest fetch alone and prunes it to the buckets."""
+    path = shared_dir(spark, "t", "store")
+    _fetched(spark, path, [(f"r{i}", t, 0, f"{t}-{i}") for t in range(1, 21) for i in range(40)] + [("r3", 21, 0, "new"), ("r3", 21, 1000, "newer")])
+    requests = spark.createDataFrame([("r3",), ("unknown",)], "path string")
+    found = P.answers(spark, path, requests).checkpoint()
+    assert [tuple(r) for r in found.collect()] == [("r3", 21)]
+    pages = P.fetched_pages(spark, path, found)
+    assert _rows(pages.select("offset", "page")) == [(0, "new"), (1000, "newer")]
+    assert {f.split("fetched_at=")[1].split("/")[0] for f in pages.inputFiles()} == {"21"}
+    plan = pages._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan json") == 1 and re.search(r"PartitionFilters: \[[^]]*bucket#", plan)
+    older = P.fetched_pages(spark, path, P.answers(spark, path, spark.createDataFrame([("r5",), ("r6",)], "path string")).checkpoint())
+    assert _rows(older.select("request", "page")) == [("r5", "20-5"), ("r6", "20-6")]
+
+
+def test_bad_pages_fail_the_load_or_go_to_quarantine(spark):
+    from tidemark.plans.loader import land_pages
+    lt = L.create_landing(spark, "t_bad", "DimCurrency", shared_dir(spark, "t", "bad"))
+    rows = [("a", 0, _page(1, "A")), ("b", 0, '{"error": {"code": "rate_limit"}}'), ("c", 0, '{"data": [{"code": "C"}]}'),
+            ("d", 0, None), ("e", 0, _page(0)), ("a", 0, _page(1, "A"))]
+    pages = spark.createDataFrame(rows, P.FETCHED)
+    requests = spark.createDataFrame([(r,) for r in "abcde"], "path string")
+    with pytest.raises(P.ErrorPageError, match="in answer to [bcd]"):
+        land_pages(spark, lt, pages, "currencies", 20220701, requests)
+    assert L.partitions(spark, lt).count() == 0
+    kept = shared_dir(spark, "t", "quarantine")
+    assert land_pages(spark, lt, pages, "currencies", 20220701, requests, quarantine=kept) == 1
+    assert [r.code for r in L.latest_run_rows(spark, lt).collect()] == ["A"]
+    bad = spark.read.schema(P.FETCHED + ", dayId INT, runId INT").json(kept)
+    assert _rows(bad.select("request", "dayId", "runId")) == [("b", 20220701, 1), ("c", 20220701, 1), ("d", 20220701, 1)]
+    assert bad.where("page LIKE '%rate_limit%'").count() == 1
+    with pytest.raises(Exception, match="incomplete response to zz"):  # a request without any page isn't excused
+        land_pages(spark, lt, pages, "currencies", 20220701, spark.createDataFrame([("a",), ("zz",)], "path string"), quarantine=kept)
+
+
 def test_high_water_marks_cut_the_fact_first(spark):
     """The fact is semi-joined to the groups' companies below its aggregate."""
     from tidemark.operators.incremental import exchange_groups, high_water_marks

@@ -14,6 +14,8 @@ pages that answer the planned requests (request, offset, page JSON text). The HT
 it is outside this library; ``FilePageSource`` reads pages that a fetcher landed as JSON-lines files. A
 load fails if a request has no page, or fewer records than the total that its pages name.
 
+Tables of a batch load concurrently; the outcome of each is a row, and one failure doesn't end the others.
+
 Per table the driver holds one run id and one (dayId, runId) pair; requests,
 high-water marks, pages, flattening and the merge are DataFrame plans.
 """
@@ -21,10 +23,13 @@ high-water marks, pages, flattening and the merge are DataFrame plans.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Protocol
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,10 +41,10 @@ from tidemark.plans.requests import dim_requests, fact_requests
 from tidemark.plans.views import create_analytics_views, create_distinct_views, distinct_view, tie_columns
 from tidemark.schemas import (COLUMN_MAPPING, DISTINCT_VIEW_KEY, ENDPOINT_OF_TABLE, LANDING_KEY, STAGING_KEY,
                               landing_columns)
-from tidemark.session import list_dirs
+from tidemark.session import delete_path, list_dirs
 from tidemark.sinks import landing as L
 from tidemark.sinks import staging as S
-from tidemark.sources.pages import FETCHED, explode_pages, fail_on_missing_pages, parse_pages
+from tidemark.sources.pages import answers, fail_on_error_pages, fail_on_missing_pages, fetched_pages, split_pages, stage_pages
 
 
 class PageSource(Protocol):
@@ -48,20 +53,17 @@ class PageSource(Protocol):
 
 @dataclass
 class FilePageSource:
-    """Pages that a fetcher wrote to ``{root}/{table}/`` as JSON lines (request, fetched_at, offset, page).
+    """Pages that a fetcher wrote to ``{root}/{table}/`` (``sources.pages.land_fetched``).
 
-    Of the pages of each planned request, those of its newest fetch answer it; a page fetched twice
-    (same request, time and offset) counts once. Other requests' pages aren't read into the load.
+    Of the pages of each planned request, those of its newest fetch answer it. Folders of other fetches aren't listed,
+    those of other requests' buckets aren't read.
     """
     spark: SparkSession
     root: str
 
     def fetch(self, table: str, endpoint: str, requests: DataFrame) -> DataFrame:
-        fetched = self.spark.read.schema(FETCHED).json(f"{self.root}/{table}")
-        mine = fetched.join(requests.select(F.col("path").alias("request")).distinct(), "request", "left_semi")
-        newest = mine.groupBy("request").agg(F.max("fetched_at").alias("fetched_at"))
-        return (mine.join(newest, ["request", "fetched_at"]).dropDuplicates(["request", "offset"])
-                .select("request", "offset", "page"))
+        at = f"{self.root}/{table}"
+        return fetched_pages(self.spark, at, answers(self.spark, at, requests).checkpoint(eager=True))
 
 
 @dataclass
@@ -121,27 +123,38 @@ def run_day(now: str) -> int:
 
 
 def land_pages(spark: SparkSession, lt: L.LandingTable, pages: DataFrame, endpoint: str,
-               day_id: int, requests: DataFrame | None = None, attempt: str | None = None) -> int:
+               day_id: int, requests: DataFrame | None = None, attempt: str | None = None,
+               quarantine: str | None = None) -> int:
     """Flatten a response's pages into one new run of a landing table (K4); returns the run id.
 
-    One distributed write for all pages; an empty response writes no run, so the previous run stays the
-    latest one. With ``requests`` an incomplete response fails the write, and no run is landed. The run is claimed
-    first: a caller that retries with the ``attempt`` it named replaces its own run, and no other.
+    The pages are read and parsed once, into a folder that goes at the end; one distributed write lands the records. An empty
+    response writes no run, so the previous run stays the latest one. A bad page (an error, or no total) fails the load
+    with its text, or, with ``quarantine``, is written there by day and run, while the others land. With ``requests``
+    an incomplete response fails the write, and no run is landed; those with a quarantined page may be incomplete.
+    The run is claimed first: a caller that retries with the ``attempt`` it named replaces its own run, and no other.
     """
     attempt = attempt or L.new_attempt()
     run_id = L.claim_run(spark, lt, day_id, attempt)
+    staged_at = f"{lt.path}/_pages/{uuid.uuid4().hex}"
     try:
-        parsed = parse_pages(pages, endpoint)
-        records = flatten(explode_pages(parsed), endpoint)
+        staged = stage_pages(pages, endpoint, staged_at)
+        if quarantine is None:
+            fail_on_error_pages(staged)
+        good, bad = split_pages(staged)
+        records = flatten(good, endpoint)
         if requests is not None:
-            missing = fail_on_missing_pages(parsed, requests)
+            missing = fail_on_missing_pages(staged.select("request", "offset", "total", "n_records"), requests, quarantine is not None)
             first, *rest = records.schema.fields
             records = records.unionByName(missing.select(
                 F.col("path").cast(first.dataType).alias(first.name), *[F.lit(None).cast(f.dataType).alias(f.name) for f in rest]))
         landed = L.append_run(records, lt, day_id, run_id, attempt)
+        if quarantine is not None:
+            bad.write.mode("overwrite").json(f"{quarantine}/dayId={int(day_id)}/runId={run_id}")
     except BaseException:
         L.release_run(spark, lt, day_id, run_id, attempt)
         raise
+    finally:
+        delete_path(spark, staged_at)
     if landed:
         L.register_run(spark, lt, day_id, run_id)
     else:
@@ -224,30 +237,85 @@ def load_dim(spark: SparkSession, lake: Lake, cfg: Mapping, source: PageSource,
     return run_id
 
 
-def update_tables(spark: SparkSession, config: Mapping, source: PageSource, lake: Lake,
-                  now: str) -> dict[str, int]:
-    """Load every enabled table of a Dim or Fact config, then create the views; returns run ids.
+@dataclass(frozen=True)
+class Outcome:
+    """What a load of a table came to: its run, or the error that ended it."""
+    table_name: str
+    scope: str        # the exchanges it asked for
+    status: str       # "loaded" or "failed"
+    run_id: int | None = None
+    error: str | None = None
+
+
+class BatchError(RuntimeError):
+    """Some loads of a batch failed, the others are done; ``outcomes`` has them all."""
+
+    def __init__(self, outcomes: Sequence[Outcome]):
+        failed = [o for o in outcomes if o.status == "failed"]
+        super().__init__("; ".join(f"{o.table_name}:{o.scope} failed: {o.error}" for o in failed))
+        self.outcomes = list(outcomes)
+
+
+def outcome_table(spark: SparkSession, outcomes: Sequence[Outcome]) -> DataFrame:
+    """The outcomes of a batch as rows."""
+    return spark.createDataFrame([(o.table_name, o.scope, o.status, o.run_id, o.error) for o in outcomes],
+                                 "table_name STRING, scope STRING, status STRING, run_id INT, error STRING")
+
 
-    Entries of a dimension that differ in the exchange only are loaded together.
+def _batches(config: Mapping) -> list[list[list[Mapping]]]:
+    """Enabled entries by table, in their order; a dimension's entries that differ in the exchange only are one load."""
+    tables: dict[str, list[list[Mapping]]] = {}
+    for cfg in config.get("tables", []):
+        if cfg.get("is_enabled") is not True:
+            continue
+        loads = tables.setdefault(cfg["table_name"], [])
+        same = {k: v for k, v in cfg.items() if k != "exchange"}
+        if config["table_type"] == "Dim" and loads and {k: v for k, v in loads[-1][0].items() if k != "exchange"} == same:
+            loads[-1].append(cfg)
+        else:
+            loads.append([cfg])
+    return list(tables.values())
+
+
+def load_batch(spark: SparkSession, config: Mapping, source: PageSource, lake: Lake, now: str,
+               concurrent: int = 4) -> list[Outcome]:
+    """Load every enabled table of a Dim or Fact config, then create the views.
+
+    Up to ``concurrent`` tables load at a time, each in a scheduler pool of its own; loads of one table follow each other.
+    A load that fails doesn't end the others.
     """
     kind = config.get("table_type")
     if kind not in ("Dim", "Fact"):
         raise ValueError(f"table_type must be 'Dim' or 'Fact', got {kind!r}")
-    enabled = [cfg for cfg in config.get("tables", []) if cfg.get("is_enabled") is True]
-    runs = {}
-    if kind == "Fact":
-        for cfg in enabled:
-            runs[f"{cfg['table_name']}:{cfg['exchanges']}"] = load_fact(spark, lake, cfg, source, now)
-    else:
-        alike: list[list[Mapping]] = []
-        for cfg in enabled:
-            same = {k: v for k, v in cfg.items() if k != "exchange"}
-            if alike and {k: v for k, v in alike[-1][0].items() if k != "exchange"} == same:
-                alike[-1].append(cfg)
-            else:
-                alike.append([cfg])
-        for cfgs in alike:
-            run = load_dim(spark, lake, cfgs[0], source, now, [c.get("exchange") for c in cfgs])
-            runs.update({f"{c['table_name']}:{c.get('exchange', '')}": run for c in cfgs})
+    batches = _batches(config)
+    for loads in batches:
+        lake.landing(loads[0][0]["table_name"])  # tables are made here, one after the other
+
+    def load(cfgs: list[Mapping]) -> list[Outcome]:
+        table = cfgs[0]["table_name"]
+        scopes = [str(c["exchanges"] if kind == "Fact" else c.get("exchange", "")) for c in cfgs]
+        try:
+            run = load_fact(spark, lake, cfgs[0], source, now) if kind == "Fact" else \
+                load_dim(spark, lake, cfgs[0], source, now, [c.get("exchange") for c in cfgs])
+        except Exception as e:  # noqa: BLE001 - reported as this load's outcome
+            return [Outcome(table, s, "failed", None, f"{type(e).__name__}: {e}"[:4000]) for s in scopes]
+        return [Outcome(table, s, "loaded", run) for s in scopes]
+
+    def load_all(loads: list[list[Mapping]]) -> list[Outcome]:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", loads[0][0]["table_name"])
+        return [o for cfgs in loads for o in load(cfgs)]
+
+    with ThreadPoolExecutor(max(1, concurrent)) as pool:
+        done = [pool.submit(inheritable_thread_target(spark)(load_all), loads) for loads in batches]
+        outcomes = [o for f in done for o in f.result()]
     lake.create_views()
-    return runs
+    return outcomes
+
+
+def update_tables(spark: SparkSession, config: Mapping, source: PageSource, lake: Lake,
+                  now: str) -> dict[str, int]:
+    """``load_batch``, returning the run ids; after all loads have ended, a failed one raises ``BatchError``."""
+    outcomes = load_batch(spark, config, source, lake, now)
+    if any(o.status == "failed" for o in outcomes):
+        raise BatchError(outcomes)
+    return {f"{o.table_name}:{o.scope}": o.run_id for o in outcomes}

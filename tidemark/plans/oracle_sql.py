@@ -324,6 +324,11 @@ SELECT CAST((rn - 1) // 1000 AS BIGINT) AS page_no, (SELECT count(*) FROM fx_eod
        count(*) AS n_records
 FROM (SELECT row_number() OVER (ORDER BY tie1, tie2, tie3, tie4) AS rn FROM fx_eod)
 GROUP BY 1"""),
+    "page_quarantine": _with({**_fx("fx_eod"), "paged": """
+SELECT pk, CAST((row_number() OVER (ORDER BY tie1, tie2, tie3, tie4) - 1) // 1000 AS BIGINT) AS page_no FROM fx_eod"""}, """
+SELECT 'landed' AS side, pk AS name, NULL AS page, 20220703 AS dayId, 1 AS runId FROM paged WHERE page_no % 3 <> 1
+UNION ALL SELECT DISTINCT 'quarantined', 'eod?page=' || page_no, '{"error": {"code": "rate_limit_reached"}}', 20220703, 1
+FROM paged WHERE page_no % 3 = 1"""),
     "page_requests": _with({**_fx("fx_eod"), "t": """
 SELECT exchange || '_' || CAST(date AS VARCHAR) AS req, count(*) AS total FROM fx_eod GROUP BY 1
 UNION ALL SELECT exchange AS req, count(*) AS total FROM fx_eod GROUP BY 1"""}, """
@@ -439,6 +444,12 @@ UNION ALL SELECT 'DimCurrency', NULL, 'currencies'
 UNION ALL SELECT 'DimCompany', ExchangeId, 'tickers?exchange=' || ExchangeId FROM stg_DimExchange"""),
     "load_dim": _with(_staged("DimCompany"), "SELECT * FROM stg_DimCompany"),
     "load_fact": _with(_load_eod(), "SELECT * FROM loaded_eod"),
+    "batch_outcomes": _with({**_staged("DimExchange"), **_staged("DimCompany")}, """
+SELECT 'DimExchange' AS table_name, '' AS scope, 'loaded' AS status, 1 AS run_id, NULL AS error,
+       (SELECT count(*) FROM stg_DimExchange) AS n_rows
+UNION ALL SELECT 'DimCurrency', '', 'failed', NULL, 'rate_limit_reached', 0
+UNION ALL SELECT 'DimCompany', exchangeMic, 'loaded', 1, NULL, (SELECT count(*) FROM stg_DimCompany)
+FROM (SELECT DISTINCT exchangeMic FROM fx_company)"""),
     "update_tables": _with({**_load_eod(), **_staged("DimExchange"), **_staged("DimCurrency")}, " UNION ALL ".join([
         _content("DimExchange", ["ExchangeId", "Name", "Country", "CurrencyId"]) + "stg_DimExchange",
         _content("DimCurrency", ["CurrencyId", "Symbol", "Name"]) + "stg_DimCurrency",

@@ -135,9 +135,10 @@ def marks(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def prepare(spark: SparkSession, sf_dir: str) -> None:
-    """Make the landing and staging tables that the queries share."""
+    """Make the landing and staging tables, and the page files, that the queries share."""
     for table in [*TABLES, "DimDate"]:
         staged_table(spark, sf_dir, table)
+    first_answers(spark, sf_dir)
 
 
 def split_latest(spark: SparkSession, sf_dir: str, table: str) -> tuple[DataFrame, DataFrame]:
@@ -197,6 +198,23 @@ def q_page_explode(spark, sf_dir):
     return widen(P.explode_pages(P.read_pages(spark, path, "eod")))
 
 
+BAD_PAGE = '{"error": {"code": "rate_limit_reached"}}'
+
+
+def q_page_quarantine(spark, sf_dir):
+    """Eod pages of which every third is an error, landed with a quarantine: landed keys, and what was set aside."""
+    rows = fx.fx_eod(spark, sf_dir)
+    pages = P.build_pages(rows, fx.record_struct(rows, "eod"), order=fx.EOD_TIES)
+    answered = pages.select(F.concat(F.lit("eod?page="), F.col("page_no").cast("string")).alias("request"), F.lit(0).cast("long").alias("offset"),
+                            F.when(F.col("page_no") % 3 == 1, F.lit(BAD_PAGE)).otherwise(F.col("page")).alias("page"))
+    lt, kept = _new_lake(spark).landing("FactEod"), shared_dir(spark, "quarantine")
+    LD.land_pages(spark, lt, answered, "eod", LD.run_day(fx.NOW), quarantine=kept)
+    landed_ = L.read_landing(spark, lt).select(F.lit("landed").alias("side"), F.col("pk").alias("name"), F.lit(None).cast("string").alias("page"),
+                                               "dayId", "runId")
+    bad = spark.read.schema(f"{P.FETCHED}, dayId INT, runId INT").json(kept)
+    return landed_.unionByName(bad.select(F.lit("quarantined").alias("side"), F.col("request").alias("name"), "page", "dayId", "runId"))
+
+
 def q_page_totals(spark, sf_dir):
     rows = fx.fx_eod(spark, sf_dir)
     pages = P.build_pages(rows, fx.record_struct(rows, "eod"), order=fx.EOD_TIES)
@@ -468,14 +486,19 @@ def fact_config(exchanges, full_reload=False) -> dict:
                         "column_mapping": {k: f"updates.{v}" for k, v in COLUMN_MAPPING["FactEod"].items()}}]}
 
 
-def load_dims(spark, sf_dir) -> tuple[LD.Lake, LD.FilePageSource, list[str]]:
-    """A fresh lake with its dimensions loaded from page files that were landed before."""
-    lake, exchanges = _new_lake(spark), all_exchanges(spark, sf_dir)
-    source = LD.FilePageSource(spark, shared_dir(spark, "inbox"))
+def answer_dims(spark, sf_dir, source, exchanges) -> None:
+    """Land the pages of the dimensions' requests."""
     listed = spark.createDataFrame([(x,) for x in exchanges], "ExchangeId STRING")
     for t, endpoint in (("DimExchange", "exchanges"), ("DimCurrency", "currencies"), ("DimCompany", "tickers")):
         requests = RQ.dim_requests(spark, [t], listed if t == "DimCompany" else None)
         fx.land_answers(spark, sf_dir, t, endpoint, requests, source.root)
+
+
+def load_dims(spark, sf_dir) -> tuple[LD.Lake, LD.FilePageSource, list[str]]:
+    """A fresh lake with its dimensions loaded from page files that were landed before."""
+    lake, exchanges = _new_lake(spark), all_exchanges(spark, sf_dir)
+    source = LD.FilePageSource(spark, shared_dir(spark, "inbox"))
+    answer_dims(spark, sf_dir, source, exchanges)
     LD.update_tables(spark, dim_config(exchanges), source, lake, fx.NOW)
     return lake, source, exchanges
 
@@ -488,16 +511,56 @@ def load_facts(spark, sf_dir, lake, source, exchanges, fetched_at: int) -> None:
     LD.update_tables(spark, config, source, lake, fx.NOW)
 
 
+#: Fetches of other requests that lie in the prepared page store.
+OLDER_FETCHES = 100
+
+
+def first_answers(spark, sf_dir) -> tuple[LD.FilePageSource, list[str]]:
+    """A page store that answers the first load of every table, among older fetches; made once per session."""
+    def make():
+        lake, source, exchanges = load_dims(spark, sf_dir)
+        requests = LD.plan_fact(spark, lake, fact_config(exchanges)["tables"][0], fx.NOW)
+        fx.land_answers(spark, sf_dir, "FactEod", "eod", requests, source.root, OLDER_FETCHES + 1)
+        old = fx.fx_eod(spark, sf_dir).select(F.concat(F.lit("eod?symbols="), "symbol").alias("request")).distinct().select(
+            "request", F.lit(0).cast("long").alias("offset"), F.lit('{"pagination": {"total": 0}, "data": []}').alias("page"))
+        turn = (F.pmod(F.xxhash64("request"), F.lit(OLDER_FETCHES)) + 1).cast("long")
+        P.land_fetches(old.withColumn("fetched_at", turn), f"{source.root}/FactEod")
+        return source, exchanges
+
+    return _prepared(spark, sf_dir, "answers", "", make)
+
+
 def q_load_dim(spark, sf_dir):
-    return load_dims(spark, sf_dir)[0].read_staging("DimCompany")
+    source, exchanges = first_answers(spark, sf_dir)
+    lake = _new_lake(spark)
+    LD.update_tables(spark, dim_config(exchanges), source, lake, fx.NOW)
+    return lake.read_staging("DimCompany")
 
 
 def q_load_fact(spark, sf_dir):
-    lake, source, exchanges = load_dims(spark, sf_dir)
-    load_facts(spark, sf_dir, lake, source, exchanges, 1)
+    """Dimensions, then facts, loaded into a fresh lake from a page store that holds many older fetches too."""
+    source, exchanges = first_answers(spark, sf_dir)
+    lake = _new_lake(spark)
+    for config in (dim_config(exchanges), fact_config(exchanges)):
+        LD.update_tables(spark, config, source, lake, fx.NOW)
     return widen(lake.read_staging("FactEod"))
 
 
+def q_batch_outcomes(spark, sf_dir):
+    """A batch of dimensions of which the currencies' page is an error: what each load came to, and what the tables hold."""
+    lake, exchanges = _new_lake(spark), all_exchanges(spark, sf_dir)
+    source = LD.FilePageSource(spark, shared_dir(spark, "inbox"))
+    answer_dims(spark, sf_dir, source, exchanges)
+    P.land_fetched(spark.createDataFrame([("currencies", 0, BAD_PAGE)], P.FETCHED), f"{source.root}/DimCurrency", 2)
+    outcomes = LD.outcome_table(spark, LD.load_batch(spark, dim_config(exchanges), source, lake, fx.NOW))
+    held = None
+    for t in ("DimExchange", "DimCurrency", "DimCompany"):
+        rows = lake.read_staging(t).agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("n_rows"))
+        held = rows if held is None else held.unionByName(rows)
+    return outcomes.join(held, "table_name").select("table_name", "scope", "status", "run_id", F.regexp_extract("error", "rate_limit_[a-z]+", 0).alias("error"),
+                                                    "n_rows")
+
+
 def q_update_tables(spark, sf_dir):
     """Dims, then two fact runs (the second starts at the high-water mark): every table's rows, as JSON."""
     lake, source, exchanges = load_dims(spark, sf_dir)
@@ -518,6 +581,7 @@ def q_update_tables(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     "page_explode": q_page_explode,
     "page_totals": q_page_totals,
+    "page_quarantine": q_page_quarantine,
     "page_requests": q_page_requests,
     "flatten_exchanges": _flatten_q("exchanges"),
     "flatten_eod": _flatten_q("eod"),
@@ -590,5 +654,6 @@ QUERIES: dict[str, Query] = {
     "dim_request_paths": q_dim_request_paths,
     "load_dim": q_load_dim,
     "load_fact": q_load_fact,
+    "batch_outcomes": q_batch_outcomes,
     "update_tables": q_update_tables,
 }

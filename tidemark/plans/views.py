@@ -15,14 +15,15 @@ from tidemark.schemas import DISTINCT_VIEW_KEY, landing_columns
 
 # name -> (staging tables it reads, query); {s} is the staging database.
 ANALYTICS = {
-    # One listing per company, of the highest exchange id, with that exchange's country. Companies on unknown
-    # exchanges drop out; a company whose picked listing has no name isn't shown.
+    # A company's listing on the greatest exchange id that the exchange table knows, shown if it has a name. Listings are one per
+    # exchange (staging key: company and exchange), so the greatest struct is that listing.
     "vw_DimCompany": (["DimCompany", "DimExchange"], """
-        SELECT CompanyId, CompanyName, ExchangeId, Country FROM (
-            SELECT c.CompanyId, c.CompanyName, c.ExchangeId, e.Country,
-                   row_number() OVER (PARTITION BY c.CompanyId ORDER BY c.ExchangeId DESC) AS listing
-            FROM {s}.DimCompany c JOIN {s}.DimExchange e ON c.ExchangeId = e.ExchangeId)
-        WHERE listing = 1 AND CompanyName IS NOT NULL"""),
+        SELECT CompanyId, pick.CompanyName, pick.ExchangeId, pick.Country
+        FROM (SELECT listed.CompanyId,
+                     max(struct(known.ExchangeId, listed.CompanyName, known.Country)) AS pick
+              FROM {s}.DimExchange AS known INNER JOIN {s}.DimCompany AS listed USING (ExchangeId)
+              GROUP BY listed.CompanyId)
+        WHERE pick.CompanyName IS NOT NULL"""),
     "vw_DimCompanyExchange": (["DimCompany"], """
         SELECT PK AS CompanyExchangeId, CompanyId, CompanyName, ExchangeId FROM {s}.DimCompany
         WHERE CompanyName IS NOT NULL"""),

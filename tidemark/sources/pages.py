@@ -7,7 +7,10 @@ response is read by one distributed scan instead of one job per page.
 
 The records are typed by the endpoint's declared schema (never inferred);
 unknown keys are ignored and missing keys are NULL. A page without ``data``
-is an error response and fails the read with its text.
+is an error response and fails the read with its text, or is split off (``split_pages``).
+
+What a fetcher lands lies in folders by fetch and by request (``land_fetched``), beside an index of the requests that
+each fetch answered, so a load lists and reads only the folders of its own requests.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.indexing import rank_within
 from tidemark.operators.paging import assign_pages, page_requests
 from tidemark.schemas import PAGE_SIZE, page_schema
+from tidemark.session import exists
 
 
 def read_pages(spark: SparkSession, path: str | Sequence[str], endpoint: str) -> DataFrame:
@@ -57,25 +61,73 @@ def page_totals(pages: DataFrame, *keep: str) -> DataFrame:
     return pages.select(*keep, _total_or_fail().alias("total"), F.size(_data_or_fail()).cast("long").alias("n_records"))
 
 
-def fail_on_missing_pages(pages: DataFrame, requests: DataFrame) -> DataFrame:
+def fail_on_missing_pages(read: DataFrame, requests: DataFrame, excused: bool = False) -> DataFrame:
     """No rows, with the one column ``path`` of ``requests``; fails if a request has no page, or fewer records
     than its total.
 
-    ``pages`` (request, offset, pagination, data) are the parsed pages of ``requests`` (path). The message
-    names the request and the first planned page that is missing.
+    ``read`` (request, offset, total, n_records) has one row per page. The message names the request and the first planned
+    page that is missing. With ``excused``, requests of which a page is bad (no total or no records) may be incomplete.
     """
-    read = (page_totals(pages, "request", "offset").groupBy("request")
-            .agg(F.max("total").alias("total"), F.sum("n_records").alias("got"), F.collect_set("offset").alias("offsets")))
-    planned = page_requests(requests.select("path").distinct().join(read, F.col("path") == F.col("request"), "left")
+    bad = F.col("total").isNull() | F.col("n_records").isNull()
+    answers = read.groupBy("request").agg(F.max("total").alias("total"), F.sum("n_records").alias("got"),
+                                          F.collect_set("offset").alias("offsets"), F.max(bad).alias("bad"))
+    planned = page_requests(requests.select("path").distinct().join(answers, F.col("path") == F.col("request"), "left")
                             .withColumn("total", F.coalesce("total", F.lit(0))))
     all_pages = F.size("offsets") * PAGE_SIZE >= F.col("total")  # then a page itself is short; the first one stands for it
     short = (F.col("got") < F.col("total")) & (~F.array_contains("offsets", F.col("offset")) | (all_pages & (F.col("page_no") == 0)))
+    if excused:
+        short = short & ~F.col("bad")
     missing = planned.filter(F.col("request").isNull() | short)
     told = F.concat(F.lit("incomplete response to "), F.col("path"), F.lit(": "), F.coalesce(F.col("got"), F.lit(0)),
                     F.lit(" of "), F.col("total"), F.lit(" records, page at offset "), F.col("offset"))
     return missing.select(F.raise_error(told).cast("string").alias("path"))
 
 
+#: A page, parsed: what answers a request, from which record on, how much of how many records, and its text if it is bad.
+_STAGED = ["request", "offset", "total", "n_records", "data", "bad_page"]
+
+
+class ErrorPageError(ValueError):
+    """A response holds a page without records or without a total."""
+
+
+def stage_pages(pages: DataFrame, endpoint: str, path: str) -> DataFrame:
+    """Parse ``pages`` (page, and request and offset, if they have them) once, into ``path``; the pages as written.
+
+    A page that was landed twice (same request and offset) counts once, a good one before a bad one. Only ids of pages
+    are shuffled for that, not their records.
+    """
+    for c, kind in (("request", "string"), ("offset", "long")):
+        if c not in pages.columns:
+            pages = pages.withColumn(c, F.lit(None).cast(kind))
+    parsed = parse_pages(pages.select("request", "offset", "page"), endpoint)
+    bad = F.col("data").isNull() | F.col("pagination.total").isNull()
+    parsed.select("request", "offset", F.col("pagination.total").alias("total"), F.size("data").cast("long").alias("n_records"), "data",
+                  F.when(bad, F.coalesce("page", F.lit(""))).alias("bad_page")).select(*_STAGED).write.parquet(path)
+    staged = pages.sparkSession.read.parquet(path)
+    staged = staged.select("*", F.struct(F.col("bad_page").isNotNull(), "_metadata.file_path", "_metadata.row_index").alias("at"))
+    copies = (staged.where("request IS NOT NULL").groupBy("request", "offset").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
+              .where("n > 1").select(F.col("request").alias("r"), F.col("offset").alias("o"), "first"))
+    if copies.isEmpty():
+        return staged.drop("at")
+    extra = (staged.select("request", "offset", "at").join(copies, (F.col("request") == F.col("r")) & F.col("offset").eqNullSafe(F.col("o")))
+             .where(F.col("at") != F.col("first")).select(F.col("at").alias("gone")))
+    return staged.join(extra, F.col("at") == F.col("gone"), "left_anti").drop("at")
+
+
+def split_pages(staged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(records of the good pages, bad pages as request, offset and page) of staged pages."""
+    good, bad = staged.where("bad_page IS NULL"), staged.where("bad_page IS NOT NULL")
+    return good.select(F.inline("data")), bad.select("request", "offset", F.col("bad_page").alias("page"))
+
+
+def fail_on_error_pages(staged: DataFrame) -> None:
+    """Raise with the text of a bad page, if there is one."""
+    bad = staged.where("bad_page IS NOT NULL").select("request", "bad_page").first()
+    if bad:
+        raise ErrorPageError(f"API page without data or without a total, in answer to {bad.request}: {bad.bad_page[:2000]}")
+
+
 def build_pages(records: DataFrame, record: Column, total: int | Column | None = None,
                 page_size: int = PAGE_SIZE, order: Sequence[Column | str] | None = None,
                 group: Sequence[str] = ()) -> DataFrame:
@@ -124,14 +176,56 @@ def write_pages(pages: DataFrame, path: str) -> None:
     pages.select("page").write.mode("append").text(path)
 
 
-#: What a fetcher lands for each page it got: the request it answers, when, from which record on, and its text.
-FETCHED = "request STRING, fetched_at LONG, offset LONG, page STRING"
+#: What a fetcher lands for each page it got: the request it answers, from which record on, and its text.
+FETCHED = "request STRING, offset LONG, page STRING"
+#: Folders that the requests of a fetch are dealt to.
+REQUEST_BUCKETS = 32
 
 
-def write_fetched(pages: DataFrame, path: str, fetched_at: int, page_size: int = PAGE_SIZE) -> None:
-    """Land the pages of ``build_pages(..., group=["path"])`` as a fetcher does: JSON lines of FETCHED.
+def request_bucket(request: Column | str) -> Column:
+    return F.pmod(F.xxhash64(request), F.lit(REQUEST_BUCKETS)).cast("int")
+
 
-    The pages must be built in an order.
+def land_fetches(pages: DataFrame, path: str) -> None:
+    """Land ``pages`` (FETCHED and fetched_at) as fetchers do: under ``pages/fetched_at=…/bucket=…``, then the requests they
+    answer under ``requests/fetched_at=…``. A request counts as answered only from then on."""
+    rows = pages.select("fetched_at", "request", "offset", "page", request_bucket("request").alias("bucket"))
+    folders = ["fetched_at", "bucket"]
+    rows.hint("rebalance", *folders).write.mode("append").partitionBy(*folders).json(f"{path}/pages")
+    index = pages.select("fetched_at", "request").distinct()
+    index.hint("rebalance", "fetched_at").write.mode("append").partitionBy("fetched_at").json(f"{path}/requests")
+
+
+def land_fetched(pages: DataFrame, path: str, fetched_at: int) -> None:
+    """``land_fetches`` of one fetch."""
+    land_fetches(pages.select("*", F.lit(int(fetched_at)).cast("long").alias("fetched_at")), path)
+
+
+def answers(spark: SparkSession, path: str, requests: DataFrame) -> DataFrame:
+    """(request, fetched_at) of the newest fetch under ``path`` that answered each of ``requests`` (path)."""
+    if not exists(spark, f"{path}/requests"):
+        return spark.createDataFrame([], "request STRING, fetched_at LONG")
+    index = spark.read.schema("request STRING, fetched_at LONG").json(f"{path}/requests")
+    wanted = requests.select(F.col("path").alias("request")).distinct()
+    return index.join(wanted, "request", "left_semi").groupBy("request").agg(F.max("fetched_at").alias("fetched_at"))
+
+
+def fetched_pages(spark: SparkSession, path: str, answered: DataFrame) -> DataFrame:
+    """(request, offset, page) of the pages of ``answered`` (request, fetched_at), a stored table.
+
+    Only the folders of its fetches are listed, and only those of its requests' buckets are read. What reaches the driver
+    for that is fetch times and bucket numbers.
     """
-    (pages.select(F.col("path").alias("request"), F.lit(int(fetched_at)).alias("fetched_at"),
-                  (F.col("page_no") * page_size).cast("long").alias("offset"), "page").write.mode("append").json(path))
+    places = answered.agg(F.collect_set("fetched_at").alias("fetches"), F.collect_set(request_bucket("request")).alias("buckets")).first()
+    if not places["fetches"]:
+        return spark.createDataFrame([], FETCHED)
+    folders = [f"{path}/pages/fetched_at={t}" for t in sorted(places["fetches"])]
+    pages = (spark.read.schema(f"{FETCHED}, fetched_at LONG, bucket INT").option("basePath", f"{path}/pages").json(folders)
+             .where(F.col("bucket").isin(sorted(places["buckets"]))))
+    return pages.join(answered, ["request", "fetched_at"], "left_semi").select("request", "offset", "page")
+
+
+def write_fetched(pages: DataFrame, path: str, fetched_at: int, page_size: int = PAGE_SIZE) -> None:
+    """``land_fetched`` of the pages of ``build_pages(..., group=["path"])``, which must be built in an order."""
+    land_fetched(pages.select(F.col("path").alias("request"), (F.col("page_no") * page_size).cast("long").alias("offset"), "page"),
+                 path, fetched_at)
