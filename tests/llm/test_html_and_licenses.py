@@ -25,6 +25,41 @@ def test_pages_without_an_article_element_surge_and_dive():
     assert H.main_text(page) == " ".join(f"{'long text of the story ' * 9}{i}" for i in range(5))
 
 
+def test_unmarked_pages_with_menus_before_and_after():
+    """Link lists that no class names, a byline and a caption around three paragraphs, by hand."""
+    body = "".join(f"<p>{'long text of the story ' * 9}{i} with <a href=x>one link</a> in it.</p>" for i in range(3))
+    links = "".join(f"<div><a href='/c{i}'>Category number {i} of all</a></div>" for i in range(12))
+    listed = "<ul class='links'>" + "".join(f"<li><a href=x>Another page {i}</a>" for i in range(3)) + "</ul>"
+    expected = " ".join(f"{'long text of the story ' * 9}{i} with one link in it." for i in range(3))
+    for before, after in ((links, links), (listed, listed), (links + listed, "<p>Posted by X</p>" + links), ("", links), (listed, "")):
+        assert H.main_text(f"<body>{before}{body}{after}</body>") == expected
+    short = "<p>Ja.</p><p>Nein.</p><p>Doch.</p><p>Gut.</p>"  # short lines between long ones stay
+    assert H.main_text(f"<body>{links}{body}{short}{body}{links}") == f"{expected} Ja. Nein. Doch. Gut. {expected}"
+    assert H.main_text(f"<body>{links}") == " ".join(f"Category number {i} of all" for i in range(12))
+    text = f"{'never closed link ' * 20}", "and more of it, in a line that isn't that short"
+    assert H.main_text(f"<body><a href=x><p>{text[0]}<p>{text[1]}") == "".join(text)
+
+
+def test_main_text_matches_a_window_model():
+    """Random unmarked pages against surge and dive points found window by window."""
+    import random
+    r = random.Random(6)
+    for _ in range(300):
+        lines = [("t" * r.choice([3, 20, 40, 90, 200]), r.random() < 0.4) for _ in range(r.randrange(1, 25))]
+        page = "".join(f"<p>{'<a href=x>' + t + '</a>' if link else t}</p>" for t, link in lines)
+        weights = [0 if link else len(t) for t, link in lines]
+        if not any(weights):
+            weights = [len(t) for t, _ in lines]
+        windows = [sum(weights[i:i + 3]) for i in range(len(weights))]
+        surge, dive = min(86, max(1, max(windows) // 2)), min(30, max(1, max(windows) // 4))
+        inside, kept = False, []
+        for i, total in enumerate(windows):
+            inside = total >= dive if inside else weights[i] > 0 and total >= surge
+            kept.append(inside)
+        expected = [t for i, (t, _) in enumerate(lines) if any(kept[:i + 1]) and any(kept[i:])]
+        assert H.main_text(page) == " ".join(expected)
+
+
 @pytest.mark.parametrize("page, text", [
     (None, ""), ("", ""), ("   ", ""), ("<p>", ""), ("just text", "just text"), ("<article>", ""), ("a < b", "a < b"),
     ("<article>x<script>never closed", "x"), ("<article><p title='a>b'>q</p>", "q"), ("<article>&am &amp &#x41;</article>", "&am & A"),

@@ -1,9 +1,10 @@
 """Main-text extraction by line-block distribution.
 
-Markup is stripped to lines, one per block of the page. The text lengths of sliding windows of lines
+Markup is stripped to lines, one per block of the page. The weights of sliding windows of lines
 surge where the main text begins and dive where it ends; what lies between the first surge and the last
-dive is kept. Elements that never hold main text (scripts, forms, menus, notices, comments, ...) become
-empty lines, and so do lines outside the page's article where it marks one.
+dive is kept. A line weighs its characters that are no link text. Where a page marks its article, each line inside weighs
+a surge more, and those outside nothing. Elements that never hold main text (scripts, forms, menus, notices, comments,
+...) become empty lines.
 """
 
 from __future__ import annotations
@@ -17,9 +18,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Production parameters: lines in a window, characters that a window must pass where no article is marked.
+#: Production parameters: lines in a window, the weight from which a window surges, the weight below which it dives.
 WINDOW = 3
 SURGE_CHARS = 86
+DIVE_CHARS = 30
 
 # HTML elements by how they are read, and words of class or id that mark boilerplate.
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
@@ -56,14 +58,14 @@ def _is_boilerplate(attributes: str) -> str:
 
 
 class _Lines:
-    """Reads a page into lines: [text, is inside the article]; a dropped element leaves empty lines."""
+    """Reads a page into lines: [text, is inside the article, characters of link text]; a dropped element leaves empty lines."""
 
     def __init__(self, page: str, spared: frozenset[int] = frozenset()):
-        self.lines: list[tuple[str, bool]] = []
+        self.lines: list[tuple[str, bool, int]] = []
         self.has_main = False
         self._text: list[str] = []
         self._open: list[tuple[str, bool, int, int, int]] = []  # name, dropped, number if for a word only, counts before it
-        self._dropped = self._hard = self._main = 0
+        self._dropped = self._hard = self._main = self._links = self._linked = 0
         self._spared, self._marked = spared, 0
         self.chars = self.articles = 0  # outside of elements that are dropped whatever they hold
         self.held: dict[int, tuple[int, int]] = {}  # articles and characters in each element dropped for a word
@@ -72,8 +74,15 @@ class _Lines:
     def _end_line(self) -> None:
         if self._text:
             if text := " ".join(html.unescape("".join(self._text)).split()):
-                self.lines.append((text, self._main > 0))
+                self.lines.append((text, self._main > 0, min(self._linked, len(text))))
             self._text.clear()
+            self._linked = 0
+
+    def _add(self, text: str) -> None:
+        if not self._dropped:
+            self._text.append(text)
+            if self._links:
+                self._linked += len(" ".join(html.unescape(text).split()))
 
     def _pop(self, to: int) -> None:
         while len(self._open) > to:
@@ -83,8 +92,9 @@ class _Lines:
             if number:
                 self.held[number] = self.articles - articles, self.chars - chars
             self._main -= name in MAIN
+            self._links -= name == "a"
             if dropped and not self._dropped:
-                self.lines.extend([("", False)] * WINDOW)
+                self.lines.extend([("", False, 0)] * WINDOW)
 
     def _close(self, name: str) -> None:
         for i in range(len(self._open) - 1, -1, -1):
@@ -97,6 +107,8 @@ class _Lines:
             self._close("p")  # a block ends an open paragraph
         if name in ("li", "tr", "td", "th", "dt", "dd", "option") and self._open and self._open[-1][0] == name:
             self._pop(len(self._open) - 1)
+        if name == "a":
+            self._close("a")  # links don't nest
         if name in VOID or attributes.endswith("/>"):
             return
         dropped = name in DROPPED or name in ("header", "footer") and (name == "footer" or not self._main)
@@ -107,6 +119,7 @@ class _Lines:
             dropped = not number or number not in self._spared
         self._open.append((name, dropped, number if dropped else 0, self.chars, self.articles))
         self._dropped += dropped
+        self._links += name == "a"
         self._hard += dropped and not self._open[-1][2]
         if name in MAIN:
             self._main += 1
@@ -122,8 +135,7 @@ class _Lines:
         while match := _TAG.search(page, at):
             if match.start() > at:
                 self._count(page[at:match.start()])
-                if not self._dropped:
-                    self._text.append(page[at:match.start()])
+                self._add(page[at:match.start()])
             at, name = match.end(), (match[2] or "").lower()
             if not name:
                 continue
@@ -138,8 +150,7 @@ class _Lines:
                     at = end.end() if end else len(page)
                     self._close(name)
         self._count(page[at:])
-        if not self._dropped:
-            self._text.append(page[at:])
+        self._add(page[at:])
         self._end_line()
         self._pop(0)
 
@@ -161,29 +172,41 @@ def _read(page: str) -> _Lines:
         spared |= frozenset(held)
 
 
-def main_text(page: str | None, window: int = WINDOW, surge_chars: int = SURGE_CHARS) -> str:
+def line_weights(lines: list[tuple[str, bool, int]], has_main: bool, surge_chars: int = SURGE_CHARS) -> list[int]:
+    """What each line weighs: its characters less those of links, in a marked article a surge more, outside of it nothing.
+
+    On a page whose text is all links, these weigh as other text.
+    """
+    if has_main:
+        return [len(text) - linked + surge_chars if inside and text else 0 for text, inside, linked in lines]
+    plain = [len(text) - linked for text, _, linked in lines]
+    return plain if any(plain) else [len(text) for text, _, _ in lines]
+
+
+def main_text(page: str | None, window: int = WINDOW, surge_chars: int = SURGE_CHARS, dive_chars: int = DIVE_CHARS) -> str:
     """The lines between surge and dive points, joined by spaces; empty for null or empty pages.
 
-    In a page that marks an article the lines outside count as empty, and any text in a window is a
-    surge; else a window surges from ``surge_chars`` on (or half the fullest window, if that is less).
+    A window surges from ``surge_chars`` on (or half the heaviest window, if that is less), and dives below ``dive_chars``
+    (or a quarter of it).
     """
     if not page:
         return ""
     read = _read(page)
-    lines = [text if inside or not read.has_main else "" for text, inside in read.lines]
-    sizes = [len(x) for x in lines]
-    sums = [sum(sizes[i:i + window]) for i in range(len(sizes))]
-    least = 1 if read.has_main else min(surge_chars, max(1, max(sums, default=0) // 2))
-    first, end, i = len(lines), 0, 0
-    while i < len(lines):
-        if not sizes[i] or sums[i] < least:
+    weights = line_weights(read.lines, read.has_main, surge_chars)
+    sums = [sum(weights[i:i + window]) for i in range(len(weights))]
+    most = max(sums, default=0)
+    surge, dive = min(surge_chars, max(1, most // 2)), min(dive_chars, max(1, most // 4))
+    first, end, i = len(sums), 0, 0
+    while i < len(sums):
+        if not weights[i] or sums[i] < surge:
             i += 1
             continue
         first = min(first, i)
-        while i < len(lines) and sums[i]:  # to the dive: a window without text
+        while i < len(sums) and sums[i] >= dive:
             i += 1
         end = i
-    return " ".join(x for x in lines[first:end] if x)  # a dropped element within the text parts no paragraph from it
+    # A dropped element within the text parts no paragraph from it; where an article is marked, other lines go.
+    return " ".join(text for text, inside, _ in read.lines[first:end] if text and (inside or not read.has_main))
 
 
 def extract(page: Column) -> Column:
