@@ -414,8 +414,8 @@ def _candidate_links(texts: DataFrame, shared: DataFrame, total: int, least: flo
         & _can_be_near(least, "u_kmers", "u_own", "n_kmers", "own")
         & (F.col("bucket") == F.array_min(F.array_intersect("u_buckets", "buckets")))
         & _enough(least, agree, "u_kmers", "n_kmers"))
-    pairs, total = store_counted(met.select("u", "v", "u_root", "root", (agree / (F.col("u_kmers") + F.col("n_kmers"))).alias("agree")), "op7_left")
-    best = dealt(pairs, total, "u_root", "root").groupBy("u_root", "root").agg(F.max(F.struct("agree", "u", "v")).alias("p")).select(
+    pairs = store(met.select("u", "v", "u_root", "root", (agree / (F.col("u_kmers") + F.col("n_kmers"))).alias("agree")), "op7_left")
+    best = pairs.groupBy("u_root", "root").agg(F.max(F.struct("agree", "u", "v")).alias("p")).select(
         "u_root", "root", "p.u", "p.v")
     best = store(best, "op7_best")
     third, n = matcher.link(best.select("u", "v"))
