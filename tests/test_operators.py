@@ -407,6 +407,17 @@ def test_merge_reports_values_that_do_not_cast(spark):
     assert S.merge_into(spark, st, updates, ["PK"], mapping) == {"Date": 1}
 
 
+def test_dates_of_matched_rows_are_looked_up_within_the_key_range(spark):
+    st = S.create_staging(spark, "FactSplits", shared_dir(spark, "t", "range"), spark.createDataFrame(
+        [(f"K{i:03d}", "A", 1.0, 20220101 + i % 3) for i in range(200)], SPLIT_ROWS))
+    dest = S.read_staging(spark, st)
+    within = S._key_range(dest, spark.createDataFrame([("K100",), ("K102",), (None,)], "PK string"), ["PK"])
+    plan = within._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(PK,K100)" in plan and "LessThanOrEqual(PK,K102)" in plan
+    assert _rows(within.select("PK")) == [("K100",), ("K101",), ("K102",)]
+    assert S._key_range(dest, spark.createDataFrame([(None,)], "PK string"), ["PK"]).count() == 0
+
+
 def test_key_implies_the_date_only_as_landed(spark):
     assert S.key_implies_partition("FactSplits", ["PK"], {**SPLITS, "PK": "updates.pk"})
     assert not S.key_implies_partition("FactSplits", ["PK"], {**SPLITS, "PK": "symbol"})
@@ -502,6 +513,43 @@ def test_no_attempt_writes_the_run_of_another(spark):
     assert _land(spark, lt, "b") == 5 and _landed_names(spark, lt) == ["a", "a", "b"]
 
 
+def test_discovery_lists_days_from_the_latest_on(spark, monkeypatch):
+    lt = L.create_landing(spark, "t_found", "DimCurrency", shared_dir(spark, "t", "found"))
+
+    def write(day, run, name):
+        L.append_runs(_currencies(spark, name).selectExpr("*", f"{day} AS dayId", f"{run} AS runId"), lt)
+
+    for day, run in ((20220701, 1), (20220702, 1), (20220703, 2)):
+        write(day, run, f"d{day}")
+    assert L.discover(spark, lt) == [(20220701, 1), (20220702, 1), (20220703, 2)]
+    for day, run in ((20220703, 10), (20220704, 1), (20220701, 2)):
+        write(day, run, f"n{day}")
+    listed, list_dirs = [], L.list_dirs
+    monkeypatch.setattr(L, "list_dirs", lambda s, path: listed.append(path.removeprefix(lt.path)) or list_dirs(s, path))
+    assert L.discover(spark, lt) == [(20220703, 10), (20220704, 1)] and L.discover(spark, lt) == []
+    assert listed == ["", "/dayId=20220703", "/dayId=20220704", "", "/dayId=20220704"]
+    assert L.read_landing(spark, lt).count() == 5
+    L.repair(spark, lt)  # a run under an earlier day
+    assert L.read_landing(spark, lt).count() == 6
+
+
+def test_one_failing_table_does_not_end_the_batch(spark):
+    from tidemark.plans import loader as LD
+    inbox, root = shared_dir(spark, "t", "batch"), shared_dir(spark, "t", "lakeb")
+    lake = LD.Lake(spark, root, f"bl_{root[-8:]}", f"bs_{root[-8:]}", f"ba_{root[-8:]}")
+    cfg = {"table_type": "Dim", "tables": [{"is_enabled": True, "table_name": t, "exchange": ""} for t in ("DimExchange", "DimCurrency")]
+           + [{"is_enabled": False, "table_name": "DimCompany", "exchange": "X"}]}
+    _fetched(spark, f"{inbox}/DimCurrency", [("currencies", 1, 0, _page(1, "A"))])
+    _fetched(spark, f"{inbox}/DimExchange", [("exchanges", 1, 0, '{"error": "down"}')])
+    outcomes = LD.load_batch(spark, cfg, LD.FilePageSource(spark, inbox), lake, "2022-07-03")
+    assert [(o.table_name, o.status, o.run_id) for o in outcomes] == [("DimExchange", "failed", None), ("DimCurrency", "loaded", 1)]
+    assert "down" in outcomes[0].error and lake.read_staging("DimCurrency").count() == 1
+    assert LD.outcome_table(spark, outcomes).count() == 2
+    with pytest.raises(LD.BatchError, match="DimExchange") as raised:
+        LD.update_tables(spark, cfg, LD.FilePageSource(spark, inbox), lake, "2022-07-03")
+    assert [o.status for o in raised.value.outcomes] == ["failed", "loaded"]
+
+
 def test_a_loader_beside_the_stream_keeps_its_run(spark):
     from tidemark.streaming import stream_pages_to_landing
     inbox, ckpt = shared_dir(spark, "t", "inbox2"), shared_dir(spark, "t", "ckpt2")

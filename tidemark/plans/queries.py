@@ -99,7 +99,7 @@ def lake_of(spark: SparkSession, sf_dir: str) -> LD.Lake:
 
 def _land(spark: SparkSession, lt: L.LandingTable, rows: DataFrame) -> None:
     L.append_runs(rows, lt)
-    L.repair(spark, lt)
+    L.discover(spark, lt)
 
 
 def landed(spark: SparkSession, sf_dir: str, table: str) -> L.LandingTable:

@@ -3,8 +3,8 @@
 A landing table is an external catalog table over a folder, so partitions are
 listed from the catalog (``SHOW PARTITIONS``) and the bookkeeping never scans
 data. A run the loader writes is registered as one partition
-(``register_run``); ``repair`` (``MSCK REPAIR TABLE``, a listing of every run
-folder) is only for folders written by others.
+(``register_run``); ``discover`` finds new runs that others wrote, and ``repair`` (``MSCK REPAIR TABLE``, a listing of
+every run folder) those under earlier days.
 Writes go through Spark's commit protocol: a lost executor's task is simply
 retried, and a failed job leaves no partial partition behind.
 
@@ -72,6 +72,23 @@ def repair(spark: SparkSession, lt: LandingTable) -> None:
     spark.sql(f"MSCK REPAIR TABLE {lt.name}")
 
 
+def discover(spark: SparkSession, lt: LandingTable) -> list[tuple[int, int]]:
+    """Register runs that others wrote since the catalog's latest day; returns them as (dayId, runId).
+
+    Day folders are listed by name, run folders only of days from the latest registered one on, and the difference is added
+    in one statement. Runs that turn up under earlier days need ``repair``.
+    """
+    known = {(r.dayId, r.runId) for r in partitions(spark, lt).collect()}
+    since = max((d for d, _ in known), default=0)
+    days = [int(n.split("=", 1)[1]) for n in list_dirs(spark, lt.path) if n.startswith("dayId=") and n.split("=", 1)[1].isdigit()]
+    found = [(d, r) for d in sorted(days) if d >= since for r in sorted(_ids(list_dirs(spark, f"{lt.path}/dayId={d}")))]
+    fresh = [x for x in found if x not in known]
+    if fresh:
+        spark.sql(f"ALTER TABLE {lt.name} ADD IF NOT EXISTS " + " ".join(f"PARTITION (dayId={d}, runId={r})" for d, r in fresh))
+    spark.catalog.refreshTable(lt.name)  # runs that grew have new files
+    return fresh
+
+
 def register_run(spark: SparkSession, lt: LandingTable, day_id: int, run_id: int) -> bool:
     """Make one just-written run visible: a single catalog entry, not a repair.
 

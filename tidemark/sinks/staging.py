@@ -16,7 +16,8 @@ empty table. The record is not a log: only the newest is ever read.
 Facts are partitioned by ``Date``. Only the partitions that the updates touch are read and rewritten; the others'
 folders are carried over. The touched dates (one value per partition) become a literal ``IN`` filter, so every scan of
 the destination is pruned statically. Where the key implies the date, they are the dates of the updates;
-else the dates of matched destination rows are added.
+else the dates of matched destination rows are added. To find those, the destination's keys are read within the least and
+greatest key of the updates, a literal filter that skips row groups, and matched through a semi-join.
 
 Facts also keep their marks: rows and latest date of each symbol (``_maintain_marks``), which request planning reads in place
 of the history.
@@ -38,7 +39,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.upsert import bad_casts, fail_on_duplicate_matches, merge_frames, project_updates, source_text
-from tidemark.schemas import COLUMN_MAPPING, STAGING_DDL, STAGING_PARTITION, staging_schema
+from tidemark.schemas import COLUMN_MAPPING, STAGING_DDL, STAGING_KEY, STAGING_PARTITION, staging_schema
 from tidemark.session import create_new, delete_path, exists, list_dirs, list_files, mkdirs, modified_ms, read_text
 
 # Fixed value: the folder name Spark gives the partition of NULL values.
@@ -128,10 +129,11 @@ def _new_folder(st: StagingTable, kind: str) -> str:
 
 
 def _write(st: StagingTable, df: DataFrame) -> str:
-    """Write rows into a new folder; rebalance sizes files by bytes, not by (tasks x dates)."""
+    """Write rows into a new folder; rebalance sizes files by bytes, not by (tasks x dates). Facts lie by date and key, so
+    that the statistics of row groups tell keys apart."""
     folder, df = _new_folder(st, "v"), _conform(df, st.table)
     if st.partition:
-        df.hint("rebalance", st.partition).write.partitionBy(st.partition).parquet(folder)
+        df.hint("rebalance", st.partition).sortWithinPartitions(st.partition, STAGING_KEY[st.table]).write.partitionBy(st.partition).parquet(folder)
     else:
         df.hint("rebalance").write.parquet(folder)
     return folder
@@ -245,13 +247,22 @@ def stage_updates(spark: SparkSession, mapped: DataFrame, path: str) -> DataFram
     return spark.read.schema(mapped.schema).parquet(path)
 
 
+def _key_range(dest: DataFrame, mapped: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of ``dest`` whose keys lie between the least and the greatest of the updates; one row is gathered."""
+    ends = mapped.agg(*[f(k).alias(f"{f.__name__}_{i}") for i, k in enumerate(keys) for f in (F.min, F.max)]).first()
+    for i, k in enumerate(keys):
+        dest = dest.where(F.col(k).between(F.lit(ends[f"min_{i}"]), F.lit(ends[f"max_{i}"])))
+    return dest
+
+
 def _merge_partitioned(spark: SparkSession, st: StagingTable, before: Version, dest: DataFrame, mapped: DataFrame,
                        keys: Sequence[str], implied: bool, unique_source: bool) -> Version:
     """Write the merged partitions; the version with them and the untouched ones."""
     part = st.partition
     touched = mapped.select(part) if part in mapped.columns else None
     if touched is None or not implied:
-        matched = dest.join(mapped.select(*keys), list(keys), "left_semi").select(part)
+        within = _key_range(dest, mapped, keys)
+        matched = within.join(mapped.select(*keys), list(keys), "left_semi").select(part)
         touched = matched if touched is None else touched.unionByName(matched)
     # Partition values only, at most one per date, reach the driver.
     values = [r[0] for r in touched.where(F.col(part).isNotNull()).distinct().collect()]
