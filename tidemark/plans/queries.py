@@ -98,6 +98,7 @@ def lake_of(spark: SparkSession, sf_dir: str) -> LD.Lake:
 
 
 def _land(spark: SparkSession, lt: L.LandingTable, rows: DataFrame) -> None:
+    """Append runs of the latest day and later ones."""
     L.append_runs(rows, lt)
     L.discover(spark, lt)
 
@@ -250,8 +251,9 @@ def q_landing_roundtrip(spark, sf_dir):
 def q_landing_append_two_runs(spark, sf_dir):
     rows = landing_rows(spark, sf_dir, "FactDividends")
     lt = _new_lake(spark).landing("FactDividends")
-    _land(spark, lt, rows.where(F.col("runId") <= 6))
-    _land(spark, lt, rows.where(F.col("runId") > 6))
+    for later in (False, True):
+        L.append_runs(rows.where((F.col("runId") > 6) == F.lit(later)), lt)
+        L.repair(spark, lt)  # the later runs lie under earlier days too
     return widen(L.read_landing(spark, lt))
 
 
