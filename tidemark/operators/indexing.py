@@ -6,8 +6,7 @@ row through one task. These operators get the same positions from value ranges i
 1. A sample of the keys, drawn by hash, gives quantiles as range boundaries. The sample is an array in a
    scalar subquery: it runs with the query, in the cluster, and nothing is collected while the plan
    is built. Its size is bounded by the number of ranges, not by the rows.
-2. A row's range is the number of boundaries at or below its key, found in two steps of about sqrt(ranges)
-   comparisons. It is a pure function of the row's values, so every branch of a plan agrees on it.
+2. A row's range is the number of boundaries at or below its key, found by binary search. It is a pure function of the row's values, so every branch of a plan agrees on it.
 3. Rows per (range, group), combined map-side, give the rows of the group in earlier ranges, and
    ``row_number()`` inside a (range, group) gives the rest. Ranges are contiguous in the order, so all
    of them together have at most (groups + ranges) such pairs, and no pair is larger than a range.
@@ -18,7 +17,6 @@ runs (positions stay a valid 0..n-1 numbering).
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -41,15 +39,13 @@ def _ranged(df: DataFrame, key: Column, n: int) -> DataFrame:
               .agg(F.array_sort(F.collect_list("__key")).alias("__keys")))
     # Every so many of the sampled keys bounds a range; the number sampled varies about ``wanted``.
     step = F.greatest(F.ceil(F.size("__keys") / F.lit(float(n))), F.lit(1))
-    stride = max(1, math.isqrt(n))
-    bounds = sample.select(F.filter("__keys", lambda _, i: F.pmod(i + 1, step) == 0).alias("all"))
-    coarse = bounds.select(F.struct("all", F.filter("all", lambda _, i: F.pmod(i, F.lit(stride)) == 0).alias("coarse")))
-    keyed = df.withColumn("__key", key).withColumn("__bounds", coarse.scalar())
-    placed = keyed.withColumn("__coarse", F.size(F.filter(F.col("__bounds")["coarse"], lambda b: b <= F.col("__key"))))
-    first = F.greatest(F.col("__coarse") - 1, F.lit(0)) * stride
-    fine = F.slice(F.col("__bounds")["all"], first + 1, F.lit(stride))
-    return (placed.withColumn("__range", first + F.size(F.filter(fine, lambda b: b <= F.col("__key"))))
-            .drop("__key", "__bounds", "__coarse"))
+    bounds = sample.select(F.filter("__keys", lambda _, i: F.pmod(i + 1, step) == 0)).scalar()
+    # Binary search: after each step that many of the (at most n) bounds are known to be at or below the key.
+    found = df.withColumn("__key", key).withColumn("__range", F.lit(0))
+    for width in [1 << b for b in reversed(range(n.bit_length()))]:
+        at_or_below = F.get(bounds, F.col("__range") + (width - 1)) <= F.col("__key")
+        found = found.withColumn("__range", F.col("__range") + F.when(at_or_below, width).otherwise(0))
+    return found.drop("__key")
 
 
 def rank_within(df: DataFrame, groups: Sequence[str], order: Sequence[Column | str],

@@ -103,7 +103,7 @@ def stage_pages(pages: DataFrame, endpoint: str, path: str) -> DataFrame:
     parsed = parse_pages(pages.select("request", "offset", "page"), endpoint)
     bad = F.col("data").isNull() | F.col("pagination.total").isNull()
     parsed.select("request", "offset", F.col("pagination.total").alias("total"), F.size("data").cast("long").alias("n_records"), "data",
-                  F.when(bad, F.coalesce("page", F.lit(""))).alias("bad_page")).select(*_STAGED).write.parquet(path)
+                  F.when(bad, F.coalesce("page", F.lit(""))).alias("bad_page")).select(*_STAGED).write.parquet(path, compression="zstd")
     staged = pages.sparkSession.read.parquet(path)
     staged = staged.select("*", F.struct(F.col("bad_page").isNotNull(), "_metadata.file_path", "_metadata.row_index").alias("at"))
     copies = (staged.where("request IS NOT NULL").groupBy("request", "offset").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
@@ -158,22 +158,73 @@ def build_pages(records: DataFrame, record: Column, total: int | Column | None =
     if keys:
         paged = rank_within(sel, group, keys, "__pos").withColumn("page_no", F.floor(F.col("__pos") / page_size).cast("long"))
     else:
-        paged = assign_pages(sel, page_size, name="page_no")
-    if keys:
-        # sorting the (order keys, record) structs keeps records in order inside a page
-        recs = F.transform(F.sort_array(F.collect_list(F.struct(*keys, "__rec"))), lambda r: r["__rec"])
-    else:
-        recs = F.collect_list("__rec")
-    grouped = paged.groupBy(*group, "page_no").agg(recs.alias("__recs"), F.first("__total").alias("__total"))
-    return grouped.select(
-        *group, "page_no",
-        F.to_json(F.struct(F.struct(F.col("__total").cast("long").alias("total")).alias("pagination"),
-                           F.col("__recs").alias("data"))).alias("page"))
+        paged = assign_pages(sel, page_size, name="page_no").withColumn("__pos", F.monotonically_increasing_id())
+    if not keys and not group:  # pages that are cut inside a partition are whole there
+        return _runs_of_pages(paged, []).select("page_no", _page_text(F.col("__text"), F.col("__total")))
+    # A page's records lie beside each other but where a range or partition ends, so few runs make up a page.
+    runs = F.array_sort(F.collect_list(F.struct("__first", "__text")))
+    whole = _runs_of_pages(paged, group).groupBy(*group, "page_no").agg(runs.alias("__runs"), F.first("__total").alias("__total"))
+    return whole.select(*group, "page_no", _page_text(F.array_join(F.col("__runs.__text"), ","), F.col("__total")))
+
+
+def _page_text(records: Column, total: Column) -> Column:
+    head = F.to_json(F.struct(F.struct(total.cast("long").alias("total")).alias("pagination")))  # {"pagination":{...}}
+    return F.concat(head.substr(F.lit(1), F.length(head) - 1), F.lit(',"data":['), records, F.lit("]}")).alias("page")
+
+
+def _runs_of_pages(paged: DataFrame, group: Sequence[str]) -> DataFrame:
+    """The records (``__rec``) of ``paged`` that follow each other in a partition and in a page (group, page_no), as one JSON
+    text per run: (group, page_no, __total, __first, __text). Nothing is shuffled or sorted; a task holds one page."""
+    place = [*group, "page_no", "__total"]
+    rows = paged.select(*place, F.col("__pos").cast("long").alias("__first"), F.coalesce(F.to_json("__rec"), F.lit("null")).alias("__text"))
+
+    def join(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        def changes(column):
+            here, before = column.slice(1), column.slice(0, len(column) - 1)
+            differ = pc.or_(pc.fill_null(pc.not_equal(here, before), False), pc.xor(here.is_null(), before.is_null()))
+            return differ.to_numpy(zero_copy_only=False)
+
+        at, last, texts = None, 0, []  # the run that may go on in the next batch
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            *places, positions, records = batch.columns
+            pos = positions.to_numpy()
+            ends = np.diff(pos) != 1
+            for column in places:
+                ends |= changes(column)
+            starts = np.concatenate([[0], np.flatnonzero(ends) + 1])
+            offsets = pa.array(np.append(starts, len(pos)), pa.int32())
+            joined = pc.binary_join(pa.ListArray.from_arrays(offsets, records), pa.scalar(",", records.type)).to_pylist()
+            firsts = list(zip(*[c.take(pa.array(starts)).to_pylist() for c in (*places, positions)]))
+            found = []
+            for i, (first, text) in enumerate(zip(firsts, joined)):
+                goes_on = i == 0 and texts and first[:-1] == at[:-1] and first[-1] == last + 1
+                if texts and not goes_on:
+                    found.append((*at, ",".join(texts)))
+                    texts = []
+                at = at if goes_on else first
+                texts.append(text)
+            last = int(pos[-1])
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found), batch.schema)], schema=batch.schema)
+        if texts:
+            yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip((*at, ",".join(texts)), batch.schema)], schema=batch.schema)
+
+    return rows.mapInArrow(join, rows.schema)
+
+
+#: Most pages of a file; a compressed file is read by one task.
+PAGES_PER_FILE = 1024
 
 
 def write_pages(pages: DataFrame, path: str) -> None:
-    """Land pages as JSON-lines text, one page per line."""
-    pages.select("page").write.mode("append").text(path)
+    """Land pages as compressed JSON-lines text, one page per line, in files of bounded size."""
+    pages.select("page").write.mode("append").option("maxRecordsPerFile", PAGES_PER_FILE).text(path, compression="gzip")
 
 
 #: What a fetcher lands for each page it got: the request it answers, from which record on, and its text.
