@@ -147,7 +147,7 @@ def land_pages(spark: SparkSession, lt: L.LandingTable, pages: DataFrame, endpoi
             first, *rest = records.schema.fields
             records = records.unionByName(missing.select(
                 F.col("path").cast(first.dataType).alias(first.name), *[F.lit(None).cast(f.dataType).alias(f.name) for f in rest]))
-        landed = L.append_run(records, lt, day_id, run_id, attempt)
+        landed = L.append_run(records, lt, day_id, run_id, attempt, spread=False)  # the staged files are split by size
         if quarantine is not None:
             bad.write.mode("overwrite").json(f"{quarantine}/dayId={int(day_id)}/runId={run_id}")
     except BaseException:

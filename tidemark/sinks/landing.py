@@ -111,7 +111,8 @@ def append_runs(df: DataFrame, lt: LandingTable) -> None:
                       zip(cols, landing_schema(lt.table).fields)])
     # Rebalanced by run, so AQE sizes the write tasks by bytes and a run becomes a
     # few large files rather than one small file per (task, run).
-    out.hint("rebalance", *RUN_PARTITION_COLUMNS).write.mode("append").partitionBy(*RUN_PARTITION_COLUMNS).parquet(lt.path)
+    out.hint("rebalance", *RUN_PARTITION_COLUMNS).write.mode("append").partitionBy(*RUN_PARTITION_COLUMNS).parquet(
+        lt.path, compression="zstd")
 
 
 def claim_path(lt: LandingTable, day_id: int, run_id: int) -> str:
@@ -169,10 +170,11 @@ def _hold(spark: SparkSession, lt: LandingTable, day_id: int, run_id: int, attem
         raise RunTakenError(f"{run_path(lt, day_id, run_id)} is claimed by another attempt")
 
 
-def append_run(df: DataFrame, lt: LandingTable, day_id: int, run_id: int, attempt: str | None = None) -> int:
+def append_run(df: DataFrame, lt: LandingTable, day_id: int, run_id: int, attempt: str | None = None,
+               spread: bool = True) -> int:
     """Write one run into its own folder; returns its rows.
 
-    What the same attempt wrote there before is replaced; a run of another attempt is an error. A response without
+    Without ``spread`` every task of ``df`` writes its rows as they are, as suits one whose tasks are of even size. What the same attempt wrote there before is replaced; a run of another attempt is an error. A response without
     records is no run: it leaves no folder.
     """
     spark = df.sparkSession
@@ -181,7 +183,8 @@ def append_run(df: DataFrame, lt: LandingTable, day_id: int, run_id: int, attemp
     out = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
     # The run's folder is its identity; an unkeyed rebalance spreads the rows over write tasks.
     folder, observed = run_path(lt, day_id, run_id), Observation()
-    out.hint("rebalance").observe(observed, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(folder)
+    out = out.hint("rebalance") if spread else out
+    out.observe(observed, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(folder, compression="zstd")
     if not observed.get["n"]:
         delete_path(spark, folder)
     return observed.get["n"]
