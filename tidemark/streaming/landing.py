@@ -16,6 +16,7 @@ as usual.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.flatten import flatten
@@ -40,17 +41,21 @@ def stream_pages_to_landing(spark: SparkSession, inbox: str, endpoint: str, lt:
     reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    pages = parse_pages(reader.text(inbox), endpoint, "value")
-    records = flatten(explode_pages(pages), endpoint)
+    pages = reader.text(inbox)
 
     def land_batch(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
         attempt = f"{name}/{int(batch_id)}"
         run = L.claim_run(spark, lt, day_id, attempt)
-        L.append_run(batch, lt, day_id, run, attempt)
-        L.register_run(spark, lt, day_id, run)  # the caller's session, whose listing is refreshed
-
-    writer = records.writeStream.foreachBatch(land_batch).option("checkpointLocation", checkpoint_dir)
+        # A file may be one task's; its pages are spread over the tasks that parse and write, not its records.
+        spread = batch.withColumn("place", F.xxhash64("value")).hint("rebalance", "place")
+        records = flatten(explode_pages(parse_pages(spread.select("value"), endpoint, "value")), endpoint)
+        if L.append_run(records, lt, day_id, run, attempt, spread=False):
+            L.register_run(spark, lt, day_id, run)  # the caller's session, whose listing is refreshed
+        else:
+            L.release_run(spark, lt, day_id, run, attempt)
+
+    writer = pages.writeStream.foreachBatch(land_batch).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
