@@ -276,14 +276,14 @@ TABLE_OF_ENDPOINT = {"eod": "FactEod", "dividends": "FactDividends", "splits": "
 
 def current_state(spark: SparkSession, sf_dir: str, endpoint: str) -> DataFrame:
     """What the API would answer today: every key's newest fixture row."""
-    from tidemark.operators.dedupe import dedupe_runs  # local: fixtures stay import-light
+    from tidemark.operators.dedupe import dedupe_newest  # local: fixtures stay import-light
     from tidemark.plans.views import tie_columns
     from tidemark.schemas import LANDING_KEY
 
     table_ = TABLE_OF_ENDPOINT[endpoint]
     key = LANDING_KEY[table_]
     rows = FIXTURE_OF_ENDPOINT[endpoint](spark, sf_dir).where(F.col(key).isNotNull())
-    return dedupe_runs(rows, key, "latest", tie_columns(table_, key))
+    return dedupe_newest(rows, key, tie_columns(table_, key))
 
 
 def land_answers(spark: SparkSession, sf_dir: str, table: str, endpoint: str, requests: DataFrame, root: str,

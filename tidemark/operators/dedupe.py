@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import ensure_checkpoint_dir
+
 # Run recency orders.
 #  "reference": ``ORDER BY dayId, runId DESC`` as the landing views are written
 #               (DESC binds to runId only: the oldest day's last run wins, T1).
@@ -52,3 +54,34 @@ def dedupe_runs(df: DataFrame, keys: Sequence[str] | str, recency: str = "refere
         keys = [keys]
     order = [*recency_order(recency), *[F.asc_nulls_last(t) for t in ties]]
     return keep_first(df, keys, order, keep_null_keys)
+
+
+#: Keys up to which their newest runs are broadcast: some 50 MB. They are counted first.
+BROADCAST_KEYS = 500_000
+
+
+def dedupe_newest(df: DataFrame, keys: Sequence[str] | str, ties: Sequence[str] = (), keep_null_keys: bool = False) -> DataFrame:
+    """``dedupe_runs`` of recency "latest" for tables of many runs, where ranking would sort every row in its map task.
+
+    Each key's newest run is found by a hash aggregate over keys and runs alone, and stored (nothing but their number reaches
+    the driver, unless they are few enough to broadcast). Only rows of those runs are ranked. The join is by key and run and
+    its result is ranked map-side first, so a key of many rows doesn't meet in one task.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    lowest = F.lit(-(1 << 31))  # NULLs come last in a falling order
+    run = F.coalesce("dayId", lowest).cast("long") * F.lit(1 << 32) + F.coalesce("runId", lowest).cast("long")
+    ensure_checkpoint_dir(df.sparkSession)
+    newest = (df.where(known).groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)])
+              .agg(F.max(run).alias("__newest")).checkpoint(eager=True))
+    if newest.count() <= BROADCAST_KEYS:
+        newest = F.broadcast(newest)
+    same = run == F.col("__newest")
+    for i, k in enumerate(keys):
+        same = same & (F.col(k) == F.col(f"__k{i}"))
+    kept = df.where(known).join(newest, same, "left_semi")
+    if not keep_null_keys:
+        return dedupe_runs(kept.unionByName(df.where(~known)), keys, "latest", ties)
+    return dedupe_runs(kept, keys, "latest", ties).unionByName(df.where(~known))

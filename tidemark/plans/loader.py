@@ -33,7 +33,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.dedupe import dedupe_runs
+from tidemark.operators.dedupe import dedupe_newest, dedupe_runs
 from tidemark.operators.flatten import flatten
 from tidemark.operators.incremental import exchange_groups
 from tidemark.operators.upsert import source_text
@@ -178,7 +178,9 @@ def merge_source(spark: SparkSession, lt: L.LandingTable, full_reload: bool,
     if recency == "reference" and lt.table != "DimCompany":
         create_distinct_views(spark, lt.database, [lt.table])
         return spark.table(distinct_view(lt.database, lt.table)).select(*cols)
-    return dedupe_runs(L.read_landing(spark, lt), key, recency, ties, keep_null_keys=recency == "latest").select(*cols)
+    if recency == "latest":
+        return dedupe_newest(L.read_landing(spark, lt), key, ties, keep_null_keys=True).select(*cols)
+    return dedupe_runs(L.read_landing(spark, lt), key, recency, ties).select(*cols)
 
 
 def _mapping(cfg: Mapping, table: str) -> dict:
