@@ -144,27 +144,27 @@ def build_pages(records: DataFrame, record: Column, total: int | Column | None =
     order_cols = [F.col(c) if isinstance(c, str) else c for c in (order or [])]
     keys = [f"__o{i}" for i in range(len(order_cols))]
     sel = records.select(*group, record.alias("__rec"), *[c.alias(k) for c, k in zip(order_cols, keys)])
+    counts = None
     if total is None:
-        by = group or [F.lit(0).alias("__all")]
-        counts = sel.groupBy(*by).agg(F.count(F.lit(1)).alias("__total"))
-        if group:
-            sel = sel.join(counts, group)
-        else:  # one response: join the single-row count on a constant key
-            sel = sel.withColumn("__all", F.lit(0)).join(F.broadcast(counts), "__all").drop("__all")
-        total_col = F.col("__total")
+        counts = sel.groupBy(*group).agg(F.count(F.lit(1)).alias("__total"))
     else:
-        total_col = total if isinstance(total, Column) else F.lit(int(total)).cast("long")
-        sel = sel.withColumn("__total", total_col)
+        sel = sel.withColumn("__total", total if isinstance(total, Column) else F.lit(int(total)).cast("long"))
     if keys:
         paged = rank_within(sel, group, keys, "__pos").withColumn("page_no", F.floor(F.col("__pos") / page_size).cast("long"))
     else:
         paged = assign_pages(sel, page_size, name="page_no").withColumn("__pos", F.monotonically_increasing_id())
-    if not keys and not group:  # pages that are cut inside a partition are whole there
-        return _runs_of_pages(paged, []).select("page_no", _page_text(F.col("__text"), F.col("__total")))
-    # A page's records lie beside each other but where a range or partition ends, so few runs make up a page.
-    runs = F.array_sort(F.collect_list(F.struct("__first", "__text")))
-    whole = _runs_of_pages(paged, group).groupBy(*group, "page_no").agg(runs.alias("__runs"), F.first("__total").alias("__total"))
-    return whole.select(*group, "page_no", _page_text(F.array_join(F.col("__runs.__text"), ","), F.col("__total")))
+    named = [c for c in (*group, "page_no", "__total") if c in paged.columns]
+    runs = _runs_of_pages(paged, named)
+    if keys or group:
+        # A page's records lie beside each other but where a range or partition ends, so few runs make up a page.
+        parts = F.array_sort(F.collect_list(F.struct("__first", "__text")))
+        wholes = runs.groupBy(*group, "page_no").agg(parts.alias("__runs"), *[F.first(c).alias(c) for c in named if c == "__total"])
+        pages = wholes.withColumn("__text", F.array_join("__runs.__text", ","))
+    else:  # pages that are cut inside a partition are whole there
+        pages = runs
+    if counts is not None:  # joined to the pages, not to their records; one response has a single count
+        pages = pages.join(counts, group) if group else pages.crossJoin(F.broadcast(counts))
+    return pages.select(*group, "page_no", _page_text(F.col("__text"), F.col("__total")))
 
 
 def _page_text(records: Column, total: Column) -> Column:
@@ -172,10 +172,9 @@ def _page_text(records: Column, total: Column) -> Column:
     return F.concat(head.substr(F.lit(1), F.length(head) - 1), F.lit(',"data":['), records, F.lit("]}")).alias("page")
 
 
-def _runs_of_pages(paged: DataFrame, group: Sequence[str]) -> DataFrame:
-    """The records (``__rec``) of ``paged`` that follow each other in a partition and in a page (group, page_no), as one JSON
-    text per run: (group, page_no, __total, __first, __text). Nothing is shuffled or sorted; a task holds one page."""
-    place = [*group, "page_no", "__total"]
+def _runs_of_pages(paged: DataFrame, place: Sequence[str]) -> DataFrame:
+    """The records (``__rec``) of ``paged`` that follow each other in a partition and share ``place``, as one JSON text per run:
+    place, position of the first, ``__text``. Nothing is shuffled or sorted; a task holds one batch and one page."""
     rows = paged.select(*place, F.col("__pos").cast("long").alias("__first"), F.coalesce(F.to_json("__rec"), F.lit("null")).alias("__text"))
 
     def join(batches):
