@@ -8,6 +8,8 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark import fixtures as fx
+from tidemark.operators.dedupe import dedupe_newest
 from tidemark.session import list_files, shared_dir
 from tidemark.sources import pages as P
 
@@ -61,3 +63,29 @@ def test_page_files_are_compressed_and_bounded(spark, monkeypatch):
     files = [n for n in list_files(spark, path) if n.startswith("part-")]
     assert len(files) == 3 and all(n.endswith(".gz") for n in files)
     assert P.explode_pages(P.read_pages(spark, path, "currencies")).count() == 5003
+
+
+def test_answers_are_landed_from_one_read_of_the_current_rows(spark, monkeypatch):
+    rows = spark.createDataFrame([(f"C{i}", f"X{i % 3}") for i in range(12)], "code STRING, symbol STRING").withColumn("name", F.lit("n"))
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    monkeypatch.setattr(fx, "current_state", lambda *_: rows.mapInArrow(counted, rows.schema))
+    root, requests = shared_dir(spark, "inbox"), spark.createDataFrame([("currencies",), ("none",)], "path STRING")
+    fx.land_answers(spark, "", "DimCurrency", "currencies", requests, root)
+    assert read.value == 12
+    found = P.fetched_pages(spark, f"{root}/DimCurrency", P.answers(spark, f"{root}/DimCurrency", requests))
+    held = {r.request: [x["code"] for x in json.loads(r.page)["data"]] for r in found.collect()}
+    assert held == {"currencies": sorted(f"C{i}" for i in range(12)), "none": []}
+
+
+def test_rows_with_null_keys_can_be_left_out_of_the_newest_rows(spark):
+    rows = spark.createDataFrame([("a", 1, 1, 0), ("a", 1, 2, 1), (None, 9, 9, 2), ("b", 2, 1, 3)],
+                                 "k STRING, dayId INT, runId INT, v INT")
+    found = dedupe_newest(rows, "k", ["v"], drop_null_keys=True)
+    assert sorted((r.k, r.v) for r in found.collect()) == [("a", 1), ("b", 3)]
+    assert sorted((r.k or "", r.v) for r in dedupe_newest(rows, "k", ["v"]).collect()) == [("", 2), ("a", 1), ("b", 3)]

@@ -282,8 +282,7 @@ def current_state(spark: SparkSession, sf_dir: str, endpoint: str) -> DataFrame:
 
     table_ = TABLE_OF_ENDPOINT[endpoint]
     key = LANDING_KEY[table_]
-    rows = FIXTURE_OF_ENDPOINT[endpoint](spark, sf_dir).where(F.col(key).isNotNull())
-    return dedupe_newest(rows, key, tie_columns(table_, key))
+    return dedupe_newest(FIXTURE_OF_ENDPOINT[endpoint](spark, sf_dir), key, tie_columns(table_, key), drop_null_keys=True)
 
 
 def land_answers(spark: SparkSession, sf_dir: str, table: str, endpoint: str, requests: DataFrame, root: str,
@@ -295,23 +294,33 @@ def land_answers(spark: SparkSession, sf_dir: str, table: str, endpoint: str, re
     without records gets an empty page.
     """
     from tidemark.schemas import LANDING_KEY
+    from tidemark.session import delete_path, shared_dir
     from tidemark.sources.pages import build_pages, write_fetched
 
-    current = current_state(spark, sf_dir, endpoint)
-    if endpoint in ("eod", "dividends", "splits"):
-        wanted = requests.select(
-            "path", F.explode(F.split("symbols", ", ")).alias("symbol"),
-            F.regexp_replace("date_from", "-", "").cast("int").alias("__from"),
-            F.regexp_replace("date_to", "-", "").cast("int").alias("__to"))
-        day = F.regexp_replace(F.substring("date_raw", 1, 10), "-", "").cast("int")
-        rows = (current.join(wanted, "symbol")
-                .where((day >= F.col("__from")) & (day <= F.col("__to"))))
-    elif endpoint == "tickers":
-        rows = current.join(requests.select("path", F.col("exchange").alias("exchangeMic")), "exchangeMic")
-    else:  # whole-dimension endpoints answer one request
-        rows = current.withColumn("path", F.lit(endpoint))
-    pages = build_pages(rows, record_struct(rows, endpoint), group=["path"], order=[LANDING_KEY[table]])
-    nothing = requests.select("path").distinct().join(rows.select("path").distinct(), "path", "left_anti")
-    empty = nothing.select("path", F.lit(0).cast("long").alias("page_no"),
-                           F.lit('{"pagination": {"total": 0}, "data": []}').alias("page"))
-    write_fetched(pages.unionByName(empty), f"{root}/{table}", fetched_at)
+    # Ranking and counting the records reads them many times over, so the tables are read and deduped once, before. As a
+    # file the requests have a known size: few are broadcast, and the records stay where they are.
+    staged_at = shared_dir(spark, "current")
+    try:
+        current_state(spark, sf_dir, endpoint).write.parquet(f"{staged_at}/records", compression="zstd")
+        requests.write.parquet(f"{staged_at}/requests", compression="zstd")
+        current, requests = spark.read.parquet(f"{staged_at}/records"), spark.read.parquet(f"{staged_at}/requests")
+        if endpoint in ("eod", "dividends", "splits"):
+            wanted = requests.select(
+                "path", F.explode(F.split("symbols", ", ")).alias("symbol"),
+                F.regexp_replace("date_from", "-", "").cast("int").alias("__from"),
+                F.regexp_replace("date_to", "-", "").cast("int").alias("__to"))
+            day = F.regexp_replace(F.substring("date_raw", 1, 10), "-", "").cast("int")
+            rows = (current.join(wanted, "symbol")
+                    .where((day >= F.col("__from")) & (day <= F.col("__to"))))
+        elif endpoint == "tickers":
+            rows = current.join(requests.select("path", F.col("exchange").alias("exchangeMic")), "exchangeMic")
+        else:  # whole-dimension endpoints answer one request
+            rows = current.withColumn("path", F.lit(endpoint))
+        pages = build_pages(rows, record_struct(rows, endpoint), group=["path"], order=[LANDING_KEY[table]])
+        nothing = requests.select("path").distinct().join(rows.select("path").distinct(), "path", "left_anti")
+        empty = nothing.select("path", F.lit(0).cast("long").alias("page_no"),
+                               F.lit('{"pagination": {"total": 0}, "data": []}').alias("page"))
+        answered = requests.select("path").unionByName(rows.select("path"))
+        write_fetched(pages.unionByName(empty), f"{root}/{table}", fetched_at, answered=answered)
+    finally:
+        delete_path(spark, staged_at)

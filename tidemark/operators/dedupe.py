@@ -60,12 +60,14 @@ def dedupe_runs(df: DataFrame, keys: Sequence[str] | str, recency: str = "refere
 BROADCAST_KEYS = 500_000
 
 
-def dedupe_newest(df: DataFrame, keys: Sequence[str] | str, ties: Sequence[str] = (), keep_null_keys: bool = False) -> DataFrame:
+def dedupe_newest(df: DataFrame, keys: Sequence[str] | str, ties: Sequence[str] = (), keep_null_keys: bool = False,
+                  drop_null_keys: bool = False) -> DataFrame:
     """``dedupe_runs`` of recency "latest" for tables of many runs, where ranking would sort every row in its map task.
 
     Each key's newest run is found by a hash aggregate over keys and runs alone, and stored (nothing but their number reaches
     the driver, unless they are few enough to broadcast). Only rows of those runs are ranked. The join is by key and run and
-    its result is ranked map-side first, so a key of many rows doesn't meet in one task.
+    its result is ranked map-side first, so a key of many rows doesn't meet in one task. ``drop_null_keys`` leaves rows with a
+    NULL key out, which saves reading ``df`` once more for them.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     known = F.lit(True)
@@ -82,6 +84,8 @@ def dedupe_newest(df: DataFrame, keys: Sequence[str] | str, ties: Sequence[str]
     for i, k in enumerate(keys):
         same = same & (F.col(k) == F.col(f"__k{i}"))
     kept = df.where(known).join(newest, same, "left_semi")
+    if drop_null_keys:
+        return dedupe_runs(kept, keys, "latest", ties)
     if not keep_null_keys:
         return dedupe_runs(kept.unionByName(df.where(~known)), keys, "latest", ties)
     return dedupe_runs(kept, keys, "latest", ties).unionByName(df.where(~known))

@@ -523,7 +523,8 @@ def first_answers(spark, sf_dir) -> tuple[LD.FilePageSource, list[str]]:
         lake, source, exchanges = load_dims(spark, sf_dir)
         requests = LD.plan_fact(spark, lake, fact_config(exchanges)["tables"][0], fx.NOW)
         fx.land_answers(spark, sf_dir, "FactEod", "eod", requests, source.root, OLDER_FETCHES + 1)
-        old = fx.fx_eod(spark, sf_dir).select(F.concat(F.lit("eod?symbols="), "symbol").alias("request")).distinct().select(
+        symbols = fx.fx_eod(spark, sf_dir).select("symbol").distinct().checkpoint(eager=True)  # read for the pages and their index
+        old = symbols.select(F.concat(F.lit("eod?symbols="), "symbol").alias("request")).distinct().select(
             "request", F.lit(0).cast("long").alias("offset"), F.lit('{"pagination": {"total": 0}, "data": []}').alias("page"))
         turn = (F.pmod(F.xxhash64("request"), F.lit(OLDER_FETCHES)) + 1).cast("long")
         P.land_fetches(old.withColumn("fetched_at", turn), f"{source.root}/FactEod")

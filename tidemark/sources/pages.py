@@ -236,19 +236,21 @@ def request_bucket(request: Column | str) -> Column:
     return F.pmod(F.xxhash64(request), F.lit(REQUEST_BUCKETS)).cast("int")
 
 
-def land_fetches(pages: DataFrame, path: str) -> None:
+def land_fetches(pages: DataFrame, path: str, answered: DataFrame | None = None) -> None:
     """Land ``pages`` (FETCHED and fetched_at) as fetchers do: under ``pages/fetched_at=…/bucket=…``, then the requests they
-    answer under ``requests/fetched_at=…``. A request counts as answered only from then on."""
+    answer under ``requests/fetched_at=…``. A request counts as answered only from then on. ``answered`` (fetched_at, request)
+    names them if they are known; else the pages are made a second time for that."""
     rows = pages.select("fetched_at", "request", "offset", "page", request_bucket("request").alias("bucket"))
     folders = ["fetched_at", "bucket"]
     rows.hint("rebalance", *folders).write.mode("append").partitionBy(*folders).json(f"{path}/pages")
-    index = pages.select("fetched_at", "request").distinct()
+    index = (pages if answered is None else answered).select("fetched_at", "request").distinct()
     index.hint("rebalance", "fetched_at").write.mode("append").partitionBy("fetched_at").json(f"{path}/requests")
 
 
-def land_fetched(pages: DataFrame, path: str, fetched_at: int) -> None:
+def land_fetched(pages: DataFrame, path: str, fetched_at: int, answered: DataFrame | None = None) -> None:
     """``land_fetches`` of one fetch."""
-    land_fetches(pages.select("*", F.lit(int(fetched_at)).cast("long").alias("fetched_at")), path)
+    at = F.lit(int(fetched_at)).cast("long").alias("fetched_at")
+    land_fetches(pages.select("*", at), path, None if answered is None else answered.select("request", at))
 
 
 def answers(spark: SparkSession, path: str, requests: DataFrame) -> DataFrame:
@@ -275,7 +277,8 @@ def fetched_pages(spark: SparkSession, path: str, answered: DataFrame) -> DataFr
     return pages.join(answered, ["request", "fetched_at"], "left_semi").select("request", "offset", "page")
 
 
-def write_fetched(pages: DataFrame, path: str, fetched_at: int, page_size: int = PAGE_SIZE) -> None:
-    """``land_fetched`` of the pages of ``build_pages(..., group=["path"])``, which must be built in an order."""
+def write_fetched(pages: DataFrame, path: str, fetched_at: int, page_size: int = PAGE_SIZE, answered: DataFrame | None = None) -> None:
+    """``land_fetched`` of the pages of ``build_pages(..., group=["path"])``, which must be built in an order. ``answered`` (path)
+    names the requests that they answer, if known."""
     land_fetched(pages.select(F.col("path").alias("request"), (F.col("page_no") * page_size).cast("long").alias("offset"), "page"),
-                 path, fetched_at)
+                 path, fetched_at, None if answered is None else answered.select(F.col("path").alias("request")))
