@@ -41,10 +41,11 @@ from tidemark.plans.requests import dim_requests, fact_requests
 from tidemark.plans.views import create_analytics_views, create_distinct_views, distinct_view, tie_columns
 from tidemark.schemas import (COLUMN_MAPPING, DISTINCT_VIEW_KEY, ENDPOINT_OF_TABLE, LANDING_KEY, STAGING_KEY,
                               landing_columns)
-from tidemark.session import delete_path, list_dirs
+from tidemark.session import delete_path, exists, list_dirs
 from tidemark.sinks import landing as L
 from tidemark.sinks import staging as S
-from tidemark.sources.pages import answers, fail_on_error_pages, fail_on_missing_pages, fetched_pages, split_pages, stage_pages
+from tidemark.sources.pages import (answers, fail_on_error_pages, fail_on_missing_pages, fetched_pages, records_or_fail, split_pages, stage_pages,
+                                     typed_pages)
 
 
 class PageSource(Protocol):
@@ -122,12 +123,24 @@ def run_day(now: str) -> int:
     return int(now.replace("-", ""))
 
 
+def _land_unnamed(lt: L.LandingTable, pages: DataFrame, endpoint: str, day_id: int, run_id: int, attempt: str) -> int:
+    """Land pages that name no request in the one job that parses them; returns the run's rows. A bad page fails that job, which
+    lands nothing, and is then looked for, to be named by the error."""
+    typed = typed_pages(pages, endpoint)
+    try:
+        return L.append_run(flatten(records_or_fail(typed), endpoint), lt, day_id, run_id, attempt, spread=False)
+    except Exception:
+        fail_on_error_pages(typed)
+        raise
+
+
 def land_pages(spark: SparkSession, lt: L.LandingTable, pages: DataFrame, endpoint: str,
                day_id: int, requests: DataFrame | None = None, attempt: str | None = None,
                quarantine: str | None = None) -> int:
     """Flatten a response's pages into one new run of a landing table (K4); returns the run id.
 
-    The pages are read and parsed once, into a folder that goes at the end; one distributed write lands the records. An empty
+    The pages are read and parsed once, into a folder that goes at the end; one distributed write lands the records. Pages
+    that name no request have nothing to be matched with, and are parsed and landed by one write, without that folder. An empty
     response writes no run, so the previous run stays the latest one. A bad page (an error, or no total) fails the load
     with its text, or, with ``quarantine``, is written there by day and run, while the others land. With ``requests``
     an incomplete response fails the write, and no run is landed; those with a quarantined page may be incomplete.
@@ -135,21 +148,26 @@ def land_pages(spark: SparkSession, lt: L.LandingTable, pages: DataFrame, endpoi
     """
     attempt = attempt or L.new_attempt()
     run_id = L.claim_run(spark, lt, day_id, attempt)
+    # A retry's pages are checked before they replace the rows that the attempt landed.
+    unnamed = requests is None and quarantine is None and "request" not in pages.columns and not exists(spark, L.run_path(lt, day_id, run_id))
     staged_at = f"{lt.path}/_pages/{uuid.uuid4().hex}"
     try:
-        staged = stage_pages(pages, endpoint, staged_at)
-        if quarantine is None:
-            fail_on_error_pages(staged)
-        good, bad = split_pages(staged)
-        records = flatten(good, endpoint)
-        if requests is not None:
-            missing = fail_on_missing_pages(staged.select("request", "offset", "total", "n_records"), requests, quarantine is not None)
-            first, *rest = records.schema.fields
-            records = records.unionByName(missing.select(
-                F.col("path").cast(first.dataType).alias(first.name), *[F.lit(None).cast(f.dataType).alias(f.name) for f in rest]))
-        landed = L.append_run(records, lt, day_id, run_id, attempt, spread=False)  # the staged files are split by size
-        if quarantine is not None:
-            bad.write.mode("overwrite").json(f"{quarantine}/dayId={int(day_id)}/runId={run_id}")
+        if unnamed:
+            landed = _land_unnamed(lt, pages, endpoint, day_id, run_id, attempt)
+        else:
+            staged = stage_pages(pages, endpoint, staged_at)
+            if quarantine is None:
+                fail_on_error_pages(staged)
+            good, bad = split_pages(staged)
+            records = flatten(good, endpoint)
+            if requests is not None:
+                missing = fail_on_missing_pages(staged.select("request", "offset", "total", "n_records"), requests, quarantine is not None)
+                first, *rest = records.schema.fields
+                records = records.unionByName(missing.select(
+                    F.col("path").cast(first.dataType).alias(first.name), *[F.lit(None).cast(f.dataType).alias(f.name) for f in rest]))
+            landed = L.append_run(records, lt, day_id, run_id, attempt, spread=False)  # the staged files are split by size
+            if quarantine is not None:
+                bad.write.mode("overwrite").json(f"{quarantine}/dayId={int(day_id)}/runId={run_id}")
     except BaseException:
         L.release_run(spark, lt, day_id, run_id, attempt)
         raise

@@ -27,7 +27,7 @@ from tidemark.plans import loader as LD
 from tidemark.plans import requests as RQ
 from tidemark.plans import views as V
 from tidemark.schemas import COLUMN_MAPPING, LANDING_KEY, STAGING_KEY
-from tidemark.session import shared_dir
+from tidemark.session import delete_path, shared_dir
 from tidemark.sinks import landing as L
 from tidemark.sinks import staging as S
 from tidemark.sources import calendar as CAL
@@ -284,6 +284,7 @@ def q_land_endpoint(spark, sf_dir):
     P.write_pages(P.build_pages(rows, fx.record_struct(rows, "eod")), pages_path)
     for _ in range(2):
         LD.land_pages(spark, lt, P.read_pages(spark, pages_path, "eod").select("page"), "eod", LD.run_day(fx.NOW))
+    delete_path(spark, pages_path)  # both runs hold its records
     return widen(L.read_landing(spark, lt))
 
 

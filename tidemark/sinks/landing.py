@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.runs import max_day_run, parse_partitions
-from tidemark.session import create_new, delete_path, exists, list_dirs, list_files, mkdirs, read_text
+from tidemark.session import create_new, delete_path, exists, list_dirs, list_files, mkdirs, read_text, settings
 from tidemark.schemas import LANDING_DDL, RUN_PARTITION_COLUMNS, landing_schema
 
 
@@ -104,15 +104,38 @@ def register_run(spark: SparkSession, lt: LandingTable, day_id: int, run_id: int
     return True
 
 
+#: Rows are written by the tasks that hold them if a file gets so many on average, and no task has more runs or rows than
+#: its open files can be kept in memory for.
+ROWS_PER_FILE, RUNS_PER_TASK, ROWS_PER_TASK = 1 << 16, 64, 1 << 24
+
+
+def _tasks_hold_runs(rows: DataFrame) -> bool:
+    """Would the tasks of ``rows``, which carry ``dayId``/``runId``, write runs in few large files as they are?"""
+    files = (rows.select(*RUN_PARTITION_COLUMNS, F.spark_partition_id().alias("task"))
+             .groupBy(*RUN_PARTITION_COLUMNS, "task").agg(F.count(F.lit(1)).alias("n")))
+    tasks = files.groupBy("task").agg(F.count(F.lit(1)).alias("runs"), F.sum("n").alias("n"))
+    found = tasks.agg(F.sum("n").alias("n"), F.sum("runs").alias("files"), F.max("runs").alias("runs"), F.max("n").alias("most")).first()
+    return bool(found.n) and found.n >= ROWS_PER_FILE * found.files and found.runs <= RUNS_PER_TASK and found.most <= ROWS_PER_TASK
+
+
 def append_runs(df: DataFrame, lt: LandingTable) -> None:
-    """Append rows that already carry ``dayId``/``runId`` (K1)."""
+    """Append rows that already carry ``dayId``/``runId`` (K1).
+
+    Where a task holds many rows of each run, as in a large table, it writes them as they are, a run's file beside the
+    others: nothing is shuffled, sorted or spilled. Else rows are shuffled by run; those files go when the write ends.
+    """
     cols = [f.name for f in landing_schema(lt.table).fields]
     out = df.select(*[F.col(c).cast(t.dataType) for c, t in
                       zip(cols, landing_schema(lt.table).fields)])
-    # Rebalanced by run, so AQE sizes the write tasks by bytes and a run becomes a
-    # few large files rather than one small file per (task, run).
-    out.hint("rebalance", *RUN_PARTITION_COLUMNS).write.mode("append").partitionBy(*RUN_PARTITION_COLUMNS).parquet(
-        lt.path, compression="zstd")
+    during = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+    if _tasks_hold_runs(out):
+        during["spark.sql.maxConcurrentOutputFileWriters"] = str(RUNS_PER_TASK)
+    else:
+        # Rebalanced by run, so AQE sizes the write tasks by bytes and a run becomes a
+        # few large files rather than one small file per (task, run).
+        out = out.hint("rebalance", *RUN_PARTITION_COLUMNS)
+    with settings(df.sparkSession, during):
+        out.write.mode("append").partitionBy(*RUN_PARTITION_COLUMNS).parquet(lt.path, compression="zstd")
 
 
 def claim_path(lt: LandingTable, day_id: int, run_id: int) -> str:

@@ -91,19 +91,30 @@ class ErrorPageError(ValueError):
     """A response holds a page without records or without a total."""
 
 
+def typed_pages(pages: DataFrame, endpoint: str) -> DataFrame:
+    """``pages`` (page, and request and offset, if they have them), parsed, in the columns of a staged page."""
+    for c, kind in (("request", "string"), ("offset", "long")):
+        if c not in pages.columns:
+            pages = pages.withColumn(c, F.lit(None).cast(kind))
+    parsed = parse_pages(pages.select("request", "offset", "page"), endpoint)
+    bad = F.col("data").isNull() | F.col("pagination.total").isNull()
+    return parsed.select("request", "offset", F.col("pagination.total").alias("total"), F.size("data").cast("long").alias("n_records"), "data",
+                         F.when(bad, F.coalesce("page", F.lit(""))).alias("bad_page")).select(*_STAGED)
+
+
+def records_or_fail(typed: DataFrame) -> DataFrame:
+    """One row per record of typed pages; a bad page fails the job that reads it."""
+    good = F.when(F.col("bad_page").isNull(), F.col("data"))
+    return typed.select(F.inline(F.coalesce(good, F.raise_error(F.concat(F.lit("bad API page: "), F.substring("bad_page", 1, 2000))))))
+
+
 def stage_pages(pages: DataFrame, endpoint: str, path: str) -> DataFrame:
     """Parse ``pages`` (page, and request and offset, if they have them) once, into ``path``; the pages as written.
 
     A page that was landed twice (same request and offset) counts once, a good one before a bad one. Only ids of pages
     are shuffled for that, not their records.
     """
-    for c, kind in (("request", "string"), ("offset", "long")):
-        if c not in pages.columns:
-            pages = pages.withColumn(c, F.lit(None).cast(kind))
-    parsed = parse_pages(pages.select("request", "offset", "page"), endpoint)
-    bad = F.col("data").isNull() | F.col("pagination.total").isNull()
-    parsed.select("request", "offset", F.col("pagination.total").alias("total"), F.size("data").cast("long").alias("n_records"), "data",
-                  F.when(bad, F.coalesce("page", F.lit(""))).alias("bad_page")).select(*_STAGED).write.parquet(path, compression="zstd")
+    typed_pages(pages, endpoint).write.parquet(path, compression="zstd")
     staged = pages.sparkSession.read.parquet(path)
     staged = staged.select("*", F.struct(F.col("bad_page").isNotNull(), "_metadata.file_path", "_metadata.row_index").alias("at"))
     copies = (staged.where("request IS NOT NULL").groupBy("request", "offset").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
